@@ -90,8 +90,9 @@ class Scope:
     offset: int = 0
 
 
-def _join(df: DataFrame, one: DataFrame, on: Mapping[str, str], name: str, columns: Sequence[str]) -> DataFrame:
-    return join_many_to_one(df, one, list(on), list(on.values()), aliases=("t", name), columns=columns)
+def _keys(on: Mapping[str, str]) -> list[Column]:
+    """The related side's key under names of its own, so that bare names mean the target's."""
+    return [F.col(quote(c)).alias(f"__k{i}") for i, c in enumerate(on.values())]
 
 
 def _marked(target: DataFrame, scope: Scope) -> DataFrame:
@@ -101,18 +102,16 @@ def _marked(target: DataFrame, scope: Scope) -> DataFrame:
     df = target.alias("t")
     for ref in scope.lookups:
         one = ref.table if ref.unique else dedupe(ref.table, list(ref.on.values()), "error", nulls_match=False)
-        df = _join(df, one, ref.on, ref.name, columns)
+        df = join_many_to_one(df, one, list(ref.on), list(ref.on.values()), aliases=("t", ref.name), columns=columns)
     for agg in scope.aggregates:
         rows = agg.table if agg.where is None else agg.table.filter(as_predicate(agg.where, Row()))
-        one = rows.groupBy(*[F.col(quote(c)) for c in agg.on.values()]).agg(
-            *[v.alias(k) for k, v in agg.values.items()]
-        )
-        df = _join(df, one, agg.on, agg.name, columns)
+        one = rows.groupBy(*_keys(agg.on)).agg(*[v.alias(k) for k, v in agg.values.items()])
+        df = join_many_to_one(df, one, list(agg.on), one.columns[: len(agg.on)], aliases=("t", agg.name), columns=columns)
     tests = [as_predicate(scope.where, t)] if scope.where is not None else []
     for i, (related, wanted) in enumerate([(r, True) for r in scope.exists] + [(r, False) for r in scope.not_exists]):
         name = f"__related{i}"
-        one = related.table.select(*[F.col(quote(c)) for c in related.on.values()]).distinct()
-        df = _join(df, one.withColumn("__there", F.lit(True)), related.on, name, columns)
+        one = related.table.select(*_keys(related.on)).distinct().withColumn("__there", F.lit(True))
+        df = join_many_to_one(df, one, list(related.on), one.columns[:-1], aliases=("t", name), columns=columns)
         there = F.col(quote(name, "__there"))
         tests.append(there.isNotNull() if wanted else there.isNull())
     df = df.withColumn(_HIT, reduce(and_, tests, F.lit(True)))

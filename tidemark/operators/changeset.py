@@ -57,13 +57,14 @@ def apply_changes(
     specs: Mapping[str, TableSpec],
     foreign_keys: Iterable[ForeignKey] = (),
     op_column: str = "op",
-    ordinal: str | None = None,
+    ordinal: Mapping[str, str] | None = None,
     **settings,
 ) -> dict[str, MergeResult]:
     """Apply change rows to their tables; ``op_column`` says insert, update or delete per row.
 
     A table's three kinds of change are one merge and so one join. Tables come parents first,
-    so that a child can take the key generated for its parent; publish inserts in that order
+    so that a child can take the key generated for its parent (``ordinal`` names, per table, the
+    column that orders and identifies its change rows); publish inserts in that order
     and deletions in the reverse one (see :func:`publish_order`).
     """
     foreign_keys = list(foreign_keys)
@@ -73,7 +74,7 @@ def apply_changes(
         for fk in foreign_keys:
             if fk.child == name and fk.reference is not None and fk.parent in results:
                 rows = _take_parent_key(rows, fk, results[fk.parent])
-        result = merge(targets[name], rows, specs[name], "changes", ordinal=ordinal, **settings)
+        result = merge(targets[name], rows, specs[name], "changes", ordinal=(ordinal or {}).get(name), **settings)
         if any(fk.parent == name and fk.reference is not None for fk in foreign_keys):
             result = result.staged()
         results[name] = result

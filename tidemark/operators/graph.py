@@ -139,11 +139,9 @@ def flatten_graph(df: DataFrame, root: Node, ordinal: str | None = None) -> dict
     }
 
 
-def unique_rows(flat: Flat) -> DataFrame:
+def unique_rows(rows: DataFrame, node: Node) -> DataFrame:
     """The first instance per key; rows whose key is not set are all kept."""
-    if flat.node.link == (ROW,):
-        return flat.rows
-    return dedupe(flat.rows, flat.node.link, "first", [ROW], nulls_match=False)
+    return rows if node.link == (ROW,) else dedupe(rows, node.link, "first", [ROW], nulls_match=False)
 
 
 def merge_graph(
@@ -162,10 +160,10 @@ def merge_graph(
     flats = flatten_graph(df, root, ordinal)
     awaited = {parent for f in flats.values() for parent in f.pending.values()}
     for name, flat in flats.items():
-        node, rows = flat.node, unique_rows(flat)
+        node, rows = flat.node, flat.rows
         for column, parent in flat.pending.items():
             rows = _resolve(rows, column, keys[parent])
-        rows = rows.drop(*[_pending(c) for c in flat.pending])
+        rows = unique_rows(rows.drop(*[_pending(c) for c in flat.pending]), node)
         if node.generated and node.spec.identity not in rows.columns:
             rows = rows.withColumn(node.spec.identity, F.lit(None).cast("bigint"))
         result = merge(
