@@ -33,16 +33,14 @@ def rank_rows(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
     part = F.shiftright(F.col(_PLACE), _ROW_BITS)
     row = F.col(_PLACE).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     sizes = placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).orderBy("part").collect()
-    offsets, total = {}, 0
-    for size in sizes:  # one entry per partition
-        offsets[size["part"]] = total
-        total += size["n"]
-    if not offsets:
+    if not sizes:
         return placed.withColumn(RANK, F.lit(None).cast("bigint")).drop(_PLACE)
-    spark = df.sparkSession
-    table = spark.createDataFrame(list(offsets.items()), "__part int, __offset bigint")
-    ranked = placed.withColumn("__part", part.cast("int")).join(F.broadcast(table), "__part")
-    return ranked.withColumn(RANK, F.col("__offset") + row + 1).drop(_PLACE, "__part", "__offset")
+    offsets, total = [], 0  # one entry per partition
+    for size in sizes:
+        offsets += [total] * (size["part"] + 1 - len(offsets))
+        total += size["n"]
+    before = F.expr(f"get(array({', '.join(f'{o}L' for o in offsets)}), int(shiftright({_PLACE}, {_ROW_BITS})))")
+    return placed.withColumn(RANK, before + row + 1).drop(_PLACE)
 
 
 def assign_identity(df: DataFrame, identity: str, order: Sequence[Column | str], after: Column | int) -> DataFrame:

@@ -29,7 +29,7 @@ from ..sources.staging import stage
 from ..spec import MergeOptions, TableSpec
 from .identity import assign_identity
 from .keys import dedupe
-from .skew import any_null, join_many_to_one, looks_small, row_hash
+from .skew import any_null, estimated_bytes, join_many_to_one, looks_small, row_hash
 
 ACTION = "__action"
 ORDINAL = "__ordinal"
@@ -45,6 +45,7 @@ class MergeResult:
     source: DataFrame
     spec: TableSpec
     plan: ColumnPlan
+    removes: bool = True
     _conflicts: Callable[[], DataFrame] | None = None
     _result: DataFrame | None = None
 
@@ -53,8 +54,10 @@ class MergeResult:
         """The table after the merge."""
         if self._result is not None:
             return self._result
-        kept = F.col(ACTION).isNull() | (F.col(ACTION) != "D")
-        return self.classified.filter(kept).select(*self._columns())
+        rows = self.classified
+        if self.removes:
+            rows = rows.filter(F.col(ACTION).isNull() | (F.col(ACTION) != "D"))
+        return rows.select(*self._columns())
 
     @property
     def changes(self) -> DataFrame:
@@ -347,7 +350,7 @@ def merge(
     unique_in_target = tuple(plan.key) == tuple(spec.key)
     shape = options.strategy
     if shape == "auto":
-        shape = "split" if not unique_in_target or looks_small(keyed) else "outer"
+        shape = "split" if not unique_in_target or _much_smaller(keyed, target) else "outer"
     if shape not in ("outer", "split"):
         raise ValueError(f"strategy must be auto, outer or split, not '{options.strategy}'")
 
@@ -394,7 +397,16 @@ def merge(
                 *[t[k].alias(k) for k in plan.key],
                 t[spec.version].alias("target_version"), s[spec.version].alias("source_version"),
             )
-    return MergeResult(classified, prepared, spec, plan, conflicts)
+    removes = operation == "changes" or (operation == "sync" and options.soft_delete is None)
+    return MergeResult(classified, prepared, spec, plan, removes, conflicts)
+
+
+def _much_smaller(source: DataFrame, target: DataFrame) -> bool:
+    """Whether sending the source to the target's rows beats shuffling both."""
+    if not looks_small(source):
+        return False
+    size = estimated_bytes(target)
+    return size is None or size > 8 * estimated_bytes(source)
 
 
 def _match(plan: ColumnPlan) -> Column:
@@ -430,7 +442,7 @@ def _delete(target: DataFrame, keys: DataFrame, spec: TableSpec, plan: ColumnPla
     kept, gone = side("left_anti"), side("left_semi")
     changes = gone.select(F.lit("D").alias(ACTION), F.lit(True).alias(FROM_SOURCE), *gone.columns)
     rest = kept.select(F.lit(None).cast("string").alias(ACTION), F.lit(False).alias(FROM_SOURCE), *kept.columns)
-    return _DeleteResult(rest.unionByName(changes), keys, spec, plan, None, kept, changes)
+    return _DeleteResult(rest.unionByName(changes), keys, spec, plan, _result=kept, gone=changes)
 
 
 @dataclass(frozen=True)

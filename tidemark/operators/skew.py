@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_, or_
 
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.names import quote
@@ -26,8 +27,8 @@ HOT_SHARE = 0.002
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of a plan, or None where it cannot be had."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Py4JError:
         return None
 
 

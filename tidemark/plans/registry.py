@@ -21,7 +21,9 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        self.__dict__[name] = df  # resolved once per query
+        return df
 
 
 def query(sql: str | None = None):
