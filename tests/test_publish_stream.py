@@ -1,0 +1,159 @@
+import datetime as dt
+import glob
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import rows
+from tidemark import MergeOptions, TableSpec, merge_folder, upsert
+from tidemark.operators import read_folder
+from tidemark.sources import (append, from_reader, from_rows, from_table, publish_partitions, publish_table,
+                              publish_tables, source_limit, stage, truncate)
+from tidemark.sources.publish import observe_actions
+from tidemark.streaming import StreamedTable, batch_progress
+
+SPEC = TableSpec("item", key=("id",))
+SCHEMA = "id int, part string, v int"
+
+
+def test_publish_switches_a_view(spark):
+    first = spark.createDataFrame([(1, "a", 1)], SCHEMA)
+    assert publish_table(first, "items") == "items__v1"
+    merged = upsert(spark.table("items"), spark.createDataFrame([(1, "a", 2), (2, "b", 3)], SCHEMA), SPEC)
+    assert publish_table(merged.result, "items", partition_by=["part"]) == "items__v2"
+    assert rows(spark.table("items"), "id", "v") == [(1, 2), (2, 3)]
+    assert rows(spark.table("items__v1"), "id", "v") == [(1, 1)]
+    assert publish_tables({"items": spark.table("items").filter("id = 1"), "others": first}) == {
+        "items": "items__v3", "others": "others__v1"}
+    assert spark.table("items").count() == 1
+
+
+def test_append_and_truncate(spark):
+    spark.sql("CREATE TABLE log (id int, part string, v int) USING parquet")
+    append(spark.createDataFrame([(2, "a", 1), (1, "b", 2)], SCHEMA), "log", order_hint=["id"], descending=["v"])
+    append(from_rows(spark, [{"id": 3, "part": "c", "v": None}], SCHEMA), "log")
+    assert rows(spark.table("log"), "id") == [(1,), (2,), (3,)]
+    truncate(spark, "log")
+    assert spark.table("log").count() == 0
+
+
+def test_readers(spark, tmp_path):
+    path = str(tmp_path / "rows.csv")
+    spark.range(3).write.csv(path)
+    source = from_reader(spark, "csv", path, schema="id bigint")
+    assert rows(source) == [(0,), (1,), (2,)]
+    source.createOrReplaceTempView("some_rows")
+    assert from_table(spark, "some_rows", {"id": "key"}).columns == ["key"]
+    with pytest.raises(ValueError, match="unknown source columns: nope"):
+        from_table(spark, "some_rows", {"nope": "key"})
+    assert rows(source_limit(source, 2, "id")) == [(0,), (1,)]
+    with pytest.raises(ValueError, match="needs an ordinal"):
+        source_limit(source, 2, [])
+
+
+def test_staged_rows_survive_their_source(spark):
+    df = spark.range(100).withColumn("r", F.rand())
+    kept = stage(df)
+    assert rows(kept) == rows(kept)
+    assert spark.conf.get("spark.checkpoint.dir") in kept.inputFiles()[0]
+
+
+def test_counts_come_with_the_write(spark):
+    target = spark.createDataFrame([(1, "a", 1)], SCHEMA)
+    changes = upsert(target, spark.createDataFrame([(1, "a", 2), (2, "b", 3)], SCHEMA), SPEC).changes
+    watched, seen = observe_actions(changes)
+    watched.write.format("noop").mode("overwrite").save()
+    assert seen.get == {"rows": 2, "I": 1, "U": 1, "D": 0}
+
+
+def files(path):
+    return {f: os.path.getmtime(f) for f in glob.glob(f"{path}/*/*.parquet")}
+
+
+def test_only_changed_partitions_are_written(spark, tmp_path):
+    path = str(tmp_path / "table")
+    spec = TableSpec("item", key=("id", "part"))
+    start = spark.createDataFrame([(i, p, 0) for p in ("a", "b", "c d") for i in range(3)], SCHEMA)
+    assert merge_folder(path, SCHEMA, start, spec, ["part"], keep_staged=True).stats.first() == (9, 0, 0)
+    before = files(path)
+    source = spark.createDataFrame([(1, "a", 5), (1, "b", 0), (7, "e", 1)], SCHEMA)
+    assert merge_folder(path, SCHEMA, source, spec, ["part"], keep_staged=True).stats.first() == (1, 1, 0)
+    after = files(path)
+    kept = {f for f in after if before.get(f) == after[f]}
+    assert {os.path.basename(os.path.dirname(f)) for f in kept} == {"part=b", "part=c d"} or len(kept) == 2
+    assert rows(read_folder(spark, path, SCHEMA).filter("part IN ('a', 'e')")) == [
+        (0, "a", 0), (1, "a", 5), (2, "a", 0), (7, "e", 1)]
+    # a partition that loses its last row goes
+    gone = spark.createDataFrame([(i, "c d", 0) for i in range(3)] + [(0, "b", 0)], SCHEMA)
+    assert merge_folder(path, SCHEMA, gone, spec, ["part"], "delete", keep_staged=True).stats.first() == (0, 0, 4)
+    assert rows(read_folder(spark, path, SCHEMA).groupBy("part").count()) == [("a", 3), ("b", 2), ("e", 1)]
+    assert merge_folder(path, SCHEMA, gone.limit(0), spec, ["part"]) is None
+    with pytest.raises(ValueError, match="must belong to the match key"):
+        merge_folder(path, SCHEMA, source, spec, ["v"])
+    with pytest.raises(ValueError, match="every partition"):
+        merge_folder(path, SCHEMA, source, spec, ["part"], "sync", MergeOptions())
+
+
+def test_two_partition_columns(spark, tmp_path):
+    path = str(tmp_path / "table")
+    schema = "id int, y int, m string, v int"
+    spec = TableSpec("item", key=("id", "y", "m"))
+    merge_folder(path, schema, spark.createDataFrame([(1, 1, "a", 0), (1, 2, "a", 0)], schema), spec, ["y", "m"])
+    merge_folder(path, schema, spark.createDataFrame([(1, 2, "a", 9)], schema), spec, ["y", "m"])
+    assert rows(read_folder(spark, path, schema)) == [(1, 1, "a", 0), (1, 2, "a", 9)]
+
+
+def test_publish_partitions_reads_what_it_replaces(spark, tmp_path):
+    path = str(tmp_path / "table")
+    spark.createDataFrame([(1, "a", 1), (2, "b", 2)], SCHEMA).write.partitionBy("part").parquet(path)
+    stored = spark.read.schema(SCHEMA).parquet(path)
+    publish_partitions(stored.filter("part = 'a'").withColumn("v", F.col("v") + 1), path, ["part"])
+    assert rows(spark.read.schema(SCHEMA).parquet(path), "id", "v") == [(1, 2), (2, 2)]
+
+
+STREAM = "user_id bigint, ts timestamp_ntz, event_id bigint, value double"
+
+
+def event(user, minute, event_id, value):
+    return (user, dt.datetime(2024, 1, 1, 0, minute), event_id, value)
+
+
+def streamed(tmp_path, **settings):
+    return StreamedTable(str(tmp_path / "t"), TableSpec("last", key=("user_id",)), STREAM, ["ts", "event_id"],
+                         buckets=4, **settings)
+
+
+def test_batches_can_be_repeated_and_late_rows_lose(spark, tmp_path):
+    seen = []
+    table = streamed(tmp_path, newer_by="ts", on_batch=lambda i, stats: seen.append((i, stats)))
+    assert table.read(spark).count() == 0
+    first = spark.createDataFrame([event(1, 5, 1, 1.0), event(1, 5, 2, 2.0), event(2, 1, 3, 3.0)], STREAM)
+    second = spark.createDataFrame([event(1, 4, 9, 9.0), event(2, 2, 4, 4.0), event(3, 0, 5, 5.0)], STREAM)
+    for batch_id, batch in [(0, first), (0, first), (1, second), (1, second)]:
+        table.apply(batch, batch_id)
+    assert rows(table.read(spark), "user_id", "value") == [(1, 2.0), (2, 4.0), (3, 5.0)]
+    assert [s for _, s in seen] == [
+        {"inserted": 2, "updated": 0, "deleted": 0}, {"inserted": 0, "updated": 0, "deleted": 0},
+        {"inserted": 1, "updated": 1, "deleted": 0}, {"inserted": 0, "updated": 0, "deleted": 0}]
+    table.apply(first.limit(0), 2)
+    assert table.read(spark).count() == 3
+
+
+def test_a_stream_in_several_batches(spark, tmp_path):
+    inbox = str(tmp_path / "in")
+    for i in range(3):
+        spark.createDataFrame([event(u, i, 10 * i + u, float(i)) for u in range(i, 5)], STREAM).coalesce(1).write.mode(
+            "append").parquet(inbox)
+    table = streamed(tmp_path, newer_by="ts")
+    progress = []
+    listener = batch_progress(progress.append)
+    spark.streams.addListener(listener)
+    try:
+        stream = spark.readStream.schema(STREAM).option("maxFilesPerTrigger", 1).parquet(inbox)
+        query = table.writer(stream, str(tmp_path / "check")).trigger(availableNow=True).start()
+        query.awaitTermination()
+    finally:
+        spark.streams.removeListener(listener)
+    assert query.exception() is None
+    assert rows(table.read(spark), "user_id", "value") == [(0, 0.0), (1, 1.0), (2, 2.0), (3, 2.0), (4, 2.0)]

@@ -6,7 +6,8 @@ Every operation builds a DataFrame plan; nothing is written until a result is pu
 from .columns import ColumnPlan, resolve_columns
 from .operators import (Aggregate, ForeignKey, Lookup, Many, MergeResult, Node, One, append_rows, apply_changes,
                         assign_identity, batch_delete, batch_update, cascade_delete, dedupe, duplicate_keys,
-                        fill_self_reference, flatten_graph, insert, lookup, merge, merge_graph, rank_rows, table_diff)
+                        fill_self_reference, flatten_graph, insert, lookup, merge, merge_folder, merge_graph, rank_rows,
+                        table_diff)
 from .spec import Converter, MergeOptions, TableSpec
 
 

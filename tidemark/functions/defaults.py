@@ -8,7 +8,7 @@ from pyspark.sql import Column, functions as F, types as T
 
 # The defaults of the value types. A string or a binary column has none but NULL.
 EMPTY_UUID = "00000000-0000-0000-0000-000000000000"
-FIRST_DAY = dt.date(1, 1, 1)
+FIRST_DAY = "0001-01-01"
 
 
 def type_default(dtype: T.DataType, uuid: bool = False) -> Column | None:

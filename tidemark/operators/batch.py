@@ -74,9 +74,9 @@ class Scope:
     """Which target rows a batch operation affects.
 
     ``where`` is SQL text, a ``Column`` or a function of the target row; NULL counts as
-    false. ``exists``/``not_exists`` require or forbid related rows. ``order_by`` with
-    ``limit``/``offset`` then takes a stretch of what is left, ``key`` breaking ties; an order
-    without a limit changes nothing.
+    false. ``exists``/``not_exists`` require or forbid related rows. ``order_by`` (over the
+    target's columns) with ``limit``/``offset`` then takes a stretch of what is left, ``key``
+    breaking ties; an order without a limit changes nothing.
     """
 
     where: object = None
@@ -122,8 +122,8 @@ def _marked(target: DataFrame, scope: Scope) -> DataFrame:
     order = [t[c] if isinstance(c, str) else c for c in scope.order_by]
     order += [t[k].asc() for k in scope.key]
     limit = scope.limit if scope.limit is not None else (1 << 62)
-    picked = first_rows(df.filter(_HIT), order, limit, scope.offset)
-    picked = picked.select(*[t[k].alias(k) for k in scope.key], F.lit(True).alias("__there"))
+    candidates = df.filter(_HIT).select(*[t[c] for c in target.columns]).alias("t")
+    picked = first_rows(candidates, order, limit, scope.offset, scope.key).withColumn("__there", F.lit(True))
     if limit <= SMALL_TOP:
         picked = F.broadcast(picked)  # no more than ``limit`` keys
     on = reduce(and_, [t[k] == F.col(quote("__top", k)) for k in scope.key])

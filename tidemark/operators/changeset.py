@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.names import quote
+from ..sources.staging import stage
 from ..spec import TableSpec
 from .merge import _OP, ORDINAL, MergeResult, merge
 from .skew import join_many_to_one
@@ -69,23 +70,27 @@ def apply_changes(
     """
     foreign_keys = list(foreign_keys)
     results: dict[str, MergeResult] = {}
+    keys: dict[str, DataFrame] = {}
     for name in topological_order(changes, foreign_keys):
         rows = changes[name].withColumnRenamed(op_column, _OP)
         for fk in foreign_keys:
             if fk.child == name and fk.reference is not None and fk.parent in results:
-                rows = _take_parent_key(rows, fk, results[fk.parent])
+                rows = _take_parent_key(rows, fk, keys[fk.parent])
         result = merge(targets[name], rows, specs[name], "changes", ordinal=(ordinal or {}).get(name), **settings)
         if any(fk.parent == name and fk.reference is not None for fk in foreign_keys):
-            result = result.staged()
+            keys[name] = stage(_given_keys(result), "keys")
         results[name] = result
     return results
 
 
-def _take_parent_key(rows: DataFrame, fk: ForeignKey, parent: MergeResult) -> DataFrame:
+def _given_keys(parent: MergeResult) -> DataFrame:
     loaded = parent.loaded_back("identity")
     if ORDINAL not in loaded.columns:
-        raise ValueError("a reference to a generated key needs the ordinal of the change rows")
-    keys = loaded.select(F.col(ORDINAL).alias("__ref"), F.col(quote(parent.plan.key[0])).alias("__key"))
+        raise ValueError(f"a reference to a key of '{parent.spec.name}' needs the ordinal of its change rows")
+    return loaded.select(F.col(ORDINAL).alias("__ref"), F.col(quote(parent.plan.key[0])).alias("__key"))
+
+
+def _take_parent_key(rows: DataFrame, fk: ForeignKey, keys: DataFrame) -> DataFrame:
     joined = join_many_to_one(rows, keys, [fk.reference], ["__ref"])
     columns = [c for c in rows.columns if c not in (fk.column, fk.reference)]
     old = F.col(quote("t", fk.column)) if fk.column in rows.columns else F.lit(None)

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.names import quote
+from ..sources.staging import stage
 from ..spec import TableSpec
 from .keys import dedupe
 from .merge import ORDINAL, MergeResult, merge
@@ -159,34 +160,44 @@ def merge_graph(
     keys: dict[str, DataFrame] = {}
     flats = flatten_graph(df, root, ordinal)
     awaited = {parent for f in flats.values() for parent in f.pending.values()}
+
+    def merged(name: str, node: Node, rows: DataFrame) -> MergeResult:
+        return merge(targets[name], rows, node.spec, operation, match_on=node.match_on, ordinal=ROW,
+                     on_duplicate="unchecked", **settings)
+
     for name, flat in flats.items():
         node, rows = flat.node, flat.rows
         for column, parent in flat.pending.items():
-            rows = _resolve(rows, column, keys[parent])
-        rows = unique_rows(rows.drop(*[_pending(c) for c in flat.pending]), node)
+            if parent != name:
+                rows = _resolve(rows, column, keys[parent])
+        rows = unique_rows(rows, node)
         if node.generated and node.spec.identity not in rows.columns:
             rows = rows.withColumn(node.spec.identity, F.lit(None).cast("bigint"))
-        result = merge(
-            targets[name], rows, node.spec, operation, match_on=node.match_on, ordinal=ROW,
-            on_duplicate="unchecked", **settings,
-        )
-        if name in awaited:
-            result = result.staged()
-            loaded = result.loaded_back()
-            link = F.col(ORDINAL) if node.link == (ROW,) else None
-            parts = [link.alias("k0")] if link is not None else [
-                F.col(quote(c)).alias(f"k{i}") for i, c in enumerate(node.link)
-            ]
-            keys[name] = loaded.select(F.struct(*parts).alias("__link"), F.col(quote(node.spec.identity)).alias("__key"))
-        results[name] = result
+        own = [c for c, p in flat.pending.items() if p == name]
+        if own:  # rows refer to rows of the same table: their keys first, then the references
+            unset = {c: F.lit(None).cast("bigint") for c in own}
+            keys[name] = _given_keys(merged(name, node, rows.withColumns(unset)), node)
+            for column in own:
+                rows = _resolve(rows, column, keys[name])
+        results[name] = merged(name, node, rows)
+        if name in awaited and name not in keys:
+            keys[name] = _given_keys(results[name], node)
     return results
 
 
+def _given_keys(result: MergeResult, node: Node) -> DataFrame:
+    """Each row's link and the key it has now; stored, as children ask for it repeatedly."""
+    link = [ORDINAL if c == ROW else c for c in node.link]
+    struct = F.struct(*[F.col(quote(c)).alias(f"k{i}") for i, c in enumerate(link)])
+    given = result.loaded_back().select(struct.alias("__link"), F.col(quote(node.spec.identity)).alias("__key"))
+    return stage(given, "keys")
+
+
 def _resolve(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
     """Replace a row's link to its parent by the parent's generated key."""
     joined = join_many_to_one(rows, keys, [_pending(column)], ["__link"])
     rest = [F.col(quote("t", c)) for c in rows.columns if c not in (_pending(column), column)]
-    return joined.select(*rest, F.col("t." + quote(_pending(column))), F.col("s.__key").alias(column))
+    return joined.select(*rest, F.col("s.__key").alias(column))
 
 
 def graph_stats(results: Mapping[str, MergeResult]) -> DataFrame:

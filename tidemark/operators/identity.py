@@ -15,19 +15,21 @@ _PLACE = "__place"
 _ROW_BITS = 33
 
 
-def rank_rows(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
+def rank_rows(df: DataFrame, order: Sequence[Column | str], columns: Sequence[str] | None = None) -> DataFrame:
     """Add ``__rank`` = 1, 2, 3, ... in ``order``, without gathering the rows anywhere.
 
     The rows are range-partitioned, sorted per partition and written out once, together with
     their place in the partition; the few partition sizes then give each partition's offset.
     Writing first matters: places would differ if the plan ran again. ``order`` should be
-    unique, or equal rows get arbitrary (but fixed) neighbouring ranks.
+    unique, or equal rows get arbitrary (but fixed) neighbouring ranks. ``columns`` are those
+    to keep; only they are written.
     """
+    kept = [F.col(quote(c)) for c in (df.columns if columns is None else columns)]
     order = [F.col(quote(c)) if isinstance(c, str) else c for c in order]
     placed = stage(
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .withColumn(_PLACE, F.monotonically_increasing_id()),
+        .select(*kept, F.monotonically_increasing_id().alias(_PLACE)),
         "rank",
     )
     part = F.shiftright(F.col(_PLACE), _ROW_BITS)

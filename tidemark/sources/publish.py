@@ -22,7 +22,7 @@ def append(df: DataFrame, table: str, order_hint: Sequence[str] = (), descending
         df = df.sortWithinPartitions(
             *[F.col(quote(c)).desc() if c in descending else F.col(quote(c)).asc() for c in order_hint]
         )
-    df.writeTo(table).append()
+    df.write.mode("append").saveAsTable(table)  # columns are matched by name
 
 
 def truncate(spark: SparkSession, table: str) -> None:

@@ -4,15 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.names import Row, as_predicate, quote
 from ..spec import TableSpec
 
 
 def from_rows(spark: SparkSession, rows: Iterable, schema) -> DataFrame:
-    """A list of rows held by the program. The schema is given, never inferred."""
-    return spark.createDataFrame(list(rows), schema)
+    """A list of rows held by the program. The schema is given, never inferred.
+
+    The rows travel as one Arrow table, which Spark knows the size of: a short list can then
+    be sent to the target's rows, where a list of Python objects counts as unknown and huge.
+    """
+    schema = spark.createDataFrame([], schema).schema
+    records = [r if isinstance(r, Mapping) else dict(zip(schema.names, r)) for r in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(records, to_arrow_schema(schema)), schema)
 
 
 def from_reader(spark: SparkSession, format: str, path: str | None = None, schema=None, **options) -> DataFrame:

@@ -3,16 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQueryListener
 
 from ..functions.names import quote
+from ..operators.folders import merge_folder, read_folder
 from ..operators.keys import dedupe
-from ..operators.merge import merge
-from ..sources.publish import publish_partitions
-from ..sources.staging import discard, stage_path
 from ..spec import TableSpec
 
 BUCKET = "__bucket"
@@ -22,58 +20,44 @@ BUCKET = "__bucket"
 class StreamedTable:
     """Upserts micro-batches into a Parquet folder split into buckets by key hash.
 
-    A micro-batch rewrites only the buckets its keys fall into. Within a batch the last row
-    per key by ``ordinal`` wins; against the table, the row with the greater ``newer_by``, so
-    late rows lose without a watermark. Applying a batch twice changes nothing, which makes a
-    restarted query safe although ``foreachBatch`` may repeat a batch.
+    A micro-batch reads and rewrites only the buckets its keys fall into. Within a batch the
+    last row per key by ``ordinal`` wins; against the table, the row with the greater
+    ``newer_by``, so late rows lose without a watermark. Applying a batch twice changes
+    nothing, which makes a restarted query safe although ``foreachBatch`` may repeat a batch.
+    ``schema`` is that of the table; ``buckets`` is fixed for its lifetime.
     """
 
     path: str
     spec: TableSpec
-    schema: object
+    schema: str
     ordinal: Sequence[str]
     newer_by: str | None = None
     buckets: int = 64
-    on_batch: Callable[[int, DataFrame], None] | None = None
+    on_batch: Callable[[int, dict], None] | None = None
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return self._stored(spark).drop(BUCKET)
+        return read_folder(spark, self.path, self._stored_schema()).drop(BUCKET)
 
     def writer(self, stream: DataFrame, checkpoint: str) -> DataStreamWriter:
         """A writer over ``stream``; the caller picks its trigger and starts it."""
         return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(self.apply)
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        key = [F.col(quote(k)) for k in self.spec.key]
-        bucket = F.pmod(F.xxhash64(*key), F.lit(self.buckets)).cast("int")
-        columns = [c for c in self._empty(spark).columns if c != BUCKET]
-        # ordinals that are not columns of the table serve the deduplication only
-        latest = dedupe(batch, self.spec.key, "last", list(self.ordinal)).select(*columns)
-        touched = [r[0] for r in latest.select(bucket.alias("b")).distinct().collect()]  # at most ``buckets``
-        if not touched:
-            return
-        stored = self._stored(spark).filter(F.col(BUCKET).isin(touched)).drop(BUCKET)
+        key = list(self.spec.key)
+        bucket = F.pmod(F.xxhash64(*[F.col(quote(k)) for k in key]), F.lit(self.buckets)).cast("int")
+        latest = dedupe(batch, key, "last", list(self.ordinal)).withColumn(BUCKET, bucket)
         where = None
         if self.newer_by is not None:
             where = lambda t, s: s[self.newer_by] > t[self.newer_by]
-        copy = stage_path(spark, f"batch-{batch_id}")
-        merged = merge(
-            stored, latest, self.spec, "upsert", where=where, on_duplicate="unchecked", keep_identity=True
-        ).staged(copy)
-        publish_partitions(merged.result.withColumn(BUCKET, bucket), self.path, [BUCKET], staged=True)
-        if self.on_batch is not None:
-            self.on_batch(batch_id, merged.stats)
-        discard(spark, copy)
-
-    def _empty(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame([], self.schema).withColumn(BUCKET, F.lit(0))
-
-    def _stored(self, spark: SparkSession) -> DataFrame:
-        empty = self._empty(spark)
-        folder = spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-        return spark.read.schema(empty.schema).parquet(self.path) if files.exists(folder) else empty
+        merged = merge_folder(
+            self.path, self._stored_schema(), latest, replace(self.spec, key=(*key, BUCKET)), [BUCKET],
+            where=where, on_duplicate="unchecked", keep_identity=True, keep_staged=self.on_batch is not None,
+        )
+        if merged is not None and self.on_batch is not None:
+            self.on_batch(batch_id, merged.stats.first().asDict())
+
+    def _stored_schema(self) -> str:
+        return f"{self.schema}, {BUCKET} int"
 
 
 def batch_progress(report: Callable[[dict], None]) -> StreamingQueryListener:
