@@ -157,3 +157,16 @@ def test_a_stream_in_several_batches(spark, tmp_path):
         spark.streams.removeListener(listener)
     assert query.exception() is None
     assert rows(table.read(spark), "user_id", "value") == [(0, 0.0), (1, 1.0), (2, 2.0), (3, 2.0), (4, 2.0)]
+
+
+def test_a_bucketed_table_is_not_shuffled(spark):
+    rows_ = spark.range(1000).select(F.col("id").cast("int"), F.lit("p").alias("part"), F.lit(0).alias("v"))
+    publish_table(rows_.repartition(8, "id"), "bucketed", bucket_by=["id"], buckets=8)
+    source = spark.range(500, 1500).select(F.col("id").cast("int"), F.lit("p").alias("part"), F.lit(1).alias("v"))
+    merged = upsert(spark.table("bucketed"), source, SPEC, strategy="outer", on_duplicate="unchecked")
+    plan = merged.result._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "FullOuter" in plan
+    table, seen = merged.counted()
+    publish_table(table, "bucketed", bucket_by=["id"], buckets=8)
+    assert seen.get == {"inserted": 500, "updated": 500, "deleted": 0}
+    assert spark.table("bucketed").agg(F.count("id"), F.sum("v")).first() == (1500, 1000)

@@ -8,6 +8,8 @@ from .operators import (Aggregate, ForeignKey, Lookup, Many, MergeResult, Node,
                         assign_identity, batch_delete, batch_update, cascade_delete, dedupe, duplicate_keys,
                         fill_self_reference, flatten_graph, insert, lookup, merge, merge_folder, merge_graph, rank_rows,
                         table_diff)
+from .operators.keys import assert_unique
+from .sources import truncate
 from .spec import Converter, MergeOptions, TableSpec
 
 

@@ -142,7 +142,7 @@ def flatten_graph(df: DataFrame, root: Node, ordinal: str | None = None) -> dict
 
 def unique_rows(rows: DataFrame, node: Node) -> DataFrame:
     """The first instance per key; rows whose key is not set are all kept."""
-    return rows if node.link == (ROW,) else dedupe(rows, node.link, "first", [ROW], nulls_match=False)
+    return rows if node.link == (ROW,) else dedupe(rows, node.link, "first", [ROW], nulls_match=False, row_id=ROW)
 
 
 def merge_graph(
@@ -212,10 +212,11 @@ def fill_self_reference(
     """Second pass over a table whose rows refer to each other by natural key.
 
     ``parent`` holds the natural key of the row referred to; ``foreign_key`` receives that
-    row's key, or NULL where there is none.
+    row's key, or NULL where there is none. A natural key held twice fails while the job runs.
     """
     natural = [F.col(quote(c)).alias(f"__n{i}") for i, c in enumerate(natural_key)]
     known = df.select(*natural, F.col(quote(key)).alias("__key"))
-    joined = join_many_to_one(df, known, list(parent), [f"__n{i}" for i in range(len(natural))])
+    names = known.columns[:-1]
+    joined = join_many_to_one(df, dedupe(known, names, "error", nulls_match=False), list(parent), names)
     rest = [F.col(quote("t", c)) for c in df.columns if c != foreign_key]
     return joined.select(*rest, F.col("s.__key").alias(foreign_key))

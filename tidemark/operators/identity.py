@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.names import quote
 from ..sources.staging import stage
+from .skew import hashable, key_hash
 
 RANK = "__rank"
 _PLACE = "__place"
@@ -20,12 +21,13 @@ def rank_rows(df: DataFrame, order: Sequence[Column | str], columns: Sequence[st
 
     The rows are range-partitioned, sorted per partition and written out once, together with
     their place in the partition; the few partition sizes then give each partition's offset.
-    Writing first matters: places would differ if the plan ran again. ``order`` should be
-    unique, or equal rows get arbitrary (but fixed) neighbouring ranks. ``columns`` are those
-    to keep; only they are written.
+    Writing first matters: places would differ if the plan ran again. ``columns`` are those to
+    keep; only they are written, and a hash of them settles and spreads ties in ``order``.
     """
-    kept = [F.col(quote(c)) for c in (df.columns if columns is None else columns)]
+    names = df.columns if columns is None else list(columns)
+    kept = [F.col(quote(c)) for c in names]
     order = [F.col(quote(c)) if isinstance(c, str) else c for c in order]
+    order.append(key_hash([c for c in hashable(df) if c in names]))
     placed = stage(
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)

@@ -38,14 +38,15 @@ def dedupe(
     keep: str = "error",
     ordinal: Sequence[str] = (),
     nulls_match: bool = True,
+    row_id: str | None = None,
 ) -> DataFrame:
     """One row per key: the ``first`` or ``last`` by ``ordinal``, or a failure on a second row.
 
-    An aggregate and not a window: each task first reduces its own rows to one per key, so a
-    key holding much of the data never gathers in one task. Its hash partitioning on ``key``
-    serves a following join. Equal ordinals are settled by the remaining columns, so a
+    Choosing is an aggregate and not a window: each task first reduces its own rows to one per
+    key, so a key holding much of the data never gathers in one task. The hash partitioning on
+    ``key`` serves a following join. Equal ordinals are settled by the remaining columns, so a
     recomputed task picks the same row. With ``nulls_match=False`` rows with a NULL key
-    column are all kept.
+    column are all kept; a ``row_id`` column that tells rows apart saves a second pass for it.
     """
     if keep == "unchecked":
         return df
@@ -53,7 +54,10 @@ def dedupe(
         raise ValueError(f"on_duplicate must be error, first, last or unchecked, not '{keep}'")
     if keep != "error" and not ordinal:
         raise ValueError(f"on_duplicate='{keep}' needs an ordinal")
-    if not nulls_match:
+    apart = []
+    if not nulls_match and row_id is not None:
+        apart = [F.when(any_null(key), F.col(quote(row_id))).alias("__apart")]
+    elif not nulls_match:
         with_null = df.filter(any_null(key))
         return dedupe(df.filter(~any_null(key)), key, keep, ordinal).unionByName(with_null)
 
@@ -61,7 +65,9 @@ def dedupe(
     keys = [F.col(quote(k)) for k in key]
     if keep == "error":
         payload = F.struct(*[F.col(quote(c)) for c in rest], F.lit(True).alias("__one"))
-        one = df.groupBy(*keys).agg(F.first(payload).alias("__row"), F.count(F.lit(1)).alias("__n"))
+        # All keys should be single, so combining before the shuffle saves nothing: shuffling first
+        # leaves one sort by key, which serves both this check and a following merge join.
+        one = df.repartition(*keys, *apart).groupBy(*keys, *apart).agg(F.first(payload).alias("__row"), F.count(F.lit(1)).alias("__n"))
         text = F.concat_ws(", ", *[k.cast("string") for k in keys])
         message = F.concat(F.lit(f"more than one source row for key ({', '.join(key)}) = ("), text, F.lit(")"))
         row = F.when(F.col("__n") == 1, F.col("__row")).otherwise(F.raise_error(message))
@@ -76,6 +82,6 @@ def dedupe(
             row = pick(F.struct(*[F.col(quote(c)) for c in rest], F.lit(True).alias("__one")), ranked)
         else:
             row = (F.max if keep == "last" else F.min)(F.struct(*order, *tie, F.lit(True).alias("__one")))
-        one = df.groupBy(*keys).agg(row.alias("__row"))
+        one = df.groupBy(*keys, *apart).agg(row.alias("__row"))
     columns = {c: (F.col(quote(c)) if c in key else F.col("__row").getField(c).alias(c)) for c in df.columns}
     return one.select(*[columns[c] for c in df.columns])

@@ -17,7 +17,7 @@ from dataclasses import dataclass, replace
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from ..columns import INSERTING, KEY_ONLY, ColumnPlan, resolve_columns
 from ..functions.compare import differs
@@ -106,6 +106,15 @@ class MergeResult:
         extra = [ORDINAL] if ORDINAL in self.classified.columns else []
         return self.classified.filter(F.col(FROM_SOURCE)).select(*extra, *[F.col(quote(c)) for c in wanted])
 
+    def counted(self) -> tuple[DataFrame, Observation]:
+        """The new table, and the statistics as known once it has been written."""
+        seen = Observation()
+        counts = {"inserted": "I", "updated": "U", "deleted": "D"}
+        rows = self.classified.observe(seen, *[F.count_if(F.col(ACTION) == a).alias(n) for n, a in counts.items()])
+        if self.removes:
+            rows = rows.filter(F.col(ACTION).isNull() | (F.col(ACTION) != "D"))
+        return rows.select(*self._columns()), seen
+
     def staged(self, path: str | None = None) -> "MergeResult":
         """Evaluate the merge once, into shared storage, for several readers."""
         return replace(self, classified=stage(self.classified, "merge", path))
@@ -358,7 +367,7 @@ def merge(
         classified = classify(unmatched_target(tagged_t))
         new = prepared
     elif operation == "insert_absent":
-        new = _without_partner(keyed, target, plan, looks_small(keyed))
+        new = _without_partner(keyed, target, plan, unique_in_target)
         new = new if loose is None else new.unionByName(loose)
         classified = classify(unmatched_target(tagged_t))
     elif shape == "outer" and inserts and not generated and loose is None:
@@ -372,7 +381,7 @@ def merge(
         new = None
         if inserts:
             may_insert = keyed.filter(F.col(_OP) == "I") if operation == "changes" else keyed
-            new = _without_partner(may_insert, target, plan, looks_small(keyed))
+            new = _without_partner(may_insert, target, plan, unique_in_target)
             if loose is not None:
                 new = new.unionByName(loose.filter(F.col(_OP) == "I") if operation == "changes" else loose)
     if new is not None:
@@ -391,7 +400,8 @@ def merge(
     if options.check_version:
         def conflicts() -> DataFrame:
             t, s = Row("t"), Row("s")
-            pairs = target.alias("t").join(keyed.alias("s"), _match(plan), "inner")
+            pairs = join_many_to_one(target, keyed, plan.key, how="inner", null_safe=plan.null_safe,
+                                     salted=False if unique_in_target else None)
             differ = ~F.coalesce(t[spec.version] == s[spec.version], F.lit(False))
             return pairs.filter(differ).select(
                 *[t[k].alias(k) for k in plan.key],
@@ -414,16 +424,17 @@ def _match(plan: ColumnPlan) -> Column:
     return reduce(and_, [t[k].eqNullSafe(s[k]) if plan.null_safe else t[k] == s[k] for k in plan.key])
 
 
-def _without_partner(source: DataFrame, target: DataFrame, plan: ColumnPlan, small: bool) -> DataFrame:
+def _without_partner(source: DataFrame, target: DataFrame, plan: ColumnPlan, unique: bool) -> DataFrame:
     """Source rows whose key the target lacks; only the target's key columns are read.
 
     A small source is first sent to the target to find which of its keys exist, so the
     target's keys are not shuffled; the answer is no larger than the source.
     """
     keys = target.select(*[F.col(quote(k)) for k in plan.key])
-    if small:
+    if looks_small(source):
         keys = keys.alias("t").join(source.select(*keys.columns).alias("s"), _match(plan), "left_semi")
-    keys = keys.distinct()
+    if not unique:
+        keys = keys.distinct()  # a frequent key becomes one row before the shuffle
     return source.alias("s").join(keys.alias("t"), _match(plan), "left_anti")
 
 

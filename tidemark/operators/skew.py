@@ -17,11 +17,11 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from ..functions.names import quote
 
 SALT = "__salt"
-#: Copies made of a row that a frequent key matches, and most keys treated as frequent.
-SALTS = 64
-MAX_HOT_KEYS = 64
-#: A key is frequent when it holds more than this share of the rows.
-HOT_SHARE = 0.002
+#: Most keys treated as frequent, and the smallest share of the rows that makes one so.
+MAX_HOT_KEYS = 1000
+MIN_SHARE = 0.0005
+#: Bounds on the number of tasks a frequent key is spread over.
+MIN_SALTS, MAX_SALTS = 8, 1024
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -64,8 +64,21 @@ def any_null(columns: Sequence[str]) -> Column:
     return reduce(or_, [F.col(quote(c)).isNull() for c in columns])
 
 
-def hot_hashes(df: DataFrame, columns: Sequence[str], share: float = HOT_SHARE) -> list[int]:
-    """Hashes of the frequent keys (quoted names): one pass over them, at most 64 numbers."""
+def shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def salts(df: DataFrame) -> int:
+    """Tasks to spread a frequent key over; even one with all the rows then fills every task."""
+    return min(MAX_SALTS, max(MIN_SALTS, shuffle_partitions(df)))
+
+
+def hot_hashes(df: DataFrame, columns: Sequence[str]) -> list[int]:
+    """Hashes of the frequent keys (quoted names): one pass over them, at most 1000 numbers.
+
+    A key counts as frequent from a quarter of an average task's share of the rows.
+    """
+    share = max(MIN_SHARE, 0.25 / shuffle_partitions(df))
     hashed = df.select(F.xxhash64(*columns).alias("h"))
     top = hashed.agg(
         F.expr(f"approx_top_k(h, {MAX_HOT_KEYS}, 10000)").alias("top"), F.count(F.lit(1)).alias("n")
@@ -112,9 +125,10 @@ def join_many_to_one(
         if not null_safe:
             spread = spread | reduce(or_, [F.col(a).isNull() for a in side])
         zero = F.lit(0).cast("bigint")
-        place = F.pmod(F.xxhash64(*[quote(left, c) for c in columns]), F.lit(SALTS))
+        n = salts(many)
+        place = F.pmod(F.xxhash64(*[quote(left, c) for c in columns]), F.lit(n))
         many = many.withColumn(SALT, F.when(spread, place).otherwise(zero))
-        copies = F.when(key_hash(to).isin(hot), F.sequence(zero, F.lit(SALTS - 1).cast("bigint")))
+        copies = F.when(key_hash(to).isin(hot), F.sequence(zero, F.lit(n - 1).cast("bigint")))
         one = one.withColumn(SALT, F.explode(F.coalesce(copies, F.array(zero))))
         one = one.withColumnRenamed(SALT, f"{SALT}_{right}")
         many = many.withColumnRenamed(SALT, f"{SALT}_{right}_many")

@@ -25,9 +25,9 @@ def batch_delete_rows(tables: Tables):
     return batch_delete(tables.orders, "o_totalprice < 50000 AND o_orderstatus = 'F'").result
 
 
-@query("SELECT * FROM orders WHERE o_orderpriority NOT IN ('1-URGENT', '5-LOW') AND o_custkey <> 7")
+@query("SELECT * FROM orders WHERE o_orderpriority NOT IN ('1-URGENT', '5-LOW') AND o_totalprice <= 400000")
 def batch_delete_list(tables: Tables):
-    named = F.col("o_orderpriority").isin("1-URGENT", "5-LOW") | (F.col("o_custkey") == 7)
+    named = F.col("o_orderpriority").isin("1-URGENT", "5-LOW") | (F.col("o_totalprice") > 400000)
     return batch_delete(tables.orders, named).result
 
 
@@ -160,13 +160,13 @@ def batch_update_join_filter(tables: Tables):
     return batch_update(tables.orders, {"o_orderstatus": "B"}, exists=[builders]).result
 
 
-@query("""SELECT l.* REPLACE (CASE WHEN l_suppkey < 10 AND r.k IS NOT NULL THEN 'K' ELSE l.l_returnflag END AS l_returnflag)
+@query("""SELECT l.* REPLACE (CASE WHEN l_quantity < 10 AND r.k IS NOT NULL THEN 'K' ELSE l.l_returnflag END AS l_returnflag)
   FROM lineitem l LEFT JOIN (SELECT DISTINCT l_partkey AS k, l_suppkey AS v FROM lineitem WHERE l_returnflag = 'R') r
   ON r.k = l.l_partkey AND r.v = l.l_suppkey""")
 def batch_update_key_list(tables: Tables):
     """A list of two-column keys selects the rows."""
     keys = tables.lineitem.filter("l_returnflag = 'R'").select("l_partkey", "l_suppkey")
-    return batch_update(tables.lineitem, {"l_returnflag": "K"}, "l_suppkey < 10",
+    return batch_update(tables.lineitem, {"l_returnflag": "K"}, "l_quantity < 10",
                         exists=[Related(keys, {"l_partkey": "l_partkey", "l_suppkey": "l_suppkey"})]).result
 
 

@@ -183,7 +183,7 @@ def merge_composite_key(tables: Tables):
 SEGMENTS = """
 WITH t AS (SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment, c_name, c_acctbal
            FROM customer),
-     s AS (SELECT c_custkey, CASE WHEN c_acctbal < 0 OR c_nationkey < 5 THEN NULL ELSE c_mktsegment END AS c_mktsegment,
+     s AS (SELECT c_custkey, CASE WHEN c_acctbal < 0 OR c_mktsegment = 'MACHINERY' THEN NULL ELSE c_mktsegment END AS c_mktsegment,
                   c_name, c_acctbal + 1 AS c_acctbal FROM customer)
 """
 
@@ -191,7 +191,7 @@ WITH t AS (SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN NULL ELSE c_mktsegment
 def _segments(tables: Tables):
     segment, owing = F.col("c_mktsegment"), F.col("c_acctbal") < 0
     t = tables.customer.select("c_custkey", F.when(~owing, segment).alias("c_mktsegment"), "c_name", "c_acctbal")
-    hidden = owing | (F.col("c_nationkey") < 5)
+    hidden = owing | (segment == "MACHINERY")
     s = tables.customer.select("c_custkey", F.when(~hidden, segment).alias("c_mktsegment"), "c_name",
                                (F.col("c_acctbal") + 1).alias("c_acctbal"))
     return t, s

@@ -140,7 +140,7 @@ def _parties(tables: Tables):
 def tph_discriminator(tables: Tables):
     """Two row types written to one table."""
     customers, suppliers = _parties(tables)
-    spec = TableSpec("party", key=("name",), discriminator="Discriminator")
+    spec = TableSpec("party", key=("name",))
     suppliers = suppliers.withColumn("segment", F.lit(None).cast("string"))
     return insert_absent(customers, suppliers, spec).result
 

@@ -35,17 +35,22 @@ def _next_version(spark: SparkSession, name: str) -> int:
     return 1 + max((int(m.group(1)) for m in found if m), default=0)
 
 
-def publish_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> str:
+def publish_table(
+    df: DataFrame, name: str, partition_by: Sequence[str] = (), bucket_by: Sequence[str] = (), buckets: int = 0
+) -> str:
     """Write ``df`` as a new version table, then point the view ``name`` at it.
 
     Readers see the old version until the switch, which is a single metastore call. Returns
     the version table's name; older versions are left for running readers to finish with.
+    Bucketed by its key, the table is not shuffled again by the merges that follow.
     """
     spark = df.sparkSession
     version = f"{name}__v{_next_version(spark, name)}"
     writer = df.write.format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if bucket_by:
+        writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
     writer.saveAsTable(version)
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {version}")
     return version

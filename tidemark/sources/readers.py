@@ -54,7 +54,7 @@ def source_limit(df: DataFrame, n: int, ordinal: str | Sequence[str]) -> DataFra
 
 
 def scoped(df: DataFrame, spec: TableSpec, ignore_row_filter: bool = False) -> DataFrame:
-    """Apply the table's row filter and, in a shared table, its discriminator value."""
+    """Apply the table's row filter."""
     if spec.row_filter is None or ignore_row_filter:
         return df
     return df.filter(as_predicate(spec.row_filter, Row()))

@@ -47,7 +47,6 @@ class TableSpec:
     spatial: tuple[str, ...] = ()
     converters: Mapping[str, Converter] = field(default_factory=dict)
     row_filter: Column | str | None = None
-    discriminator: str | None = None
 
 
 @dataclass(frozen=True)
