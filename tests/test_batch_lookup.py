@@ -69,6 +69,9 @@ def test_parents_and_children(spark):
     noted = batch_update(parents, {"description": F.coalesce(F.col("d.notes"), F.lit("Fallback"))}, "id < 5",
                          lookups=[Lookup("d", details, {"id": "parent_id"})])
     assert rows(noted.result, "id", "description") == [(1, "note"), (2, "Fallback"), (3, "Fallback")]
+    noted = batch_update(parents, {"description": "has notes"}, "t.id < 5 AND d.notes IS NOT NULL AND d.notes <> ''",
+                         lookups=[Lookup("d", details, {"id": "parent_id"})])
+    assert rows(noted.affected, "id") == [(1,)]
     enabled = Aggregate("c", children, {"id": "parent_id"}, {"total": F.sum("value")}, "enabled")
     summed = batch_update(parents, {"value": child_value(enabled, "total"),
                                     "description": child_value(enabled, "total").cast("string")}, aggregates=[enabled])

@@ -27,7 +27,9 @@ def rank_rows(df: DataFrame, order: Sequence[Column | str], columns: Sequence[st
     names = df.columns if columns is None else list(columns)
     kept = [F.col(quote(c)) for c in names]
     order = [F.col(quote(c)) if isinstance(c, str) else c for c in order]
-    order.append(key_hash([c for c in hashable(df) if c in names]))
+    ties = [c for c in hashable(df) if c in names]
+    if ties:
+        order.append(key_hash(ties))
     placed = stage(
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)

@@ -20,7 +20,7 @@ def _when(test: str, column: str, value: str) -> str:
     return f"CASE WHEN {test} THEN {value} ELSE o.{column} END"
 
 
-@query("SELECT * FROM orders WHERE NOT (o_totalprice < 50000 AND o_orderstatus = 'F')")
+@query("SELECT * FROM orders WHERE NOT (o_totalprice < 50000 AND o_orderstatus = 'F')", name="batch_delete")
 def batch_delete_rows(tables: Tables):
     return batch_delete(tables.orders, "o_totalprice < 50000 AND o_orderstatus = 'F'").result
 
@@ -187,7 +187,7 @@ def batch_update_converted(tables: Tables):
     return batch_update(stored, {"quality": 2}, poor_or_good, converters={"quality": grade}).result
 
 
-@query("SELECT l.* FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey WHERE NOT (o.o_totalprice < 50000)")
+@query("SELECT l.* FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey WHERE NOT (o.o_totalprice < 50000)", name="cascade_delete")
 def cascade_delete_lines(tables: Tables):
     gone = batch_delete(tables.orders, "o_totalprice < 50000").affected
     return cascade_delete(tables.lineitem, gone, {"l_orderkey": "o_orderkey"})

@@ -22,12 +22,12 @@ def convert_roundtrip(tables: Tables):
 
 
 @query("""SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 WHEN 'P' THEN 2 END AS o_orderstatus,
-  o_orderdate + INTERVAL 1 DAY AS o_orderdate, unhex(printf('%016X', o_custkey)) AS o_custkey FROM orders""")
+  o_orderdate + INTERVAL 1 DAY AS o_orderdate, printf('%016X', o_custkey) AS o_custkey FROM orders""")
 def convert_stored(tables: Tables):
     """What the table holds."""
     converters = {"o_orderstatus": enum_to_number(STATUS), "o_orderdate": ADD_ONE_DAY, "o_custkey": NUMBER_BYTES}
     rows = tables.orders.select("o_orderkey", "o_orderstatus", "o_orderdate", "o_custkey")
-    return convert_columns(rows, converters)
+    return convert_columns(rows, converters).withColumn("o_custkey", F.hex("o_custkey"))
 
 
 @query("SELECT event_id, epoch_us(ts) AS ts FROM events")
@@ -35,7 +35,8 @@ def convert_instant(tables: Tables):
     return convert_columns(tables.events.select("event_id", "ts"), {"ts": instant_ticks()})
 
 
-@query("SELECT doc_id, CASE quality WHEN 0 THEN 'Poor' WHEN 1 THEN 'Good' END AS quality, toxic FROM labels")
+@query("SELECT doc_id, CASE quality WHEN 0 THEN 'Poor' WHEN 1 THEN 'Good' END AS quality, toxic FROM labels",
+       name="enum_to_string")
 def enum_names(tables: Tables):
     return convert_columns(tables.labels, {"quality": enum_to_text({0: "Poor", 1: "Good"})})
 
@@ -77,7 +78,8 @@ def unflatten_struct(tables: Tables):
     return nested.select("c_custkey", "owner.c_name", "owner.home.c_nationkey", "c_acctbal", "owner.home.c_mktsegment")
 
 
-@query("""SELECT c_custkey, to_json({c_name: c_name, home: {c_nationkey: c_nationkey, c_mktsegment: c_mktsegment}}) AS owner, c_acctbal
+@query("""SELECT c_custkey, c_acctbal,
+  CAST(to_json({c_name: c_name, home: {c_nationkey: c_nationkey, c_mktsegment: c_mktsegment}}) AS VARCHAR) AS owner
 FROM customer""")
 def json_column_text(tables: Tables):
     return json_column(_nested(tables), "owner")
@@ -109,7 +111,7 @@ def foreign_key_from_reference(tables: Tables):
     return parent_key(nested, "customer", "c_custkey")
 
 
-@query(INPUTS + f"""SELECT s.o_orderkey, s.o_orderstatus, encode(CAST(s.o_custkey AS VARCHAR)) AS place, CAST(4326 AS INTEGER) AS place_srid
+@query(INPUTS + f"""SELECT s.o_orderkey, s.o_orderstatus, hex(encode(CAST(s.o_custkey AS VARCHAR))) AS place, CAST(4326 AS INTEGER) AS place_srid
 FROM t JOIN s ON s.o_orderkey = t.o_orderkey""")
 def spatial_bytes(tables: Tables):
     """Spatial columns travel as bytes with their reference system and are never compared."""
@@ -118,7 +120,8 @@ def spatial_bytes(tables: Tables):
                          "place")
 
     spec = TableSpec("orders", key=("o_orderkey",), spatial=("place",))
-    return upsert(places(stored(tables)), places(feed(tables)), spec).changes.filter("__action = 'U'").drop("__action")
+    changes = upsert(places(stored(tables)), places(feed(tables)), spec).changes.filter("__action = 'U'")
+    return changes.drop("__action").withColumn("place", F.hex("place"))
 
 
 @query(INPUTS + f"SELECT s.o_orderkey, s.o_orderstatus AS \"o.order`status\" FROM t JOIN s ON s.o_orderkey = t.o_orderkey "

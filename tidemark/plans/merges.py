@@ -74,10 +74,10 @@ def merge_source_limit(tables: Tables):
 
 
 @query(INPUTS + f"""
-SELECT 'I' AS action, to_json({{o_orderkey: s.o_orderkey, o_custkey: s.o_custkey, o_orderstatus: s.o_orderstatus}}) AS data
+SELECT 'I' AS action, CAST(to_json({{o_orderkey: s.o_orderkey, o_custkey: s.o_custkey, o_orderstatus: s.o_orderstatus}}) AS VARCHAR) AS data
 FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.o_orderkey = s.o_orderkey)
 UNION ALL
-SELECT 'U', to_json({{o_orderkey: s.o_orderkey, o_custkey: s.o_custkey, o_orderstatus: s.o_orderstatus}})
+SELECT 'U', CAST(to_json({{o_orderkey: s.o_orderkey, o_custkey: s.o_custkey, o_orderstatus: s.o_orderstatus}}) AS VARCHAR)
 FROM t JOIN s ON s.o_orderkey = t.o_orderkey WHERE {CHANGED}""")
 def audit_json(tables: Tables):
     def audit(changes):
@@ -340,7 +340,7 @@ def merge_delete_changes(tables: Tables):
 @query(INPUTS + f"""
 SELECT 'I' AS action, {columns_of('s')} FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.o_orderkey = s.o_orderkey)
 UNION ALL SELECT 'U', {columns_of('s')} FROM t JOIN s ON s.o_orderkey = t.o_orderkey WHERE {CHANGED}
-UNION ALL SELECT 'D', {columns_of('t')} {LEFT} WHERE s.o_orderkey IS NULL""")
+UNION ALL SELECT 'D', {columns_of('t')} {LEFT} WHERE s.o_orderkey IS NULL""", name="table_diff")
 def table_difference(tables: Tables):
     return _feed_rows(table_diff(stored(tables), feed(tables), ORDERS))
 
@@ -418,7 +418,7 @@ def merge_defaults_by_row(tables: Tables):
                          use_defaults="when_null").result
 
 
-@query("SELECT doc_id, quality = 0 AS quality_default, toxic = 0 AS toxic_default FROM labels")
+@query("SELECT doc_id, quality = 0 AS quality_default, toxic = 0 AS toxic_default FROM labels", name="is_type_default")
 def type_defaults(tables: Tables):
     labels = tables.labels
     return labels.select("doc_id", *[

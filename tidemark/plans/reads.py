@@ -102,7 +102,7 @@ def read_from_view(tables: Tables):
 # --- duplicate keys -------------------------------------------------------------------
 
 
-@query("SELECT l_orderkey, l_linenumber, count(*) AS \"count\" FROM lineitem GROUP BY ALL HAVING count(*) > 1")
+@query("SELECT l_orderkey, l_linenumber, count(*) AS \"count\" FROM lineitem GROUP BY ALL HAVING count(*) > 1", name="duplicate_keys")
 def duplicate_line_keys(tables: Tables):
     return duplicate_keys(tables.lineitem, ["l_orderkey", "l_linenumber"])
 

@@ -26,13 +26,14 @@ class Tables:
         return df
 
 
-def query(sql: str | None = None):
-    """Register a function of :class:`Tables` under its own name."""
+def query(sql: str | None = None, name: str | None = None):
+    """Register a function of :class:`Tables`, under its own name unless another is given."""
 
     def register(fn: Callable[[Tables], DataFrame]):
-        QUERIES[fn.__name__] = lambda spark, folder: fn(Tables(spark, folder))
+        key = name or fn.__name__
+        QUERIES[key] = lambda spark, folder: fn(Tables(spark, folder))
         if sql is not None:
-            ORACLES[fn.__name__] = sql.strip()
+            ORACLES[key] = sql.strip()
         return fn
 
     return register

@@ -1,3 +1,3 @@
 from .publish import append, publish_partitions, publish_table, publish_tables, truncate
 from .readers import from_reader, from_rows, from_table, rename_columns, scoped, source_limit
-from .staging import stage
+from .staging import discard_all, stage

@@ -41,3 +41,8 @@ def discard(spark: SparkSession, path: str) -> None:
     """Remove a staged copy that nothing reads any more."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def discard_all(spark: SparkSession) -> None:
+    """Remove every copy this application has staged; for the end of a job."""
+    discard(spark, f"{staging_root(spark).rstrip('/')}/{spark.sparkContext.applicationId}")
