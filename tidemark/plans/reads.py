@@ -108,8 +108,11 @@ def duplicate_line_keys(tables: Tables):
 
 
 def _ranked(order: str) -> str:
+    """Equal ordinals are settled by the remaining columns."""
+    columns = "l_partkey l_suppkey l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate"
+    by = ", ".join(f"{c} {order}" for c in columns.split())
     return f"""SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-    ORDER BY l_partkey {order}, l_suppkey {order}) AS rn FROM lineitem) WHERE rn = 1"""
+    ORDER BY {by}) AS rn FROM lineitem) WHERE rn = 1"""
 
 
 @query(_ranked("DESC"))
