@@ -8,6 +8,7 @@ from tests.conftest import rows
 from tidemark.functions import (ADD_ONE_DAY, NUMBER_BYTES, convert_columns, enum_to_text, flatten_columns,
                                 int_divide, is_type_default, json_column, nest_columns, parent_key,
                                 parse_json_column, quote, restore_columns, round_timestamp, truncate_timestamp)
+from tidemark.functions import EPOCH_MICROS
 from tidemark.functions.arithmetic import bit_not
 
 D = decimal.Decimal
@@ -51,6 +52,21 @@ def test_timestamps_before_1970_are_cut_towards_the_past(spark):
     assert df.select(truncate_timestamp(F.col("ts"), 3).cast("string")).first()[0] == "1969-12-31 23:59:59.999"
 
 
+def test_timestamps_as_numbers(spark):
+    df = spark.sql("""SELECT TIMESTAMP_NTZ '2024-03-31 02:30:00.123456' AS ts UNION ALL
+                      SELECT TIMESTAMP_NTZ '1969-12-31 23:59:59.999999' UNION ALL SELECT NULL""")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")  # 02:30 does not exist there on that day
+        stored = convert_columns(df, {"ts": EPOCH_MICROS})
+        assert rows(stored) == [(-1,), (1711852200123456,), (None,)]
+        assert rows(restore_columns(stored, {"ts": EPOCH_MICROS})) == rows(df)
+        cut = df.select(truncate_timestamp(F.col("ts"), 3).cast("string").alias("c"))
+        assert rows(cut) == [("1969-12-31 23:59:59.999",), ("2024-03-31 02:30:00.123",), (None,)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_integer_arithmetic(spark):
     assert spark.range(1).select(int_divide(F.lit(7), F.lit(2)), int_divide(F.lit(-7), F.lit(2))).first() == (3, -3)
     assert spark.range(1).select(bit_not(F.lit(6), T.IntegerType()), bit_not(F.lit(True), T.BooleanType())).first() == (-7, False)

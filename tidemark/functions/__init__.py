@@ -1,6 +1,6 @@
 from .arithmetic import bit_and, bit_not, bit_or, bit_xor, concat_text, int_divide
 from .compare import differs, same
-from .convert import (ADD_ONE_DAY, NUMBER_BYTES, convert_columns, enum_to_number, enum_to_text, instant_ticks,
+from .convert import (ADD_ONE_DAY, EPOCH_MICROS, NUMBER_BYTES, convert_columns, enum_to_number, enum_to_text,
                       restore_columns)
 from .defaults import is_type_default, type_default
 from .names import quote

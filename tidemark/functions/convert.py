@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..spec import Converter
 from .names import quote
+from .times import epoch_micros, from_epoch_micros
 
 
 def _lookup(pairs: Mapping, column: Column) -> Column:
@@ -43,12 +44,8 @@ NUMBER_BYTES = Converter(
 )
 
 
-def instant_ticks() -> Converter:
-    """A timestamp kept as microseconds since 1970 (UTC)."""
-    return Converter(
-        lambda c: F.unix_micros(c.cast("timestamp")),
-        lambda c: F.timestamp_micros(c),
-    )
+#: A timestamp without time zone kept as microseconds since 1970.
+EPOCH_MICROS = Converter(epoch_micros, from_epoch_micros)
 
 
 def convert_columns(df: DataFrame, converters: Mapping[str, Converter]) -> DataFrame:

@@ -167,7 +167,8 @@ def batch_update(
     """Assign ``set`` on the rows in scope (see :class:`Scope` for the settings).
 
     Values are literals (passed through ``converters``), functions of the target row, or
-    ``Column`` expressions over ``t.column`` and ``lookup.column``. All see the old row.
+    ``Column`` expressions over ``t.column`` and ``lookup.column``. All see the old row. A
+    predicate on a converted column compares stored values: ``converter.to_store(lit(x))``.
     """
     if not set:
         raise ValueError("nothing to set")

@@ -183,8 +183,10 @@ def batch_update_converted(tables: Tables):
     """The stored text stands for a number; the literal set and the one compared are converted."""
     grade = enum_to_text({0: "poor", 1: "good", 2: "bad"})
     stored = tables.labels.withColumn("quality", grade.to_store(F.col("quality")))
-    poor_or_good = F.col("quality").isin("poor", "good") & (F.col("toxic") == 1)
-    return batch_update(stored, {"quality": 2}, poor_or_good, converters={"quality": grade}).result
+    def toxic_and_graded(t):
+        return (t.toxic == 1) & t.quality.isin("poor", "good") & (t.quality != grade.to_store(F.lit(2)))
+
+    return batch_update(stored, {"quality": 2}, toxic_and_graded, converters={"quality": grade}).result
 
 
 @query("SELECT l.* FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey WHERE NOT (o.o_totalprice < 50000)", name="cascade_delete")

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import upsert
-from ..functions import (ADD_ONE_DAY, NUMBER_BYTES, convert_columns, enum_to_number, enum_to_text, flatten_columns,
-                         instant_ticks, json_column, nest_columns, parent_key, parse_json_column, quote,
+from ..functions import (ADD_ONE_DAY, EPOCH_MICROS, NUMBER_BYTES, convert_columns, enum_to_number, enum_to_text,
+                         flatten_columns, json_column, nest_columns, parent_key, parse_json_column, quote,
                          restore_columns, round_timestamp, truncate_timestamp, with_srid)
 from ..spec import TableSpec
 from .registry import Tables, query
@@ -32,7 +32,7 @@ def convert_stored(tables: Tables):
 
 @query("SELECT event_id, epoch_us(ts) AS ts FROM events")
 def convert_instant(tables: Tables):
-    return convert_columns(tables.events.select("event_id", "ts"), {"ts": instant_ticks()})
+    return convert_columns(tables.events.select("event_id", "ts"), {"ts": EPOCH_MICROS})
 
 
 @query("SELECT doc_id, CASE quality WHEN 0 THEN 'Poor' WHEN 1 THEN 'Good' END AS quality, toxic FROM labels",
