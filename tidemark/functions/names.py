@@ -34,7 +34,11 @@ def as_column(value, *rows: Row) -> Column:
     return F.lit(value)
 
 
+def as_filter(value, *rows: Row) -> Column:
+    """As :func:`as_column`, but text is SQL. For ``filter``, which drops NULL and can push it down."""
+    return F.expr(value) if isinstance(value, str) else as_column(value, *rows)
+
+
 def as_predicate(value, *rows: Row) -> Column:
-    """As :func:`as_column`, but text is SQL; NULL counts as false."""
-    column = F.expr(value) if isinstance(value, str) else as_column(value, *rows)
-    return F.coalesce(column, F.lit(False))
+    """As :func:`as_filter`, with NULL made false, so that it can be negated and combined."""
+    return F.coalesce(as_filter(value, *rows), F.lit(False))

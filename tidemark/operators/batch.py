@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.names import Row, as_column, as_predicate, quote
+from ..functions.names import Row, as_column, as_filter, as_predicate, quote
 from ..spec import Converter, Value
 from .keys import dedupe
 from .skew import hashable, join_many_to_one
@@ -57,12 +57,19 @@ class Related:
     on: Mapping[str, str]
 
 
-@dataclass(frozen=True)
 class BatchResult:
     """The table afterwards, the rows affected, and (one row) how many those were."""
 
-    result: DataFrame
-    affected: DataFrame
+    def __init__(self, result: Callable[[], DataFrame], affected: Callable[[], DataFrame]):
+        self._result, self._affected = result, affected
+
+    @cached_property
+    def result(self) -> DataFrame:
+        return self._result()
+
+    @cached_property
+    def affected(self) -> DataFrame:
+        return self._affected()
 
     @property
     def affected_count(self) -> DataFrame:
@@ -95,8 +102,8 @@ def _keys(on: Mapping[str, str]) -> list[Column]:
     return [F.col(quote(c)).alias(f"__k{i}") for i, c in enumerate(on.values())]
 
 
-def _marked(target: DataFrame, scope: Scope) -> DataFrame:
-    """The target with its related values joined on (as ``t``, ...) and ``__hit`` set."""
+def _hits(target: DataFrame, scope: Scope) -> DataFrame:
+    """The target with its related values joined on (as ``t``, ...) and ``__hit`` for the predicates."""
     t = Row("t")
     columns = hashable(target)
     df = target.alias("t")
@@ -104,7 +111,7 @@ def _marked(target: DataFrame, scope: Scope) -> DataFrame:
         one = ref.table if ref.unique else dedupe(ref.table, list(ref.on.values()), "error", nulls_match=False)
         df = join_many_to_one(df, one, list(ref.on), list(ref.on.values()), aliases=("t", ref.name), columns=columns)
     for agg in scope.aggregates:
-        rows = agg.table if agg.where is None else agg.table.filter(as_predicate(agg.where, Row()))
+        rows = agg.table if agg.where is None else agg.table.filter(as_filter(agg.where, Row()))
         one = rows.groupBy(*_keys(agg.on)).agg(*[v.alias(k) for k, v in agg.values.items()])
         df = join_many_to_one(df, one, list(agg.on), one.columns[: len(agg.on)], aliases=("t", agg.name), columns=columns)
     tests = [as_predicate(scope.where, t)] if scope.where is not None else []
@@ -114,7 +121,13 @@ def _marked(target: DataFrame, scope: Scope) -> DataFrame:
         df = join_many_to_one(df, one, list(related.on), one.columns[:-1], aliases=("t", name), columns=columns)
         there = F.col(quote(name, "__there"))
         tests.append(there.isNotNull() if wanted else there.isNull())
-    df = df.withColumn(_HIT, reduce(and_, tests, F.lit(True)))
+    return df.withColumn(_HIT, reduce(and_, tests, F.lit(True)))
+
+
+def _marked(target: DataFrame, scope: Scope) -> DataFrame:
+    """As :func:`_hits`, with ``__hit`` narrowed to the stretch taken by limit and offset."""
+    t = Row("t")
+    df = _hits(target, scope)
     if scope.limit is None and not scope.offset:
         return df
     if not scope.order_by or not scope.key:
@@ -122,7 +135,8 @@ def _marked(target: DataFrame, scope: Scope) -> DataFrame:
     order = [t[c] if isinstance(c, str) else c for c in scope.order_by]
     order += [t[k].asc() for k in scope.key]
     limit = scope.limit if scope.limit is not None else (1 << 62)
-    candidates = df.filter(_HIT).select(*[t[c] for c in target.columns]).alias("t")
+    candidates = _hits(_in_reach(target, scope), scope).filter(_HIT)
+    candidates = candidates.select(*[t[c] for c in target.columns]).alias("t")
     picked = first_rows(candidates, order, limit, scope.offset, scope.key).withColumn("__there", F.lit(True))
     if limit <= SMALL_TOP:
         picked = F.broadcast(picked)  # no more than ``limit`` keys
@@ -132,11 +146,21 @@ def _marked(target: DataFrame, scope: Scope) -> DataFrame:
     )
 
 
+def _in_reach(target: DataFrame, scope: Scope) -> DataFrame:
+    """The target less rows that ``where`` rules out by the row alone: a filter scans can use."""
+    if scope.where is None or scope.lookups or scope.aggregates:
+        return target
+    return target.alias("t").filter(as_filter(scope.where, Row("t")))
+
+
 def batch_delete(target: DataFrame, where=None, **scope) -> BatchResult:
     """Remove the rows in scope (see :class:`Scope` for the settings)."""
-    marked = _marked(target, Scope(where=where, **scope))
-    rows = marked.select(*[F.col(quote("t", c)) for c in target.columns], _HIT)
-    return BatchResult(rows.filter(~F.col(_HIT)).drop(_HIT), rows.filter(_HIT).drop(_HIT))
+    wanted = Scope(where=where, **scope)
+    columns = [F.col(quote("t", c)) for c in target.columns]
+    return BatchResult(
+        lambda: _marked(target, wanted).filter(~F.col(_HIT)).select(*columns),
+        lambda: _marked(_in_reach(target, wanted), wanted).filter(_HIT).select(*columns),
+    )
 
 
 def changed_values(values: Mapping[str, object], update_columns: Sequence[str] | None = None) -> dict[str, object]:
@@ -177,12 +201,11 @@ def batch_update(
         raise ValueError(f"set names unknown columns: {', '.join(unknown)}")
     wanted = Scope(where=where, **scope)
     t = Row("t")
-    marked = _marked(target, wanted)
     # An aggregate over no child rows is empty, not NULL.
     fills = {
-        (a.name, v): F.coalesce(F.col(quote(a.name, v)), F.lit(a.empty)) for a in wanted.aggregates for v in a.values
+        f"__agg_{a.name}_{v}": F.coalesce(F.col(quote(a.name, v)), F.lit(a.empty))
+        for a in wanted.aggregates for v in a.values
     }
-    marked = marked.withColumns({f"__agg_{a}_{v}": c for (a, v), c in fills.items()}) if fills else marked
 
     def new_value(name: str) -> Column:
         value = set[name]
@@ -195,8 +218,10 @@ def batch_update(
     columns = [
         F.when(F.col(_HIT), new_value(c)).otherwise(t[c]).alias(c) if c in set else t[c] for c in target.columns
     ]
-    rows = marked.select(*columns, _HIT)
-    return BatchResult(rows.drop(_HIT), rows.filter(_HIT).drop(_HIT))
+    return BatchResult(
+        lambda: _marked(target, wanted).withColumns(fills).select(*columns),
+        lambda: _marked(_in_reach(target, wanted), wanted).filter(_HIT).withColumns(fills).select(*columns),
+    )
 
 
 def child_value(aggregate: Aggregate, value: str) -> Column:

@@ -29,7 +29,7 @@ from ..sources.staging import stage
 from ..spec import MergeOptions, TableSpec
 from .identity import assign_identity
 from .keys import dedupe
-from .skew import any_null, estimated_bytes, join_many_to_one, looks_small, row_hash
+from .skew import any_null, estimated_bytes, frequent_keys, join_many_to_one, looks_small, row_hash
 
 ACTION = "__action"
 ORDINAL = "__ordinal"
@@ -444,10 +444,10 @@ def _delete(target: DataFrame, keys: DataFrame, spec: TableSpec, plan: ColumnPla
     keys = keys.distinct()
     if options.join_hint:
         keys = keys.hint(options.join_hint)
-    salted = False if tuple(plan.key) == tuple(spec.key) else None
+    hot = [] if tuple(plan.key) == tuple(spec.key) else frequent_keys(target, keys, plan.key)
 
     def side(how: str) -> DataFrame:
-        joined = join_many_to_one(target, keys, plan.key, how=how, null_safe=plan.null_safe, salted=salted)
+        joined = join_many_to_one(target, keys, plan.key, how=how, null_safe=plan.null_safe, hot=hot)
         return joined.select(*[F.col(quote(c)) for c in target.columns])
 
     kept, gone = side("left_anti"), side("left_semi")

@@ -86,6 +86,11 @@ def hot_hashes(df: DataFrame, columns: Sequence[str]) -> list[int]:
     return [r["item"] for r in top["top"] or () if r["count"] > max(1, share * top["n"])]
 
 
+def frequent_keys(many: DataFrame, one: DataFrame, on: Sequence[str]) -> list[int]:
+    """The keys of ``many`` to spread in a join with ``one``; none if Spark would broadcast that."""
+    return [] if looks_small(one) else hot_hashes(many, [quote(c) for c in on])
+
+
 def join_many_to_one(
     many: DataFrame,
     one: DataFrame,
@@ -96,6 +101,7 @@ def join_many_to_one(
     aliases: tuple[str, str] = ("t", "s"),
     salted: bool | None = None,
     columns: Sequence[str] | None = None,
+    hot: list[int] | None = None,
 ) -> DataFrame:
     """Join ``many`` to ``one``, which holds each key at most once, without a hot task.
 
@@ -103,18 +109,19 @@ def join_many_to_one(
     shuffle to protect; otherwise (or with ``salted=True``) frequent keys are spread out. Rows
     whose key is NULL match nothing unless ``null_safe`` and are spread as well.
 
-    ``columns`` says that ``many`` is itself a join whose left alias is in use already, and
+    ``hot`` passes on what :func:`frequent_keys` found. ``columns`` says that ``many`` is itself a join whose left alias is in use already, and
     names the columns below that alias.
     """
     to = list(to or on)
     left, right = aliases
     if salted is None:
-        salted = not looks_small(one)
+        salted = hot is not None or not looks_small(one)
     if columns is None:
         columns = hashable(many)
         many = many.alias(left)
     side = [quote(left, a) for a in on]
-    hot = hot_hashes(many, side) if salted else []
+    if hot is None:
+        hot = hot_hashes(many, side) if salted else []
     keys = [
         F.col(quote(left, a)).eqNullSafe(F.col(quote(right, b))) if null_safe
         else F.col(quote(left, a)) == F.col(quote(right, b))

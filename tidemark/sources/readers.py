@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ..functions.names import Row, as_predicate, quote
+from ..functions.names import Row, as_filter, quote
 from ..spec import TableSpec
 
 
@@ -57,4 +57,4 @@ def scoped(df: DataFrame, spec: TableSpec, ignore_row_filter: bool = False) -> D
     """Apply the table's row filter."""
     if spec.row_filter is None or ignore_row_filter:
         return df
-    return df.filter(as_predicate(spec.row_filter, Row()))
+    return df.filter(as_filter(spec.row_filter, Row()))
