@@ -96,6 +96,10 @@ class Scope:
     limit: int | None = None
     offset: int = 0
 
+    def __post_init__(self):
+        if (self.limit is not None or self.offset) and not (self.order_by and self.key):
+            raise ValueError("limit and offset need order_by and a unique key as tie-break")
+
 
 def _keys(on: Mapping[str, str]) -> list[Column]:
     """The related side's key under names of its own, so that bare names mean the target's."""
@@ -130,8 +134,6 @@ def _marked(target: DataFrame, scope: Scope) -> DataFrame:
     df = _hits(target, scope)
     if scope.limit is None and not scope.offset:
         return df
-    if not scope.order_by or not scope.key:
-        raise ValueError("limit and offset need order_by and a unique key as tie-break")
     order = [t[c] if isinstance(c, str) else c for c in scope.order_by]
     order += [t[k].asc() for k in scope.key]
     limit = scope.limit if scope.limit is not None else (1 << 62)

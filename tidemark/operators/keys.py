@@ -42,9 +42,9 @@ def dedupe(
 ) -> DataFrame:
     """One row per key: the ``first`` or ``last`` by ``ordinal``, or a failure on a second row.
 
-    Choosing is an aggregate and not a window: each task first reduces its own rows to one per
-    key, so a key holding much of the data never gathers in one task. The hash partitioning on
-    ``key`` serves a following join. Equal ordinals are settled by the remaining columns, so a
+    An aggregate and not a window: each task first reduces its own rows to one per key, so a
+    key holding much of the data never gathers in one task. A source that is partitioned by
+    ``key`` already is not shuffled again, and the result's partitioning serves a join. Equal ordinals are settled by the remaining columns, so a
     recomputed task picks the same row. With ``nulls_match=False`` rows with a NULL key
     column are all kept; a ``row_id`` column that tells rows apart saves a second pass for it.
     """
@@ -65,9 +65,7 @@ def dedupe(
     keys = [F.col(quote(k)) for k in key]
     if keep == "error":
         payload = F.struct(*[F.col(quote(c)) for c in rest], F.lit(True).alias("__one"))
-        # All keys should be single, so combining before the shuffle saves nothing: shuffling first
-        # leaves one sort by key, which serves both this check and a following merge join.
-        one = df.repartition(*keys, *apart).groupBy(*keys, *apart).agg(F.first(payload).alias("__row"), F.count(F.lit(1)).alias("__n"))
+        one = df.groupBy(*keys, *apart).agg(F.first(payload).alias("__row"), F.count(F.lit(1)).alias("__n"))
         text = F.concat_ws(", ", *[k.cast("string") for k in keys])
         message = F.concat(F.lit(f"more than one source row for key ({', '.join(key)}) = ("), text, F.lit(")"))
         row = F.when(F.col("__n") == 1, F.col("__row")).otherwise(F.raise_error(message))
