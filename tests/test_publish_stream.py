@@ -3,10 +3,11 @@ import glob
 import os
 
 import pytest
+from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from tidemark import MergeOptions, TableSpec, merge_folder, upsert
+from tidemark import MergeOptions, TableSpec, merge_folder, merge_into, upsert
 from tidemark.operators import read_folder
 from tidemark.sources import (append, from_reader, from_rows, from_table, publish_partitions, publish_table,
                               publish_tables, source_limit, stage, truncate)
@@ -170,3 +171,32 @@ def test_a_bucketed_table_is_not_shuffled(spark):
     publish_table(table, "bucketed", bucket_by=["id"], buckets=8)
     assert seen.get == {"inserted": 500, "updated": 500, "deleted": 0}
     assert spark.table("bucketed").agg(F.count("id"), F.sum("v")).first() == (1500, 1000)
+
+
+@pytest.mark.parametrize("operation, settings", [
+    ("insert_absent", {}), ("upsert", {}), ("update", {"include": ["v"], "where": "s.v > catalog_items.v"}), ("delete", {}),
+    ("sync", {"delete_filter": "catalog_items.v > 1"}), ("sync", {"soft_delete": {"v": lambda t: t.v + 1}}),
+    ("upsert", {"check_version": True, "where": lambda t, s: s.v > t.v, "on_duplicate": "last", "ordinal": "v"}),
+])
+def test_merge_into_resolves(spark, operation, settings):
+    spark.sql("CREATE TABLE IF NOT EXISTS catalog_items (id int, part string, v int, version bigint) USING parquet")
+    source = spark.createDataFrame([(1, "a", 2, 1)], "id int, part string, v int, version bigint")
+    spec = TableSpec("item", key=("id",), version="version")
+    # file tables refuse, but only once every name in the statement has been resolved
+    with pytest.raises(UnsupportedOperationException, match="does not support MERGE INTO"):
+        merge_into("catalog_items", source, spec, operation, **settings)
+
+
+def test_merge_into_checks(spark):
+    spark.sql("CREATE TABLE IF NOT EXISTS catalog_items (id int, part string, v int, version bigint) USING parquet")
+    source = spark.createDataFrame([(1, "a", 2, 1)], "id int, part string, v int, version bigint")
+    for key, operation in [((), "upsert"), (("id",), "changes")]:
+        with pytest.raises(ValueError, match="needs a key"):
+            merge_into("catalog_items", source, TableSpec("item", key=key), operation)
+
+
+def test_output_is_ordered(spark):
+    target = spark.createDataFrame([(i, "a", 1) for i in range(20)], SCHEMA)
+    source = spark.createDataFrame([(i, "a", 2) for i in range(40, -1, -2)], SCHEMA)
+    ids = [r["id"] for r in upsert(target, source, SPEC).output().collect()]
+    assert ids == list(range(0, 41, 2))

@@ -7,4 +7,5 @@ from .identity import assign_identity, rank_rows
 from .keys import dedupe, duplicate_keys
 from .lookup import lookup
 from .merge import MergeResult, append_rows, insert, merge, table_diff
+from .row_level import merge_into
 from .topn import first_rows

@@ -106,6 +106,11 @@ class MergeResult:
         extra = [ORDINAL] if ORDINAL in self.classified.columns else []
         return self.classified.filter(F.col(FROM_SOURCE)).select(*extra, *[F.col(quote(c)) for c in wanted])
 
+    def output(self) -> DataFrame:
+        """The change feed in key order, without rows that have no key."""
+        key = [F.col(quote(k)) for k in self.plan.key]
+        return self.changes.filter(key[0].isNotNull()).orderBy(*key)
+
     def counted(self) -> tuple[DataFrame, Observation]:
         """The new table, and the statistics as known once it has been written."""
         seen = Observation()
