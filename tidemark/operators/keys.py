@@ -44,9 +44,10 @@ def dedupe(
 
     An aggregate and not a window: each task first reduces its own rows to one per key, so a
     key holding much of the data never gathers in one task. A source that is partitioned by
-    ``key`` already is not shuffled again, and the result's partitioning serves a join. Equal ordinals are settled by the remaining columns, so a
-    recomputed task picks the same row. With ``nulls_match=False`` rows with a NULL key
-    column are all kept; a ``row_id`` column that tells rows apart saves a second pass for it.
+    ``key`` already is not shuffled again, and the result's partitioning serves a join. Equal
+    ordinals are settled by the remaining columns, so a recomputed task picks the same row.
+    With ``nulls_match=False`` rows with a NULL key column are all kept; a ``row_id`` column
+    that tells rows apart saves a second pass for it.
     """
     if keep == "unchecked":
         return df

@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.arithmetic import int_divide
 from ..functions.convert import convert_columns
 from ..functions.names import Row, quote
 from ..sources.readers import scoped
@@ -90,7 +89,8 @@ def _replace(source: DataFrame, target: DataFrame, key: list[str], unique: bool,
     joined = join_many_to_one(target, asked, key, how="inner", null_safe=null_safe, salted=salted)
     n = F.col(quote("s", "__asked"))
     rows = joined.select(*[F.col(quote("t", c)) for c in target.columns], n.alias("__n"))
-    blocks = rows.withColumn("__block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.call_function("div", F.col("__n") - 1, F.lit(_BLOCK)))))
+    last = int_divide(F.col("__n") - 1, F.lit(_BLOCK))
+    blocks = rows.withColumn("__block", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
     size = F.least(F.lit(_BLOCK), F.col("__n") - F.col("__block") * _BLOCK)
     return blocks.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), size))).select(
         *[F.col(quote(c)) for c in target.columns]

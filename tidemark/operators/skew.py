@@ -109,8 +109,8 @@ def join_many_to_one(
     shuffle to protect; otherwise (or with ``salted=True``) frequent keys are spread out. Rows
     whose key is NULL match nothing unless ``null_safe`` and are spread as well.
 
-    ``hot`` passes on what :func:`frequent_keys` found. ``columns`` says that ``many`` is itself a join whose left alias is in use already, and
-    names the columns below that alias.
+    ``hot`` passes on what :func:`frequent_keys` found. ``columns`` says that ``many`` is itself
+    a join whose left alias is in use already, and names the columns below that alias.
     """
     to = list(to or on)
     left, right = aliases

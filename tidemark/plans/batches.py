@@ -9,17 +9,6 @@ from ..functions import bit_and, bit_not, bit_or, bit_xor, concat_text, enum_to_
 from ..operators.batch import Related, changed_values, child_value
 from .registry import Tables, query
 
-COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
-
-
-def _set(**changed: str) -> str:
-    return ", ".join(f"{changed[c]} AS {c}" if c in changed else f"o.{c}" for c in COLUMNS)
-
-
-def _when(test: str, column: str, value: str) -> str:
-    return f"CASE WHEN {test} THEN {value} ELSE o.{column} END"
-
-
 @query("SELECT * FROM orders WHERE NOT (o_totalprice < 50000 AND o_orderstatus = 'F')", name="batch_delete")
 def batch_delete_rows(tables: Tables):
     return batch_delete(tables.orders, "o_totalprice < 50000 AND o_orderstatus = 'F'").result
@@ -72,21 +61,20 @@ def batch_delete_no_children_offset(tables: Tables):
                         key=["o_orderkey"], order_by=["o_orderkey"], limit=4, offset=2).result
 
 
-HIGH = "o.o_totalprice >= 100000"
-
-
-@query(f"SELECT {_set(o_orderstatus=_when(HIGH, 'o_orderstatus', chr(39) + 'Z' + chr(39)), o_totalprice=_when(HIGH, 'o_totalprice', '0'))} FROM orders o")
+@query("""SELECT * REPLACE (CASE WHEN o_totalprice >= 100000 THEN 'Z' ELSE o_orderstatus END AS o_orderstatus,
+  CASE WHEN o_totalprice >= 100000 THEN 0 ELSE o_totalprice END AS o_totalprice) FROM orders""")
 def batch_update_values(tables: Tables):
     """Default values are assigned only where they are asked for."""
     order = {"o_orderstatus": "Z", "o_totalprice": 0.0, "o_custkey": 0, "o_orderpriority": None}
     return batch_update(tables.orders, changed_values(order, ["o_totalprice"]), "o_totalprice >= 100000").result
 
 
-@query(f"""SELECT {_set(
-    o_orderpriority=_when(HIGH, 'o_orderpriority', "o.o_orderpriority || ' of ' || o.o_orderstatus"),
-    o_totalprice=_when(HIGH, 'o_totalprice', '(o.o_totalprice + 100) * 2 - 50'),
-    o_custkey=_when(HIGH, 'o_custkey', '(o.o_custkey // 7) + (((o.o_custkey & 12) | 3) # 5)'.replace('#', 'XORSYM')))}
-  FROM orders o""".replace("(((o.o_custkey & 12) | 3) XORSYM 5)", "xor((o.o_custkey & 12) | 3, 5)"))
+@query("""SELECT * REPLACE (
+  CASE WHEN o_totalprice >= 100000 THEN o_orderpriority || ' of ' || o_orderstatus ELSE o_orderpriority END
+    AS o_orderpriority,
+  CASE WHEN o_totalprice >= 100000 THEN (o_totalprice + 100) * 2 - 50 ELSE o_totalprice END AS o_totalprice,
+  CASE WHEN o_totalprice >= 100000 THEN o_custkey // 7 + xor((o_custkey & 12) | 3, 5) ELSE o_custkey END AS o_custkey
+) FROM orders""")
 def batch_update_expr(tables: Tables):
     """All expressions see the old row."""
     t = lambda c: F.col("t." + c)
@@ -107,10 +95,8 @@ def batch_update_not(tables: Tables):
     }).result
 
 
-CHEAP = "o.o_totalprice < 50000"
-
-
-@query(f"""SELECT {_set(o_orderstatus=_when(CHEAP, 'o_orderstatus', "coalesce(CASE WHEN c.c_acctbal > 0 THEN c.c_mktsegment END, 'Fallback')"))}
+@query("""SELECT o.* REPLACE (CASE WHEN o.o_totalprice < 50000
+    THEN coalesce(CASE WHEN c.c_acctbal > 0 THEN c.c_mktsegment END, 'Fallback') ELSE o.o_orderstatus END AS o_orderstatus)
   FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey""")
 def batch_update_lookup(tables: Tables):
     customers = tables.customer.withColumn("segment", F.when(F.col("c_acctbal") > 0, F.col("c_mktsegment")))
@@ -119,7 +105,7 @@ def batch_update_lookup(tables: Tables):
                         lookups=[Lookup("c", customers, {"o_custkey": "c_custkey"})]).result
 
 
-@query("""SELECT o.o_orderkey, o.o_custkey, coalesce(n.n_name, '') AS o_orderstatus, o.o_totalprice, o.o_orderdate, o.o_orderpriority
+@query("""SELECT o.* REPLACE (coalesce(n.n_name, '') AS o_orderstatus)
   FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey""")
 def batch_update_lookup_chain(tables: Tables):
     """A chain of references: the order's customer's nation."""
@@ -138,14 +124,14 @@ def _returned(tables: Tables) -> Aggregate:
     return Aggregate("returned", tables.lineitem, {"o_orderkey": "l_orderkey"}, {"total": total}, "l_returnflag = 'R'")
 
 
-@query(f"""SELECT o.o_orderkey, o.o_custkey, o.o_orderstatus, coalesce(r.total, 0) AS o_totalprice, o.o_orderdate, o.o_orderpriority
+@query(f"""SELECT o.* REPLACE (coalesce(r.total, 0) AS o_totalprice)
   FROM orders o LEFT JOIN {RETURNED} r ON r.l_orderkey = o.o_orderkey""")
 def batch_update_child_sum(tables: Tables):
     returned = _returned(tables)
     return batch_update(tables.orders, {"o_totalprice": child_value(returned, "total")}, aggregates=[returned]).result
 
 
-@query("""SELECT o.o_orderkey, o.o_custkey, CAST(coalesce(r.n, 0) AS VARCHAR) AS o_orderstatus, o.o_totalprice, o.o_orderdate, o.o_orderpriority
+@query("""SELECT o.* REPLACE (CAST(coalesce(r.n, 0) AS VARCHAR) AS o_orderstatus)
   FROM orders o LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) r ON r.l_orderkey = o.o_orderkey""")
 def batch_update_child_text(tables: Tables):
     """A child aggregate written into a text column."""
@@ -153,7 +139,7 @@ def batch_update_child_text(tables: Tables):
     return batch_update(tables.orders, {"o_orderstatus": child_value(lines, "n").cast("string")}, aggregates=[lines]).result
 
 
-@query(f"""SELECT {_set(o_orderstatus=_when("c.c_mktsegment = 'BUILDING'", 'o_orderstatus', "'B'"))}
+@query("""SELECT o.* REPLACE (CASE WHEN c.c_mktsegment = 'BUILDING' THEN 'B' ELSE o.o_orderstatus END AS o_orderstatus)
   FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey""")
 def batch_update_join_filter(tables: Tables):
     builders = Related(tables.customer.filter("c_mktsegment = 'BUILDING'"), {"o_custkey": "c_custkey"})
@@ -170,7 +156,8 @@ def batch_update_key_list(tables: Tables):
                         exists=[Related(keys, {"l_partkey": "l_partkey", "l_suppkey": "l_suppkey"})]).result
 
 
-@query("""SELECT * REPLACE (CASE WHEN o_orderkey IN (SELECT o_orderkey FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 25)
+@query("""SELECT * REPLACE (CASE WHEN o_orderkey IN
+    (SELECT o_orderkey FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 25)
   THEN o_orderpriority || ' TOP' ELSE o_orderpriority END AS o_orderpriority) FROM orders""")
 def batch_update_top_n(tables: Tables):
     return batch_update(tables.orders, {"o_orderpriority": lambda t: F.concat(t.o_orderpriority, F.lit(" TOP"))},
@@ -189,7 +176,8 @@ def batch_update_converted(tables: Tables):
     return batch_update(stored, {"quality": 2}, toxic_and_graded, converters={"quality": grade}).result
 
 
-@query("SELECT l.* FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey WHERE NOT (o.o_totalprice < 50000)", name="cascade_delete")
+@query("SELECT l.* FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey WHERE NOT (o.o_totalprice < 50000)",
+       name="cascade_delete")
 def cascade_delete_lines(tables: Tables):
     gone = batch_delete(tables.orders, "o_totalprice < 50000").affected
     return cascade_delete(tables.lineitem, gone, {"l_orderkey": "o_orderkey"})

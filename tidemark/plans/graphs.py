@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from .. import ForeignKey, Many, Node, One, apply_changes, fill_self_reference, flatten_graph, merge_graph
@@ -12,7 +10,7 @@ from ..sources.staging import stage_path
 from ..spec import TableSpec
 from ..streaming import StreamedTable
 from .registry import Tables, query
-from .scenario import CHANGED, COLUMNS, INPUTS, feed, stored
+from .scenario import COLUMNS, INPUTS, feed, stored
 
 # Each line holds its order, each order its customer: many nested copies of the same parent.
 CUSTOMER = Node(TableSpec("customer", key=("c_custkey",)))

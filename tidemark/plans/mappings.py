@@ -10,7 +10,7 @@ from ..functions import (ADD_ONE_DAY, EPOCH_MICROS, NUMBER_BYTES, convert_column
                          restore_columns, round_timestamp, truncate_timestamp, with_srid)
 from ..spec import TableSpec
 from .registry import Tables, query
-from .scenario import CHANGED, INPUTS, ORDERS, feed, stored
+from .scenario import INPUTS, feed, stored
 
 STATUS = {"F": 0, "O": 1, "P": 2}
 
@@ -41,7 +41,8 @@ def enum_names(tables: Tables):
     return convert_columns(tables.labels, {"quality": enum_to_text({0: "Poor", 1: "Good"})})
 
 
-@query(INPUTS + f"""SELECT s.o_orderkey, CAST(CASE s.o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 WHEN 'P' THEN 2 WHEN 'X' THEN 3 END AS INTEGER) AS o_orderstatus
+@query(INPUTS + """SELECT s.o_orderkey,
+  CAST(CASE s.o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 WHEN 'P' THEN 2 WHEN 'X' THEN 3 END AS INTEGER) AS o_orderstatus
 FROM t JOIN s ON s.o_orderkey = t.o_orderkey WHERE s.o_orderstatus IS DISTINCT FROM t.o_orderstatus""")
 def merge_converted(tables: Tables):
     """The source holds names, the table numbers; they are compared as stored."""
@@ -57,7 +58,8 @@ def _nested(tables: Tables):
         "c_name", F.struct("c_nationkey", "c_mktsegment").alias("home")).alias("owner"), "c_acctbal")
 
 
-FLAT = "SELECT c_custkey, c_name AS owner_c_name, c_nationkey AS owner_home_c_nationkey, c_mktsegment AS segment, c_acctbal FROM customer"
+FLAT = """SELECT c_custkey, c_name AS owner_c_name, c_nationkey AS owner_home_c_nationkey, c_mktsegment AS segment,
+  c_acctbal FROM customer"""
 
 
 @query(FLAT)
@@ -111,13 +113,14 @@ def foreign_key_from_reference(tables: Tables):
     return parent_key(nested, "customer", "c_custkey")
 
 
-@query(INPUTS + f"""SELECT s.o_orderkey, s.o_orderstatus, hex(encode(CAST(s.o_custkey AS VARCHAR))) AS place, CAST(4326 AS INTEGER) AS place_srid
+@query(INPUTS + """SELECT s.o_orderkey, s.o_orderstatus, hex(encode(CAST(s.o_custkey AS VARCHAR))) AS place,
+  CAST(4326 AS INTEGER) AS place_srid
 FROM t JOIN s ON s.o_orderkey = t.o_orderkey""")
 def spatial_bytes(tables: Tables):
     """Spatial columns travel as bytes with their reference system and are never compared."""
     def places(df):
-        return with_srid(df.select("o_orderkey", "o_orderstatus", F.col("o_custkey").cast("string").cast("binary").alias("place")),
-                         "place")
+        place = F.col("o_custkey").cast("string").cast("binary").alias("place")
+        return with_srid(df.select("o_orderkey", "o_orderstatus", place), "place")
 
     spec = TableSpec("orders", key=("o_orderkey",), spatial=("place",))
     changes = upsert(places(stored(tables)), places(feed(tables)), spec).changes.filter("__action = 'U'")

@@ -238,7 +238,10 @@ def merge_compare_subset(tables: Tables):
     return update(stored(tables), feed(tables), ORDERS, include_on_compare=["o_orderstatus"]).result
 
 
-@query(INPUTS + f"SELECT {assigned('s.o_orderkey IS NOT NULL', [c for c in VALUES if c != 'o_orderdate'])} {LEFT} UNION ALL {ABSENT}")
+BUT_DATE = [c for c in VALUES if c != "o_orderdate"]
+
+
+@query(INPUTS + f"SELECT {assigned('s.o_orderkey IS NOT NULL', BUT_DATE)} {LEFT} UNION ALL {ABSENT}")
 def merge_insert_only_columns(tables: Tables):
     return upsert(stored(tables), feed(tables), ORDERS, exclude_on_update=["o_orderdate"]).result
 
@@ -253,7 +256,8 @@ def update_included_columns(tables: Tables):
     return update(stored(tables), feed(tables), ORDERS, include=["o_totalprice"]).result
 
 
-@query(INPUTS + f"SELECT {assigned('s.o_orderkey IS NOT NULL', ['o_orderstatus', 'o_orderdate', 'o_orderpriority'])} {LEFT}")
+@query(INPUTS + f"""
+SELECT {assigned('s.o_orderkey IS NOT NULL', ['o_orderstatus', 'o_orderdate', 'o_orderpriority'])} {LEFT}""")
 def update_excluded_columns(tables: Tables):
     return update(stored(tables), feed(tables), ORDERS, exclude=["o_totalprice", "o_custkey"]).result
 

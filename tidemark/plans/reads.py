@@ -78,7 +78,8 @@ def read_binary_key(tables: Tables):
     return lookup(asked, people, TableSpec("customer", key=("id",))).drop("id")
 
 
-@query("SELECT l.doc_id, l.quality, d.lang, d.n_chars FROM labels l LEFT JOIN documents d ON d.doc_id = l.doc_id AND d.n_chars > 500")
+@query("""SELECT l.doc_id, l.quality, d.lang, d.n_chars
+FROM labels l LEFT JOIN documents d ON d.doc_id = l.doc_id AND d.n_chars > 500""")
 def read_with_row_filter(tables: Tables):
     spec = TableSpec("documents", key=("doc_id",), row_filter="n_chars > 500")
     return lookup(tables.labels.select("doc_id", "quality"), tables.documents, spec, columns=["lang", "n_chars"])
@@ -102,7 +103,8 @@ def read_from_view(tables: Tables):
 # --- duplicate keys -------------------------------------------------------------------
 
 
-@query("SELECT l_orderkey, l_linenumber, count(*) AS \"count\" FROM lineitem GROUP BY ALL HAVING count(*) > 1", name="duplicate_keys")
+@query("SELECT l_orderkey, l_linenumber, count(*) AS \"count\" FROM lineitem GROUP BY ALL HAVING count(*) > 1",
+       name="duplicate_keys")
 def duplicate_line_keys(tables: Tables):
     return duplicate_keys(tables.lineitem, ["l_orderkey", "l_linenumber"])
 
@@ -127,7 +129,8 @@ def dedupe_source_first(tables: Tables):
 
 # --- row types ------------------------------------------------------------------------
 
-PARTY = """SELECT c_name AS name, c_nationkey AS nation, c_acctbal AS balance, c_mktsegment AS segment, 'Customer' AS "Discriminator"
+PARTY = """SELECT c_name AS name, c_nationkey AS nation, c_acctbal AS balance, c_mktsegment AS segment,
+  'Customer' AS "Discriminator"
 FROM customer UNION ALL SELECT s_name, s_nationkey, s_acctbal, NULL, 'Supplier' FROM supplier"""
 
 
