@@ -5,6 +5,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
+from tidemark.functions import enum_to_text
 from tidemark.sources import from_rows
 from tidemark import TableSpec, append_rows, delete, insert, insert_absent, merge, sync, table_diff, update, upsert
 
@@ -220,6 +221,14 @@ def test_source_types_are_cast_to_the_targets(spark, target):
     assert result.stats.first() == (0, 0, 0)
 
 
+def test_a_converted_key(spark):
+    settings_ = TableSpec("setting", key=("name",), converters={"name": enum_to_text({1: "Sett1", 2: "Sett2", 3: "Sett3"})})
+    t = spark.createDataFrame([("Sett1", "a"), ("Sett2", "b")], "name string, value string")
+    s = spark.createDataFrame([(2, "B"), (3, "c")], "name int, value string")
+    assert rows(upsert(t, s, settings_, convert=True).result) == [("Sett1", "a"), ("Sett2", "B"), ("Sett3", "c")]
+    assert rows(delete(t, s, settings_, convert=True).result) == [("Sett1", "a")]
+
+
 def test_loaded_back_columns(spark):
     spec = TableSpec("e", key=("id",), identity="id", computed={"n": "length(name)"})
     t = spark.createDataFrame([(7, "x", 1)], "id int, name string, n int")

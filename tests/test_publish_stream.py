@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from tidemark import MergeOptions, TableSpec, merge_folder, merge_into, upsert
 from tidemark.operators import read_folder
-from tidemark.sources import (append, from_reader, from_rows, from_table, publish_partitions, publish_table,
+from tidemark.sources import (append, drop_old_versions, from_reader, from_rows, from_table, publish_partitions, publish_table,
                               publish_tables, source_limit, stage, truncate)
 from tidemark.sources.publish import observe_actions
 from tidemark.streaming import StreamedTable, batch_progress
@@ -28,6 +28,17 @@ def test_publish_switches_a_view(spark):
     assert publish_tables({"items": spark.table("items").filter("id = 1"), "others": first}) == {
         "items": "items__v3", "others": "others__v1"}
     assert spark.table("items").count() == 1
+    assert drop_old_versions(spark, "items") == ["items__v1", "items__v2"]
+    assert spark.table("items").count() == 1
+    with pytest.raises(ValueError, match="current version"):
+        drop_old_versions(spark, "items", keep=0)
+
+
+def test_versions_in_another_database(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS side")
+    df = spark.createDataFrame([(1, "a", 1)], SCHEMA)
+    assert [publish_table(df, "side.items") for _ in range(2)] == ["side.items__v1", "side.items__v2"]
+    assert spark.table("side.items").count() == 1
 
 
 def test_append_and_truncate(spark):

@@ -153,7 +153,10 @@ def merge_graph(
     ordinal: str | None = None,
     **settings,
 ) -> dict[str, MergeResult]:
-    """Merge nested rows into their tables, parents first, and hand generated keys down."""
+    """Merge nested rows into their tables, parents first, and hand generated keys down.
+
+    Each table reads the nested rows anew; ``stage`` them first if they are costly to make.
+    """
     if operation not in _GRAPH_OPERATIONS:
         raise ValueError(f"a graph can be merged with {sorted(_GRAPH_OPERATIONS)}, not '{operation}'")
     results: dict[str, MergeResult] = {}

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import ForeignKey, Many, Node, One, apply_changes, fill_self_reference, flatten_graph, merge_graph
 from ..operators.graph import graph_stats as summed_stats, unique_rows
+from ..operators.skew import join_many_to_one
 from ..sources.staging import stage_path
 from ..spec import TableSpec
 from ..streaming import StreamedTable
@@ -20,11 +21,13 @@ LINE = Node(TableSpec("lineitem", key=("l_orderkey", "l_partkey", "l_suppkey", "
 
 
 def _nested_lines(tables: Tables):
-    customers = tables.customer.select(F.struct("c_custkey", "c_name", "c_mktsegment").alias("customer"))
-    orders = tables.orders.join(customers, F.col("o_custkey") == F.col("customer.c_custkey")).select(
-        F.struct("o_orderkey", "o_totalprice", "customer").alias("order"))
+    customer = F.struct("s.c_custkey", "s.c_name", "s.c_mktsegment").alias("customer")
+    orders = join_many_to_one(tables.orders, tables.customer, ["o_custkey"], ["c_custkey"], "inner").select(
+        "t.o_orderkey", "t.o_totalprice", customer)
     lines = tables.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
-    return lines.join(orders, F.col("l_orderkey") == F.col("order.o_orderkey"))
+    order = F.struct("s.o_orderkey", "s.o_totalprice", "s.customer").alias("order")
+    return join_many_to_one(lines, orders, ["l_orderkey"], ["o_orderkey"], "inner").select(
+        *[F.col(f"t.{c}") for c in lines.columns], order)
 
 
 @query("SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity FROM lineitem")
@@ -99,9 +102,8 @@ SELECT o.o_orderkey, o.o_totalprice, ids.id AS buyer_id
 FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey JOIN ids ON ids.c_name = c.c_name""")
 def graph_shared_parent(tables: Tables):
     """Orders refer to buyers by nested copies; a buyer new to the table gets one number for all of them."""
-    buyers = tables.customer.select("c_custkey", F.struct("c_name").alias("buyer"))
-    nested = tables.orders.join(buyers, F.col("o_custkey") == F.col("c_custkey")).select(
-        "o_orderkey", "o_totalprice", "buyer")
+    nested = join_many_to_one(tables.orders, tables.customer, ["o_custkey"], ["c_custkey"], "inner").select(
+        "t.o_orderkey", "t.o_totalprice", F.struct("s.c_name").alias("buyer"))
     targets = {
         "buyer": tables.customer.filter("c_acctbal >= 0").select(F.col("c_custkey").alias("id"), "c_name"),
         "purchase": tables.spark.createDataFrame([], "o_orderkey bigint, o_totalprice double, buyer_id bigint"),

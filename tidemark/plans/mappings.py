@@ -8,6 +8,7 @@ from .. import upsert
 from ..functions import (ADD_ONE_DAY, EPOCH_MICROS, NUMBER_BYTES, convert_columns, enum_to_number, enum_to_text,
                          flatten_columns, json_column, nest_columns, parent_key, parse_json_column, quote,
                          restore_columns, round_timestamp, truncate_timestamp, with_srid)
+from ..operators.skew import join_many_to_one
 from ..spec import TableSpec
 from .registry import Tables, query
 from .scenario import INPUTS, feed, stored
@@ -108,8 +109,8 @@ def timestamp_round(tables: Tables):
 @query("SELECT o.o_orderkey, c.c_custkey AS customer_c_custkey FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey")
 def foreign_key_from_reference(tables: Tables):
     """The order holds its customer as a nested row; only the customer's key is stored."""
-    c = tables.customer.select(F.struct("c_custkey", "c_name").alias("customer"))
-    nested = tables.orders.join(c, F.col("o_custkey") == F.col("customer.c_custkey")).select("o_orderkey", "customer")
+    nested = join_many_to_one(tables.orders, tables.customer, ["o_custkey"], ["c_custkey"], "inner").select(
+        "t.o_orderkey", F.struct("s.c_custkey", "s.c_name").alias("customer"))
     return parent_key(nested, "customer", "c_custkey")
 
 

@@ -29,10 +29,26 @@ def truncate(spark: SparkSession, table: str) -> None:
     spark.sql(f"TRUNCATE TABLE {table}")
 
 
+def _versions(spark: SparkSession, name: str) -> list[int]:
+    """The version tables of ``name`` that exist, oldest first."""
+    database, _, plain = name.rpartition(".")
+    pattern = re.compile(re.escape(plain.lower()) + r"__v(\d+)$")
+    listed = spark.sql(f"SHOW TABLES{' IN ' + database if database else ''} LIKE '{plain}__v*'").collect()
+    return sorted(int(m.group(1)) for m in (pattern.match(row.tableName.lower()) for row in listed) if m)
+
+
 def _next_version(spark: SparkSession, name: str) -> int:
-    pattern = re.compile(re.escape(name.split(".")[-1].lower()) + r"__v(\d+)$")
-    found = (pattern.match(row.tableName.lower()) for row in spark.sql("SHOW TABLES").collect())
-    return 1 + max((int(m.group(1)) for m in found if m), default=0)
+    return max(_versions(spark, name), default=0) + 1
+
+
+def drop_old_versions(spark: SparkSession, name: str, keep: int = 1) -> list[str]:
+    """Drop all but the newest ``keep`` versions, once no reader uses them any more."""
+    if keep < 1:
+        raise ValueError("at least the current version has to be kept")
+    old = [f"{name}__v{v}" for v in _versions(spark, name)[:-keep]]
+    for table in old:
+        spark.sql(f"DROP TABLE {table}")
+    return old
 
 
 def publish_table(
@@ -41,7 +57,8 @@ def publish_table(
     """Write ``df`` as a new version table, then point the view ``name`` at it.
 
     Readers see the old version until the switch, which is a single metastore call. Returns
-    the version table's name; older versions are left for running readers to finish with.
+    the version table's name; older versions are left for running readers to finish with, and
+    removed by :func:`drop_old_versions`.
     Bucketed by its key, the table is not shuffled again by the merges that follow.
     """
     spark = df.sparkSession
