@@ -12,6 +12,7 @@ from tidemark.operators import read_folder
 from tidemark.sources import (append, drop_old_versions, from_reader, from_rows, from_table, publish_partitions, publish_table,
                               publish_tables, source_limit, stage, truncate)
 from tidemark.sources.publish import observe_actions
+from tidemark.sources.staging import staging_root
 from tidemark.streaming import StreamedTable, batch_progress
 
 SPEC = TableSpec("item", key=("id",))
@@ -71,6 +72,22 @@ def test_staged_rows_survive_their_source(spark):
     assert spark.conf.get("spark.checkpoint.dir") in kept.inputFiles()[0]
 
 
+def test_the_staging_folder_comes_from_the_session():
+    class Context:
+        def __init__(self, master, folder=None):
+            self.master, self.getCheckpointDir = master, lambda: folder
+
+    class Session:
+        def __init__(self, context, **settings):
+            self.sparkContext, self.conf = context, settings
+
+    assert staging_root(Session(Context("yarn"), **{"spark.checkpoint.dir": "hdfs:/x"})) == "hdfs:/x"
+    assert staging_root(Session(Context("yarn", "hdfs:/y"))) == "hdfs:/y"
+    with pytest.raises(RuntimeError, match="shared by all executors"):
+        staging_root(Session(Context("yarn")))
+    assert staging_root(Session(Context("local[2]"))) == staging_root(Session(Context("local[2]")))
+
+
 def test_counts_come_with_the_write(spark):
     target = spark.createDataFrame([(1, "a", 1)], SCHEMA)
     changes = upsert(target, spark.createDataFrame([(1, "a", 2), (2, "b", 3)], SCHEMA), SPEC).changes

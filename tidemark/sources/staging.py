@@ -9,20 +9,24 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def staging_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a private one only on a single machine."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder the session names; a private one only on a single machine."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to storage shared by all executors")
-    root = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _private_root()
+
+
+@cache
+def _private_root() -> str:
+    return tempfile.mkdtemp(prefix="tidemark-")
 
 
 def stage_path(spark: SparkSession, label: str) -> str:
