@@ -372,7 +372,7 @@ def merge(
         classified = classify(unmatched_target(tagged_t))
         new = prepared
     elif operation == "insert_absent":
-        new = _without_partner(keyed, target, plan, unique_in_target)
+        new = _without_partner(keyed, target, plan, unique_in_target, spec.identity)
         new = new if loose is None else new.unionByName(loose)
         classified = classify(unmatched_target(tagged_t))
     elif shape == "outer" and inserts and not generated and loose is None:
@@ -386,7 +386,7 @@ def merge(
         new = None
         if inserts:
             may_insert = keyed.filter(F.col(_OP) == "I") if operation == "changes" else keyed
-            new = _without_partner(may_insert, target, plan, unique_in_target)
+            new = _without_partner(may_insert, target, plan, unique_in_target, spec.identity)
             if loose is not None:
                 new = new.unionByName(loose.filter(F.col(_OP) == "I") if operation == "changes" else loose)
     if new is not None:
@@ -429,7 +429,8 @@ def _match(plan: ColumnPlan) -> Column:
     return reduce(and_, [t[k].eqNullSafe(s[k]) if plan.null_safe else t[k] == s[k] for k in plan.key])
 
 
-def _without_partner(source: DataFrame, target: DataFrame, plan: ColumnPlan, unique: bool) -> DataFrame:
+def _without_partner(source: DataFrame, target: DataFrame, plan: ColumnPlan, unique: bool,
+                     identity: str | None) -> DataFrame:
     """Source rows whose key the target lacks; only the target's key columns are read.
 
     A small source is first sent to the target to find which of its keys exist, so the
@@ -440,7 +441,13 @@ def _without_partner(source: DataFrame, target: DataFrame, plan: ColumnPlan, uni
         keys = keys.alias("t").join(source.select(*keys.columns).alias("s"), _match(plan), "left_semi")
     if not unique:
         keys = keys.distinct()  # a frequent key becomes one row before the shuffle
-    return source.alias("s").join(keys.alias("t"), _match(plan), "left_anti")
+    if plan.key != (identity,):
+        return source.alias("s").join(keys.alias("t"), _match(plan), "left_anti")
+    # New rows often carry a constant as their identity. Catalyst keeps moving an anti join on a
+    # constant to and fro until it gives up, so this one is an outer join.
+    known = keys.withColumn(_IN_T, F.lit(True)).alias("t")
+    joined = source.alias("s").join(known, _match(plan), "left")
+    return joined.filter(Row("t")[_IN_T].isNull()).select(*[Row("s")[c] for c in source.columns])
 
 
 def _delete(target: DataFrame, keys: DataFrame, spec: TableSpec, plan: ColumnPlan,
