@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .tokens import count_tokens
 from .urlfilter import judge_urls
+from .warc import archive_pages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,6 +31,21 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query("""
+WITH records AS (
+    SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+    FROM pages
+), firsts AS (
+    SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS f FROM records
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 100 AND page_id > f THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id > f THEN f END AS refers_to
+FROM firsts
+""")
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(table(spark, sf_dir, "pages"))
+
+
 #: The rules of the URL query.
 URL_RULES = [
     ("org", "/", "allow"),
