@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .sharding import shard_documents
 from .tokens import count_tokens
 from .urlfilter import judge_urls
 from .warc import archive_pages
@@ -46,6 +47,11 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_pages(table(spark, sf_dir, "pages"))
 
 
+@query()
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(table(spark, sf_dir, "documents"))
+
+
 #: The rules of the URL query.
 URL_RULES = [
     ("org", "/", "allow"),
