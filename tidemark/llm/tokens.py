@@ -69,7 +69,7 @@ class PieceCounter:
                 found.append(len(self.tokenizer.encode(text, add_special_tokens=False).ids))
             else:
                 found.append(self._frequencies(text))
-                fresh.update(found[-1][0].keys() - self.known.keys())
+                fresh.update(p for p in found[-1][0] if p not in self.known)
         fresh = list(fresh)
         pieces = {p: len(e.ids) for p, e in zip(fresh, self.tokenizer.encode_batch(fresh, add_special_tokens=False))}
         self.known.update((p, n) for p, n in pieces.items() if len(p) <= _REMEMBERED)
