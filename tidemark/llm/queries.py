@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .decontam import contamination
+from .langid import identify_languages, learn_languages
 from .sharding import shard_documents
 from .tokens import count_tokens
 from .urlfilter import judge_urls
@@ -33,6 +34,12 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query()
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return identify_languages(docs, learn_languages(docs, tokenizer_path("piece_bpe_32k.model")))
+
+
 @query("""
 WITH records AS (
     SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
