@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .decontam import contamination
 from .langid import identify_languages, learn_languages
+from .neardup import near_duplicates
 from .sharding import shard_documents
 from .tokens import count_tokens
 from .urlfilter import judge_urls
@@ -92,6 +93,11 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+@query()
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query(r"""
 WITH docs AS (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
