@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import table
+from .common import table, utf8_length
 from .decontam import contamination
 from .langid import identify_languages, learn_languages
+from .mixing import dominant_topic, mix
 from .neardup import near_duplicates
 from .sharding import shard_documents
 from .tokens import count_tokens
@@ -57,6 +58,54 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_pages(table(spark, sf_dir, "pages"))
 
 
+#: What the kind of content is told by, and the mixture: exponents of the tokens, share of all tokens, rounds.
+TOPICS = {"contact": "[A-Za-z0-9]@[A-Za-z0-9]", "legal": "[Ll]icen[cs]e", "noise": "[#$%&*!]{3}", "tabular": "[|]"}
+EXPONENTS = {"source": 0.7, "lang": 0.8, "topic": 0.8}
+BUDGET, ROUNDS = 0.6, 10
+
+
+def mixed(docs: DataFrame) -> DataFrame:
+    """``docs`` with the columns of :func:`mix`, for source, language and kind of content; four bytes count as a token."""
+    text = F.col("text")
+    dimensions = {"source": F.col("source"), "lang": F.col("lang"), "topic": dominant_topic(text, TOPICS, "prose")}
+    return mix(docs, dimensions, EXPONENTS, F.ceil(utf8_length(text) / 4), BUDGET, ROUNDS)
+
+
+def _mixing_sql() -> str:
+    counts = ", ".join(f"len(regexp_extract_all(coalesce(text, ''), '{p}')) AS {t}" for t, p in TOPICS.items())
+    best = f"greatest({', '.join(TOPICS)})"
+    topic = f"CASE WHEN {best} = 0 THEN 'prose' " + " ".join(f"WHEN {t} = {best} THEN '{t}'" for t in sorted(TOPICS)) + " END"
+    key = lambda c: f"coalesce('=' || CAST({c} AS VARCHAR), '')"
+    parts = [f"counts AS (SELECT *, {counts} FROM documents)",
+             f"""rows AS (SELECT doc_id, CAST(ceil(octet_length(encode(coalesce(text, ''))) / 4) AS BIGINT) AS n_tokens,
+                 {key('source')} AS k0, {key('lang')} AS k1, {key(topic)} AS k2 FROM counts)""",
+             "cells AS (SELECT k0, k1, k2, CAST(sum(n_tokens) AS DOUBLE) AS tokens FROM rows GROUP BY ALL)"]
+    for i, e in enumerate(EXPONENTS.values()):
+        parts.append(f"part{i} AS (SELECT k{i}, pow(sum(tokens), {e}) AS part FROM cells GROUP BY k{i} HAVING sum(tokens) > 0)")
+        parts.append(f"want{i} AS (SELECT k{i}, part / (SELECT sum(part) FROM part{i}) * ({BUDGET} * (SELECT sum(tokens) FROM cells)) AS want{i} FROM part{i})")
+    parts.append(f"step0 AS (SELECT *, CAST({BUDGET} AS DOUBLE) AS rate FROM cells LEFT JOIN want0 USING (k0) LEFT JOIN want1 USING (k1) LEFT JOIN want2 USING (k2))")
+    step = 0
+    for _ in range(ROUNDS):
+        for i in range(3):
+            new = f"CASE WHEN now{i} > 0 THEN rate * want{i} / now{i} ELSE rate END"
+            if i == 2:
+                new = f"least({new}, 1.0)"
+            parts.append(f"""step{step + 1} AS MATERIALIZED (SELECT * EXCLUDE (rate, now{i}), {new} AS rate
+                FROM (SELECT *, sum(tokens * rate) OVER (PARTITION BY k{i}) AS now{i} FROM step{step}))""")
+            step += 1
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT doc_id, k2[2:] AS topic, n_tokens, round(rate, 6) AS rate,
+       CAST('0x' || md5('mix' || coalesce(CAST(doc_id AS VARCHAR), ''))[1:13] AS BIGINT) / 4503599627370496.0 < rate AS sampled
+FROM rows JOIN step{step} USING (k0, k1, k2)"""
+
+
+@query(_mixing_sql())
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    topic = dominant_topic(F.col("text"), TOPICS, "prose").alias("topic")
+    return mixed(docs).select("doc_id", topic, F.col("__tokens").alias("n_tokens"), F.round("__rate", 6).alias("rate"), F.col("__sampled").alias("sampled"))
+
+
 @query()
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
