@@ -275,3 +275,24 @@ def identify_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc
 
     return docs.select(id_col, held_out(F.col(id_col), folds).alias("held_out"), text_col).mapInArrow(
         judge, f"`{id_col}` {kind}, held_out boolean, lang_pred string, score double")
+
+
+def keep_languages(docs: DataFrame, model: LanguageModel, least: float = 0.5, languages: tuple[str, ...] | None = None,
+                   text_col: str = "text", batch_bytes: int = 4 << 20) -> DataFrame:
+    """The rows of ``docs`` whose text is in one of ``languages`` (any learnt one) with a score of ``least``.
+
+    Texts without letters and NULL ones go. Columns, whatever their names, stay as they are; nothing is shuffled.
+    """
+    accepted = set(model.languages if languages is None else languages)
+    at = docs.columns.index(text_col)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = model.scorer()
+        for batch in batches:
+            texts = batch.column(at)
+            sizes = [s or 0 for s in pa.compute.binary_length(texts).to_pylist()]
+            for start, end in slices(sizes, batch_bytes):
+                found = score(texts.slice(start, end - start).to_pylist())
+                yield batch.slice(start, end - start).filter(pa.array([x in accepted and s >= least for x, s in found]))
+
+    return docs.mapInArrow(keep, docs.schema)
