@@ -11,6 +11,7 @@ from .decontam import contamination
 from .langid import identify_languages, learn_languages
 from .mixing import dominant_topic, mix
 from .neardup import near_duplicates
+from .repeats import remove_repeats
 from .sharding import shard_documents
 from .tokens import count_tokens
 from .topk import scaled, top_k
@@ -58,6 +59,11 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_pages(table(spark, sf_dir, "pages"))
 
 
+@query()
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
 #: What the kind of content is told by, and the mixture: exponents of the tokens, share of all tokens, rounds.
 TOPICS = {"contact": "[A-Za-z0-9]@[A-Za-z0-9]", "legal": "[Ll]icen[cs]e", "noise": "[#$%&*!]{3}", "tabular": "[|]"}
 EXPONENTS = {"source": 0.7, "lang": 0.8, "topic": 0.8}
