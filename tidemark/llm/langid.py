@@ -16,7 +16,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
@@ -44,7 +44,8 @@ def words_of(text: str) -> list[str]:
 class Pieces:
     """The pieces of a vocabulary that lower-case words can hold, as a trie in a matrix.
 
-    Piece 0 stands for any character that is no piece itself.
+    Piece 0 stands for any character that is no piece itself. The trie, of the pieces of two characters or
+    more, is built where it is first used, in the tasks.
     """
 
     def __init__(self, path: str):
@@ -52,23 +53,47 @@ class Pieces:
 
         model = SentencePieceProcessor(model_file=path)
         usable = lambda p: (b := p.removeprefix(_START)) == b.lower() and (p == _START or _LETTERS.fullmatch(b))
-        names = [p for p in map(model.id_to_piece, range(model.get_piece_size())) if usable(p)]
-        letters = sorted({c for p in names for c in p})
-        self.size = len(names) + 1
-        self.code = {c: i + 1 for i, c in enumerate(letters)}
-        step, piece = [[0] * (len(letters) + 1), [0] * (len(letters) + 1)], [0, 0]  # state 0: no piece goes on; 1: start
-        for number, name in enumerate(names, 1):
+        self.names = [p for p in map(model.id_to_piece, range(model.get_piece_size())) if usable(p)]
+        self.size = len(self.names) + 1
+        self.longest = max(map(len, self.names), default=1)
+
+    @cached_property
+    def code(self) -> dict[str, int]:
+        """Numbers of characters from 1, first those that the trie knows, then those that are pieces alone."""
+        joined = sorted({c for p in self.names if len(p) > 1 for c in p})
+        alone = sorted({p for p in self.names if len(p) == 1} - set(joined))
+        return {c: i for i, c in enumerate(joined + alone, 1)}
+
+    @cached_property
+    def single(self) -> np.ndarray:
+        """The piece that a character is alone, by its number."""
+        found = np.zeros(len(self.code) + 1, np.int32)
+        for number, name in enumerate(self.names, 1):
+            if len(name) == 1:
+                found[self.code[name]] = number
+        return found
+
+    @cached_property
+    def trie(self) -> tuple[np.ndarray, np.ndarray]:
+        """The next state by state and character (state 1 is the start, 0 the end), and each state's piece."""
+        children: list[dict[int, int]] = [{}, {}]
+        piece = [0, 0]
+        for number, name in enumerate(self.names, 1):
             state = 1
-            for c in name:
-                nxt = step[state][self.code[c]]
-                if not nxt:
-                    nxt = step[state][self.code[c]] = len(step)
-                    step.append([0] * (len(letters) + 1))
+            for c in name if len(name) > 1 else ():
+                after = children[state].setdefault(self.code[c], len(children))
+                if after == len(children):
+                    children.append({})
                     piece.append(0)
-                state = nxt
-            piece[state] = number
-        self.step, self.piece = np.array(step, np.int32), np.array(piece, np.int32)
-        self.longest = max(map(len, names), default=1)
+                state = after
+            if state > 1:
+                piece[state] = number
+        width = max((c for known in children for c in known), default=0) + 1
+        step = np.zeros((len(children), width), np.int32)
+        for state, known in enumerate(children):
+            for c, after in known.items():
+                step[state, c] = after
+        return step, np.array(piece, np.int32)
 
     def lattices(self, words: list[str], most: int = 8192) -> Iterator[tuple[np.ndarray, int, list]]:
         """Words of one length at a time: their places in ``words``, the length, and the edges.
@@ -89,21 +114,22 @@ class Pieces:
                 yield rows, n, self._edges(codes, n)
 
     def _edges(self, codes: np.ndarray, n: int) -> list:
+        (step, piece), single = self.trie, self.single[codes]
+        known = np.where(codes < step.shape[1], codes, 0)
         edges = []
         for i in range(n):
-            alive, state = np.arange(len(codes)), np.ones(len(codes), np.int32)
+            everyone = np.arange(len(codes))
+            edges.append((i, i + 1, everyone, single[:, i]))  # one character is always a piece, at worst the unknown one
+            alive, state = everyone, np.ones(len(codes), np.int32)
             for j in range(i, min(n, i + self.longest)):
-                state = self.step[state, codes[alive, j]]
-                if j == i:  # one character is always a piece, at worst the unknown one
-                    edges.append((i, i + 1, alive, self.piece[state]))
+                state = step[state, known[alive, j]]
                 going = state > 0
                 alive, state = alive[going], state[going]
                 if not len(alive):
                     break
-                if j > i:
-                    ends = self.piece[state] > 0
-                    if ends.any():
-                        edges.append((i, j + 1, alive[ends], self.piece[state[ends]]))
+                ends = piece[state] > 0
+                if ends.any():
+                    edges.append((i, j + 1, alive[ends], piece[state[ends]]))
         return edges
 
 
