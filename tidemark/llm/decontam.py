@@ -18,7 +18,9 @@ from .common import lower_ascii
 
 #: What separates words: ASCII other than digits and letters.
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: The same before lower-casing, and what it separates.
+_RAW_BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def words(text: Column) -> Column:
@@ -129,8 +131,8 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, remove: str = "do
         return docs.join(bad, docs[id_col].eqNullSafe(bad["__id"]), "left_anti")
     bad = hits.select(F.col(id_col).alias("__id"), F.col("runs").alias("__runs"))
     text = F.col(text_col)
-    units = F.regexp_extract_all(text, F.lit(f"({_WORD}(?:{_BETWEEN})?)"), F.lit(1))
-    clean = F.concat(F.regexp_extract(text, f"^(?:{_BETWEEN})?", 0), F.array_join(F.filter(
+    units = F.regexp_extract_all(text, F.lit(f"({_RAW_WORD}(?:{_RAW_BETWEEN})?)"), F.lit(1))
+    clean = F.concat(F.regexp_extract(text, f"^(?:{_RAW_BETWEEN})?", 0), F.array_join(F.filter(
         units, lambda _, i: ~F.exists("__runs", lambda r: (r["start"] <= i) & (i < r["end"]))), ""))
     joined = docs.join(bad, docs[id_col].eqNullSafe(bad["__id"]), "left")
     return joined.withColumn(text_col, F.when(F.col("__runs").isNull(), text).otherwise(clean)).drop("__id", "__runs")

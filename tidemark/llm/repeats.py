@@ -277,7 +277,7 @@ def remove_repeats(docs: DataFrame, least: int = 50, id_col: str = "doc_id", tex
         total = np.bincount(which, texts)[which]
         grams, of, total = grams[total > 1], of[total > 1], total[total > 1]
         found = [(told["path"].iloc[k], *_bytes(grams[some], total[some] >= frequent), len(some)) for k, some in _by(of)]
-        return pd.DataFrame(found, columns=["path", "grams", "often", "n"])
+        return pd.DataFrame(found, columns=["path", "grams", "often", "n"]) if found else pd.DataFrame()
 
     told = pa.schema([("bucket", pa.int32()), ("path", pa.string()), ("grams", pa.binary()), ("texts", pa.binary())])
     anchors = work.repartition(spread).mapInArrow(tell, "bucket int, path string, grams binary, texts binary")
@@ -357,7 +357,7 @@ def remove_repeats(docs: DataFrame, least: int = 50, id_col: str = "doc_id", tex
         last = np.nonzero(stop)[1]
         for k, at in _by(of[row]):
             found.append((some["path"].iloc[k], *_bytes(q[row[at]], np.column_stack([first[at], last[at]]).astype(np.uint8), smallest[row[at], first[at]])))
-        return pd.DataFrame(found, columns=["path", "q", "lefts", "ids"])
+        return pd.DataFrame(found, columns=["path", "q", "lefts", "ids"]) if found else pd.DataFrame()
 
     pieces = flagged.repartition(spread).mapInArrow(send, "bucket int, path string, " + ", ".join(f"{k} binary" for k in names[2:]))
     settled = pieces.groupBy("bucket").applyInPandas(settle, "path string, q binary, lefts binary, ids binary")

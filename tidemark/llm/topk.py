@@ -174,7 +174,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
             ids = some["id"].tolist()
             answer = DualSearch(_matrix(some["v"]), ids, _matrix(pd.Series(list(copies))), list(copies.values()), k)
             found = [(ids[i], -minus, max(-_MOST, min(_MOST, int(score)))) for i, heap in enumerate(answer.best) for score, minus in heap]
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
+        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]) if found else pd.DataFrame()
 
     found = queries.groupBy(*key).cogroup(candidates.groupBy(*key)).applyInPandas(search, f"query_id {kind}, vec_id {kind}, score bigint").distinct()
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")  # at most k rows of each block

@@ -87,10 +87,8 @@ def _sweep(urls: pd.DataFrame, rules: pd.DataFrame) -> pd.DataFrame:
                             best, verdict = len(hit[0]), hit
                         break
         found.append(verdict)
-    urls = urls.drop(columns=["key", "part"])
-    urls["rule"] = [r for r, _ in found]
-    urls["verdict"] = [v for _, v in found]
-    return urls
+    columns = {c: urls[c].tolist() for c in ("id", "host", "path")} | {"rule": [r for r, _ in found], "verdict": [v for _, v in found]}
+    return pd.DataFrame(columns, dtype=object)
 
 
 def _bounds(rows: DataFrame, ranges: int, n: int) -> list[str]:
@@ -123,7 +121,7 @@ def judge_urls(urls: DataFrame, rules: DataFrame, default: str = "allow", id_col
     rows of one range, the unit that one task holds in memory.
     """
     kind = urls.schema[id_col].dataType.simpleString()
-    rows = urls.select(F.col(id_col).alias("id"), url_host(F.col(url_col)).alias("host"), url_path(F.col(url_col)).alias("path"))
+    rows = urls.select(F.col(id_col).cast("string").alias("id"), url_host(F.col(url_col)).alias("host"), url_path(F.col(url_col)).alias("path"))
     rows = rows.select(*(F.coalesce(c, F.lit("")).alias(c) if c != "id" else c for c in rows.columns))
     rows = rows.withColumn("key", _key(F.col("host"), F.col("path"), F.col("id")))
     n = urls.count()
@@ -132,10 +130,12 @@ def judge_urls(urls: DataFrame, rules: DataFrame, default: str = "allow", id_col
     dealt = rules.select("host", "path", "verdict").dropna().select("*", F.explode(parts(prefix)).alias("part"))
 
     def judge(some: pd.DataFrame, open_rules: pd.DataFrame) -> pd.DataFrame:
+        if not len(some):
+            return pd.DataFrame()
         out = _sweep(some, open_rules.sort_values("verdict", kind="stable"))
-        out["verdict"] = out["verdict"].fillna(default)
+        out["verdict"] = [default if v is None else v for v in out["verdict"]]
         return out
 
     return (rows.withColumn("part", part("key")).groupBy("part").cogroup(dealt.groupBy("part"))
-            .applyInPandas(judge, f"id {kind}, host string, path string, rule string, verdict string")
-            .withColumnRenamed("id", id_col))
+            .applyInPandas(judge, "id string, host string, path string, rule string, verdict string")
+            .select(F.col("id").cast(kind).alias(id_col), "host", "path", "rule", "verdict"))
