@@ -4,10 +4,10 @@
    inverse document frequencies.
 2. A second scan draws every text's weighted samples and hashes them in bands. Equal texts are then
    represented by the smallest id.
-3. Texts that share a band are compared with the smallest id of the band, by the weighted Jaccard similarity of their whole
-   shingle sets. Those that fail are grouped anew without the ones that passed, until every group is used up,
-   so no band member goes uncompared and no group is expanded into all its pairs.
-4. Links make connected components.
+3. Within the texts that share a band, a byte of each sample tells how similar two are likely to be. Texts that are very
+   likely similar to the first one are paired with it; each of the others is paired with those most like itself.
+   So a group gives a few pairs a text, however large it is.
+4. Pairs are verified by the weighted Jaccard similarity of their whole shingle sets, and make connected components.
 """
 
 from __future__ import annotations
@@ -24,6 +24,12 @@ from .components import components
 from .shingles import Idf, WeightedSampler, mix, shingles, weighted_jaccard
 
 _SEGMENT = 1 << 10
+#: Of 64 samples: from so many equal ones a pair at 0.8 is not missed (all but 1 in 10^5), and from so many it is hardly below 0.8.
+_LIKELY, _SURE, _SAMPLES = 36, 58, 64
+#: A text that is not surely like another is paired with so many of each group, the likeliest.
+_PARTNERS = 3
+#: Groups of more texts are first thinned out by joins.
+_GROUP = 4096
 
 
 def _parts(texts: pa.Array, most: int) -> Iterator[tuple[int, pa.Array]]:
@@ -61,7 +67,7 @@ def document_frequencies(docs: DataFrame, text_col: str = "text", words: int = 5
 
 
 def _bands(docs: DataFrame, idf: Idf, id_col: str, text_col: str, words: int, bands: int, rows: int, batch_bytes: int) -> DataFrame:
-    """``id, digest, bands`` of every row; texts without words have no bands."""
+    """``id, digest, bands, signature`` of every row; texts without words have no bands. The signature is a byte a sample."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,18 +77,20 @@ def _bands(docs: DataFrame, idf: Idf, id_col: str, text_col: str, words: int, ba
             for start, texts in _parts(batch.column(2), batch_bytes):
                 of, hashes, tf = shingles(texts, words)
                 keys: list = [None] * len(texts)
+                signatures: list = [None] * len(texts)
                 if len(of):
                     starts = np.flatnonzero(np.diff(of, prepend=-1))
                     drawn = sampler.samples(hashes, tf * idf.weight[idf.levels(hashes)], starts)
                     band = mix((drawn * factors).reshape(len(starts), bands, rows).sum(axis=2)).view(np.int64)
-                    for at, row in zip(of[starts].tolist(), band):
-                        keys[at] = row
+                    signature = (mix(drawn) >> np.uint64(56)).astype(np.uint8)
+                    for at, row, bytes_ in zip(of[starts].tolist(), band, signature):
+                        keys[at], signatures[at] = row, bytes_.tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(start, len(texts)), batch.column(1).slice(start, len(texts)), pa.array(keys, pa.list_(pa.int64()))],
-                    ["id", "digest", "bands"])
+                    [batch.column(0).slice(start, len(texts)), batch.column(1).slice(start, len(texts)), pa.array(keys, pa.list_(pa.int64())),
+                     pa.array(signatures, pa.binary())], ["id", "digest", "bands", "signature"])
 
     return docs.select(F.col(id_col).alias("id"), text_digest(F.col(text_col)).alias("digest"), text_col).mapInArrow(
-        sample, f"id {kind}, digest binary, bands array<bigint>")
+        sample, f"id {kind}, digest binary, bands array<bigint>, signature binary")
 
 
 def _compare(pairs: DataFrame, texts: DataFrame, idf: Idf, words: int, similarity: float, batch_bytes: int) -> DataFrame:
@@ -104,44 +112,135 @@ def _compare(pairs: DataFrame, texts: DataFrame, idf: Idf, words: int, similarit
     return both.mapInArrow(compare, f"center {kind}, member {kind}").distinct()
 
 
+def _matrix(signatures: pa.Array, samples: int) -> np.ndarray:
+    return np.frombuffer(b"".join(signatures.to_pylist()), np.uint8).reshape(-1, samples)
+
+
+def _pairs_within(group: np.ndarray, signature: np.ndarray, likely: int, sure: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of places worth comparing, for rows ordered by group.
+
+    In each round the first open row of every group looks at the whole group: open rows that are surely like it are paired with it
+    and closed; if that leaves it without any, it is paired with the likeliest rows, open or closed.
+    """
+    rows = np.arange(len(group))
+    open_ = np.ones(len(group), bool)
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    while len(rows):
+        new = np.flatnonzero(np.diff(group[rows], prepend=-1))
+        sizes = np.diff(np.append(new, len(rows)))
+        first = np.minimum.reduceat(np.where(open_[rows], rows, len(group)), new)
+        leader = np.repeat(first, sizes)
+        alike = np.empty(len(rows), np.int64)
+        for at in range(0, len(rows), 1 << 16):
+            alike[at:at + (1 << 16)] = (signature[rows[at:at + (1 << 16)]] == signature[leader[at:at + (1 << 16)]]).sum(axis=1)
+        other = rows != leader
+        closed = open_[rows] & other & (alike >= sure)
+        found.append((leader[closed], rows[closed]))
+        some = np.flatnonzero(other & (alike >= likely))
+        some = some[np.lexsort((-alike[some], leader[some]))]
+        rank = np.arange(len(some)) - np.searchsorted(leader[some], leader[some])
+        best = some[rank < _PARTNERS]
+        found.append((leader[best], rows[best]))
+        open_[rows[closed]] = False
+        open_[first] = False
+        still = np.add.reduceat(open_[rows], new) > 0
+        rows = rows[np.repeat(still, sizes)]
+    left, right = (np.concatenate(x) for x in zip(*found)) if found else (rows, rows)
+    return left, right
+
+
+def _candidates(members: DataFrame, likely: int, sure: int, samples: int) -> DataFrame:
+    """``center, member``, from ``band, key, id, signature``, with the smaller id first."""
+    kind = members.schema["id"].dataType.simpleString()
+
+    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def settle(rows: pa.Table) -> pa.RecordBatch:
+            rows = rows.combine_chunks()
+            band, key = rows.column("band").to_numpy(), rows.column("key").to_numpy()
+            group = np.cumsum(np.append(False, (band[1:] != band[:-1]) | (key[1:] != key[:-1])))
+            left, right = _pairs_within(group, _matrix(rows.column("signature"), samples), likely, sure)
+            ids = rows.column("id").chunk(0)
+            return pa.RecordBatch.from_arrays([ids.take(pa.array(left)), ids.take(pa.array(right))], ["a", "b"])
+
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= 8 * _GROUP:  # up to the last group, which may go on
+                rows = pa.Table.from_batches(held)
+                last = (rows.column("band")[-1].as_py(), rows.column("key")[-1].as_py())
+                mine = (rows.column("band").to_numpy() == last[0]) & (rows.column("key").to_numpy() == last[1])
+                cut = int(np.flatnonzero(~mine)[-1]) + 1 if not mine.all() else 0
+                if cut:
+                    yield settle(rows.slice(0, cut))
+                    held = rows.slice(cut).to_batches()
+        if held and sum(b.num_rows for b in held):
+            yield settle(pa.Table.from_batches(held))
+
+    ordered = members.repartition("band", "key").sortWithinPartitions("band", "key", "id")
+    pairs = ordered.mapInArrow(pair, f"a {kind}, b {kind}").filter("a <> b")
+    return pairs.select(F.least("a", "b").alias("center"), F.greatest("a", "b").alias("member")).distinct()
+
+
+def _thinned(members: DataFrame, sure: int, samples: int) -> tuple[DataFrame, DataFrame | None]:
+    """Groups of at most ``_GROUP`` texts, and the pairs taken from larger ones.
+
+    A round pairs the texts surely like the group's smallest one with it and takes them out, it too.
+    """
+    kind, pairs = members.schema["id"].dataType.simpleString(), None
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            alike = (_matrix(batch.column(4), samples) == _matrix(batch.column(5), samples)).sum(axis=1)
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(5)), pa.array(alike >= sure)], ["band", "key", "id", "center", "signature", "passed"])
+
+    while True:
+        sizes = members.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("center")).filter(F.col("n") > _GROUP)
+        large = stage(sizes.select("band", "key", "center"), "near-large")
+        if large.isEmpty():
+            return members, pairs
+        centers = members.join(large, ["band", "key"], "left_semi").join(large.withColumnRenamed("center", "id"), ["band", "key", "id"]).select(
+            "band", "key", F.col("id").alias("center"), F.col("signature").alias("of_center")).dropDuplicates(["band", "key"])
+        centers = stage(centers, "near-centers")
+        # the members are on the left, where Spark splits the partition of a large group
+        both = members.join(centers, ["band", "key"]).select("band", "key", "id", "center", "signature", "of_center")
+        seen = stage(both.mapInArrow(compare, f"band int, key bigint, id {kind}, center {kind}, signature binary, passed boolean"), "near-thinned")
+        passed = seen.filter("passed AND id <> center").select("center", F.col("id").alias("member")).distinct()
+        pairs = passed if pairs is None else pairs.union(passed)
+        small = members.join(large, ["band", "key"], "left_anti")
+        members = stage(small.unionByName(seen.filter("NOT passed AND id <> center").select(small.columns)), "near-members")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, words: int = 5,
                     bands: int = 16, rows: int = 4, batch_bytes: int = 2 << 20) -> DataFrame:
     """``id_col, class_id, kept`` of every row of ``docs``.
 
-    A class is a connected set of texts that are equal, or share a band and have a weighted Jaccard similarity of at least
+    A class is a connected set of texts that are equal, or were paired and have a weighted Jaccard similarity of at least
     ``similarity``; ``class_id`` is its smallest id and ``kept`` marks the row that has it. With 16 bands of 4
-    a pair at 0.8 is compared with probability 0.9998. NULL texts are alike to nothing, texts without
+    a pair at 0.8 shares a band with probability 0.9998. NULL texts are alike to nothing, texts without
     words only to equal ones. A row without an id takes the class of an equal text, or NULL, and is always kept.
     Rows that share an id share a class; different texts should have different ids.
     """
+    samples = bands * rows
+    likely, sure = round(_LIKELY / _SAMPLES * samples), round(_SURE / _SAMPLES * samples)
     idf = document_frequencies(docs, text_col, words)
     marked = stage(_bands(docs, idf, id_col, text_col, words, bands, rows, batch_bytes), "near-bands")
-    firsts = marked.filter("id IS NOT NULL AND digest IS NOT NULL").groupBy("digest").agg(F.min("id").alias("first"))
-    nodes = marked.join(firsts, "digest").filter("id = first").select("id", F.posexplode("bands").alias("band", "key"))
-    groups = nodes.groupBy("band", "key").agg(F.min("id").alias("center"), F.count_distinct("id").alias("n")).filter("n > 1")
-    open_ = stage(nodes.join(groups.drop("n"), ["band", "key"]).distinct(), "near-groups")
-    asked = open_.select("id").distinct()
+    copies = marked.filter("id IS NOT NULL AND digest IS NOT NULL").groupBy("digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
+    copies = stage(copies.filter("n > 1").drop("n"), "near-copies")  # read anew, so that Spark can split a frequent text's rows
+    marked = stage(marked.join(copies, "digest", "left").withColumn("node", F.coalesce("first", "id")).drop("first", "digest"), "near-nodes")
+    nodes = marked.filter("id = node AND bands IS NOT NULL")
+    banded = nodes.select("id", F.posexplode("bands").alias("band", "key"))
+    groups = stage(banded.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "near-groups")
+    members = banded.join(groups, ["band", "key"]).distinct().join(nodes.select("id", "signature"), "id").select("band", "key", "id", "signature")
+    members, pairs = _thinned(stage(members, "near-members"), sure, samples)
+    found = _candidates(members, likely, sure, samples)
+    pairs = stage(found if pairs is None else found.union(pairs).distinct(), "near-pairs")
+    asked = pairs.select(F.col("center").alias("id")).union(pairs.select("member")).distinct()
     texts = stage(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(asked, "id", "left_semi"), "near-texts")
-
-    links = None
-    while not open_.isEmpty():
-        pairs = open_.filter("id <> center").select("center", F.col("id").alias("member")).distinct()
-        if links is not None:  # the same two may meet in several groups, in one round or another
-            pairs = pairs.join(compared, ["center", "member"], "left_anti")
-        pairs = stage(pairs, "near-pairs")
-        passed = stage(_compare(pairs, texts, idf, words, similarity, batch_bytes), "near-links")
-        compared = pairs if links is None else compared.union(pairs)
-        links = passed if links is None else links.union(passed)
-        failed = open_.filter("id <> center").join(links.withColumnRenamed("member", "id"), ["center", "id"], "left_anti").drop("center")
-        groups = failed.groupBy("band", "key").agg(F.min("id").alias("center"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-        open_ = stage(failed.join(groups.drop("n"), ["band", "key"]), "near-groups")
-
-    classes = marked.join(firsts, "digest", "left").withColumn("node", F.coalesce("first", "id"))
-    if links is None:
-        class_id = F.col("node")
-    else:
-        classes = classes.join(components(links, "center", "member").withColumnRenamed("component", "found"), "node", "left")
-        class_id = F.coalesce("found", "node")
+    links = stage(_compare(pairs, texts, idf, words, similarity, batch_bytes), "near-links")
+    labels = components(links, "center", "member").withColumnRenamed("component", "found")
+    classes = marked.join(labels, "node", "left")
+    class_id = F.coalesce("found", "node")
     kept = F.coalesce(class_id == F.col("id"), F.lit(True))
     return classes.select(F.col("id").alias(id_col), class_id.alias("class_id"), kept.alias("kept"))
 
