@@ -1,3 +1,7 @@
+import datetime as dt
+from decimal import Decimal
+from uuid import UUID
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -6,27 +10,23 @@ from tests.conftest import rows
 from tidemark import Aggregate, Lookup, TableSpec, batch_delete, batch_update, cascade_delete, lookup
 from tidemark.operators.batch import Related, changed_values, child_value
 
-ITEMS = "id int, name string, description string, qty int, price double"
-
-
 @pytest.fixture(scope="module")
 def table(spark):
+    """A thousand readings of ten sensors."""
     return spark.range(1, 1001).select(
-        F.col("id").cast("int"), F.concat(F.lit("name "), "id").alias("name"), F.lit("info").alias("description"),
-        (F.col("id") % 10).cast("int").alias("qty"), (F.col("id") / (F.col("id") % 5 + 1)).alias("price"))
+        F.col("id").cast("int"), F.format_string("probe %d", "id").alias("name"), F.lit("calm").alias("state"),
+        (F.col("id") % 10).cast("int").alias("sensor"), (F.col("id") / (F.col("id") % 5 + 1)).alias("depth"))
 
 
-def test_update_then_delete(table):
-    updated = batch_update(table, changed_values({"description": "Updated", "price": 1.5, "qty": 0, "name": None}),
-                           "id <= 500 AND price >= 0").result
-    updated = batch_update(updated, {"name": lambda t: F.concat(t.name, F.lit(" Concatenated")),
-                                     "qty": lambda t: t.qty + 100}, "id <= 500").result
-    first = updated.filter("id = 1").first()
-    assert tuple(first) == (1, "name 1 Concatenated", "Updated", 101, 1.5)
-    top = batch_update(updated, {"name": "TOP"}, "id <= 500", key=["id"], order_by=["id"], limit=1)
-    assert top.affected_count.first()[0] == 1 and rows(top.affected, "id") == [(1,)]
-    gone = batch_delete(updated, "id > 500")
-    assert gone.affected_count.first()[0] == 500 and gone.result.count() == 500
+def test_updates_see_the_old_row(table):
+    stormy = batch_update(table, changed_values({"state": "stormy", "depth": 0.75, "sensor": 0}), "sensor = 3 AND depth > 10").result
+    assert stormy.filter("state = 'stormy' AND depth = 0.75 AND sensor = 3").count() == table.filter("sensor = 3 AND depth > 10").count() > 0
+    swapped = batch_update(table, {"sensor": lambda t: t.id, "id": lambda t: t.sensor - 1}, "id BETWEEN 20 AND 22").result
+    assert rows(swapped.filter("sensor BETWEEN 20 AND 22"), "id", "sensor") == [(-1, 20), (0, 21), (1, 22)]
+    one = batch_update(table, {"name": "deepest"}, "sensor <> 9", key=["id"], order_by=[F.col("depth").desc()], limit=1)
+    assert one.affected_count.first()[0] == 1 and rows(one.affected, "id") == [(1000,)]
+    gone = batch_delete(table, "depth < 2")
+    assert gone.affected_count.first()[0] + gone.result.count() == 1000 and gone.result.filter("depth < 2").count() == 0
 
 
 def test_null_predicates_affect_nothing(spark):
@@ -38,6 +38,8 @@ def test_null_predicates_affect_nothing(spark):
 
 def test_values():
     assert changed_values({"a": 0, "b": "", "c": None, "d": 5}) == {"b": "", "d": 5}
+    unset = {"n": Decimal(0), "u": UUID(int=0), "t": dt.time(0, 0), "d": dt.date(1, 1, 1), "s": dt.datetime(1, 1, 1)}
+    assert changed_values(unset | {"at": dt.datetime(1, 1, 1, 5)}) == {"at": dt.datetime(1, 1, 1, 5)}
     assert changed_values({"a": 0, "c": None}, ["a", "c"]) == {"a": 0, "c": None}
     with pytest.raises(ValueError, match="nothing to set"):
         changed_values({"a": 0, "b": False})
@@ -56,48 +58,75 @@ def test_update_checks(table):
 
 def test_skip_and_take(table):
     kept = batch_delete(table, key=["id"], order_by=["name"], offset=2, limit=4).result
-    names = sorted(f"name {i}" for i in range(1, 1001))
+    names = sorted(f"probe {i}" for i in range(1, 1001))
     assert set(rows(kept, "name")) == {(n,) for n in names[:2] + names[6:]}
     assert batch_delete(table, key=["id"], order_by=["name"], offset=990).result.count() == 990
 
 
-def test_parents_and_children(spark):
-    parents = spark.createDataFrame([(1, "d", 0.0), (2, "d", 0.0), (3, "d", 0.0)], "id int, description string, value double")
-    details = spark.createDataFrame([(1, "note"), (2, None)], "parent_id int, notes string")
-    children = spark.createDataFrame([(1, True, 5.0), (1, True, 7.0), (1, False, 100.0), (2, False, 9.0)],
-                                     "parent_id int, enabled boolean, value double")
-    noted = batch_update(parents, {"description": F.coalesce(F.col("d.notes"), F.lit("Fallback"))}, "id < 5",
-                         lookups=[Lookup("d", details, {"id": "parent_id"})])
-    assert rows(noted.result, "id", "description") == [(1, "note"), (2, "Fallback"), (3, "Fallback")]
-    noted = batch_update(parents, {"description": "has notes"}, "t.id < 5 AND d.notes IS NOT NULL AND d.notes <> ''",
-                         lookups=[Lookup("d", details, {"id": "parent_id"})])
-    assert rows(noted.affected, "id") == [(1,)]
-    enabled = Aggregate("c", children, {"id": "parent_id"}, {"total": F.sum("value")}, "enabled")
-    summed = batch_update(parents, {"value": child_value(enabled, "total"),
-                                    "description": child_value(enabled, "total").cast("string")}, aggregates=[enabled])
-    assert rows(summed.result) == [(1, "12.0", 12.0), (2, "0.0", 0.0), (3, "0.0", 0.0)]
-    childless = batch_delete(parents, not_exists=[Related(children, {"id": "parent_id"})])
-    assert rows(childless.affected, "id") == [(3,)]
-    assert rows(cascade_delete(children, parents.filter("id = 1"), {"parent_id": "id"}), "parent_id") == [(2,)]
-    twice = details.union(details)
+def test_related_tables(spark):
+    wells = spark.createDataFrame([(11, "dry", 1.0), (12, "dry", 2.0), (13, "dry", 4.0)], "well int, state string, flow double")
+    logs = spark.createDataFrame([(11, "gravel"), (12, None)], "of_well int, layer string")
+    pumps = spark.createDataFrame([(11, "on", 2.5), (11, "on", 0.5), (11, "off", 40.0), (12, "off", 8.0)], "at_well int, mode string, litres double")
+    log = Lookup("log", logs, {"well": "of_well"})
+    filled = batch_update(wells, {"state": F.coalesce(F.col("log.layer"), F.lit("unlogged"))}, "well < 99", lookups=[log])
+    assert rows(filled.result, "well", "state") == [(11, "gravel"), (12, "unlogged"), (13, "unlogged")]
+    assert rows(batch_update(wells, {"state": "known"}, "t.well < 99 AND log.layer > ''", lookups=[log]).affected, "well") == [(11,)]
+    running = Aggregate("p", pumps, {"well": "at_well"}, {"litres": F.sum("litres"), "n": F.count(F.lit(1))}, "mode = 'on'")
+    summed = batch_update(wells, {"flow": child_value(running, "litres"), "state": child_value(running, "n").cast("string")}, aggregates=[running])
+    assert rows(summed.result) == [(11, "2", 3.0), (12, "0", 0.0), (13, "0", 0.0)]
+    assert rows(batch_delete(wells, not_exists=[Related(pumps, {"well": "at_well"})]).affected, "well") == [(13,)]
+    assert rows(cascade_delete(pumps, wells.filter("well = 11"), {"at_well": "well"}), "at_well") == [(12,)]
+    twice = Lookup("log", logs.union(logs), {"well": "of_well"})
     with pytest.raises(PySparkException, match="more than one source row"):
-        batch_update(parents, {"description": F.col("d.notes")}, lookups=[Lookup("d", twice, {"id": "parent_id"})]).result.collect()
+        batch_update(wells, {"state": F.col("log.layer")}, lookups=[twice]).result.collect()
+
+
+def test_predicates_see_empty_aggregates(spark):
+    wells = spark.createDataFrame([(1, "a"), (2, "b")], "well int, state string")
+    pumps = spark.createDataFrame([(1, "x", 5)], "at_well int, kind string, n int")
+    of = Aggregate("p", pumps, {"well": "at_well"}, {"n": F.sum("n"), "kind": F.max("kind")})
+    assert rows(batch_delete(wells, "p.n = 0", aggregates=[of]).affected, "well") == [(2,)]
+    assert rows(batch_update(wells, {"state": child_value(of, "kind")}, aggregates=[of]).result) == [(1, "x"), (2, None)]
+    named = Aggregate("p", pumps, {"well": "at_well"}, {"kind": F.max("kind")}, empty="none")
+    assert rows(batch_update(wells, {"state": child_value(named, "kind")}, aggregates=[named]).result) == [(1, "x"), (2, "none")]
+    with pytest.raises(ValueError, match="named like columns of the target: state"):
+        batch_delete(wells, aggregates=[Aggregate("state", pumps, {"well": "at_well"}, {"n": F.sum("n")})]).result
+
+
+def test_building_a_plan_runs_no_job(spark):
+    wells = spark.createDataFrame([(1, "a")], "well int, state string")
+    refs = [Lookup(f"l{i}", wells.withColumnRenamed("well", f"w{i}"), {"well": f"w{i}"}) for i in range(3)]
+    spark.sparkContext.setJobGroup("building", "")
+    try:
+        done = batch_update(wells, {"state": F.col("l2.state")}, lookups=refs)
+        done.result, done.affected_count, lookup(wells, wells, TableSpec("n", key=("state",)), mode="replace")
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_a_key_asked_for_very_often_is_spread(spark):
+    known = spark.createDataFrame([("a", 1), ("b", 2)], "name string, v int")
+    asked = spark.range(300_000).select(F.lit("a").alias("name")).union(spark.createDataFrame([("b",)], "name string"))
+    found = lookup(asked, known, TableSpec("n", key=("name",)), mode="replace")
+    assert rows(found.groupBy("name").count()) == [("a", 300_000), ("b", 1)]
+    assert found.select(F.spark_partition_id().alias("p")).distinct().count() > 2
 
 
 SPEC = TableSpec("item", key=("id",))
 
 
 def test_enrich_keeps_every_source_row(spark, table):
-    asked = spark.createDataFrame([("name 5", 1), ("nobody", 2), ("name 5", 3)], "name string, place int")
-    found = lookup(asked, table, SPEC, match_on=["name"], columns=["id", "qty"])
-    assert rows(found, "place", "name", "id", "qty") == [(1, "name 5", 5, 5), (2, "nobody", None, None), (3, "name 5", 5, 5)]
+    asked = spark.createDataFrame([("probe 5", 1), ("nobody", 2), ("probe 5", 3)], "name string, place int")
+    found = lookup(asked, table, SPEC, match_on=["name"], columns=["id", "sensor"])
+    assert rows(found, "place", "name", "id", "sensor") == [(1, "probe 5", 5, 5), (2, "nobody", None, None), (3, "probe 5", 5, 5)]
 
 
 def test_first_match_needs_an_order(spark, table):
-    asked = spark.createDataFrame([("info", 0)], "description string, qty int")
-    assert rows(lookup(asked, table, SPEC, match_on=["description"], first_by=["id"]), "id", "qty") == [(1, 1)]
+    asked = spark.createDataFrame([("calm", 0)], "state string, sensor int")
+    assert rows(lookup(asked, table, SPEC, match_on=["state"], first_by=["id"]), "id", "sensor") == [(1, 1)]
     with pytest.raises(PySparkException, match="more than one source row"):
-        lookup(asked, table, SPEC, match_on=["description"]).collect()
+        lookup(asked, table, SPEC, match_on=["state"]).collect()
 
 
 def test_replace(spark):

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
@@ -8,11 +9,12 @@ from tidemark.operators import topological_order
 from tidemark.operators.changeset import publish_order
 from tidemark.operators.graph import graph_stats
 
-NEST = """description string, asset struct<description: string>,
- spares array<struct<description: string, qty: int, spare: struct<part: string>>>, place int"""
-WORK = [
-    ("Fix belt", ("MANU-1",), [("Bolt 5mm", 5, ("MZD 5mm",)), ("Bolt 10mm", 5, ("MZD 10mm",))], 1),
-    ("Fix toilets", ("FLUSH-1",), [("Plunger", 2, ("P 531",)), ("Crepe", 1, ("MZD f",))], 2),
+# Voyages of a ship from a port, with the legs they call at; a leg may name the pilot taken aboard.
+NEST = """title string, ship struct<call_sign: string>,
+ legs array<struct<harbour: string, hours: int, pilot: struct<licence: string>>>, place int"""
+VOYAGES = [
+    ("north", ("QX7",), [("Oban", 31, ("p-12",)), ("Mallaig", 9, ("p-40",))], 1),
+    ("west", ("LM2",), [("Tiree", 14, ("p-77",)), ("Coll", 3, ("p-81",))], 2),
 ]
 
 
@@ -20,67 +22,106 @@ def generated(name, **relations):
     return Node(TableSpec(name, key=("id",), identity="id"), **relations)
 
 
-ASSET, SPARE = generated("asset"), generated("spare")
-USED = generated("used", one=(One("spare", SPARE, "spare_id"),))
-ORDER = generated("work_order", one=(One("asset", ASSET, "asset_id"),), many=(Many("spares", USED, "order_id"),))
+SHIP, PILOT = generated("ship"), generated("pilot")
+LEG = generated("leg", one=(One("pilot", PILOT, "pilot_id"),))
+VOYAGE = generated("voyage", one=(One("ship", SHIP, "ship_id"),), many=(Many("legs", LEG, "voyage_id"),))
 
 
 @pytest.fixture
 def empty(spark):
     return {
-        "asset": spark.createDataFrame([], "id bigint, description string"),
-        "spare": spark.createDataFrame([], "id bigint, part string"),
-        "used": spark.createDataFrame([], "id bigint, order_id bigint, spare_id bigint, description string, qty int"),
-        "work_order": spark.createDataFrame([], "id bigint, asset_id bigint, description string"),
+        "ship": spark.createDataFrame([], "id bigint, call_sign string"),
+        "pilot": spark.createDataFrame([], "id bigint, licence string"),
+        "leg": spark.createDataFrame([], "id bigint, voyage_id bigint, pilot_id bigint, harbour string, hours int"),
+        "voyage": spark.createDataFrame([], "id bigint, ship_id bigint, title string"),
     }
 
 
 def test_four_tables_twelve_inserts(spark, empty):
-    work = spark.createDataFrame(WORK, NEST)
-    results = merge_graph(work, ORDER, empty, ordinal="place")
-    assert list(results) == ["asset", "work_order", "spare", "used"]
+    results = merge_graph(spark.createDataFrame(VOYAGES, NEST), VOYAGE, empty, ordinal="place")
+    assert list(results) == ["ship", "voyage", "pilot", "leg"]
     assert graph_stats(results).first().asDict() == {"inserted": 12, "updated": 0, "deleted": 0}
-    orders, assets = results["work_order"].result, results["asset"].result
-    assert rows(orders.alias("o").join(assets.alias("a"), F.col("o.asset_id") == F.col("a.id")).select(
-        "o.description", "a.description")) == [("Fix belt", "MANU-1"), ("Fix toilets", "FLUSH-1")]
-    used = results["used"].result
-    joined = used.join(results["spare"].result.withColumnRenamed("id", "sid"), F.col("spare_id") == F.col("sid"))
-    assert rows(joined, "order_id", "part") == [(1, "MZD 10mm"), (1, "MZD 5mm"), (2, "MZD f"), (2, "P 531")]
+    voyages, ships = results["voyage"].result, results["ship"].result
+    assert rows(voyages.alias("v").join(ships.alias("s"), F.col("v.ship_id") == F.col("s.id")).select(
+        "v.title", "s.call_sign")) == [("north", "QX7"), ("west", "LM2")]
+    legs = results["leg"].result.join(results["pilot"].result.withColumnRenamed("id", "pid"), F.col("pilot_id") == F.col("pid"))
+    assert rows(legs, "voyage_id", "harbour", "licence") == [
+        (1, "Mallaig", "p-40"), (1, "Oban", "p-12"), (2, "Coll", "p-81"), (2, "Tiree", "p-77")]
 
 
 def test_empty_arrays_and_missing_references(spark, empty):
-    work = spark.createDataFrame([("a", None, [], 1), ("b", ("x",), None, 2), ("c", None, [("s", 1, None)], 3)], NEST)
-    results = merge_graph(work, ORDER, empty, ordinal="place")
-    assert rows(results["work_order"].result, "description", "asset_id") == [("a", None), ("b", 1), ("c", None)]
-    assert rows(results["used"].result, "order_id", "spare_id") == [(3, None)]
-
-
-def test_natural_keys_are_copied_down(spark):
-    child = Node(TableSpec("child", key=("child_key",)))
-    parent = Node(TableSpec("parent", key=("parent_key",)), many=(Many("children", child, "parent_key"),))
-    schema = "parent_key int, label string, children array<struct<child_key: int, label: string>>"
-    # edited rows arrive in another order than the table's
-    edited = spark.createDataFrame([(2, "P2 updated", [(2, "C2")]), (1, "P1 updated", [(1, "C1")])], schema)
-    targets = {"parent": spark.createDataFrame([(1, "P1"), (2, "P2")], "parent_key int, label string"),
-               "child": spark.createDataFrame([(1, 1, "C1"), (2, 2, "C2")], "child_key int, parent_key int, label string")}
-    results = merge_graph(edited, parent, targets, "update")
-    assert rows(results["parent"].result) == [(1, "P1 updated"), (2, "P2 updated")]
-    assert rows(results["child"].result) == [(1, 1, "C1"), (2, 2, "C2")]
-    assert graph_stats(results).first() == (0, 2, 0)
-    flat = flatten_graph(edited, parent)
-    assert rows(flat["child"].rows, "child_key", "parent_key") == [(1, 1), (2, 2)]
+    nested = spark.createDataFrame([("a", None, [], 1), ("b", ("x",), None, 2), ("c", None, [("s", 1, None)], 3)], NEST)
+    results = merge_graph(nested, VOYAGE, empty, ordinal="place")
+    assert rows(results["voyage"].result, "title", "ship_id") == [("a", None), ("b", 1), ("c", None)]
+    assert rows(results["leg"].result, "voyage_id", "pilot_id") == [(3, None)]
+
+
+@pytest.mark.parametrize("ordinal, places", [("at", [1.2, 1.7, 1.7]), ("at", ["x", "x", "x"]), (None, [0, 0, 0])])
+def test_ordinals_of_any_kind_keep_children_apart(spark, empty, ordinal, places):
+    kind = {float: "double", str: "string", int: "int"}[type(places[0])]
+    nested = spark.createDataFrame(
+        [(t, None, [(f"{t}{n}", n, None) for n in range(2)], p) for t, p in zip("abc", places)], NEST.replace("place int", f"at {kind}"))
+    results = merge_graph(nested.drop("at") if ordinal is None else nested, VOYAGE, empty, ordinal=ordinal)
+    voyages = results["voyage"].result.withColumnRenamed("id", "vid")
+    found = results["leg"].result.join(voyages, F.col("voyage_id") == F.col("vid"))
+    assert rows(found, "title", "harbour") == [(t, f"{t}{n}") for t in "abc" for n in range(2)]
+    assert voyages.select("vid").distinct().count() == 3
+
+
+def test_every_column_of_a_key_is_handed_down(spark):
+    berth = Node(TableSpec("berth", key=("berth_no",)))
+    pier = Node(TableSpec("pier", key=("town", "pier_no")), many=(Many("berths", berth, ("in_town", "on_pier")),))
+    nested = spark.createDataFrame([("Oban", 1, [(10,), (11,)]), ("Oban", 2, [(12,)])], "town string, pier_no int, berths array<struct<berth_no: int>>")
+    targets = {"pier": spark.createDataFrame([], "town string, pier_no int"),
+               "berth": spark.createDataFrame([], "berth_no int, in_town string, on_pier int")}
+    assert rows(merge_graph(nested, pier, targets)["berth"].result) == [(10, "Oban", 1), (11, "Oban", 1), (12, "Oban", 2)]
+    with pytest.raises(ValueError, match="2 columns, not 1"):
+        flatten_graph(nested, Node(pier.spec, many=(Many("berths", berth, "on_pier"),)))
+
+
+def test_rows_without_a_natural_key_stay_apart(spark):
+    agent = Node(TableSpec("agent", key=("id",), identity="id"), match_on=("name",))
+    cargo = Node(TableSpec("cargo", key=("code",)), one=(One("agent", agent, "agent_id"),))
+    nested = spark.createDataFrame([("c1", (None,), 1), ("c2", (None,), 2), ("c3", ("Ann",), 3), ("c4", ("Ann",), 4)], "code string, agent struct<name: string>, place int")
+    targets = {"agent": spark.createDataFrame([], "id bigint, name string"), "cargo": spark.createDataFrame([], "code string, agent_id bigint")}
+    results = merge_graph(nested, cargo, targets, ordinal="place")
+    held = dict(results["cargo"].result.select("code", "agent_id").collect())
+    assert results["agent"].result.count() == 3 and len({held["c1"], held["c2"], held["c3"]}) == 3 and held["c3"] == held["c4"]
+
+
+def test_children_of_parents_that_are_there(spark):
+    crate = Node(TableSpec("crate", key=("code",)))
+    hold = Node(TableSpec("hold", key=("id",), identity="id"), match_on=("label",), many=(Many("crates", crate, "hold_id"),))
+    nested = spark.createDataFrame([("aft", [("k1",)], 1), ("bow", [("k2",)], 2)], "label string, crates array<struct<code: string>>, place int")
+    targets = {"hold": spark.createDataFrame([(7, "aft")], "id bigint, label string"), "crate": spark.createDataFrame([], "code string, hold_id bigint")}
+    results = merge_graph(nested, hold, targets, "insert_absent", ordinal="place")
+    assert rows(results["crate"].result) == [("k1", 7), ("k2", 8)] and rows(results["hold"].result) == [(7, "aft"), (8, "bow")]
+
+
+def test_an_update_hands_natural_keys_down(spark):
+    tide = Node(TableSpec("tide", key=("tide_no",)))
+    gauge = Node(TableSpec("gauge", key=("gauge_no",)), many=(Many("tides", tide, "gauge_no"),))
+    read = spark.createDataFrame(  # not in the table's order
+        [(44, "inner", [(902, 3.5), (903, 0.4)]), (21, "outer", [(801, 2.25)])], "gauge_no int, site string, tides array<struct<tide_no: int, height: double>>")
+    targets = {"gauge": spark.createDataFrame([(21, "outer"), (44, "old wall"), (45, "buoy")], "gauge_no int, site string"),
+               "tide": spark.createDataFrame([(801, 21, 2.25), (902, 44, 9.0), (903, 45, 0.4)], "tide_no int, gauge_no int, height double")}
+    results = merge_graph(read, gauge, targets, "update")
+    assert rows(results["gauge"].result) == [(21, "outer"), (44, "inner"), (45, "buoy")]
+    assert rows(results["tide"].result) == [(801, 21, 2.25), (902, 44, 3.5), (903, 44, 0.4)]
+    assert graph_stats(results).first() == (0, 3, 0)
+    assert rows(flatten_graph(read, gauge)["tide"].rows, "tide_no", "gauge_no") == [(801, 21), (902, 44), (903, 44)]
 
 
 def test_a_table_that_refers_to_itself(spark):
-    inner = Node(TableSpec("asset", key=("id",), identity="id"), match_on=("name",))
-    outer = Node(inner.spec, match_on=("name",), one=(One("parent", inner, "parent_id"),))
-    nested = spark.createDataFrame([("belt", ("plant",), 1), ("plant", None, 2), ("motor", ("belt",), 3)],
-                                   "name string, parent struct<name: string>, place int")
-    target = {"asset": spark.createDataFrame([(5, "plant", None)], "id bigint, name string, parent_id bigint")}
-    result = merge_graph(nested, outer, target, ordinal="place", exclude_on_update=["parent_id"])["asset"].result
+    inner = Node(TableSpec("region", key=("id",), identity="id"), match_on=("name",))
+    outer = Node(inner.spec, match_on=("name",), one=(One("within", inner, "within_id"),))
+    nested = spark.createDataFrame([("strait", ("sea",), 1), ("sea", None, 2), ("narrows", ("strait",), 3)],
+                                   "name string, within struct<name: string>, place int")
+    target = {"region": spark.createDataFrame([(5, "sea", None)], "id bigint, name string, within_id bigint")}
+    result = merge_graph(nested, outer, target, ordinal="place", exclude_on_update=["within_id"])["region"].result
     found = {r["name"]: r for r in result.collect()}
-    assert len(found) == 3 and found["plant"]["id"] == 5
-    assert found["belt"]["parent_id"] == 5 and found["motor"]["parent_id"] == found["belt"]["id"]
+    assert len(found) == 3 and found["sea"]["id"] == 5
+    assert found["strait"]["within_id"] == 5 and found["narrows"]["within_id"] == found["strait"]["id"]
 
 
 def test_second_pass_over_a_table(spark):
@@ -91,7 +132,7 @@ def test_second_pass_over_a_table(spark):
 
 def test_graphs_are_not_deleted(spark, empty):
     with pytest.raises(ValueError, match="not 'delete'"):
-        merge_graph(spark.createDataFrame(WORK, NEST), ORDER, empty, "delete")
+        merge_graph(spark.createDataFrame(VOYAGES, NEST), VOYAGE, empty, "delete")
 
 
 # --- change sets ----------------------------------------------------------------------
@@ -104,23 +145,37 @@ def test_topological_order():
         topological_order(["a", "b"], [ForeignKey("a", "x", "b"), ForeignKey("b", "x", "a")])
 
 
-def test_inserts_then_mixed_changes(spark):
-    spec = {"item": TableSpec("item", key=("id",), identity="id")}
-    target = {"item": spark.createDataFrame([], "id bigint, name string")}
-    first = spark.range(5000).select(F.lit(0).alias("id"), F.concat(F.lit("n"), "id").alias("name"), F.lit("I").alias("op"))
-    step = apply_changes(target, {"item": first.withColumn("place", F.substring("name", 2, 9).cast("int"))}, spec,
-                         ordinal={"item": "place"})["item"].staged()
-    assert step.result.count() == 5000
-    fresh = spark.range(4000).select(F.lit(0).cast("bigint").alias("id"), F.concat(F.lit("m"), "id").alias("name"),
-                                     F.lit("I").alias("op"), F.col("id").alias("place"))
-    changed = step.result.select("id", F.concat("name", F.lit(" upd")).alias("name"), F.lit("U").alias("op"),
-                                 F.col("id").alias("place")).filter("id > 4990")
-    gone = spark.createDataFrame([(1, None, "D", 0), (99_999, None, "D", 0)], "id bigint, name string, op string, place bigint")
-    step = apply_changes({"item": step.result}, {"item": fresh.union(changed).union(gone)}, spec,
-                         ordinal={"item": "place"})["item"].staged()
-    assert step.stats.first() == (4000, 10, 1)
-    assert step.result.count() == 8999 and step.result.filter("name LIKE '% upd'").count() == 10
-    assert step.result.agg(F.max("id"), F.countDistinct("id")).first() == (9000, 8999)
+def test_two_rounds_of_changes(spark):
+    spec = {"buoy": TableSpec("buoy", key=("id",), identity="id")}
+    laid = spark.range(300).select(F.lit(None).cast("bigint").alias("id"), F.format_string("laid-%03d", "id").alias("mark"), F.lit("I").alias("op"), "id")
+    laid = laid.toDF("id", "mark", "op", "seq")
+    step = apply_changes({"buoy": spark.createDataFrame([(40, "first")], "id bigint, mark string")}, {"buoy": laid}, spec, ordinal={"buoy": "seq"})["buoy"].staged()
+    assert step.stats.first() == (300, 0, 0) and step.result.agg(F.min("id"), F.max("id")).first() == (40, 340)
+    moved = step.result.filter("id % 50 = 0").select("id", F.upper("mark").alias("mark"), F.lit("U").alias("op"), F.col("id").alias("seq"))
+    lost = spark.createDataFrame([(40, None, "D", 0), (7, None, "D", 0), (8, "nobody", "U", 0)], "id bigint, mark string, op string, seq bigint")
+    more = laid.filter("seq < 25").withColumn("mark", F.concat(F.lit("more-"), "mark"))
+    step = apply_changes({"buoy": step.result}, {"buoy": more.union(moved).union(lost)}, spec, ordinal={"buoy": "seq"})["buoy"].staged()
+    assert step.stats.first() == (25, 6, 1)
+    assert step.result.filter("mark LIKE 'LAID-%'").count() == 6 and step.result.agg(F.max("id"), F.count_distinct("id")).first() == (365, 325)
+
+
+@pytest.mark.parametrize("op, id_, message", [("u", 1, "neither I, U nor D but u"), (None, 1, "neither I, U nor D but NULL"), ("I", 1, "already has a row to be inserted")])
+def test_change_rows_that_cannot_be_applied_fail(spark, op, id_, message):
+    spec = {"buoy": TableSpec("buoy", key=("id",))}
+    target = {"buoy": spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, mark string")}
+    change = {"buoy": spark.createDataFrame([(id_, "x", op)], "id bigint, mark string, op string")}
+    for look in (lambda r: r.result.count(), lambda r: r.stats.collect(), lambda r: r.changes.collect()):
+        with pytest.raises(PySparkException, match=message):
+            look(apply_changes(target, change, spec)["buoy"])
+
+
+def test_an_ordinal_that_repeats_names_no_parent(spark):
+    specs = {"hold": TableSpec("hold", key=("id",), identity="id"), "crate": TableSpec("crate", key=("code",))}
+    targets = {"hold": spark.createDataFrame([], "id bigint, label string"), "crate": spark.createDataFrame([], "code string, hold_id bigint")}
+    changes = {"hold": spark.createDataFrame([(None, "a", 1, "I"), (None, "b", 1, "I")], "id bigint, label string, place int, op string"),
+               "crate": spark.createDataFrame([("k", 1, "I")], "code string, of int, op string")}
+    with pytest.raises(PySparkException, match="more than one source row"):
+        apply_changes(targets, changes, specs, [ForeignKey("crate", "hold_id", "hold", "of")], ordinal={"hold": "place"})["crate"].result.collect()
 
 
 def test_generated_parent_keys_reach_the_children(spark):

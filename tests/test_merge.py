@@ -174,7 +174,7 @@ def test_version_conflicts(spark):
 
 
 def test_computed_default_and_period_columns(spark):
-    spec = TableSpec("doc", key=("id",), defaults={"tag": "DefaultData"}, computed={"length": "length(text)"},
+    spec = TableSpec("doc", key=("id",), defaults={"tag": "untagged"}, computed={"length": "length(text)"},
                      period=("since", "till"))
     schema = "id int, text string, tag string, length int, since timestamp_ntz, till timestamp_ntz"
     t = spark.createDataFrame([(1, "abc", "x", 3, T0, None)], schema)
@@ -182,20 +182,25 @@ def test_computed_default_and_period_columns(spark):
     now = F.lit("2025-05-05").cast("timestamp_ntz")
     at = dt.datetime(2025, 5, 5)
     result = upsert(t, s, spec, exclude_on_update=["tag"], as_of=now).result
-    assert rows(result) == [(1, "abcd", "x", 4, at, None), (2, "z", "DefaultData", 1, at, None)]
+    assert rows(result) == [(1, "abcd", "x", 4, at, None), (2, "z", "untagged", 1, at, None)]
     mixed = spark.createDataFrame([(2, "z", None), (3, "y", "own")], "id int, text string, tag string")
     # one row has a value, so the column is not left to its default
     assert rows(insert_absent(t, mixed, spec).result, "id", "tag") == [(1, "x"), (2, None), (3, "own")]
     assert rows(insert_absent(t, mixed, spec, use_defaults="when_default").result, "id", "tag") == [
-        (1, "x"), (2, "DefaultData"), (3, "own")]
+        (1, "x"), (2, "untagged"), (3, "own")]
     # a column absent from the source is filled on insert and left alone on update
-    assert rows(upsert(t, s.drop("tag"), spec).result, "id", "tag") == [(1, "x"), (2, "DefaultData")]
+    assert rows(upsert(t, s.drop("tag"), spec).result, "id", "tag") == [(1, "x"), (2, "untagged")]
 
 
 def test_insert_conflicts(target, source):
     with pytest.raises(PySparkException, match="already has a row for key"):
         insert(target, source, SPEC).collect()
+    with pytest.raises(PySparkException, match="already has a row for key"):
+        insert(target, source, SPEC).count()
     assert insert(target, source.filter("id = 5"), SPEC).count() == 5
+    keys = TableSpec("seen", key=("id",))
+    with pytest.raises(PySparkException, match=r"'seen' already has a row for key \(1\)"):
+        insert(target.select("id"), target.select("id").filter("id = 1"), keys).count()
     assert rows(insert(target, source, SPEC, "ignore"), "id", "name")[2] == (3, None)
     assert rows(insert(target, source, SPEC, "replace"), "id", "name")[2] == (3, "c")
     with pytest.raises(ValueError, match="on_conflict"):
@@ -222,11 +227,11 @@ def test_source_types_are_cast_to_the_targets(spark, target):
 
 
 def test_a_converted_key(spark):
-    settings_ = TableSpec("setting", key=("name",), converters={"name": enum_to_text({1: "Sett1", 2: "Sett2", 3: "Sett3"})})
-    t = spark.createDataFrame([("Sett1", "a"), ("Sett2", "b")], "name string, value string")
+    levels = TableSpec("level", key=("name",), converters={"name": enum_to_text({1: "low", 2: "mid", 3: "high"})})
+    t = spark.createDataFrame([("low", "a"), ("mid", "b")], "name string, value string")
     s = spark.createDataFrame([(2, "B"), (3, "c")], "name int, value string")
-    assert rows(upsert(t, s, settings_, convert=True).result) == [("Sett1", "a"), ("Sett2", "B"), ("Sett3", "c")]
-    assert rows(delete(t, s, settings_, convert=True).result) == [("Sett1", "a")]
+    assert rows(upsert(t, s, levels, convert=True).result) == [("high", "c"), ("low", "a"), ("mid", "B")]
+    assert rows(delete(t, s, levels, convert=True).result) == [("low", "a")]
 
 
 def test_loaded_back_columns(spark):

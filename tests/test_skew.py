@@ -7,7 +7,7 @@ from tests.conftest import rows
 from tidemark import dedupe, duplicate_keys, rank_rows
 from tidemark.operators import first_rows
 from tidemark.operators.keys import assert_unique
-from tidemark.operators.skew import SALT, hot_hashes, join_many_to_one
+from tidemark.operators.skew import join_many_to_one
 
 
 @pytest.fixture(scope="module")
@@ -21,24 +21,37 @@ def one(spark):
     return spark.createDataFrame([(7, "hot"), (8, "cold"), (11, "x"), (None, "null")], "k bigint, w string")
 
 
-@pytest.mark.parametrize("how", ["left", "inner", "left_anti", "left_semi"])
-@pytest.mark.parametrize("null_safe", [True, False])
-def test_salted_join_equals_plain_join(many, one, how, null_safe):
-    def joined(salted):
-        df = join_many_to_one(many, one, ["k"], how=how, null_safe=null_safe, salted=salted)
-        columns = ["t.k", "t.v"] + ([] if how.startswith("left_") else ["s.w"])
-        return df.select(*columns).groupBy(*[F.col(c) for c in ("k", *(["w"] if len(columns) == 3 else []))]).agg(
-            F.count("v"), F.sum("v"))
+SMALL = {"spark.sql.shuffle.partitions": "50", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+
 
-    assert rows(joined(True)) == rows(joined(False))
+@pytest.fixture
+def skewed(spark):
+    before = {k: spark.conf.get(k, None) for k in SMALL}
+    for k, v in SMALL.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def test_hot_keys_are_found_and_spread(many, one):
-    hot = hot_hashes(many, ["k"])
-    assert len(hot) == 2  # the value 7 and NULL
-    joined = join_many_to_one(many, one, ["k"], salted=True)
-    assert joined.filter("t.k = 7").select(f"{SALT}_s_many").distinct().count() == 8
-    assert joined.count() == many.count()
+@pytest.mark.parametrize("how", ["left", "inner", "left_anti", "left_semi"])
+@pytest.mark.parametrize("null_safe", [True, False])
+def test_frequent_keys_are_split(many, one, skewed, how, null_safe):
+    joined = join_many_to_one(many.repartition(12), one, ["k"], how=how, null_safe=null_safe)
+    columns = ["t.k", "t.v"] + ([] if how.startswith("left_") else ["s.w"])
+    found = rows(joined.select(*columns))
+    text = {7: "hot", 8: "cold", 11: "x"} | ({None: "null"} if null_safe else {})
+    want = [(r["k"], r["v"], text.get(r["k"])) for r in many.collect()]
+    if how in ("inner", "left_semi"):
+        want = [w for w in want if w[2]]
+    if how == "left_anti":
+        want = [w for w in want if not w[2]]
+    want = [w[:2] for w in want] if how.startswith("left_") else want
+    assert found == sorted(want, key=lambda r: [(v is None, v) for v in r])
+    done = joined.select(*columns)
+    done.collect()
+    assert "skew=true" in done._jdf.queryExecution().executedPlan().toString() or not null_safe and how in ("inner", "left_semi")
 
 
 def test_dedupe_aggregates_before_the_shuffle(many):
@@ -72,10 +85,18 @@ def test_ranks_over_many_partitions(spark):
     assert rank_rows(df.limit(0), ["o"]).count() == 0
 
 
-def test_first_rows_beyond_the_small_limit(spark, monkeypatch):
-    from tidemark.operators import topn
-
+def test_first_rows(spark):
     df = spark.range(1000)
-    small = rows(first_rows(df, [F.col("id").desc()], 10, 5))
-    monkeypatch.setattr(topn, "SMALL_TOP", 3)
-    assert rows(first_rows(df, [F.col("id").desc()], 10, 5)) == small == [(i,) for i in range(985, 995)]
+    assert rows(first_rows(df, [F.col("id").desc()], 10, 5)) == [(i,) for i in range(985, 995)]
+    assert first_rows(df, ["id"], 0).count() == 0 and first_rows(df, ["id"], 10_000, 990).count() == 10
+
+
+def test_the_check_reads_keys_and_serves_the_join(spark, tmp_path, skewed):
+    spark.range(100).selectExpr("id", "id AS a", "id AS b").write.parquet(str(tmp_path / "s"))
+    checked = dedupe(spark.read.parquet(str(tmp_path / "s")), ["id"])
+    plan = checked.select("id", "a")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<id:bigint,a:bigint>" in plan
+    joined = spark.range(50).join(checked, "id")._jdf.queryExecution().executedPlan().toString()
+    assert joined.count("Exchange hashpartitioning") == 2 and joined.count("Sort [") == 2
+    with pytest.raises(Exception, match="more than one source row"):
+        dedupe(checked.union(checked), ["id"]).count()

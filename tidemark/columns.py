@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from .spec import MergeOptions, TableSpec
 
 #: Operations that may insert, update or delete; ``changes`` decides row by row.
-INSERTING = frozenset({"insert_absent", "upsert", "sync", "changes"})
+INSERTING = frozenset({"insert", "insert_absent", "upsert", "sync", "changes"})
 UPDATING = frozenset({"upsert", "update", "sync", "changes"})
 KEY_ONLY = frozenset({"delete"})
 OPERATIONS = INSERTING | UPDATING | KEY_ONLY

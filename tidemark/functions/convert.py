@@ -12,12 +12,12 @@ from .times import epoch_micros, from_epoch_micros
 
 
 def _lookup(pairs: Mapping, column: Column) -> Column:
-    """A literal CASE, folded into generated code; unknown values become NULL."""
-    out = None
+    """A literal CASE, folded into generated code. NULL stays NULL, an unknown value fails the job."""
+    out = F.when(column.isNull(), F.lit(None))
     for key, value in pairs.items():
-        test = column == F.lit(key)
-        out = F.when(test, F.lit(value)) if out is None else out.when(test, F.lit(value))
-    return out if out is not None else F.lit(None)
+        out = out.when(column == F.lit(key), F.lit(value))
+    text = F.concat(F.lit("no member of the enumeration: "), column.cast("string"))
+    return out.otherwise(F.raise_error(text))
 
 
 def enum_to_text(members: Mapping[int, str]) -> Converter:

@@ -5,16 +5,19 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import cached_property, reduce
 from operator import and_
+from uuid import UUID
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from ..functions.defaults import EMPTY_UUID
 from ..functions.names import Row, as_column, as_filter, as_predicate, quote
 from ..spec import Converter, Value
 from .keys import dedupe
-from .skew import hashable, join_many_to_one
-from .topn import SMALL_TOP, first_rows
+from .skew import any_null, join_many_to_one
+from .topn import first_rows
 
 _HIT = "__hit"
 
@@ -37,8 +40,9 @@ class Lookup:
 class Aggregate:
     """Aggregates over the child rows of a target row; ``on`` maps target to child columns.
 
-    ``values`` names aggregate columns, reached as ``name.value``. A target row without child
-    rows (after ``where``) gets ``empty`` instead.
+    ``values`` names aggregate columns, reached as ``name.value`` in predicates and assignments; no
+    target column may have that ``name``. A target row without child rows (after ``where``) gets ``empty``
+    instead, of the value's type; the default stands for 0 in numbers and NULL in other types.
     """
 
     name: str
@@ -48,6 +52,11 @@ class Aggregate:
     where: object = None
     empty: object = 0
 
+    def filled(self, value: Column, dtype: T.DataType) -> Column:
+        if self.empty is None or (self.empty == 0 and not isinstance(dtype, T.NumericType)):
+            return value
+        return F.coalesce(value, F.lit(self.empty).cast(dtype))
+
 
 @dataclass(frozen=True)
 class Related:
@@ -109,20 +118,28 @@ def _keys(on: Mapping[str, str]) -> list[Column]:
 def _hits(target: DataFrame, scope: Scope) -> DataFrame:
     """The target with its related values joined on (as ``t``, ...) and ``__hit`` for the predicates."""
     t = Row("t")
-    columns = hashable(target)
+    clash = sorted({a.name for a in scope.aggregates} & {*target.columns})
+    if clash:
+        raise ValueError(f"aggregates are named like columns of the target: {', '.join(clash)}")
     df = target.alias("t")
     for ref in scope.lookups:
-        one = ref.table if ref.unique else dedupe(ref.table, list(ref.on.values()), "error", nulls_match=False)
-        df = join_many_to_one(df, one, list(ref.on), list(ref.on.values()), aliases=("t", ref.name), columns=columns)
+        to = list(ref.on.values())
+        one = ref.table if ref.unique else dedupe(ref.table.filter(~any_null(to)), to)
+        df = join_many_to_one(df, one, list(ref.on), to, aliases=("t", ref.name), aliased=True)
     for agg in scope.aggregates:
         rows = agg.table if agg.where is None else agg.table.filter(as_filter(agg.where, Row()))
         one = rows.groupBy(*_keys(agg.on)).agg(*[v.alias(k) for k, v in agg.values.items()])
-        df = join_many_to_one(df, one, list(agg.on), one.columns[: len(agg.on)], aliases=("t", agg.name), columns=columns)
+        keys = one.columns[: len(agg.on)]
+        raw = f"__of_{agg.name}"
+        df = join_many_to_one(df, one, list(agg.on), keys, aliases=("t", raw), aliased=True)
+        # over no child rows an aggregate is empty, not NULL, in predicates as in assignments
+        values = [agg.filled(F.col(quote(raw, v)), one.schema[v].dataType).alias(v) for v in agg.values]
+        df = df.withColumn(agg.name, F.struct(*values))
     tests = [as_predicate(scope.where, t)] if scope.where is not None else []
     for i, (related, wanted) in enumerate([(r, True) for r in scope.exists] + [(r, False) for r in scope.not_exists]):
         name = f"__related{i}"
         one = related.table.select(*_keys(related.on)).distinct().withColumn("__there", F.lit(True))
-        df = join_many_to_one(df, one, list(related.on), one.columns[:-1], aliases=("t", name), columns=columns)
+        df = join_many_to_one(df, one, list(related.on), one.columns[:-1], aliases=("t", name), aliased=True)
         there = F.col(quote(name, "__there"))
         tests.append(there.isNotNull() if wanted else there.isNull())
     return df.withColumn(_HIT, reduce(and_, tests, F.lit(True)))
@@ -140,8 +157,6 @@ def _marked(target: DataFrame, scope: Scope) -> DataFrame:
     candidates = _hits(_in_reach(target, scope), scope).filter(_HIT)
     candidates = candidates.select(*[t[c] for c in target.columns]).alias("t")
     picked = first_rows(candidates, order, limit, scope.offset, scope.key).withColumn("__there", F.lit(True))
-    if limit <= SMALL_TOP:
-        picked = F.broadcast(picked)  # no more than ``limit`` keys
     on = reduce(and_, [t[k] == F.col(quote("__top", k)) for k in scope.key])
     return df.drop(_HIT).join(picked.alias("__top"), on, "left").withColumn(
         _HIT, F.col(quote("__top", "__there")).isNotNull()
@@ -169,9 +184,11 @@ def changed_values(values: Mapping[str, object], update_columns: Sequence[str] |
     """Of an object's values, those worth assigning: not their type's default, or forced."""
 
     def is_default(v) -> bool:
-        if v is None or (isinstance(v, (bool, int, float)) and v == 0):
+        if v is None or (isinstance(v, (bool, int, float, Decimal)) and v == 0):
             return True
-        return isinstance(v, dt.date) and (v.year, v.month, v.day) == (1, 1, 1)
+        if isinstance(v, dt.datetime):
+            return v.replace(tzinfo=None) == dt.datetime.min
+        return v in (dt.date.min, dt.time.min, UUID(EMPTY_UUID)) if isinstance(v, (dt.date, dt.time, UUID)) else False
 
     forced = set(update_columns or ())
     unknown = sorted(forced - set(values))
@@ -203,11 +220,6 @@ def batch_update(
         raise ValueError(f"set names unknown columns: {', '.join(unknown)}")
     wanted = Scope(where=where, **scope)
     t = Row("t")
-    # An aggregate over no child rows is empty, not NULL.
-    fills = {
-        f"__agg_{a.name}_{v}": F.coalesce(F.col(quote(a.name, v)), F.lit(a.empty))
-        for a in wanted.aggregates for v in a.values
-    }
 
     def new_value(name: str) -> Column:
         value = set[name]
@@ -221,11 +233,11 @@ def batch_update(
         F.when(F.col(_HIT), new_value(c)).otherwise(t[c]).alias(c) if c in set else t[c] for c in target.columns
     ]
     return BatchResult(
-        lambda: _marked(target, wanted).withColumns(fills).select(*columns),
-        lambda: _marked(_in_reach(target, wanted), wanted).filter(_HIT).withColumns(fills).select(*columns),
+        lambda: _marked(target, wanted).select(*columns),
+        lambda: _marked(_in_reach(target, wanted), wanted).filter(_HIT).select(*columns),
     )
 
 
 def child_value(aggregate: Aggregate, value: str) -> Column:
-    """An aggregate's value in ``set``, ``empty`` standing in where there are no child rows."""
-    return F.col(f"__agg_{aggregate.name}_{value}")
+    """An aggregate's value, ``empty`` standing in where there are no child rows."""
+    return F.col(quote(aggregate.name, value))

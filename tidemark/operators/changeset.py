@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.names import quote
 from ..sources.staging import stage
 from ..spec import TableSpec
+from .keys import dedupe
 from .merge import _OP, ORDINAL, MergeResult, merge
 from .skew import join_many_to_one
 
@@ -63,7 +64,8 @@ def apply_changes(
 ) -> dict[str, MergeResult]:
     """Apply change rows to their tables; ``op_column`` says insert, update or delete per row.
 
-    A table's three kinds of change are one merge and so one join. Tables come parents first,
+    Any other code fails the job, as does an insert of a row that is there; an update or delete of one that is not changes
+    nothing. A table's three kinds of change are one merge and so one join. Tables come parents first,
     so that a child can take the key generated for its parent (``ordinal`` names, per table, the
     column that orders and identifies its change rows); publish inserts in that order
     and deletions in the reverse one (see :func:`publish_order`).
@@ -87,7 +89,8 @@ def _given_keys(parent: MergeResult) -> DataFrame:
     loaded = parent.loaded_back("identity")
     if ORDINAL not in loaded.columns:
         raise ValueError(f"a reference to a key of '{parent.spec.name}' needs the ordinal of its change rows")
-    return loaded.select(F.col(ORDINAL).alias("__ref"), F.col(quote(parent.plan.key[0])).alias("__key"))
+    given = loaded.select(F.col(ORDINAL).alias("__ref"), F.col(quote(parent.plan.key[0])).alias("__key"))
+    return dedupe(given.filter("__ref IS NOT NULL"), ["__ref"])  # an ordinal that repeats names no row
 
 
 def _take_parent_key(rows: DataFrame, fk: ForeignKey, keys: DataFrame) -> DataFrame:

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 
-from pyspark.sql import Column, DataFrame, Row as Record, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.names import quote
 from ..sources.publish import publish_partitions
@@ -15,9 +15,6 @@ from ..sources.staging import discard, stage_path
 from ..spec import MergeOptions, TableSpec
 from .merge import ACTION, MergeResult, merge
 
-#: Up to this many partitions are named in the read of the target; beyond, all are read.
-MAX_NAMED = 10_000
-
 
 def read_folder(spark: SparkSession, path: str, schema) -> DataFrame:
     """The folder's rows; none if it does not exist yet."""
@@ -30,19 +27,22 @@ def read_folder(spark: SparkSession, path: str, schema) -> DataFrame:
     return stored.select(*[F.col(quote(c)) for c in empty.columns])
 
 
-def _named(values: Sequence[Record], columns: Sequence[str]) -> Column:
-    """Tests partition columns for a list of values; Spark prunes the read by it."""
-    if len(columns) == 1:
-        column = F.col(quote(columns[0]))
-        test = column.isin([v[0] for v in values if v[0] is not None])
-        return test | column.isNull() if any(v[0] is None for v in values) else test
-    tests = [reduce(and_, [F.col(quote(c)).eqNullSafe(F.lit(v[c])) for c in columns]) for v in values]
-    return reduce(or_, tests, F.lit(False))
-
+def _only(stored: DataFrame, partitions: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, bool]:
+    """The rows in some partitions, and whether there are any such partitions.
 
-def _partitions(df: DataFrame, columns: Sequence[str], at_most: int) -> list[Record] | None:
-    found = df.select(*[F.col(quote(c)) for c in columns]).distinct().limit(at_most + 1).collect()
-    return found if len(found) <= at_most else None
+    Their values come to the driver, which lists the folder's partitions anyway. A list of values per column prunes
+    the read; where there are several columns, a join leaves out the combinations that were not asked for.
+    """
+    wanted = partitions.select(*[F.col(quote(c)) for c in columns]).distinct()
+    found = wanted.collect()
+    for c in columns:
+        column, values = F.col(quote(c)), {r[c] for r in found}
+        test = column.isin([v for v in values if v is not None])
+        stored = stored.filter(test | column.isNull() if None in values else test)
+    if len(columns) > 1:
+        on = reduce(and_, [F.col(quote("t", c)).eqNullSafe(F.col(quote("p", c))) for c in columns])
+        stored = stored.alias("t").join(wanted.alias("p"), on, "left_semi")
+    return stored, bool(found)
 
 
 def merge_folder(
@@ -54,30 +54,30 @@ def merge_folder(
     operation: str = "upsert",
     options: MergeOptions | None = None,
     keep_staged: bool = False,
+    sync_named: bool = False,
     **settings,
 ) -> MergeResult | None:
     """Merge ``source`` into the table at ``path`` and write back the partitions that changed.
 
     Partition columns must belong to the match key, so that a row cannot change partition:
     then only the partitions named by the source are read, and of those only the ones with an
-    inserted, updated or deleted row are written. Repeating a merge that failed half-way is
+    inserted, updated or deleted row are written. A ``sync`` needs ``sync_named``, which confines it to the partitions
+    that the source names: these then equal the source. Repeating a merge that failed half-way is
     safe. Returns the result, readable only with ``keep_staged``; None if nothing was asked.
     """
     options = (options or MergeOptions()).with_(**settings)
     key = list(options.match_on or spec.key)
     if not set(partition_by) <= set(key):
         raise ValueError(f"partition columns {list(partition_by)} must belong to the match key {key}")
-    if operation == "sync":
-        raise ValueError("a sync concerns every partition; merge the whole table and publish that")
+    if operation == "sync" and not sync_named:
+        raise ValueError("a sync concerns every partition; merge the whole table and publish that, or set sync_named")
     spark = source.sparkSession
     if options.column_mapping:
         source, options = rename_columns(source, options.column_mapping), options.with_(column_mapping=None)
     stored = read_folder(spark, path, schema)
-    touched = _partitions(source, partition_by, MAX_NAMED)
-    if touched is not None:
-        if not touched:
-            return None
-        stored = stored.filter(_named(touched, partition_by))
+    stored, any_named = _only(stored, source, partition_by)
+    if not any_named:
+        return None
     copy = stage_path(spark, "folder")
     merged = merge(stored, source, spec, operation, options).staged(copy)
 
@@ -89,7 +89,7 @@ def merge_folder(
     on = reduce(and_, [F.col(quote("r", c)).eqNullSafe(F.col(quote("p", c))) for c in partition_by])
     rows = merged.result.alias("r").join(state.filter("__left > 0").alias("p"), on, "left_semi")
     publish_partitions(rows, path, partition_by, staged=True)
-    if operation in ("delete", "changes"):
+    if operation in ("delete", "changes", "sync"):
         _drop_emptied(spark, path, schema, state.filter("__left = 0"), partition_by)
     if not keep_staged:
         discard(spark, copy)
@@ -98,10 +98,8 @@ def merge_folder(
 
 def _drop_emptied(spark: SparkSession, path: str, schema, emptied: DataFrame, partition_by: Sequence[str]) -> None:
     """Remove the folders of partitions that lost their last row: no write replaces those."""
-    gone = emptied.select(*[F.col(quote(c)) for c in partition_by])
-    on = reduce(and_, [F.col(quote("t", c)).eqNullSafe(F.col(quote("p", c))) for c in partition_by])
-    files = read_folder(spark, path, schema).withColumn("__folder", F.regexp_replace(F.input_file_name(), "/[^/]*$", ""))
-    folders = files.alias("t").join(gone.alias("p"), on, "left_semi").select("__folder").distinct()
-    for row in folders.collect():  # one per emptied partition
+    stored = read_folder(spark, path, schema).withColumn("__folder", F.regexp_replace(F.input_file_name(), "/[^/]*$", ""))
+    left, some = _only(stored, emptied, partition_by)
+    for row in left.select("__folder").distinct().collect() if some else ():  # one per emptied partition
         folder = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(row[0]))
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -5,15 +5,17 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.names import quote
 from ..sources.staging import stage
 from ..spec import TableSpec
+from .identity import RANK, rank_rows
 from .keys import dedupe
 from .merge import ORDINAL, MergeResult, merge
-from .skew import join_many_to_one
+from .skew import any_null, join_many_to_one, row_hash
 
 ROW = "__row"
 _GRAPH_OPERATIONS = {"insert_absent", "upsert", "sync", "update"}
@@ -21,20 +23,20 @@ _GRAPH_OPERATIONS = {"insert_absent", "upsert", "sync", "update"}
 
 @dataclass(frozen=True)
 class Many:
-    """A nested array of child rows; the child's ``foreign_key`` takes the parent's key."""
+    """A nested array of child rows; the child's ``foreign_key`` (a column for each of the key) takes the parent's key."""
 
     field: str
     node: "Node"
-    foreign_key: str
+    foreign_key: str | tuple[str, ...]
 
 
 @dataclass(frozen=True)
 class One:
-    """A nested row this row refers to; this row's ``foreign_key`` takes its key."""
+    """A nested row this row refers to; this row's ``foreign_key`` (a column for each of the key) takes its key."""
 
     field: str
     node: "Node"
-    foreign_key: str
+    foreign_key: str | tuple[str, ...]
 
 
 @dataclass(frozen=True)
@@ -69,11 +71,23 @@ def _pending(column: str) -> str:
     return f"__link_{column}"
 
 
-def _link(node: Node, prefix: str | None = None) -> Column:
-    def part(c: str) -> Column:
-        return F.col(quote(c)) if c == ROW or prefix is None else F.col(quote(prefix, c))
+def _foreign(ref: Many | One, parent: Node) -> tuple[str, ...]:
+    columns = (ref.foreign_key,) if isinstance(ref.foreign_key, str) else tuple(ref.foreign_key)
+    if len(columns) != len(parent.spec.key):
+        raise ValueError(f"the key of '{parent.spec.name}' has {len(parent.spec.key)} columns, not {len(columns)} as in '{ref.field}'")
+    return columns
 
-    return F.struct(*[part(c).alias(f"k{i}") for i, c in enumerate(node.link)])
+
+def _link(node: Node, row: Column, prefix: str | None = None) -> Column:
+    """What a row is known by: its natural key, or its path where there is none or part of it is NULL."""
+    natural = [F.col(quote(c) if prefix is None else quote(prefix, c)) for c in node.match_on or ()]
+    known = reduce(and_, [c.isNotNull() for c in natural]) if natural else F.lit(False)
+    return F.struct(*[c.alias(f"k{i}") for i, c in enumerate(natural)], F.when(~known, row).alias("row"))
+
+
+def _below(place: Column) -> Column:
+    """The path of a row nested in this one."""
+    return F.struct(F.col(ROW)["root"].alias("root"), F.concat(F.col(ROW)["path"], F.array(place.cast("bigint"))).alias("path"))
 
 
 def flatten_graph(df: DataFrame, root: Node, ordinal: str | None = None) -> dict[str, Flat]:
@@ -81,51 +95,51 @@ def flatten_graph(df: DataFrame, root: Node, ordinal: str | None = None) -> dict
 
     Referenced rows come before the rows that refer to them, children after. Foreign keys are
     filled from the nested rows; where the key is still to be generated, the row keeps a link
-    to its parent instead. Each row gets ``__row``, its path in the graph, which orders it and
-    identifies it; ``ordinal`` is the root's part of that path.
+    to its parent instead. Each row gets ``__row``, its path in the graph, which orders it (by the
+    ``ordinal`` of its root, of any type, first) and identifies it, be ordinals repeated or absent. Within one evaluation, that is:
+    :func:`merge_graph`, which evaluates tables one by one, numbers and stores the rows before.
     """
-    if ordinal is not None:
-        df = df.withColumn(ROW, F.array(F.col(quote(ordinal)).cast("bigint")))
-    else:
-        df = df.withColumn(ROW, F.array(F.xxhash64(*[F.col(quote(c)) for c in root.link if c != ROW])))
+    if ROW not in df.columns:
+        first = F.lit(None).cast("int") if ordinal is None else F.col(quote(ordinal))
+        df = df.withColumn(ROW, F.struct(first.alias("root"), F.array(F.monotonically_increasing_id()).alias("path")))
     found: dict[str, list[Flat]] = {}
     order: list[str] = []
 
     def visit(rows: DataFrame, node: Node, pending: dict[str, str]) -> None:
         name = node.spec.name
         nested = {r.field for r in (*node.many, *node.one)}
-        filled = {r.foreign_key for r in node.one}
+        filled = {c for r in node.one for c in _foreign(r, r.node)}
         own = [F.col(quote(c)) for c in rows.columns if c not in nested and c not in filled]
         for place, ref in enumerate(node.one):
             to = ref.node
             inner = rows.schema[ref.field].dataType
-            path = F.concat(F.col(ROW), F.array(F.lit(-1 - place).cast("bigint")))
+            path = _below(F.lit(-1 - place))
             there = rows.filter(F.col(quote(ref.field)).isNotNull())
             visit(there.select(*[F.col(quote(ref.field, c)) for c in inner.names], path.alias(ROW)), to, {})
             if to.generated:
-                link = _link(to, ref.field) if to.match_on else F.struct(path.alias("k0"))
-                own.append(F.when(F.col(quote(ref.field)).isNotNull(), link).alias(_pending(ref.foreign_key)))
-                pending = {**pending, ref.foreign_key: to.spec.name}
+                column = _foreign(ref, to)[0]
+                own.append(F.when(F.col(quote(ref.field)).isNotNull(), _link(to, path, ref.field)).alias(_pending(column)))
+                pending = {**pending, column: to.spec.name}
             else:
-                own.append(F.col(quote(ref.field, to.spec.key[0])).alias(ref.foreign_key))
+                own += [F.col(quote(ref.field, k)).alias(c) for c, k in zip(_foreign(ref, to), to.spec.key)]
         found.setdefault(name, []).append(Flat(node, rows.select(*own), pending))
         if name not in order:
             order.append(name)
         for ref in node.many:
             child = ref.node
             inner = rows.schema[ref.field].dataType.elementType
+            columns = _foreign(ref, node)
             if node.generated:
-                handed = _link(node).alias(_pending(ref.foreign_key))
-                waits = {ref.foreign_key: name}
+                handed = {_pending(columns[0]): _link(node, F.col(ROW))}
+                waits = {columns[0]: name}
             else:
-                handed = F.col(quote(node.spec.key[0])).alias(ref.foreign_key)
+                handed = {c: F.col(quote(k)) for c, k in zip(columns, node.spec.key)}
                 waits = {}
-            exploded = rows.select(ROW, handed, F.posexplode(F.col(quote(ref.field))).alias("__pos", "__child"))
-            path = F.concat(F.col(ROW), F.array(F.col("__pos").cast("bigint")))
-            carried = _pending(ref.foreign_key) if waits else ref.foreign_key
+            carried = [v.alias(c) for c, v in handed.items()]
+            exploded = rows.select(ROW, *carried, F.posexplode(F.col(quote(ref.field))).alias("__pos", "__child"))
             children = exploded.filter(F.col("__child").isNotNull()).select(
-                *[F.col(quote("__child", c)) for c in inner.names if c != ref.foreign_key],
-                F.col(quote(carried)), path.alias(ROW),
+                *[F.col(quote("__child", c)) for c in inner.names if c not in columns],
+                *[F.col(quote(c)) for c in handed], _below(F.col("__pos")).alias(ROW),
             )
             visit(children, child, waits)
 
@@ -155,13 +169,16 @@ def merge_graph(
 ) -> dict[str, MergeResult]:
     """Merge nested rows into their tables, parents first, and hand generated keys down.
 
-    Each table reads the nested rows anew; ``stage`` them first if they are costly to make.
+    The nested rows are numbered in the order of ``ordinal`` and stored once, as all tables read them and generated
+    keys must be the same for each. Ordinals may be of any type, repeat, or be left out.
     """
     if operation not in _GRAPH_OPERATIONS:
         raise ValueError(f"a graph can be merged with {sorted(_GRAPH_OPERATIONS)}, not '{operation}'")
     results: dict[str, MergeResult] = {}
     keys: dict[str, DataFrame] = {}
-    flats = flatten_graph(df, root, ordinal)
+    numbered = rank_rows(df, [ordinal] if ordinal is not None else [row_hash(df)])
+    path = F.struct(F.col(RANK).alias("root"), F.array(F.col(RANK).cast("bigint")).alias("path"))
+    flats = flatten_graph(numbered.withColumn(ROW, path).drop(RANK), root)
     awaited = {parent for f in flats.values() for parent in f.pending.values()}
 
     def merged(name: str, node: Node, rows: DataFrame) -> MergeResult:
@@ -179,20 +196,26 @@ def merge_graph(
         own = [c for c, p in flat.pending.items() if p == name]
         if own:  # rows refer to rows of the same table: their keys first, then the references
             unset = {c: F.lit(None).cast("bigint") for c in own}
-            keys[name] = _given_keys(merged(name, node, rows.withColumns(unset)), node)
+            keys[name] = _given_keys(merged(name, node, rows.withColumns(unset)), node, rows, targets[name], operation)
             for column in own:
                 rows = _resolve(rows, column, keys[name])
         results[name] = merged(name, node, rows)
         if name in awaited and name not in keys:
-            keys[name] = _given_keys(results[name], node)
+            keys[name] = _given_keys(results[name], node, rows, targets[name], operation)
     return results
 
 
-def _given_keys(result: MergeResult, node: Node) -> DataFrame:
+def _given_keys(result: MergeResult, node: Node, rows: DataFrame, target: DataFrame, operation: str) -> DataFrame:
     """Each row's link and the key it has now; stored, as children ask for it repeatedly."""
-    link = [ORDINAL if c == ROW else c for c in node.link]
-    struct = F.struct(*[F.col(quote(c)).alias(f"k{i}") for i, c in enumerate(link)])
-    given = result.loaded_back().select(struct.alias("__link"), F.col(quote(node.spec.identity)).alias("__key"))
+    key = F.col(quote(node.spec.identity)).alias("__key")
+    given = result.loaded_back().select(_link(node, F.col(ORDINAL)).alias("__link"), key)
+    if operation == "insert_absent":  # rows that were there already have a key as well
+        match = list(node.match_on or node.spec.key)
+        there = target.select(*dict.fromkeys([*match, node.spec.identity])).filter(~any_null(match))
+        there = dedupe(there, match).withColumn("__key", F.col(quote(node.spec.identity)))
+        known = join_many_to_one(rows, there, match, how="inner", aliases=("r", "k"))
+        own = known.select(*[F.col(quote("r", c)) for c in rows.columns], F.col("k.__key"))
+        given = given.union(own.select(_link(node, F.col(ROW)).alias("__link"), "__key"))
     return stage(given, "keys")
 
 

@@ -53,7 +53,7 @@ def lookup(
     wanted = [c for c in target.columns if columns is None or c in columns or c in key]
     unique = tuple(key) == tuple(spec.key)
     if mode == "replace":
-        return _replace(source, target.select(*[F.col(quote(c)) for c in wanted]), key, unique, duplicates, null_safe)
+        return _replace(source, target.select(*[F.col(quote(c)) for c in wanted]), key, duplicates, null_safe)
     if mode != "enrich":
         raise ValueError(f"mode must be enrich or replace, not '{mode}'")
 
@@ -62,7 +62,7 @@ def lookup(
     found = target.select(*[F.col(quote(c)) for c in needed])
     if looks_small(source):  # read the table once past the keys; no more rows survive than match
         found = join_many_to_one(found, source.select(*[F.col(quote(k)) for k in key]).distinct(), key,
-                                 how="left_semi", null_safe=null_safe, salted=False).select(*needed)
+                                 how="left_semi", null_safe=null_safe).select(*needed)
     if not unique:
         found = dedupe(found, key, "first" if order else "error", order)
     found = found.withColumn("__found", F.lit(True))
@@ -74,24 +74,28 @@ def lookup(
     return joined.select(*out)
 
 
-def _replace(source: DataFrame, target: DataFrame, key: list[str], unique: bool, duplicates: str,
-             null_safe: bool) -> DataFrame:
+def _replace(source: DataFrame, target: DataFrame, key: list[str], duplicates: str, null_safe: bool) -> DataFrame:
     keys = [F.col(quote(k)) for k in key]
-    salted = False if unique else None
     if duplicates == "drop":
         once = source.select(*keys).distinct()
-        joined = join_many_to_one(target, once, key, how="left_semi", null_safe=null_safe, salted=salted)
+        joined = join_many_to_one(target, once, key, how="left_semi", null_safe=null_safe)
         return joined.select(*[F.col(quote("t", c)) for c in target.columns])
     if duplicates != "keep":
         raise ValueError(f"duplicates must be keep or drop, not '{duplicates}'")
     # Requests are counted per key first, so a key asked for often is one row in the join.
     asked = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("__asked"))
-    joined = join_many_to_one(target, asked, key, how="inner", null_safe=null_safe, salted=salted)
+    joined = join_many_to_one(target, asked, key, how="inner", null_safe=null_safe)
     n = F.col(quote("s", "__asked"))
     rows = joined.select(*[F.col(quote("t", c)) for c in target.columns], n.alias("__n"))
-    last = int_divide(F.col("__n") - 1, F.lit(_BLOCK))
-    blocks = rows.withColumn("__block", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
-    size = F.least(F.lit(_BLOCK), F.col("__n") - F.col("__block") * _BLOCK)
-    return blocks.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), size))).select(
-        *[F.col(quote(c)) for c in target.columns]
-    )
+    # Rows asked for more than a block's worth are cut into blocks (in two steps, so that no array is long), which
+    # are dealt out again: else one task would have to make all copies of a row.
+    often = rows.filter(F.col("__n") > _BLOCK)
+    zero, tasks = F.lit(0).cast("bigint"), int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    for step in (_BLOCK * _BLOCK, _BLOCK):
+        last = int_divide(F.col("__n") - 1, F.lit(step))
+        often = often.withColumn("__part", F.explode(F.sequence(zero, last)))
+        often = often.withColumn("__n", F.least(F.lit(step).cast("bigint"), F.col("__n") - F.col("__part") * step))
+        often = often.repartition(tasks, *keys, "__part").drop("__part")  # a fixed number: the rows are few and small as yet
+    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__n")))
+    both = rows.filter(F.col("__n") <= _BLOCK).union(often)
+    return both.withColumn("__copy", copies).select(*[F.col(quote(c)) for c in target.columns])

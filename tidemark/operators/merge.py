@@ -29,7 +29,7 @@ from ..sources.staging import stage
 from ..spec import MergeOptions, TableSpec
 from .identity import assign_identity
 from .keys import dedupe
-from .skew import any_null, estimated_bytes, frequent_keys, join_many_to_one, looks_small, row_hash
+from .skew import any_null, estimated_bytes, join_many_to_one, looks_small, row_hash
 
 ACTION = "__action"
 ORDINAL = "__ordinal"
@@ -171,6 +171,9 @@ def _prepare_source(source: DataFrame, target: DataFrame, spec: TableSpec, plan:
         columns.append(order.alias(ORDINAL))
     if _OP in source.columns:
         columns.append(F.col(_OP))
+        known = F.coalesce(F.col(_OP).isin("I", "U", "D"), F.lit(False))
+        text = F.concat(F.lit(f"a change row of '{spec.name}' is marked neither I, U nor D but "), F.coalesce(F.col(_OP), F.lit("NULL")))
+        source = source.filter(F.when(known, True).otherwise(F.raise_error(text).cast("boolean")))
     if not key_only:  # predicates may look at columns the target does not have
         columns += [F.col(quote(c)) for c in extra]
     return source.select(*columns)
@@ -192,12 +195,18 @@ def _flags(operation: str, s: Row) -> tuple[Column, Column, Column]:
     if operation == "changes":
         return tuple(s[_OP] == code for code in ("I", "U", "D"))
     return (
-        yes if operation in ("insert_absent", "upsert", "sync") else no,
+        yes if operation in INSERTING else no,
         yes if operation in ("upsert", "update", "sync") else no,
         yes if operation == "delete" else no,
     )
 
 
+def _unless(bad: Column, message: str, key: tuple[str, ...], row: Row) -> Column:
+    """A test that holds, or fails the job with the key. As a filter it cannot be optimised away."""
+    values = F.concat_ws(", ", *[F.coalesce(row[k].cast("string"), F.lit("NULL")) for k in key])
+    return F.when(bad, F.raise_error(F.concat(F.lit(f"{message} ("), values, F.lit(")"))).cast("boolean")).otherwise(True)
+
+
 def _defaults_on_insert(spec: TableSpec, plan: ColumnPlan, options: MergeOptions, source: DataFrame,
                         s: Row) -> dict[str, Column]:
     """Insert values of the columns that have a declared default."""
@@ -278,6 +287,9 @@ def _classify(joined: DataFrame, spec: TableSpec, plan: ColumnPlan, options: Mer
     extra = [s[ORDINAL].alias(ORDINAL)] if ORDINAL in source.columns else []
     if operation == "changes":  # e.g. an update of a row that is not there
         acted = acted.filter(in_t | F.col(ACTION).isNotNull())
+        acted = acted.filter(_unless(in_t & in_s & (s[_OP] == "I"), f"'{spec.name}' already has a row to be inserted, for key", plan.key, s))
+    elif operation == "insert":
+        acted = acted.filter(_unless(in_t & in_s, f"'{spec.name}' already has a row for key", plan.key, s))
     return acted.select(F.col(ACTION), in_s.alias(FROM_SOURCE), *extra, *values)
 
 
@@ -344,7 +356,7 @@ def merge(
         keyed = prepared
     if plan.key:
         on_order = [ORDINAL] if ORDINAL in keyed.columns else options.ordinals()
-        keyed = dedupe(keyed, plan.key, options.on_duplicate, on_order)
+        keyed = dedupe(keyed, plan.key, options.on_duplicate, on_order, nulls_match=plan.null_safe)
     if options.join_hint:
         keyed = keyed.hint(options.join_hint)
 
@@ -380,8 +392,7 @@ def merge(
         classified = classify(tagged_t.alias("t").join(tagged_s.alias("s"), on, "full_outer"))
         new = None
     else:
-        joined = join_many_to_one(tagged_t, tagged_s, plan.key, null_safe=plan.null_safe,
-                                  salted=False if unique_in_target else None)
+        joined = join_many_to_one(tagged_t, tagged_s, plan.key, null_safe=plan.null_safe)
         classified = classify(joined)
         new = None
         if inserts:
@@ -405,8 +416,7 @@ def merge(
     if options.check_version:
         def conflicts() -> DataFrame:
             t, s = Row("t"), Row("s")
-            pairs = join_many_to_one(target, keyed, plan.key, how="inner", null_safe=plan.null_safe,
-                                     salted=False if unique_in_target else None)
+            pairs = join_many_to_one(target, keyed, plan.key, how="inner", null_safe=plan.null_safe)
             differ = ~F.coalesce(t[spec.version] == s[spec.version], F.lit(False))
             return pairs.filter(differ).select(
                 *[t[k].alias(k) for k in plan.key],
@@ -456,10 +466,9 @@ def _delete(target: DataFrame, keys: DataFrame, spec: TableSpec, plan: ColumnPla
     keys = keys.distinct()
     if options.join_hint:
         keys = keys.hint(options.join_hint)
-    hot = [] if tuple(plan.key) == tuple(spec.key) else frequent_keys(target, keys, plan.key)
 
     def side(how: str) -> DataFrame:
-        joined = join_many_to_one(target, keys, plan.key, how=how, null_safe=plan.null_safe, hot=hot)
+        joined = join_many_to_one(target, keys, plan.key, how=how, null_safe=plan.null_safe)
         return joined.select(*[F.col(quote(c)) for c in target.columns])
 
     kept, gone = side("left_anti"), side("left_semi")
@@ -521,13 +530,7 @@ def insert(target: DataFrame, source: DataFrame, spec: TableSpec, on_conflict: s
         return append_rows(kept, new, spec, include=new.columns, keep_identity=True)
     if on_conflict != "error":
         raise ValueError(f"on_conflict must be error, ignore or replace, not '{on_conflict}'")
-    # Matched rows must fail, so they are asked for an update that raises.
-    text = F.concat_ws(", ", *[Row("s")[k].cast("string") for k in spec.key])
-    message = F.concat(F.lit(f"'{spec.name}' already has a row for key ("), text, F.lit(")"))
-    return merge(
-        target, source, spec, "upsert",
-        **{**settings, "always_update": True, "where": F.raise_error(message).cast("boolean")},
-    ).result
+    return merge(target, source, spec, "insert", **settings).result
 
 
 def table_diff(target: DataFrame, source: DataFrame, spec: TableSpec, **settings) -> DataFrame:

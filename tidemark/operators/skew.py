@@ -1,8 +1,8 @@
 """Joins of many rows to one, where some key may be very frequent on the many side.
 
-A shuffle join sends all rows of a key to one task. Here frequent keys are found with one
-sketch aggregate and their rows spread over several tasks, the single matching row being
-copied to each. The result is that of the plain join for every choice of frequent keys.
+The many side is always the left one of a left, inner, semi or anti join, whose large partitions Spark's adaptive
+execution splits over several tasks while the job runs. Nothing is asked of the data beforehand, so building a plan
+runs no job, and there is no bound on how many keys are frequent or how frequent they are.
 """
 
 from __future__ import annotations
@@ -16,13 +16,6 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.names import quote
 
-SALT = "__salt"
-#: Most keys treated as frequent, and the smallest share of the rows that makes one so.
-MAX_HOT_KEYS = 1000
-MIN_SHARE = 0.0005
-#: Bounds on the number of tasks a frequent key is spread over.
-MIN_SALTS, MAX_SALTS = 8, 1024
-
 
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of a plan, or None where it cannot be had."""
@@ -64,33 +57,6 @@ def any_null(columns: Sequence[str]) -> Column:
     return reduce(or_, [F.col(quote(c)).isNull() for c in columns])
 
 
-def shuffle_partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
-def salts(df: DataFrame) -> int:
-    """Tasks to spread a frequent key over; even one with all the rows then fills every task."""
-    return min(MAX_SALTS, max(MIN_SALTS, shuffle_partitions(df)))
-
-
-def hot_hashes(df: DataFrame, columns: Sequence[str]) -> list[int]:
-    """Hashes of the frequent keys (quoted names): one pass over them, at most 1000 numbers.
-
-    A key counts as frequent from a quarter of an average task's share of the rows.
-    """
-    share = max(MIN_SHARE, 0.25 / shuffle_partitions(df))
-    hashed = df.select(F.xxhash64(*columns).alias("h"))
-    top = hashed.agg(
-        F.expr(f"approx_top_k(h, {MAX_HOT_KEYS}, 10000)").alias("top"), F.count(F.lit(1)).alias("n")
-    ).first()
-    return [r["item"] for r in top["top"] or () if r["count"] > max(1, share * top["n"])]
-
-
-def frequent_keys(many: DataFrame, one: DataFrame, on: Sequence[str]) -> list[int]:
-    """The keys of ``many`` to spread in a join with ``one``; none if Spark would broadcast that."""
-    return [] if looks_small(one) else hot_hashes(many, [quote(c) for c in on])
-
-
 def join_many_to_one(
     many: DataFrame,
     one: DataFrame,
@@ -99,45 +65,19 @@ def join_many_to_one(
     how: str = "left",
     null_safe: bool = False,
     aliases: tuple[str, str] = ("t", "s"),
-    salted: bool | None = None,
-    columns: Sequence[str] | None = None,
-    hot: list[int] | None = None,
+    aliased: bool = False,
 ) -> DataFrame:
     """Join ``many`` to ``one``, which holds each key at most once, without a hot task.
 
-    Sides are reached by ``aliases`` afterwards. If Spark would broadcast ``one`` there is no
-    shuffle to protect; otherwise (or with ``salted=True``) frequent keys are spread out. Rows
-    whose key is NULL match nothing unless ``null_safe`` and are spread as well.
-
-    ``hot`` passes on what :func:`frequent_keys` found. ``columns`` says that ``many`` is itself
-    a join whose left alias is in use already, and names the columns below that alias.
+    Sides are reached by ``aliases`` afterwards. Rows whose key is NULL match nothing unless ``null_safe``.
+    ``aliased`` says that ``many`` is itself a join whose left alias is in use already.
     """
-    to = list(to or on)
     left, right = aliases
-    if salted is None:
-        salted = hot is not None or not looks_small(one)
-    if columns is None:
-        columns = hashable(many)
+    if not aliased:
         many = many.alias(left)
-    side = [quote(left, a) for a in on]
-    if hot is None:
-        hot = hot_hashes(many, side) if salted else []
     keys = [
         F.col(quote(left, a)).eqNullSafe(F.col(quote(right, b))) if null_safe
         else F.col(quote(left, a)) == F.col(quote(right, b))
-        for a, b in zip(on, to)
+        for a, b in zip(on, to or on)
     ]
-    if hot:
-        spread = F.xxhash64(*side).isin(hot)
-        if not null_safe:
-            spread = spread | reduce(or_, [F.col(a).isNull() for a in side])
-        zero = F.lit(0).cast("bigint")
-        n = salts(many)
-        place = F.pmod(F.xxhash64(*[quote(left, c) for c in columns]), F.lit(n))
-        many = many.withColumn(SALT, F.when(spread, place).otherwise(zero))
-        copies = F.when(key_hash(to).isin(hot), F.sequence(zero, F.lit(n - 1).cast("bigint")))
-        one = one.withColumn(SALT, F.explode(F.coalesce(copies, F.array(zero))))
-        one = one.withColumnRenamed(SALT, f"{SALT}_{right}")
-        many = many.withColumnRenamed(SALT, f"{SALT}_{right}_many")
-        keys.append(F.col(f"{SALT}_{right}_many") == F.col(f"{SALT}_{right}"))
     return many.join(one.alias(right), reduce(and_, keys), how)

@@ -6,26 +6,18 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.names import quote
 from .identity import RANK, rank_rows
 
-#: Up to here Spark's own top-k keeps only this many rows per task; beyond, rows are ranked.
-SMALL_TOP = 100_000
-
 
 def first_rows(
     df: DataFrame, order: Sequence[Column], n: int, offset: int = 0, columns: Sequence[str] | None = None
 ) -> DataFrame:
     """Rows ``offset + 1 .. offset + n`` in ``order``, which should be unique.
 
-    A large limit would pass all its rows through one task, so above 100 000 the rows are
-    ranked in place instead.
+    Rows are ranked in place, so that no task has to take more than its share of them, be ``n`` large or the
+    number of tasks that each have ``n`` candidates.
     """
     if n < 0 or offset < 0:
         raise ValueError("n and offset cannot be negative")
-    if n + offset <= SMALL_TOP:
-        ordered = df.orderBy(*order)
-        first = (ordered.offset(offset) if offset else ordered).limit(n)
-        return first if columns is None else first.select(*[F.col(quote(c)) for c in columns])
     ranked = rank_rows(df, order, columns)
     return ranked.filter((F.col(RANK) > offset) & (F.col(RANK) <= offset + n)).drop(RANK)

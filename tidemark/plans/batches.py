@@ -40,6 +40,21 @@ def batch_delete_top_n(tables: Tables):
     return batch_delete(tables.orders, key=["o_orderkey"], order_by=[F.col("o_totalprice").desc()], limit=100).result
 
 
+@query("SELECT * FROM orders ORDER BY o_orderdate, o_orderkey OFFSET 9000")
+def batch_delete_top_n_large(tables: Tables):
+    """A limit of the order of the table itself."""
+    return batch_delete(tables.orders, key=["o_orderkey"], order_by=["o_orderdate"], limit=9000).result
+
+
+@query("""SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey IN (SELECT l_orderkey FROM lineitem) THEN o_orderstatus ELSE 'N' END AS o_orderstatus
+FROM orders""")
+def batch_update_childless(tables: Tables):
+    """An aggregate over no child rows is 0 in a predicate."""
+    lines = Aggregate("lines", tables.lineitem, {"o_orderkey": "l_orderkey"}, {"n": F.count(F.lit(1))})
+    orders = tables.orders.select("o_orderkey", "o_custkey", "o_orderstatus")
+    return batch_update(orders, {"o_orderstatus": "N"}, "lines.n = 0", aggregates=[lines]).result
+
+
 @query("""SELECT * FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F'
           ORDER BY o_orderdate, o_orderkey LIMIT 40 OFFSET 20)""")
 def batch_delete_offset(tables: Tables):
@@ -96,11 +111,11 @@ def batch_update_not(tables: Tables):
 
 
 @query("""SELECT o.* REPLACE (CASE WHEN o.o_totalprice < 50000
-    THEN coalesce(CASE WHEN c.c_acctbal > 0 THEN c.c_mktsegment END, 'Fallback') ELSE o.o_orderstatus END AS o_orderstatus)
+    THEN coalesce(CASE WHEN c.c_acctbal > 0 THEN c.c_mktsegment END, 'unassigned') ELSE o.o_orderstatus END AS o_orderstatus)
   FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey""")
 def batch_update_lookup(tables: Tables):
     customers = tables.customer.withColumn("segment", F.when(F.col("c_acctbal") > 0, F.col("c_mktsegment")))
-    return batch_update(tables.orders, {"o_orderstatus": F.coalesce(F.col("c.segment"), F.lit("Fallback"))},
+    return batch_update(tables.orders, {"o_orderstatus": F.coalesce(F.col("c.segment"), F.lit("unassigned"))},
                         "t.o_totalprice < 50000",
                         lookups=[Lookup("c", customers, {"o_custkey": "c_custkey"})]).result
 

@@ -92,23 +92,85 @@ BUYER = Node(TableSpec("buyer", key=("id",), identity="id"), match_on=("c_name",
 PURCHASE = Node(TableSpec("purchase", key=("o_orderkey",)), one=(One("buyer", BUYER, "buyer_id"),))
 
 
-@query("""
+SHARED = """
 WITH known AS (SELECT c_custkey AS id, c_name FROM customer WHERE c_acctbal >= 0),
  seen AS (SELECT c.c_name, min(o.o_orderkey) AS first FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey GROUP BY 1),
  ids AS (SELECT c_name, id FROM known UNION ALL
          SELECT c_name, (SELECT max(id) FROM known) + row_number() OVER (ORDER BY first)
          FROM seen WHERE c_name NOT IN (SELECT c_name FROM known))
 SELECT o.o_orderkey, o.o_totalprice, ids.id AS buyer_id
-FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey JOIN ids ON ids.c_name = c.c_name""")
+FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey JOIN ids ON ids.c_name = c.c_name"""
+
+
+@query(SHARED)
 def graph_shared_parent(tables: Tables):
     """Orders refer to buyers by nested copies; a buyer new to the table gets one number for all of them."""
+    return _purchases(tables, "upsert")
+
+
+@query(SHARED)
+def graph_absent_parents(tables: Tables):
+    """Buyers that are there already are left alone, and hand their numbers down all the same."""
+    return _purchases(tables, "insert_absent")
+
+
+def _purchases(tables: Tables, operation: str):
     nested = join_many_to_one(tables.orders, tables.customer, ["o_custkey"], ["c_custkey"], "inner").select(
         "t.o_orderkey", "t.o_totalprice", F.struct("s.c_name").alias("buyer"))
     targets = {
         "buyer": tables.customer.filter("c_acctbal >= 0").select(F.col("c_custkey").alias("id"), "c_name"),
         "purchase": tables.spark.createDataFrame([], "o_orderkey bigint, o_totalprice double, buyer_id bigint"),
     }
-    return merge_graph(nested, PURCHASE, targets, "upsert", ordinal="o_orderkey")["purchase"].result
+    return merge_graph(nested, PURCHASE, targets, operation, ordinal="o_orderkey")["purchase"].result
+
+
+def _dues(tables: Tables, ordinal: str | None):
+    """Each order's due dates, found through the number generated for it."""
+    empty = {
+        "sheet": tables.spark.createDataFrame([], "id bigint, o_orderkey bigint, o_orderpriority string"),
+        "due": tables.spark.createDataFrame([], "order_id bigint, what string, at timestamp_ntz"),
+    }
+    nested = _sheets(tables).drop("o_custkey").join(tables.orders.select("o_orderkey", "o_orderpriority"), "o_orderkey")
+    results = merge_graph(nested, SHEET, empty, "upsert", ordinal=ordinal)
+    sheets = results["sheet"].staged().result
+    return join_many_to_one(results["due"].result, sheets, ["order_id"], ["id"], "inner").select("s.o_orderkey", "t.what", "t.at")
+
+
+DUES = """SELECT o_orderkey, 'ship' AS what, o_orderdate + INTERVAL 7 DAY AS "at" FROM orders
+UNION ALL SELECT o_orderkey, 'pay', o_orderdate + INTERVAL 30 DAY FROM orders"""
+
+
+@query(DUES)
+def graph_repeated_ordinal(tables: Tables):
+    """Orders in the order of their priority, a text that thousands share."""
+    return _dues(tables, "o_orderpriority")
+
+
+@query(DUES)
+def graph_without_ordinal(tables: Tables):
+    return _dues(tables, None)
+
+
+@query("SELECT l_partkey AS part, l_orderkey AS of_order, l_linenumber AS of_line, l_suppkey AS of_supplier, l_quantity AS n FROM lineitem")
+def graph_composite_parent(tables: Tables):
+    """Children take all columns of their parent's key."""
+    part = Node(TableSpec("part", key=("part",)))
+    line = Node(TableSpec("line", key=("o", "l", "s")), many=(Many("parts", part, ("of_order", "of_line", "of_supplier")),))
+    parts = F.array(F.struct(F.col("l_partkey").alias("part"), F.col("l_quantity").alias("n")))
+    nested = tables.lineitem.select(F.col("l_orderkey").alias("o"), F.col("l_linenumber").alias("l"), F.col("l_suppkey").alias("s"), parts.alias("parts"))
+    return flatten_graph(nested, line)["part"].rows.drop("__row")
+
+
+@query("""SELECT count(DISTINCT CASE WHEN c_acctbal >= 0 THEN c_name END) + count(CASE WHEN c_acctbal < 0 THEN 1 END) AS buyers,
+  count(*) AS purchases FROM orders JOIN customer ON c_custkey = o_custkey""")
+def graph_null_natural_key(tables: Tables):
+    """Buyers without a name are not one buyer: each of their orders has its own."""
+    name = F.when(F.col("s.c_acctbal") >= 0, F.col("s.c_name"))
+    nested = join_many_to_one(tables.orders, tables.customer, ["o_custkey"], ["c_custkey"], "inner").select("t.o_orderkey", F.struct(name.alias("c_name")).alias("buyer"))
+    targets = {"buyer": tables.spark.createDataFrame([], "id bigint, c_name string"),
+               "purchase": tables.spark.createDataFrame([], "o_orderkey bigint, buyer_id bigint")}
+    done = merge_graph(nested, PURCHASE, targets, "upsert", ordinal="o_orderkey")["purchase"].result
+    return done.agg(F.count_distinct("buyer_id").alias("buyers"), F.count(F.lit(1)).alias("purchases"))
 
 
 @query("""SELECT c.c_name, c.c_custkey + 1000 AS id, p.c_custkey + 1000 AS referrer_id FROM customer c
@@ -187,12 +249,18 @@ LATEST = """SELECT user_id, event_id, ts, event_type, value FROM (
 
 
 def _streamed(tables: Tables, newer_by: str | None):
+    """Events in four batches by their time: the latest last, or first if late rows must lose."""
     spark = tables.spark
     schema = "user_id bigint, event_id bigint, ts timestamp_ntz, event_type string, value double"
     work = stage_path(spark, "stream")
     table = StreamedTable(f"{work}/table", TableSpec("last_event", key=("user_id",)), schema, ["ts", "event_id"],
                           newer_by=newer_by, buckets=8)
-    events = spark.readStream.schema(tables.events.schema).parquet(f"{tables.folder}/event*.parquet")
+    first, last = tables.events.agg(F.min("ts"), F.max("ts")).first()
+    for i in range(3, -1, -1) if newer_by else range(4):
+        low, high = (F.lit(first + (last - first) * n / 4) for n in (i, i + 1))
+        part = (F.col("ts") >= low) & ((F.col("ts") < high) if i < 3 else F.lit(True))
+        tables.events.filter(part).write.parquet(f"{work}/events/{3 - i if newer_by else i}")
+    events = spark.readStream.schema(tables.events.schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/events/*")
     table.writer(events, f"{work}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     return table.read(spark).select("user_id", "event_id", "ts", "event_type", "value")
 
@@ -204,4 +272,5 @@ def stream_upsert(tables: Tables):
 
 @query(LATEST.format(where=""))
 def stream_newer_wins(tables: Tables):
+    """Later batches hold earlier events, which must not replace what is there."""
     return _streamed(tables, "ts")

@@ -41,6 +41,14 @@ def read_replace_repeated(tables: Tables):
     return lookup(asked, tables.part, PART, mode="replace")
 
 
+@query("SELECT r.* FROM events e JOIN region r ON r.r_regionkey = CASE WHEN e.user_id % 10 < 8 THEN 1 ELSE e.user_id % 5 END")
+def read_hot_key(tables: Tables):
+    """Most requests ask for one key."""
+    key = F.when(F.col("user_id") % 10 < 8, F.lit(1)).otherwise(F.col("user_id") % 5)
+    asked = tables.events.select(key.cast(tables.region.schema["r_regionkey"].dataType).alias("r_regionkey"))
+    return lookup(asked, tables.region, TableSpec("region", key=("r_regionkey",)), mode="replace")
+
+
 @query("SELECT * FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R' AND l_tax > 0.07)")
 def read_replace_distinct(tables: Tables):
     asked = tables.lineitem.filter("l_returnflag = 'R' AND l_tax > 0.07").select(F.col("l_partkey").alias("p_partkey"))

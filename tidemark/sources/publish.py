@@ -41,11 +41,29 @@ def _next_version(spark: SparkSession, name: str) -> int:
     return max(_versions(spark, name), default=0) + 1
 
 
+def current_version(spark: SparkSession, name: str) -> int | None:
+    """The version the view ``name`` reads; None if there is no such view."""
+    if not spark.catalog.tableExists(name):
+        return None
+    text = spark.sql(f"SHOW CREATE TABLE {name}").first()[0].lower()
+    found = re.findall(re.escape(name.rpartition(".")[2].lower()) + r"__v(\d+)", text)
+    return int(found[-1]) if found else None
+
+
 def drop_old_versions(spark: SparkSession, name: str, keep: int = 1) -> list[str]:
-    """Drop all but the newest ``keep`` versions, once no reader uses them any more."""
+    """Drop versions once no reader uses them any more: all but ``keep``, counted back from the one the view reads.
+
+    A newer version, left by a publication that failed before it switched the view, is dropped as well, so
+    this must not run beside one. Without a view nothing is dropped.
+    """
     if keep < 1:
         raise ValueError("at least the current version has to be kept")
-    old = [f"{name}__v{v}" for v in _versions(spark, name)[:-keep]]
+    live = current_version(spark, name)
+    if live is None:
+        return []
+    known = _versions(spark, name)
+    kept = [v for v in known if v <= live][-keep:]
+    old = [f"{name}__v{v}" for v in known if v not in kept]
     for table in old:
         spark.sql(f"DROP TABLE {table}")
     return old
