@@ -108,7 +108,7 @@ def _compare(pairs: DataFrame, texts: DataFrame, idf: Idf, words: int, similarit
                 passed = pa.array(found >= similarity)
                 yield pa.RecordBatch.from_arrays([part.column(i).filter(passed) for i in (0, 1)], ["center", "member"])
 
-    both = pairs.join(members, "member").join(centers, "center").select("center", "member", "a", "b")
+    both = pairs.join(members.hint("merge"), "member").join(centers.hint("merge"), "center").select("center", "member", "a", "b")
     return both.mapInArrow(compare, f"center {kind}, member {kind}").distinct()
 
 
@@ -235,8 +235,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members, pairs = _thinned(stage(members, "near-members"), sure, samples)
     found = _candidates(members, likely, sure, samples)
     pairs = stage(found if pairs is None else found.union(pairs).distinct(), "near-pairs")
+    # ids asked for, and texts, grow with the documents: they are met by sorting at any size
     asked = pairs.select(F.col("center").alias("id")).union(pairs.select("member")).distinct()
-    texts = stage(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(asked, "id", "left_semi"), "near-texts")
+    texts = stage(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(asked.hint("merge"), "id", "left_semi"), "near-texts")
     links = stage(_compare(pairs, texts, idf, words, similarity, batch_bytes), "near-links")
     labels = components(links, "center", "member").withColumnRenamed("component", "found")
     classes = marked.join(labels, "node", "left")
@@ -248,6 +249,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with one row of each class, the one with the smallest id, and all rows without an id; columns stay as they are."""
     gone = near_duplicates(docs, id_col, text_col, **options).filter("NOT kept").select(id_col).distinct()
-    left = docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    left = docs.join(gone.hint("merge"), id_col, "left_anti").select(*docs.columns)
     own = F.when(F.col(id_col).isNull(), F.monotonically_increasing_id())
     return left.withColumn("__own", own).dropDuplicates([id_col, "__own"]).drop("__own")
