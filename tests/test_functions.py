@@ -2,6 +2,7 @@ import datetime as dt
 import decimal
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F, types as T
 
 from tests.conftest import rows
@@ -107,3 +108,11 @@ def test_names_and_references(spark):
     assert df.select(quote("a.b`c")).first()[0] == 1
     nested = spark.sql("SELECT 1 AS id, named_struct('id', 9, 'name', 'x') AS parent UNION ALL SELECT 2, NULL")
     assert rows(parent_key(nested, "parent", "id")) == [(1, 9), (2, None)]
+
+
+def test_an_unknown_member_fails(spark):
+    kinds = enum_to_text({1: "one", 2: "two"})
+    df = spark.createDataFrame([(1,), (None,), (3,)], "n int")
+    assert [r[0] for r in df.filter("n IS NULL OR n < 3").select(kinds.to_store(F.col("n"))).collect()] == ["one", None]
+    with pytest.raises(PySparkException, match="no member of the enumeration: 3"):
+        df.select(kinds.to_store(F.col("n"))).collect()

@@ -207,6 +207,14 @@ def test_insert_conflicts(target, source):
         insert(target, source, SPEC, "maybe")
 
 
+def test_null_keys_are_no_duplicates_unless_they_match(spark):
+    t = spark.createDataFrame([(1, "a")], "id int, v string")
+    s = spark.createDataFrame([(None, "x"), (None, "y"), (1, "b")], "id int, v string")
+    assert rows(upsert(t, s, TableSpec("n", key=("id",))).result) == [(1, "b"), (None, "x"), (None, "y")]
+    with pytest.raises(PySparkException, match="more than one source row"):
+        upsert(t, s, TableSpec("n", key=("id",), nullable=("id",))).result.count()
+
+
 def test_source_preparation(spark, target):
     s = spark.createDataFrame([(1, "z", 7, "junk")], "code bigint, name string, qty int, other string")
     with pytest.raises(ValueError, match="unknown source columns: nope"):

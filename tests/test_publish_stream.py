@@ -11,7 +11,7 @@ from tidemark import MergeOptions, TableSpec, merge_folder, merge_into, upsert
 from tidemark.operators import read_folder
 from tidemark.sources import (append, drop_old_versions, from_reader, from_rows, from_table, publish_partitions, publish_table,
                               publish_tables, source_limit, stage, truncate)
-from tidemark.sources.publish import observe_actions
+from tidemark.sources.publish import current_version, observe_actions
 from tidemark.sources.staging import staging_root
 from tidemark.streaming import StreamedTable, batch_progress
 
@@ -35,6 +35,31 @@ def test_publish_switches_a_view(spark):
         drop_old_versions(spark, "items", keep=0)
 
 
+def test_a_failed_publication_leaves_the_live_version(spark):
+    good = spark.createDataFrame([(1, "a", 1)], SCHEMA)
+    publish_tables({"ferry": good, "dock": good})
+    bad = good.withColumn("v", F.raise_error(F.lit("broken")).cast("int"))
+    with pytest.raises(Exception, match="broken"):
+        publish_tables({"ferry": good.withColumn("v", F.lit(2)), "dock": bad})
+    assert current_version(spark, "ferry") == 1 and current_version(spark, "nothing") is None
+    assert drop_old_versions(spark, "ferry") == ["ferry__v2"]
+    assert rows(spark.table("ferry"), "v") == rows(spark.table("dock"), "v") == [(1,)]
+    publish_table(good.withColumn("v", F.lit(3)), "ferry")
+    assert rows(spark.table("ferry"), "v") == [(3,)]
+
+
+def test_partitions_are_made_equal_to_an_extract(spark, tmp_path):
+    path, spec = str(tmp_path / "folder"), TableSpec("item", key=("id", "part"))
+    merge_folder(path, SCHEMA, spark.createDataFrame([(i, p, i) for i in range(4) for p in "abc"], SCHEMA), spec, ["part"])
+    extract = spark.createDataFrame([(0, "a", 7), (9, "a", 9), (1, "b", 1)], SCHEMA)
+    with pytest.raises(ValueError, match="sync_named"):
+        merge_folder(path, SCHEMA, extract, spec, ["part"], "sync")
+    done = merge_folder(path, SCHEMA, extract, spec, ["part"], "sync", sync_named=True, keep_staged=True)
+    assert done.stats.first() == (1, 1, 6)
+    assert rows(read_folder(spark, path, SCHEMA).filter("part < 'c'")) == [(0, "a", 7), (1, "b", 1), (9, "a", 9)]
+    assert read_folder(spark, path, SCHEMA).filter("part = 'c'").count() == 4
+
+
 def test_versions_in_another_database(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS side")
     df = spark.createDataFrame([(1, "a", 1)], SCHEMA)

@@ -251,6 +251,19 @@ def merge_newer_wins(tables: Tables):
     return upsert(stored(tables), feed(tables), ORDERS, where="s.o_orderdate > t.o_orderdate").result
 
 
+@query(INPUTS + f"SELECT {assigned('s.o_totalprice + 50 > 100000', VALUES)} {LEFT} UNION ALL {ABSENT}")
+def merge_extra_columns(tables: Tables):
+    """A predicate over a source column that the table does not have."""
+    wider = feed(tables).withColumn("gross", F.col("o_totalprice") + 50)
+    return upsert(stored(tables), wider, ORDERS, where="s.gross > 100000").result
+
+
+@query(INPUTS + f"SELECT 'D' AS __action, {columns_of('t')} FROM t")
+def merge_empty_source(tables: Tables):
+    """A sync with nothing empties the table."""
+    return sync(stored(tables), feed(tables).filter("false"), ORDERS).changes
+
+
 @query(INPUTS + f"SELECT {assigned('s.o_orderkey IS NOT NULL', ['o_totalprice'])} {LEFT}")
 def update_included_columns(tables: Tables):
     return update(stored(tables), feed(tables), ORDERS, include=["o_totalprice"]).result
