@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+from contextlib import suppress
+from functools import wraps
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..sources.staging import stage, stage_path, staging_root  # noqa: F401  (re-exported)
@@ -38,3 +43,20 @@ def slices(sizes, most: int) -> Iterator[tuple[int, int]]:
         total += n
     if start < len(sizes):
         yield start, len(sizes)
+
+
+def frugal(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A task function for Spark that hands its memory back when it ends.
+
+    Python workers wait for further tasks beside the executor's heap; the allocator would keep what the last task took.
+    """
+
+    @wraps(task)
+    def run(batches: Iterator) -> Iterator:
+        yield from task(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with suppress(OSError, AttributeError):  # where there is no such call, memory is kept
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return run

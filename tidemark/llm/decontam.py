@@ -128,7 +128,7 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, remove: str = "do
     hits = _hits(docs.select(id_col, text_col), benchmark, text_col=text_col, **options).filter(F.size("runs") > 0)
     if remove == "documents":
         bad = hits.select(F.col(id_col).alias("__id")).distinct()
-        return docs.join(bad, docs[id_col].eqNullSafe(bad["__id"]), "left_anti")
+        return docs.join(bad.hint("merge"), docs[id_col].eqNullSafe(bad["__id"]), "left_anti")  # ids grow with the documents
     bad = hits.select(F.col(id_col).alias("__id"), F.col("runs").alias("__runs"))
     text = F.col(text_col)
     units = F.regexp_extract_all(text, F.lit(f"({_RAW_WORD}(?:{_RAW_BETWEEN})?)"), F.lit(1))

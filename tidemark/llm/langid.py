@@ -24,7 +24,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import slices, stage
+from .common import frugal, slices, stage
 
 UNDETERMINED = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -184,7 +184,7 @@ class LanguageModel:
 class Scorer:
     """Scores texts; remembers the words of about the last ``most`` distinct ones."""
 
-    def __init__(self, model: LanguageModel, most: int = 400_000):
+    def __init__(self, model: LanguageModel, most: int = 250_000):
         self.model, self.pieces, self.most = model, pieces_of(model.vocabulary), most
         self._forget()
 
@@ -245,6 +245,7 @@ def learn_languages(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", te
     place = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 40)) / F.lit(float(1 << 40))
     chosen = usable.filter(place < share[lang]).select(lang.alias("lang"), text.alias("text"))
 
+    @frugal
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: Counter = Counter()
@@ -262,6 +263,7 @@ def learn_languages(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", te
     for _ in range(rounds):
         current = probability
 
+        @frugal
         def expect(frames: Iterator[pd.DataFrame], current=current) -> Iterator[pd.DataFrame]:
             pieces = pieces_of(vocabulary)
             total = np.zeros(current.shape)
@@ -278,7 +280,7 @@ def learn_languages(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", te
 
 
 def identify_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", folds: int = 5,
-                       batch_bytes: int = 4 << 20) -> DataFrame:
+                       batch_bytes: int = 2 << 20) -> DataFrame:
     """``id_col, held_out, lang_pred, score`` of every row of ``docs``, from its whole text alone.
 
     ``score`` is the probability of ``lang_pred`` among the learnt languages. A text that is NULL or has no
@@ -287,6 +289,7 @@ def identify_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc
     """
     kind = docs.schema[id_col].dataType.simpleString()
 
+    @frugal
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = model.scorer()
         for batch in batches:
@@ -304,7 +307,7 @@ def identify_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc
 
 
 def keep_languages(docs: DataFrame, model: LanguageModel, least: float = 0.5, languages: tuple[str, ...] | None = None,
-                   text_col: str = "text", batch_bytes: int = 4 << 20) -> DataFrame:
+                   text_col: str = "text", batch_bytes: int = 2 << 20) -> DataFrame:
     """The rows of ``docs`` whose text is in one of ``languages`` (any learnt one) with a score of ``least``.
 
     Texts without letters and NULL ones go. Columns, whatever their names, stay as they are; nothing is shuffled.
@@ -312,6 +315,7 @@ def keep_languages(docs: DataFrame, model: LanguageModel, least: float = 0.5, la
     accepted = set(model.languages if languages is None else languages)
     at = docs.columns.index(text_col)
 
+    @frugal
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = model.scorer()
         for batch in batches:

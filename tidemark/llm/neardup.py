@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, functions as F
 
-from .common import slices, stage, text_digest
+from .common import frugal, slices, stage, text_digest
 from .components import components
 from .shingles import Idf, WeightedSampler, mix, shingles, weighted_jaccard
 
@@ -38,9 +38,10 @@ def _parts(texts: pa.Array, most: int) -> Iterator[tuple[int, pa.Array]]:
         yield start, texts.slice(start, end - start)
 
 
-def document_frequencies(docs: DataFrame, text_col: str = "text", words: int = 5, rare: float = 0.01, batch_bytes: int = 2 << 20) -> Idf:
+def document_frequencies(docs: DataFrame, text_col: str = "text", words: int = 5, rare: float = 0.01, batch_bytes: int = 1 << 20) -> Idf:
     """Count over all documents; features in less than ``rare`` of them are not told apart."""
 
+    @frugal
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << Idf.BITS, np.uint32)
         for batch in batches:
@@ -50,6 +51,7 @@ def document_frequencies(docs: DataFrame, text_col: str = "text", words: int = 5
         some = np.flatnonzero(parts.any(axis=1))
         yield pa.RecordBatch.from_pydict({"segment": pa.array(some, pa.int32()), "counts": pa.array([parts[i].tobytes() for i in some], pa.binary())})
 
+    @frugal
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for batch in batches:  # however many tasks have counted, memory holds a number per feature
@@ -70,6 +72,7 @@ def _bands(docs: DataFrame, idf: Idf, id_col: str, text_col: str, words: int, ba
     """``id, digest, bands, signature`` of every row; texts without words have no bands. The signature is a byte a sample."""
     kind = docs.schema[id_col].dataType.simpleString()
 
+    @frugal
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = WeightedSampler(bands * rows)
         factors = mix(np.arange(1, bands * rows + 1, dtype=np.uint64)) | np.uint64(1)
@@ -99,6 +102,7 @@ def _compare(pairs: DataFrame, texts: DataFrame, idf: Idf, words: int, similarit
     centers = texts.select(F.col("id").alias("center"), F.col("text").alias("a"))
     kind = pairs.schema["center"].dataType.simpleString()
 
+    @frugal
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes = [(x or 0) + (y or 0) for x, y in zip(*(pa.compute.binary_length(batch.column(i)).to_pylist() for i in (2, 3)))]
@@ -153,6 +157,7 @@ def _candidates(members: DataFrame, likely: int, sure: int, samples: int) -> Dat
     """``center, member``, from ``band, key, id, signature``, with the smaller id first."""
     kind = members.schema["id"].dataType.simpleString()
 
+    @frugal
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
@@ -189,6 +194,7 @@ def _thinned(members: DataFrame, sure: int, samples: int) -> tuple[DataFrame, Da
     """
     kind, pairs = members.schema["id"].dataType.simpleString(), None
 
+    @frugal
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             alike = (_matrix(batch.column(4), samples) == _matrix(batch.column(5), samples)).sum(axis=1)
@@ -212,7 +218,7 @@ def _thinned(members: DataFrame, sure: int, samples: int) -> tuple[DataFrame, Da
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, words: int = 5,
-                    bands: int = 16, rows: int = 4, batch_bytes: int = 2 << 20) -> DataFrame:
+                    bands: int = 16, rows: int = 4, batch_bytes: int = 1 << 20) -> DataFrame:
     """``id_col, class_id, kept`` of every row of ``docs``.
 
     A class is a connected set of texts that are equal, or were paired and have a weighted Jaccard similarity of at least

@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 
-from .common import slices
+from .common import frugal, slices
 
 #: Fixed value: the splitting pattern of the byte-level tokenizer.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -88,6 +88,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 1024, id_col: str
     """
     kind = docs.schema[id_col].dataType.simpleString()
 
+    @frugal
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = PieceCounter(tokenizer)
         for batch in batches:
