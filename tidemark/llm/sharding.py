@@ -121,9 +121,10 @@ def shard_documents(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", t
     rows = docs.select(
         F.col(id_col).alias("id"), F.coalesce(text_digest(text), F.lit(b"")).alias("digest"), (utf8_length(text) + overhead).alias("size"),
         F.coalesce(F.crc32(text.cast("binary")), F.lit(0)).alias("text_crc32"), F.spark_partition_id().alias("origin"))
-    groups = rows.groupBy("digest").agg(F.min("id").alias("first"))
-    # the rows are on the left, where Spark splits the partition of a frequent text
-    placed = stage(_in_order(rows.join(groups, "digest"), ["first", "digest", "id", "origin"]), "shard-rows")
+    copies = rows.groupBy("digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    # read anew, with the rows on the left, so that Spark can split the partition of a frequent text
+    grouped = rows.join(stage(copies, "shard-copies"), "digest", "left").withColumn("first", F.coalesce("first", "id"))
+    placed = stage(_in_order(grouped, ["first", "digest", "id", "origin"]), "shard-rows")
     sums = placed.groupBy("first", "digest").agg(F.max("upto").alias("upto"), F.sum("size").alias("size"))
     ends = stage(sums.repartitionByRange("upto").sortWithinPartitions("upto"), "shard-groups")
     total, largest = ends.agg(F.max("upto"), F.max("size")).first()
