@@ -27,7 +27,7 @@ import pyarrow.compute  # noqa: F401
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, functions as F
 
-from .common import slices, stage, stage_path
+from .common import frugal, slices, stage, stage_path
 from .shingles import mix
 from .suffixes import suffix_array
 from .warc import _created, _store
@@ -132,6 +132,7 @@ def _write_blocks(docs: DataFrame, folder: str, id_col: str, text_col: str, bloc
     chosen = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LAST)).alias("key"),
                          F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
 
+    @frugal
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
@@ -249,9 +250,10 @@ def remove_repeats(docs: DataFrame, least: int = 50, id_col: str = "doc_id", tex
     spark = docs.sparkSession
     folder = stage_path(spark, "repeat-blocks")
     rows = _write_blocks(docs, folder, id_col, text_col, block_bytes)
-    firsts = rows.groupBy("digest").agg(F.min("key").alias("first"))
-    # rows are on the left, where Spark splits the partition of a frequent text
-    rows = stage(rows.join(firsts, "digest").withColumn("copy", F.col("key") > F.col("first")), "repeat-firsts")
+    firsts = rows.groupBy("digest").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    # read anew, with the rows on the left, so that Spark can split the partition of a frequent text
+    rows = rows.join(stage(firsts, "repeat-copies"), "digest", "left")
+    rows = stage(rows.withColumn("copy", F.coalesce(F.col("key") > F.col("first"), F.lit(False))), "repeat-firsts")
     chosen = rows.filter(~F.col("copy") & (F.col("n_bytes") >= least))
     work = stage(chosen.groupBy("path").agg(F.collect_list("row").alias("rows"), F.sum("n_bytes").alias("bytes")), "repeat-work")
     blocks, total = work.agg(F.count(F.lit(1)), F.sum("bytes")).first()
@@ -259,6 +261,7 @@ def remove_repeats(docs: DataFrame, least: int = 50, id_col: str = "doc_id", tex
     buckets = max(1, -(-(total or 0) // (4 << 20)))
     work = work.select("path", "rows")
 
+    @frugal
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in (r for b in batches for r in b.to_pylist()):
             text, _, _, _, gram = _Block(row["path"], row["rows"]).anchors(least)
@@ -293,6 +296,7 @@ def remove_repeats(docs: DataFrame, least: int = 50, id_col: str = "doc_id", tex
         often = np.concatenate([np.frombuffer(s["often"], bool) for s in row["shared"]])
         return block, block.pieces(grams, least), grams[often]
 
+    @frugal
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in (r for b in batches for r in b.to_pylist()):
             _, pieces, often = opened(row)
@@ -363,6 +367,7 @@ def remove_repeats(docs: DataFrame, least: int = 50, id_col: str = "doc_id", tex
     settled = pieces.groupBy("bucket").applyInPandas(settle, "path string, q binary, lefts binary, ids binary")
     answers = stage(settled.groupBy("path").agg(F.collect_list(F.struct("q", "lefts", "ids")).alias("answers")), "repeat-answers")
 
+    @frugal
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in (r for b in batches for r in b.to_pylist()):
             block, pieces, _ = opened(row)

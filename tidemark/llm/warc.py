@@ -29,7 +29,7 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import stage, stage_path
+from .common import frugal, stage, stage_path
 
 _GZIP = 31
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
@@ -131,6 +131,7 @@ def write_archives(rows: DataFrame, folder: str, id_col: str, url_col: str, payl
     """
     kind = rows.schema[id_col].dataType.simpleString()
 
+    @frugal
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         todo = ((i.as_py(), u.as_py(), p.as_py() or b"") for b in batches for i, u, p in zip(*b.columns))
@@ -171,8 +172,8 @@ def copies(records: DataFrame, least: int = 100) -> DataFrame:
     """
     some = records.filter(F.col("payload_bytes") >= least)
     firsts = some.groupBy("payload_digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("rows"))
-    firsts = firsts.filter("rows > 1 AND first IS NOT NULL").drop("rows")
-    # the frequent digests are on the left, whose large partitions Spark splits
+    firsts = stage(firsts.filter("rows > 1 AND first IS NOT NULL").drop("rows"), "warc-firsts")
+    # read anew, with the records on the left, so that Spark can split the partition of a frequent payload
     return some.join(firsts, "payload_digest").filter("id IS NULL OR id > first").select("archive", "n", "first")
 
 
@@ -191,6 +192,7 @@ def normalise(archives: DataFrame, folder: str, revisits: DataFrame | None = Non
         todo = archives.select("archive").join(lists, "archive", "left")
     todo = stage(todo, "warc-todo")
 
+    @frugal
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
@@ -228,6 +230,7 @@ def read_archives(archives: DataFrame) -> DataFrame:
     with its digest; a revisit tells length and digest of the payload it stands for.
     """
 
+    @frugal
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
