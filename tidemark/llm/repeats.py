@@ -237,7 +237,7 @@ def _merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return start[new], reach[np.append(new[1:], len(start)) - 1]
 
 
-def remove_repeats(docs: DataFrame, least: int = 50, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 16 << 20,
+def remove_repeats(docs: DataFrame, least: int = 50, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 10 << 20,
                    frequent: int = 20_000) -> DataFrame:
     """``id_col, n_bytes, n_removed, n_spans, kept_sha256, spans`` of every row of ``docs``.
 
