@@ -4,6 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from tidemark.llm import neardup
 from tidemark.llm.components import components
 from tidemark.llm.neardup import document_frequencies, drop_near_duplicates, near_duplicates
 from tidemark.llm.shingles import Idf, WeightedSampler, shingles, weighted_jaccard
@@ -113,3 +114,35 @@ def test_components(spark, seed):
             label[a] = label[b] = min(label[a], label[b])
     found = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()}
     assert all(found.get(n, n) == c for n, c in label.items())
+
+
+def _edited(copies, words, spans, seed, first):
+    """A text and copies of it, each with words replaced on its own in so many places; its id is the smallest or the largest."""
+    draw = random.Random(seed)
+    source = [f"s{seed}w{i}" for i in range(words)]
+    texts = []
+    for n in range(copies):
+        copy = list(source)
+        for i in draw.sample(range(words), draw.choice(spans)):
+            copy[i] = f"c{n}w{i}"
+        texts.append(" ".join(copy))
+    return [" ".join(source), *texts] if first else [*texts, " ".join(source)]
+
+
+def _classes_of_all_pairs(df, texts):
+    idf = document_frequencies(df)
+    class_of = np.arange(len(texts))
+    for i in range(1, len(texts)):
+        similar = weighted_jaccard(shingles(pa.array([texts[i]] * i)), shingles(pa.array(texts[:i])), idf, i)
+        for j in np.flatnonzero(similar >= 0.8):
+            a, b = class_of[i], class_of[j]
+            class_of[(class_of == a) | (class_of == b)] = min(a, b)
+    return dict(enumerate(class_of.tolist()))
+
+
+def test_large_groups_against_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "_GROUP", 6)
+    texts = [t for i in range(3) for t in _edited(40, 200, [1, 4], i, i < 2)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    wanted = _classes_of_all_pairs(df, texts)
+    assert {r["doc_id"]: r["class_id"] for r in near_duplicates(df).collect()} == wanted and len(set(wanted.values())) < 30

@@ -8,6 +8,8 @@
    likely similar to the first one are paired with it; each of the others is paired with those most like itself.
    So a group gives a few pairs a text, however large it is.
 4. Pairs are verified by the weighted Jaccard similarity of their whole shingle sets, and make connected components.
+5. In a large group that is not one component then, texts outside the largest one are paired with further likely partners
+   of other components, more in each round, until there are none: no link between two texts that share a band is left out.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import frugal, slices, stage, text_digest
 from .components import components
@@ -28,8 +30,12 @@ _SEGMENT = 1 << 10
 _LIKELY, _SURE, _SAMPLES = 36, 58, 64
 #: A text that is not surely like another is paired with so many of each group, the likeliest.
 _PARTNERS = 3
-#: Groups of more texts are first thinned out by joins.
+#: Larger groups are dealt to blocks of about so many texts.
 _GROUP = 4096
+#: How many of a text's partners in a block are tried when it is looked at again, and how much further each round goes.
+_FURTHER, _FASTER = 32, 8
+#: Pairs of texts whose samples are compared at once.
+_AT_ONCE = 1 << 18
 
 
 def _parts(texts: pa.Array, most: int) -> Iterator[tuple[int, pa.Array]]:
@@ -153,68 +159,125 @@ def _pairs_within(group: np.ndarray, signature: np.ndarray, likely: int, sure: i
     return left, right
 
 
+def _settled(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Rows ordered by ``keys``, many whole groups at a time, each with the number of its group."""
+    held: list[pa.RecordBatch] = []
+
+    def cut(rows: pa.Table) -> np.ndarray:
+        new = np.zeros(len(rows), bool)
+        for key in keys:
+            values = rows.column(key).to_numpy()
+            new[1:] |= values[1:] != values[:-1]
+        return new
+
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= 8 * _GROUP:  # up to the last group, which may go on
+            rows = pa.Table.from_batches(held)
+            new = cut(rows)
+            if new.any():
+                last = int(np.flatnonzero(new)[-1])
+                yield rows.slice(0, last).combine_chunks(), np.cumsum(new[:last])
+                held = rows.slice(last).to_batches()
+    if held and sum(b.num_rows for b in held):
+        rows = pa.Table.from_batches(held).combine_chunks()
+        yield rows, np.cumsum(cut(rows))
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.filter("a <> b").select(F.least("a", "b").alias("center"), F.greatest("a", "b").alias("member")).distinct()
+
+
+def _blocks(rows: Column) -> Column:
+    return F.ceil(rows / _GROUP).cast("int")
+
+
 def _candidates(members: DataFrame, likely: int, sure: int, samples: int) -> DataFrame:
-    """``center, member``, from ``band, key, id, signature``, with the smaller id first."""
+    """``center, member``, the smaller id first, from ``band, key, id, signature`` and the ``n`` texts and ``first`` id of the group.
+
+    A group of more than ``_GROUP`` texts is dealt to blocks, each of which also gets the group's first text.
+    """
     kind = members.schema["id"].dataType.simpleString()
 
     @frugal
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def settle(rows: pa.Table) -> pa.RecordBatch:
-            rows = rows.combine_chunks()
-            band, key = rows.column("band").to_numpy(), rows.column("key").to_numpy()
-            group = np.cumsum(np.append(False, (band[1:] != band[:-1]) | (key[1:] != key[:-1])))
+        for rows, group in _settled(batches, ["band", "key", "block"]):
             left, right = _pairs_within(group, _matrix(rows.column("signature"), samples), likely, sure)
             ids = rows.column("id").chunk(0)
-            return pa.RecordBatch.from_arrays([ids.take(pa.array(left)), ids.take(pa.array(right))], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(left)), ids.take(pa.array(right))], ["a", "b"])
 
-        for batch in batches:
-            held.append(batch)
-            if sum(b.num_rows for b in held) >= 8 * _GROUP:  # up to the last group, which may go on
-                rows = pa.Table.from_batches(held)
-                last = (rows.column("band")[-1].as_py(), rows.column("key")[-1].as_py())
-                mine = (rows.column("band").to_numpy() == last[0]) & (rows.column("key").to_numpy() == last[1])
-                cut = int(np.flatnonzero(~mine)[-1]) + 1 if not mine.all() else 0
-                if cut:
-                    yield settle(rows.slice(0, cut))
-                    held = rows.slice(cut).to_batches()
-        if held and sum(b.num_rows for b in held):
-            yield settle(pa.Table.from_batches(held))
-
-    ordered = members.repartition("band", "key").sortWithinPartitions("band", "key", "id")
-    pairs = ordered.mapInArrow(pair, f"a {kind}, b {kind}").filter("a <> b")
-    return pairs.select(F.least("a", "b").alias("center"), F.greatest("a", "b").alias("member")).distinct()
-
-
-def _thinned(members: DataFrame, sure: int, samples: int) -> tuple[DataFrame, DataFrame | None]:
-    """Groups of at most ``_GROUP`` texts, and the pairs taken from larger ones.
-
-    A round pairs the texts surely like the group's smallest one with it and takes them out, it too.
+    n = _blocks(F.col("n"))
+    block = F.when(n == 1, F.array(F.lit(0))).when(F.col("id") == F.col("first"), F.sequence(F.lit(0), n - 1)).otherwise(
+        F.array(F.pmod(F.xxhash64("id"), n).cast("int")))
+    dealt = members.select("band", "key", F.explode(block).alias("block"), "id", "signature")
+    ordered = dealt.repartition("band", "key", "block").sortWithinPartitions("band", "key", "block", "id")
+    return _ordered(ordered.mapInArrow(pair, f"a {kind}, b {kind}"))
+
+
+def _apart(signature: np.ndarray, component: np.ndarray, seeks: np.ndarray, likely: int, low: int, high: int) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Places of each seeking row and its partners of other components, and whether some come later.
+
+    A row's partners are all the others that agree in ``likely`` samples, the likeliest first; those from ``low`` up to ``high`` are given.
     """
-    kind, pairs = members.schema["id"].dataType.simpleString(), None
+    of, to = np.flatnonzero(seeks), np.flatnonzero(~seeks)
+    columns, found, later = np.ascontiguousarray(signature[to].T), [(of[:0], of[:0])], False
+    step = max(1, _AT_ONCE // max(1, len(to)))
+    for at in range(0, len(of), step):
+        mine = of[at:at + step]
+        alike = np.zeros((len(mine), len(to)), np.uint16 if len(columns) > 255 else np.uint8)
+        for sample, column in zip(signature[mine].T, columns):
+            alike += sample[:, None] == column
+        row, partner = np.nonzero(alike >= likely)
+        order = np.sort((row * (len(columns) + 1) + len(columns) - alike[row, partner]) * len(to) + partner)
+        row, partner = order // len(to) // (len(columns) + 1), order % max(1, len(to))
+        rank = np.arange(len(row)) - np.searchsorted(row, row)
+        other = component[mine[row]] != component[to[partner]]
+        take = other & (rank >= low) & (rank < high)
+        found.append((mine[row[take]], to[partner[take]]))
+        later |= bool((other & (rank >= high)).any())
+    left, right = (np.concatenate(x) for x in zip(*found))
+    return left, right, later
+
+
+def _further(members: DataFrame, labels: DataFrame, likely: int, samples: int, low: int, high: int) -> DataFrame | None:
+    """``band, key, a, b``: pairs of a group whose components differ; without ``a, b`` if the group has more of them. None if all are one.
+
+    Every text that is not in the largest component of its group looks at all others of the group. Texts that look and
+    texts looked at are dealt to blocks, and a task has one block of each, so that a group of any size is split.
+    """
+    kind = members.schema["id"].dataType.simpleString()
+    unit = ["band", "key", "seeking", "sought"]
 
     @frugal
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            alike = (_matrix(batch.column(4), samples) == _matrix(batch.column(5), samples)).sum(axis=1)
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(5)), pa.array(alike >= sure)], ["band", "key", "id", "center", "signature", "passed"])
-
-    while True:
-        sizes = members.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("center")).filter(F.col("n") > _GROUP)
-        large = stage(sizes.select("band", "key", "center"), "near-large")
-        if large.isEmpty():
-            return members, pairs
-        centers = members.join(large, ["band", "key"], "left_semi").join(large.withColumnRenamed("center", "id"), ["band", "key", "id"]).select(
-            "band", "key", F.col("id").alias("center"), F.col("signature").alias("of_center")).dropDuplicates(["band", "key"])
-        centers = stage(centers, "near-centers")
-        # the members are on the left, where Spark splits the partition of a large group
-        both = members.join(centers, ["band", "key"]).select("band", "key", "id", "center", "signature", "of_center")
-        seen = stage(both.mapInArrow(compare, f"band int, key bigint, id {kind}, center {kind}, signature binary, passed boolean"), "near-thinned")
-        passed = seen.filter("passed AND id <> center").select("center", F.col("id").alias("member")).distinct()
-        pairs = passed if pairs is None else pairs.union(passed)
-        small = members.join(large, ["band", "key"], "left_anti")
-        members = stage(small.unionByName(seen.filter("NOT passed AND id <> center").select(small.columns)), "near-members")
+    def seek(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, group in _settled(batches, unit):
+            signature, seeks = _matrix(rows.column("signature"), samples), rows.column("seeks").to_numpy()
+            component = rows.column("component").chunk(0).dictionary_encode().indices.to_numpy()
+            ids, starts = rows.column("id").chunk(0), np.flatnonzero(np.diff(group, prepend=-1))
+            for start, end in zip(starts.tolist(), [*starts[1:].tolist(), len(group)]):
+                left, right, later = _apart(signature[start:end], component[start:end], seeks[start:end], likely, low, high)
+                if len(left) or later:
+                    a, b = (pa.concat_arrays([ids.take(pa.array(start + x)), pa.nulls(int(later), ids.type)]) for x in (left, right))
+                    same = [pa.array([rows.column(c)[start].as_py()] * len(a), rows.column(c).type) for c in ("band", "key")]
+                    yield pa.RecordBatch.from_arrays([*same, a, b], ["band", "key", "a", "b"])
+
+    known = members.join(labels, F.col("id") == F.col("node"), "left").select("band", "key", "id", "signature", F.coalesce("component", "id").alias("component"))
+    known = stage(known, "near-known")
+    sizes = known.groupBy("band", "key", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("band", "key").agg(
+        F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("most"))
+    sizes = stage(sizes.filter(F.col("n") > F.col("most.n")), "near-apart")
+    if sizes.isEmpty():
+        return None
+    of, to = _blocks(F.col("n") - F.col("most.n")), _blocks(F.col("n"))
+    place = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
+    unit_of = lambda seeking, sought, seeks: F.struct(seeking.alias("seeking"), sought.alias("sought"), F.lit(seeks).alias("seeks"))
+    sought = F.transform(F.sequence(F.lit(0), of - 1), lambda x: unit_of(x, place(to), False))
+    seeking = F.transform(F.sequence(F.lit(0), to - 1), lambda x: unit_of(place(of), x, True))
+    units = F.when(F.col("component") == F.col("most.component"), sought).otherwise(F.concat(sought, seeking))
+    # the members are on the left, where Spark splits the partition of a large group
+    dealt = known.join(sizes, ["band", "key"]).select("band", "key", "id", "signature", "component", F.explode(units).alias("unit"))
+    dealt = dealt.select("band", "key", "unit.*", "id", "signature", "component").repartition(*unit).sortWithinPartitions(*unit, "id")
+    return stage(dealt.mapInArrow(seek, f"band int, key bigint, a {kind}, b {kind}"), "near-further")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, words: int = 5,
@@ -236,16 +299,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     marked = stage(marked.join(copies, "digest", "left").withColumn("node", F.coalesce("first", "id")).drop("first", "digest"), "near-nodes")
     nodes = marked.filter("id = node AND bands IS NOT NULL")
     banded = nodes.select("id", F.posexplode("bands").alias("band", "key"))
-    groups = stage(banded.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "near-groups")
-    members = banded.join(groups, ["band", "key"]).distinct().join(nodes.select("id", "signature"), "id").select("band", "key", "id", "signature")
-    members, pairs = _thinned(stage(members, "near-members"), sure, samples)
-    found = _candidates(members, likely, sure, samples)
-    pairs = stage(found if pairs is None else found.union(pairs).distinct(), "near-pairs")
+    groups = banded.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"))
+    groups = stage(groups.filter("n > 1"), "near-groups")
+    members = banded.join(groups, ["band", "key"]).distinct().join(nodes.select("id", "signature"), "id").select("band", "key", "id", "signature", "n", "first")
+    members = stage(members, "near-members")
+    pairs = stage(_candidates(members, likely, sure, samples), "near-pairs")
+    again = members.filter(F.col("n") > _GROUP)
     # ids asked for, and texts, grow with the documents: they are met by sorting at any size
-    asked = pairs.select(F.col("center").alias("id")).union(pairs.select("member")).distinct()
+    asked = pairs.select(F.col("center").alias("id")).union(pairs.select("member")).union(again.select("id")).distinct()
     texts = stage(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(asked.hint("merge"), "id", "left_semi"), "near-texts")
     links = stage(_compare(pairs, texts, idf, words, similarity, batch_bytes), "near-links")
-    labels = components(links, "center", "member").withColumnRenamed("component", "found")
+    labels = components(links, "center", "member")
+    low, high = 0, _FURTHER
+    while (found := _further(again, labels, likely, samples, low, high)) is not None:
+        fresh = stage(_ordered(found.filter("b IS NOT NULL")).join(pairs, ["center", "member"], "left_anti"), "near-fresh")
+        asked = fresh.select(F.col("center").alias("id")).union(fresh.select("member")).distinct()
+        more = stage(_compare(fresh, texts.join(asked, "id", "left_semi"), idf, words, similarity, batch_bytes), "near-links")
+        if not more.isEmpty():
+            links = links.union(more)
+            labels = components(links, "center", "member")
+        left = found.filter("b IS NULL").select("band", "key").distinct()
+        again, pairs, low, high = again.join(left, ["band", "key"], "left_semi"), pairs.union(fresh), high, high * _FASTER
+    labels = labels.withColumnRenamed("component", "found")
     classes = marked.join(labels, "node", "left")
     class_id = F.coalesce("found", "node")
     kept = F.coalesce(class_id == F.col("id"), F.lit(True))
