@@ -146,3 +146,19 @@ def test_large_groups_against_all_pairs(spark, monkeypatch):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     wanted = _classes_of_all_pairs(df, texts)
     assert {r["doc_id"]: r["class_id"] for r in near_duplicates(df).collect()} == wanted and len(set(wanted.values())) < 30
+
+
+def test_partners_after_the_likeliest(spark):
+    texts = _edited(250, 400, [7, 8, 9], 11, False)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    wanted = _classes_of_all_pairs(df, texts)
+    assert {r["doc_id"]: r["class_id"] for r in near_duplicates(df).collect()} == wanted
+
+
+def test_pairs_within_tells_what_it_leaves_out():
+    group = np.repeat(np.arange(4), [3, 2, 5, 4])  # two closed rows; one; four partners a row; three
+    signature = np.zeros((len(group), 64), np.uint8)
+    for row in np.flatnonzero(group >= 2):
+        signature[row, row % 9 * 5:row % 9 * 5 + 5] = row
+    left, right, more = neardup._pairs_within(group, signature, 36, 58)
+    assert {(0, 1), (0, 2), (3, 4)} <= set(zip(left.tolist(), right.tolist())) and set(group[more].tolist()) == {0, 2}

@@ -8,7 +8,7 @@
    likely similar to the first one are paired with it; each of the others is paired with those most like itself.
    So a group gives a few pairs a text, however large it is.
 4. Pairs are verified by the weighted Jaccard similarity of their whole shingle sets, and make connected components.
-5. In a large group that is not one component then, texts outside the largest one are paired with further likely partners
+5. In a group that is not one component then, texts outside the largest one are paired with further likely partners
    of other components, more in each round, until there are none: no link between two texts that share a band is left out.
 """
 
@@ -28,7 +28,7 @@ from .shingles import Idf, WeightedSampler, mix, shingles, weighted_jaccard
 _SEGMENT = 1 << 10
 #: Of 64 samples: from so many equal ones a pair at 0.8 is not missed (all but 1 in 10^5), and from so many it is hardly below 0.8.
 _LIKELY, _SURE, _SAMPLES = 36, 58, 64
-#: A text that is not surely like another is paired with so many of each group, the likeliest.
+#: A text that is not surely like another is first paired with so many of each group, the likeliest.
 _PARTNERS = 3
 #: Larger groups are dealt to blocks of about so many texts.
 _GROUP = 4096
@@ -126,14 +126,15 @@ def _matrix(signatures: pa.Array, samples: int) -> np.ndarray:
     return np.frombuffer(b"".join(signatures.to_pylist()), np.uint8).reshape(-1, samples)
 
 
-def _pairs_within(group: np.ndarray, signature: np.ndarray, likely: int, sure: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of places worth comparing, for rows ordered by group.
+def _pairs_within(group: np.ndarray, signature: np.ndarray, likely: int, sure: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of places worth comparing, and a place of each group that has further ones, for rows ordered by group.
 
     In each round the first open row of every group looks at the whole group: open rows that are surely like it are paired with it
-    and closed; if that leaves it without any, it is paired with the likeliest rows, open or closed.
+    and closed; if that leaves it without any, it is paired with the likeliest rows, open or closed. What is then not paired are
+    likely rows after those, and two closed rows.
     """
     rows = np.arange(len(group))
-    open_ = np.ones(len(group), bool)
+    open_, more = np.ones(len(group), bool), np.zeros(len(group), bool)
     found: list[tuple[np.ndarray, np.ndarray]] = []
     while len(rows):
         new = np.flatnonzero(np.diff(group[rows], prepend=-1))
@@ -150,13 +151,17 @@ def _pairs_within(group: np.ndarray, signature: np.ndarray, likely: int, sure: i
         some = some[np.lexsort((-alike[some], leader[some]))]
         rank = np.arange(len(some)) - np.searchsorted(leader[some], leader[some])
         best = some[rank < _PARTNERS]
+        more[leader[some[rank >= _PARTNERS]]] = True
         found.append((leader[best], rows[best]))
         open_[rows[closed]] = False
         open_[first] = False
         still = np.add.reduceat(open_[rows], new) > 0
         rows = rows[np.repeat(still, sizes)]
+    shut = np.concatenate([x for _, x in found[::2]]) if found else rows
+    shut = shut[np.argsort(group[shut], kind="stable")]
+    more[shut[1:][group[shut[1:]] == group[shut[:-1]]]] = True
     left, right = (np.concatenate(x) for x in zip(*found)) if found else (rows, rows)
-    return left, right
+    return left, right, np.flatnonzero(more)
 
 
 def _settled(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
@@ -185,6 +190,7 @@ def _settled(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tup
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
+    """``center, member``, the smaller id first."""
     return pairs.filter("a <> b").select(F.least("a", "b").alias("center"), F.greatest("a", "b").alias("member")).distinct()
 
 
@@ -193,25 +199,28 @@ def _blocks(rows: Column) -> Column:
 
 
 def _candidates(members: DataFrame, likely: int, sure: int, samples: int) -> DataFrame:
-    """``center, member``, the smaller id first, from ``band, key, id, signature`` and the ``n`` texts and ``first`` id of the group.
+    """``band, key, a, b`` from ``band, key, id, signature`` and the ``n`` texts and ``first`` id of the group.
 
-    A group of more than ``_GROUP`` texts is dealt to blocks, each of which also gets the group's first text.
+    The pairs are ``a, b``; a row without them says that the group has further ones. A group of more than ``_GROUP`` texts is dealt to blocks, each of which also gets the group's first text.
     """
     kind = members.schema["id"].dataType.simpleString()
 
     @frugal
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, group in _settled(batches, ["band", "key", "block"]):
-            left, right = _pairs_within(group, _matrix(rows.column("signature"), samples), likely, sure)
+            left, right, more = _pairs_within(group, _matrix(rows.column("signature"), samples), likely, sure)
             ids = rows.column("id").chunk(0)
-            yield pa.RecordBatch.from_arrays([ids.take(pa.array(left)), ids.take(pa.array(right))], ["a", "b"])
+            more = more[np.diff(group[more], prepend=-1) > 0]
+            a, b = (pa.concat_arrays([ids.take(pa.array(x)), pa.nulls(len(more), ids.type)]) for x in (left, right))
+            same = [rows.column(c).chunk(0).take(pa.array(np.append(left, more))) for c in ("band", "key")]
+            yield pa.RecordBatch.from_arrays([*same, a, b], ["band", "key", "a", "b"])
 
     n = _blocks(F.col("n"))
     block = F.when(n == 1, F.array(F.lit(0))).when(F.col("id") == F.col("first"), F.sequence(F.lit(0), n - 1)).otherwise(
         F.array(F.pmod(F.xxhash64("id"), n).cast("int")))
     dealt = members.select("band", "key", F.explode(block).alias("block"), "id", "signature")
     ordered = dealt.repartition("band", "key", "block").sortWithinPartitions("band", "key", "block", "id")
-    return _ordered(ordered.mapInArrow(pair, f"a {kind}, b {kind}"))
+    return ordered.mapInArrow(pair, f"band int, key bigint, a {kind}, b {kind}")
 
 
 def _apart(signature: np.ndarray, component: np.ndarray, seeks: np.ndarray, likely: int, low: int, high: int) -> tuple[np.ndarray, np.ndarray, bool]:
@@ -303,16 +312,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     groups = stage(groups.filter("n > 1"), "near-groups")
     members = banded.join(groups, ["band", "key"]).distinct().join(nodes.select("id", "signature"), "id").select("band", "key", "id", "signature", "n", "first")
     members = stage(members, "near-members")
-    pairs = stage(_candidates(members, likely, sure, samples), "near-pairs")
-    again = members.filter(F.col("n") > _GROUP)
+    found = stage(_candidates(members, likely, sure, samples), "near-found")
+    pairs = stage(_ordered(found), "near-pairs")
+    large = members.filter(F.col("n") > _GROUP)
+    left = found.filter("b IS NULL").select("band", "key").union(large.select("band", "key")).distinct()
+    again = members.join(left, ["band", "key"], "left_semi")
     # ids asked for, and texts, grow with the documents: they are met by sorting at any size
-    asked = pairs.select(F.col("center").alias("id")).union(pairs.select("member")).union(again.select("id")).distinct()
+    asked = pairs.select(F.col("center").alias("id")).union(pairs.select("member")).union(large.select("id")).distinct()
     texts = stage(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(asked.hint("merge"), "id", "left_semi"), "near-texts")
     links = stage(_compare(pairs, texts, idf, words, similarity, batch_bytes), "near-links")
     labels = components(links, "center", "member")
     low, high = 0, _FURTHER
     while (found := _further(again, labels, likely, samples, low, high)) is not None:
-        fresh = stage(_ordered(found.filter("b IS NOT NULL")).join(pairs, ["center", "member"], "left_anti"), "near-fresh")
+        fresh = stage(_ordered(found).join(pairs, ["center", "member"], "left_anti"), "near-fresh")
         asked = fresh.select(F.col("center").alias("id")).union(fresh.select("member")).distinct()
         more = stage(_compare(fresh, texts.join(asked, "id", "left_semi"), idf, words, similarity, batch_bytes), "near-links")
         if not more.isEmpty():
