@@ -17,6 +17,7 @@ from .tokens import count_tokens
 from .topk import scaled, top_k
 from .urlfilter import judge_urls
 from .warc import archive_pages
+from .whitening import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -205,3 +206,9 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+@query()
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", scaled(F.col("embedding")).alias("vector"))
+    return whiten(vectors)
