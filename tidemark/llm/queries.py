@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .chatformat import conversation_digests, format_conversations
 from .common import table, utf8_length
 from .decontam import contamination
 from .langid import identify_languages, learn_languages
@@ -208,6 +209,36 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+#: The conversation that holds the template's own marks.
+MARKED = [(-7, 0, "user", r"\### Assistant: </turn> ok"), (-7, 1, "assistant", r"\### Assistant: </turn> ok")]
+
+
+@query(r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')
+), placed AS (
+    SELECT *, coalesce(lag(role) OVER w = role, false) AS joins FROM turns
+    WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+), sized AS (
+    SELECT *, length(text) + length(text) - length(replace(text, '\', ''))
+              + (length(text) - length(replace(text, '</turn>', ''))) // 7 + (length(text) - length(replace(text, '<part>', ''))) // 6
+              + coalesce(list_sum(list_transform(regexp_extract_all(text, '#{3,}'), lambda x: length(x) - 2)), 0) AS chars
+    FROM placed
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars + CASE WHEN joins THEN 6 ELSE length(role) + 14 END) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+""")
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marked = spark.createDataFrame(MARKED, turns.schema)
+    return conversation_digests(format_conversations(turns.union(marked)))
+
+
 @query()
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", scaled(F.col("embedding")).alias("vector"))
