@@ -12,6 +12,7 @@ from .decontam import contamination
 from .langid import identify_languages, learn_languages
 from .mixing import dominant_topic, mix
 from .neardup import near_duplicates
+from .repair import damage, repair_conversations
 from .repeats import remove_repeats
 from .sharding import shard_documents
 from .tokens import count_tokens
@@ -209,6 +210,17 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+@query()
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    found = repair_conversations(damage(turns)).summary
+    every, none = turns.select(F.col("conv_id").alias("id")).distinct(), F.lit(0).cast("bigint")
+    met = every.join(found, F.col("id").eqNullSafe(F.col("conv_id")), "left")
+    counts = [F.coalesce(c, none).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return met.select(F.col("id").alias("conv_id"), *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+                      F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 #: The conversation that holds the template's own marks.
 MARKED = [(-7, 0, "user", r"\### Assistant: </turn> ok"), (-7, 1, "assistant", r"\### Assistant: </turn> ok")]
 
