@@ -89,3 +89,13 @@ def test_nothing_to_learn_from(docs):
     assert isinstance(model, LanguageModel) and model.languages == ()
     assert {(r["lang_pred"], r["score"]) for r in identify_languages(docs, model).collect()} == {("und", 0.0)}
     assert identify_languages(docs.limit(0), model).collect() == [] and keep_languages(docs, model).collect() == []
+
+
+def test_numbers_are_no_letters_and_short_texts_stay(spark):
+    docs = spark.createDataFrame([(i, t, l, 1) for i, (t, l) in enumerate(
+        [("the cat is here", "en"), ("le chat est ici", "fr"), ("el gato es", "es"), ("½ ² ³", None), ("Ⅷ", None), ("ok", None), ("ID 5", None), ("½a²b", None), (None, "en")])],
+        "doc_id long, text string, lang string, score int")
+    model = learn_languages(docs, public_tokenizers.path("piece_bpe_32k.model"), folds=10**9)
+    found = {r["doc_id"]: r["lang_pred"] for r in identify_languages(docs, model).collect()}
+    assert {i for i, l in found.items() if l == "und"} == {3, 4, 8}
+    assert {r["doc_id"] for r in keep_languages(docs, model).collect()} == {0, 1, 2, 5, 6, 7}

@@ -36,6 +36,8 @@ _UNIT = 1 << 20
 
 def words_of(text: str) -> list[str]:
     found = _LETTERS.findall(text.lower())
+    if not all(map(str.isalpha, found)):  # the pattern also takes numbers that are no digits, such as fractions
+        found = "".join(c if c.isalpha() else " " for c in " ".join(found)).split()
     if any(len(w) > _LONGEST for w in found):
         found = [w[i:i + _LONGEST] for w in found for i in range(0, len(w), _LONGEST)]
     return found
@@ -306,11 +308,11 @@ def identify_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc
         judge, f"`{id_col}` {kind}, held_out boolean, lang_pred string, score double")
 
 
-def keep_languages(docs: DataFrame, model: LanguageModel, least: float = 0.5, languages: tuple[str, ...] | None = None,
+def keep_languages(docs: DataFrame, model: LanguageModel, least: float = 0.0, languages: tuple[str, ...] | None = None,
                    text_col: str = "text", batch_bytes: int = 2 << 20) -> DataFrame:
-    """The rows of ``docs`` whose text is in one of ``languages`` (any learnt one) with a score of ``least``.
+    """The rows of ``docs`` whose text is in one of ``languages`` (any learnt one) with a score of ``least`` or more.
 
-    Texts without letters and NULL ones go. Columns, whatever their names, stay as they are; nothing is shuffled.
+    Texts without letters and NULL ones go. Short texts score low, however clean they are; without ``least`` they stay. Columns, whatever their names, stay as they are; nothing is shuffled.
     """
     accepted = set(model.languages if languages is None else languages)
     at = docs.columns.index(text_col)
