@@ -155,6 +155,58 @@ def test_partners_after_the_likeliest(spark):
     assert {r["doc_id"]: r["class_id"] for r in near_duplicates(df).collect()} == wanted
 
 
+def test_rows_that_share_an_id(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    make = lambda rows: spark.createDataFrame(rows, "doc_id long, text string, __own string")
+    left = lambda rows: sorted(tuple(r) for r in drop_near_duplicates(make(rows)).collect())
+    assert left([(1, a, "x"), (2, b, "y"), (2, a, "z")]) == [(1, a, "x"), (2, b, "y")]
+    assert left([(7, a, "x"), (7, b, "y"), (8, a + " tail", "z"), (3, c, "w")]) == [(3, c, "w"), (7, a, "x"), (7, b, "y")]
+    found = near_duplicates(make([(7, a, "x"), (7, b, "y"), (8, b + " tail", "z"), (9, None, "n"), (9, None, "m")]))
+    assert sorted(tuple(r) for r in found.collect()) == [(7, 7, True), (7, 7, True), (8, 7, False), (9, 9, True), (9, 9, True)]
+
+
+def test_links_that_join_components():
+    random.seed(3)
+    vocabulary = [f"w{i}" for i in range(60)]
+    base = [random.choice(vocabulary) for _ in range(80)]
+    some = []
+    for _ in range(60):
+        copy = list(base)
+        for i in random.sample(range(80), random.choice([0, 1, 2, 5, 40])):
+            copy[i] = random.choice(vocabulary) + "x"
+        some.append(" ".join(copy))
+    of, hashes, n = shingles(pa.array(some))
+    idf = Idf({}, 100)
+    component, seeks = np.arange(60) // 3, np.arange(60) % 7 < 5
+    for at_once in (1, 500, 1 << 21):
+        neardup._AT_ONCE, before = at_once, neardup._AT_ONCE
+        found = neardup._joining(of, hashes, n * idf.weight[idf.levels(hashes)], component, seeks, 0.8)
+        neardup._AT_ONCE = before
+        joined = component.copy()
+        for a, b in found:
+            assert joined[a] != joined[b] and weighted_jaccard(shingles(pa.array([some[a]])), shingles(pa.array([some[b]])), idf, 1)[0] >= 0.8
+            joined[joined == joined[b]] = joined[a]
+        for a in np.flatnonzero(seeks):
+            similar = weighted_jaccard(shingles(pa.array([some[a]] * 60)), shingles(pa.array(some)), idf, 60)
+            assert (joined[np.flatnonzero(similar >= 0.8)] == joined[a]).all()
+        assert len(found) > 5
+
+
+@pytest.mark.parametrize("block", [512, 7])
+def test_recall_of_links_in_a_large_group(spark, monkeypatch, block):
+    """Two thousand copies, each edited on its own, of which only some are linked: every link within a class."""
+    monkeypatch.setattr(neardup, "_BLOCK", block)
+    texts = _edited(2000 if block > 100 else 200, 150, [1, 2, 3, 4, 5, 9, 20, 40], 5, True)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    idf = document_frequencies(df)
+    found = {r["doc_id"]: r["class_id"] for r in near_duplicates(df).collect()}
+    of, hashes, n = shingles(pa.array(texts))
+    everything = np.ones(len(texts), bool)
+    class_of = np.array([found[i] for i in range(len(texts))])
+    assert neardup._joining(of, hashes, n * idf.weight[idf.levels(hashes)], class_of, everything, 0.8) == []
+    assert 1 < len(set(found.values())) < len(texts)
+
+
 def test_pairs_within_tells_what_it_leaves_out():
     group = np.repeat(np.arange(4), [3, 2, 5, 4])  # two closed rows; one; four partners a row; three
     signature = np.zeros((len(group), 64), np.uint8)

@@ -8,8 +8,11 @@
    likely similar to the first one are paired with it; each of the others is paired with those most like itself.
    So a group gives a few pairs a text, however large it is.
 4. Pairs are verified by the weighted Jaccard similarity of their whole shingle sets, and make connected components.
-5. In a group that is not one component then, texts outside the largest one are paired with further likely partners
-   of other components, more in each round, until there are none: no link between two texts that share a band is left out.
+5. In a group that is not one component then, texts outside the largest one meet all others of the group, block by block, with
+   their whole shingle sets. A task compares within its blocks and gives only as many links as join their components, fewer than it has
+   texts: no link between two texts that share a band is left out of its class, and no list of pairs is made.
+
+Texts are told apart by id and digest, so that rows that share an id are judged by what they say.
 """
 
 from __future__ import annotations
@@ -32,10 +35,10 @@ _LIKELY, _SURE, _SAMPLES = 36, 58, 64
 _PARTNERS = 3
 #: Larger groups are dealt to blocks of about so many texts.
 _GROUP = 4096
-#: How many of a text's partners in a block are tried when it is looked at again, and how much further each round goes.
-_FURTHER, _FASTER = 32, 8
-#: Pairs of texts whose samples are compared at once.
-_AT_ONCE = 1 << 18
+#: When a group is looked at again, a block has about so many texts, or bytes of text.
+_BLOCK, _BLOCK_BYTES = 512, 8 << 20
+#: Pairs of places of a shingle that are compared at once.
+_AT_ONCE = 1 << 21
 
 
 def _parts(texts: pa.Array, most: int) -> Iterator[tuple[int, pa.Array]]:
@@ -164,7 +167,7 @@ def _pairs_within(group: np.ndarray, signature: np.ndarray, likely: int, sure: i
     return left, right, np.flatnonzero(more)
 
 
-def _settled(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+def _settled(batches: Iterator[pa.RecordBatch], keys: list[str], most: int = 8 * _GROUP) -> Iterator[tuple[pa.Table, np.ndarray]]:
     """Rows ordered by ``keys``, many whole groups at a time, each with the number of its group."""
     held: list[pa.RecordBatch] = []
 
@@ -177,7 +180,7 @@ def _settled(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tup
 
     for batch in batches:
         held.append(batch)
-        if sum(b.num_rows for b in held) >= 8 * _GROUP:  # up to the last group, which may go on
+        if sum(b.num_rows for b in held) >= most:  # up to the last group, which may go on
             rows = pa.Table.from_batches(held)
             new = cut(rows)
             if new.any():
@@ -194,8 +197,8 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.filter("a <> b").select(F.least("a", "b").alias("center"), F.greatest("a", "b").alias("member")).distinct()
 
 
-def _blocks(rows: Column) -> Column:
-    return F.ceil(rows / _GROUP).cast("int")
+def _blocks(rows: Column, of: int) -> Column:
+    return F.ceil(rows / of).cast("int")
 
 
 def _candidates(members: DataFrame, likely: int, sure: int, samples: int) -> DataFrame:
@@ -215,41 +218,59 @@ def _candidates(members: DataFrame, likely: int, sure: int, samples: int) -> Dat
             same = [rows.column(c).chunk(0).take(pa.array(np.append(left, more))) for c in ("band", "key")]
             yield pa.RecordBatch.from_arrays([*same, a, b], ["band", "key", "a", "b"])
 
-    n = _blocks(F.col("n"))
-    block = F.when(n == 1, F.array(F.lit(0))).when(F.col("id") == F.col("first"), F.sequence(F.lit(0), n - 1)).otherwise(
+    n = _blocks(F.col("n"), _GROUP)
+    block = F.when(n == 1, F.array(F.lit(0))).when(F.xxhash64("id") == F.col("first"), F.sequence(F.lit(0), n - 1)).otherwise(
         F.array(F.pmod(F.xxhash64("id"), n).cast("int")))
     dealt = members.select("band", "key", F.explode(block).alias("block"), "id", "signature")
     ordered = dealt.repartition("band", "key", "block").sortWithinPartitions("band", "key", "block", "id")
     return ordered.mapInArrow(pair, f"band int, key bigint, a {kind}, b {kind}")
 
 
-def _apart(signature: np.ndarray, component: np.ndarray, seeks: np.ndarray, likely: int, low: int, high: int) -> tuple[np.ndarray, np.ndarray, bool]:
-    """Places of each seeking row and its partners of other components, and whether some come later.
+def _joining(of: np.ndarray, hashes: np.ndarray, weights: np.ndarray, component: np.ndarray, seeks: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+    """Links that join the components of some texts: every link between a seeking text and any other is within a component then.
 
-    A row's partners are all the others that agree in ``likely`` samples, the likeliest first; those from ``low`` up to ``high`` are given.
+    The texts' shingles are given ordered by text. Places of equal shingles are met a few seeking texts at a time.
     """
-    of, to = np.flatnonzero(seeks), np.flatnonzero(~seeks)
-    columns, found, later = np.ascontiguousarray(signature[to].T), [(of[:0], of[:0])], False
-    step = max(1, _AT_ONCE // max(1, len(to)))
-    for at in range(0, len(of), step):
-        mine = of[at:at + step]
-        alike = np.zeros((len(mine), len(to)), np.uint16 if len(columns) > 255 else np.uint8)
-        for sample, column in zip(signature[mine].T, columns):
-            alike += sample[:, None] == column
-        row, partner = np.nonzero(alike >= likely)
-        order = np.sort((row * (len(columns) + 1) + len(columns) - alike[row, partner]) * len(to) + partner)
-        row, partner = order // len(to) // (len(columns) + 1), order % max(1, len(to))
-        rank = np.arange(len(row)) - np.searchsorted(row, row)
-        other = component[mine[row]] != component[to[partner]]
-        take = other & (rank >= low) & (rank < high)
-        found.append((mine[row[take]], to[partner[take]]))
-        later |= bool((other & (rank >= high)).any())
-    left, right = (np.concatenate(x) for x in zip(*found))
-    return left, right, later
-
-
-def _further(members: DataFrame, labels: DataFrame, likely: int, samples: int, low: int, high: int) -> DataFrame | None:
-    """``band, key, a, b``: pairs of a group whose components differ; without ``a, b`` if the group has more of them. None if all are one.
+    component = component.copy()
+    order = np.argsort(hashes, kind="stable")
+    sorted_, total = hashes[order], np.bincount(of, weights, len(component))
+    begin = np.searchsorted(of, np.arange(len(component) + 1))
+    low, high = np.searchsorted(sorted_, hashes, "left"), np.searchsorted(sorted_, hashes, "right")
+    work = np.concatenate([[0], np.cumsum(high - low)])
+    found, seeking, at = [], np.flatnonzero(seeks), 0
+    while at < len(seeking):
+        end, most = at + 1, max(_AT_ONCE, len(component))
+        spent = work[begin[seeking[at] + 1]] - work[begin[seeking[at]]]
+        while end < len(seeking) and end - at < most // len(component):
+            spent += work[begin[seeking[end] + 1]] - work[begin[seeking[end]]]
+            if spent > _AT_ONCE:
+                break
+            end += 1
+        mine = seeking[at:end]
+        both = np.zeros((len(mine), len(component)))
+        for row, text in enumerate(mine.tolist()):
+            place = begin[text]
+            while place < begin[text + 1]:
+                last = np.searchsorted(work, work[place] + _AT_ONCE, "right") - 1
+                part = slice(place, min(max(last, place + 1), begin[text + 1]))
+                n = high[part] - low[part]
+                other = order[np.repeat(low[part] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+                both[row] += np.bincount(of[other], np.minimum(np.repeat(weights[part], n), weights[other]), len(component))
+                place = part.stop
+        union = total[mine][:, None] + total - both
+        alike = np.divide(both, union, out=np.zeros_like(both), where=union > 0) >= similarity
+        for row, text in enumerate(mine.tolist()):
+            partners = np.flatnonzero(alike[row] & (component != component[text]))
+            while len(partners):
+                found.append((text, int(partners[0])))
+                component[component == component[partners[0]]] = component[text]
+                partners = partners[component[partners] != component[text]]
+        at = end
+    return found
+
+
+def _further(members: DataFrame, labels: DataFrame, texts: DataFrame, idf: Idf, words: int, similarity: float) -> DataFrame:
+    """``center, member``: links that join whatever components share a group (``band, key``) and have a link there.
 
     Every text that is not in the largest component of its group looks at all others of the group. Texts that look and
     texts looked at are dealt to blocks, and a task has one block of each, so that a group of any size is split.
@@ -259,89 +280,104 @@ def _further(members: DataFrame, labels: DataFrame, likely: int, samples: int, l
 
     @frugal
     def seek(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, group in _settled(batches, unit):
-            signature, seeks = _matrix(rows.column("signature"), samples), rows.column("seeks").to_numpy()
-            component = rows.column("component").chunk(0).dictionary_encode().indices.to_numpy()
-            ids, starts = rows.column("id").chunk(0), np.flatnonzero(np.diff(group, prepend=-1))
+        for rows, group in _settled(batches, unit, _BLOCK):
+            seeks = rows.column("seeks").to_numpy()
+            starts = np.flatnonzero(np.diff(group, prepend=-1))
             for start, end in zip(starts.tolist(), [*starts[1:].tolist(), len(group)]):
-                left, right, later = _apart(signature[start:end], component[start:end], seeks[start:end], likely, low, high)
-                if len(left) or later:
-                    a, b = (pa.concat_arrays([ids.take(pa.array(start + x)), pa.nulls(int(later), ids.type)]) for x in (left, right))
-                    same = [pa.array([rows.column(c)[start].as_py()] * len(a), rows.column(c).type) for c in ("band", "key")]
-                    yield pa.RecordBatch.from_arrays([*same, a, b], ["band", "key", "a", "b"])
-
-    known = members.join(labels, F.col("id") == F.col("node"), "left").select("band", "key", "id", "signature", F.coalesce("component", "id").alias("component"))
+                part = rows.slice(start, end - start)
+                number: dict = {}
+                component = np.array([number.setdefault(tuple(c.values()), len(number)) for c in part.column("component").to_pylist()])
+                if len(number) < 2:
+                    continue
+                of, hashes, n = shingles(part.column("text").combine_chunks(), words)
+                links = _joining(of, hashes, n * idf.weight[idf.levels(hashes)], component, seeks[start:end], similarity)
+                if links:
+                    ids = part.column("id").combine_chunks()
+                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(side)) for side in zip(*links)], ["a", "b"])
+
+    known = members.join(labels, F.col("id") == F.col("node"), "left").select("band", "key", "id", F.coalesce("component", "id").alias("component"))
     known = stage(known, "near-known")
-    sizes = known.groupBy("band", "key", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("band", "key").agg(
-        F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("most"))
+    bytes_ = texts.select("id", F.octet_length("text").cast("bigint").alias("bytes"))
+    sizes = known.join(bytes_, "id").groupBy("band", "key", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
+    sizes = sizes.groupBy("band", "key").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), F.max(F.struct("n", "bytes", "component")).alias("most"))
     sizes = stage(sizes.filter(F.col("n") > F.col("most.n")), "near-apart")
-    if sizes.isEmpty():
-        return None
-    of, to = _blocks(F.col("n") - F.col("most.n")), _blocks(F.col("n"))
+    needed = lambda n, b: F.greatest(_blocks(n, _BLOCK), _blocks(b, _BLOCK_BYTES))
+    of = needed(F.col("n") - F.col("most.n"), F.col("bytes") - F.col("most.bytes"))
+    to = needed(F.col("n"), F.col("bytes"))
     place = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
     unit_of = lambda seeking, sought, seeks: F.struct(seeking.alias("seeking"), sought.alias("sought"), F.lit(seeks).alias("seeks"))
     sought = F.transform(F.sequence(F.lit(0), of - 1), lambda x: unit_of(x, place(to), False))
-    seeking = F.transform(F.sequence(F.lit(0), to - 1), lambda x: unit_of(place(of), x, True))
-    units = F.when(F.col("component") == F.col("most.component"), sought).otherwise(F.concat(sought, seeking))
+    # one that looks is looked at in its own block already
+    seeking = F.transform(F.filter(F.sequence(F.lit(0), to - 1), lambda x: x != place(to)), lambda x: unit_of(place(of), x, True))
+    own = F.transform(sought, lambda u: F.struct(u["seeking"].alias("seeking"), u["sought"].alias("sought"), (u["seeking"] == place(of)).alias("seeks")))
+    units = F.when(F.col("component") == F.col("most.component"), sought).otherwise(F.concat(own, seeking))
     # the members are on the left, where Spark splits the partition of a large group
-    dealt = known.join(sizes, ["band", "key"]).select("band", "key", "id", "signature", "component", F.explode(units).alias("unit"))
-    dealt = dealt.select("band", "key", "unit.*", "id", "signature", "component").repartition(*unit).sortWithinPartitions(*unit, "id")
-    return stage(dealt.mapInArrow(seek, f"band int, key bigint, a {kind}, b {kind}"), "near-further")
+    dealt = known.join(sizes, ["band", "key"]).select("band", "key", "id", "component", F.explode(units).alias("unit"))
+    dealt = dealt.select("band", "key", "unit.*", "id", "component").join(texts.hint("merge"), "id")
+    dealt = dealt.select(*unit, "seeks", "id", "component", "text").repartition(*unit).sortWithinPartitions(*unit, "id")
+    return _ordered(dealt.mapInArrow(seek, f"a {kind}, b {kind}"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, words: int = 5,
                     bands: int = 16, rows: int = 4, batch_bytes: int = 1 << 20) -> DataFrame:
     """``id_col, class_id, kept`` of every row of ``docs``.
 
-    A class is a connected set of texts that are equal, or were paired and have a weighted Jaccard similarity of at least
-    ``similarity``; ``class_id`` is its smallest id and ``kept`` marks the row that has it. With 16 bands of 4
+    A class is a connected set of texts that are equal, or share a band and have a weighted Jaccard similarity of at least
+    ``similarity``; ``class_id`` is its smallest id and ``kept`` marks the rows of one text that has it. With 16 bands of 4
     a pair at 0.8 shares a band with probability 0.9998. NULL texts are alike to nothing, texts without
     words only to equal ones. A row without an id takes the class of an equal text, or NULL, and is always kept.
-    Rows that share an id share a class; different texts should have different ids.
+    Rows that share an id are judged by their texts: equal texts are one, different ones each have their own class and stay unless
+    they are alike or like others.
     """
+    found = _classes(docs, id_col, text_col, similarity, words, bands, rows, batch_bytes)
+    return found.select(F.col("id").alias(id_col), "class_id", "kept")
+
+
+def _classes(docs: DataFrame, id_col: str, text_col: str, similarity: float, words: int, bands: int, rows: int, batch_bytes: int) -> DataFrame:
+    """``id, digest, class_id, kept`` of every row. A text is named by its smallest id and its digest."""
     samples = bands * rows
     likely, sure = round(_LIKELY / _SAMPLES * samples), round(_SURE / _SAMPLES * samples)
     idf = document_frequencies(docs, text_col, words)
     marked = stage(_bands(docs, idf, id_col, text_col, words, bands, rows, batch_bytes), "near-bands")
     copies = marked.filter("id IS NOT NULL AND digest IS NOT NULL").groupBy("digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
     copies = stage(copies.filter("n > 1").drop("n"), "near-copies")  # read anew, so that Spark can split a frequent text's rows
-    marked = stage(marked.join(copies, "digest", "left").withColumn("node", F.coalesce("first", "id")).drop("first", "digest"), "near-nodes")
-    nodes = marked.filter("id = node AND bands IS NOT NULL")
+    first = F.coalesce("first", "id")
+    named = marked.join(copies, "digest", "left").withColumn("node", F.when(first.isNotNull(), F.struct(first.alias("id"), "digest")))
+    marked = stage(named.select("id", "digest", "node", F.when(F.col("id") == first, F.col("bands")).alias("bands"), "signature"), "near-nodes")
+    nodes = marked.filter("bands IS NOT NULL").select(F.col("node").alias("id"), "bands", "signature")
     banded = nodes.select("id", F.posexplode("bands").alias("band", "key"))
-    groups = banded.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"))
+    groups = banded.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), F.min(F.xxhash64("id")).alias("first"))
     groups = stage(groups.filter("n > 1"), "near-groups")
     members = banded.join(groups, ["band", "key"]).distinct().join(nodes.select("id", "signature"), "id").select("band", "key", "id", "signature", "n", "first")
-    members = stage(members, "near-members")
+    members = stage(members.dropDuplicates(["band", "key", "id"]), "near-members")
     found = stage(_candidates(members, likely, sure, samples), "near-found")
     pairs = stage(_ordered(found), "near-pairs")
     large = members.filter(F.col("n") > _GROUP)
     left = found.filter("b IS NULL").select("band", "key").union(large.select("band", "key")).distinct()
     again = members.join(left, ["band", "key"], "left_semi")
-    # ids asked for, and texts, grow with the documents: they are met by sorting at any size
+    # texts asked for grow with the documents: they are met by sorting at any size
     asked = pairs.select(F.col("center").alias("id")).union(pairs.select("member")).union(large.select("id")).distinct()
-    texts = stage(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(asked.hint("merge"), "id", "left_semi"), "near-texts")
+    own = docs.select(F.struct(F.col(id_col).alias("id"), text_digest(F.col(text_col)).alias("digest")).alias("id"), F.col(text_col).alias("text"))
+    texts = stage(own.join(asked.hint("merge"), "id", "left_semi").dropDuplicates(["id"]), "near-texts")
     links = stage(_compare(pairs, texts, idf, words, similarity, batch_bytes), "near-links")
     labels = components(links, "center", "member")
-    low, high = 0, _FURTHER
-    while (found := _further(again, labels, likely, samples, low, high)) is not None:
-        fresh = stage(_ordered(found).join(pairs, ["center", "member"], "left_anti"), "near-fresh")
-        asked = fresh.select(F.col("center").alias("id")).union(fresh.select("member")).distinct()
-        more = stage(_compare(fresh, texts.join(asked, "id", "left_semi"), idf, words, similarity, batch_bytes), "near-links")
-        if not more.isEmpty():
-            links = links.union(more)
-            labels = components(links, "center", "member")
-        left = found.filter("b IS NULL").select("band", "key").distinct()
-        again, pairs, low, high = again.join(left, ["band", "key"], "left_semi"), pairs.union(fresh), high, high * _FASTER
-    labels = labels.withColumnRenamed("component", "found")
-    classes = marked.join(labels, "node", "left")
-    class_id = F.coalesce("found", "node")
-    kept = F.coalesce(class_id == F.col("id"), F.lit(True))
-    return classes.select(F.col("id").alias(id_col), class_id.alias("class_id"), kept.alias("kept"))
-
-
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one row of each class, the one with the smallest id, and all rows without an id; columns stay as they are."""
-    gone = near_duplicates(docs, id_col, text_col, **options).filter("NOT kept").select(id_col).distinct()
-    left = docs.join(gone.hint("merge"), id_col, "left_anti").select(*docs.columns)
-    own = F.when(F.col(id_col).isNull(), F.monotonically_increasing_id())
-    return left.withColumn("__own", own).dropDuplicates([id_col, "__own"]).drop("__own")
+    more = stage(_further(again, labels, texts, idf, words, similarity), "near-further")
+    if not more.isEmpty():
+        labels = components(links.union(more), "center", "member")
+    found = marked.join(labels.withColumnRenamed("component", "found"), "node", "left")
+    chosen = F.coalesce("found", "node")
+    kept = F.col("id").isNull() | F.col("digest").isNull() | F.coalesce((chosen["id"] == F.col("id")) & (chosen["digest"] == F.col("digest")), F.lit(True))
+    return found.select("id", "digest", F.coalesce(chosen["id"], F.col("id")).alias("class_id"), kept.alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, words: int = 5,
+                         bands: int = 16, rows: int = 4, batch_bytes: int = 1 << 20) -> DataFrame:
+    """``docs`` with one row of each class, and all rows without an id or a text; columns, whatever their names, stay as they are.
+
+    The row is that of the smallest id. Rows that share an id and a text are one document, of which one row stays.
+    """
+    gone = _classes(docs, id_col, text_col, similarity, words, bands, rows, batch_bytes).filter("NOT kept").select("id", "digest").distinct()
+    own = F.when(F.col(id_col).isNull() | F.col(text_col).isNull(), F.monotonically_increasing_id())
+    held = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), text_digest(F.col(text_col)).alias("digest"), own.alias("own"))
+    left = held.join(gone.hint("merge"), ["id", "digest"], "left_anti").dropDuplicates(["id", "digest", "own"])
+    return left.select("row.*")
