@@ -30,3 +30,17 @@ def same(left: Row, right: Row, columns: Sequence[str], schema: T.StructType) ->
 
 def differs(left: Row, right: Row, columns: Sequence[str], schema: T.StructType) -> Column:
     return ~same(left, right, columns, schema)
+
+
+def row_digest(schema: T.StructType, columns: Sequence[str], row: Row | None = None) -> list[Column]:
+    """Two 64-bit hashes of a row's values. Unlike Spark's hash functions they tell in which columns the NULLs are."""
+    row = row or Row()
+
+    def hashed(name: str) -> Column:
+        dtype, value = schema[name].dataType, row[name]
+        if isinstance(dtype, (T.ArrayType, T.StructType, T.MapType)):
+            return F.to_json(F.struct(comparable(value, dtype).alias("v")), {"ignoreNullFields": "false"})
+        return comparable(value, dtype)
+
+    flags = [row[c].isNull() for c in columns]
+    return [F.xxhash64(F.lit(seed), *flags, *[hashed(c) for c in columns]) for seed in (0, 1)]

@@ -17,9 +17,9 @@ from ..functions.names import Row, as_column, as_filter, as_predicate, quote
 from ..spec import Converter, Value
 from .keys import dedupe
 from .skew import any_null, join_many_to_one
-from .topn import first_rows
+from .topn import Order, stretch
 
-_HIT = "__hit"
+_HIT, _STRETCH = "__hit", "__stretch"
 
 
 @dataclass(frozen=True)
@@ -148,19 +148,16 @@ def _hits(target: DataFrame, scope: Scope) -> DataFrame:
 def _marked(target: DataFrame, scope: Scope) -> DataFrame:
     """As :func:`_hits`, with ``__hit`` narrowed to the stretch taken by limit and offset."""
     t = Row("t")
-    df = _hits(target, scope)
     if scope.limit is None and not scope.offset:
-        return df
+        return _hits(target, scope)
     order = [t[c] if isinstance(c, str) else c for c in scope.order_by]
     order += [t[k].asc() for k in scope.key]
     limit = scope.limit if scope.limit is not None else (1 << 62)
     candidates = _hits(_in_reach(target, scope), scope).filter(_HIT)
     candidates = candidates.select(*[t[c] for c in target.columns]).alias("t")
-    picked = first_rows(candidates, order, limit, scope.offset, scope.key).withColumn("__there", F.lit(True))
-    on = reduce(and_, [t[k] == F.col(quote("__top", k)) for k in scope.key])
-    return df.drop(_HIT).join(picked.alias("__top"), on, "left").withColumn(
-        _HIT, F.col(quote("__top", "__there")).isNotNull()
-    )
+    within = stretch(candidates, Order(candidates, order, unique=True), limit, scope.offset)
+    marked = _hits(target.alias("t").withColumn(_STRETCH, within), scope)
+    return marked.withColumn(_HIT, F.col(_HIT) & t[_STRETCH])
 
 
 def _in_reach(target: DataFrame, scope: Scope) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.arithmetic import int_divide
 from ..functions.convert import convert_columns
@@ -85,17 +85,23 @@ def _replace(source: DataFrame, target: DataFrame, key: list[str], duplicates: s
     # Requests are counted per key first, so a key asked for often is one row in the join.
     asked = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("__asked"))
     joined = join_many_to_one(target, asked, key, how="inner", null_safe=null_safe)
-    n = F.col(quote("s", "__asked"))
-    rows = joined.select(*[F.col(quote("t", c)) for c in target.columns], n.alias("__n"))
-    # Rows asked for more than a block's worth are cut into blocks (in two steps, so that no array is long), which
-    # are dealt out again: else one task would have to make all copies of a row.
-    often = rows.filter(F.col("__n") > _BLOCK)
-    zero, tasks = F.lit(0).cast("bigint"), int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = joined.select(*[F.col(quote("t", c)) for c in target.columns], F.col(quote("s", "__asked")).alias("__n"))
+    return repeated(rows, "__n", keys).select(*[F.col(quote(c)) for c in target.columns])
+
+
+def repeated(rows: DataFrame, count: str, apart: Sequence[Column]) -> DataFrame:
+    """Each row as often as its ``count`` says; ``apart`` tells rows apart.
+
+    Rows asked for more than a block's worth are cut into blocks (in two steps, so that no array is long), which
+    are dealt out again: else one task would have to make all copies of a row.
+    """
+    n = F.col(quote(count))
+    often = rows.filter(n > _BLOCK)
+    zero, tasks = F.lit(0).cast("bigint"), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     for step in (_BLOCK * _BLOCK, _BLOCK):
-        last = int_divide(F.col("__n") - 1, F.lit(step))
+        last = int_divide(n - 1, F.lit(step))
         often = often.withColumn("__part", F.explode(F.sequence(zero, last)))
-        often = often.withColumn("__n", F.least(F.lit(step).cast("bigint"), F.col("__n") - F.col("__part") * step))
-        often = often.repartition(tasks, *keys, "__part").drop("__part")  # a fixed number: the rows are few and small as yet
-    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__n")))
-    both = rows.filter(F.col("__n") <= _BLOCK).union(often)
-    return both.withColumn("__copy", copies).select(*[F.col(quote(c)) for c in target.columns])
+        often = often.withColumn(count, F.least(F.lit(step).cast("bigint"), n - F.col("__part") * step))
+        often = often.repartition(tasks, *apart, "__part").drop("__part")  # a fixed number: the rows are few and small as yet
+    both = rows.filter(n <= _BLOCK).union(often)
+    return both.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), n))).drop("__copy", count)
