@@ -7,7 +7,7 @@ from .columns import ColumnPlan, resolve_columns
 from .operators import (Aggregate, ForeignKey, Lookup, Many, MergeResult, Node, One, append_rows, apply_changes,
                         assign_identity, batch_delete, batch_update, cascade_delete, dedupe, duplicate_keys,
                         fill_self_reference, flatten_graph, insert, lookup, merge, merge_folder, merge_graph, merge_into,
-                        rank_rows, table_diff)
+                        rank_rows, table_diff, table_diff_digest)
 from .operators.keys import assert_unique
 from .sources import truncate
 from .spec import Converter, MergeOptions, TableSpec

@@ -115,6 +115,64 @@ def _keys(on: Mapping[str, str]) -> list[Column]:
     return [F.col(quote(c)).alias(f"__k{i}") for i, c in enumerate(on.values())]
 
 
+def _by_columns(target: DataFrame, scope: Scope) -> list[list]:
+    """Lookups, aggregates and related tables, those on the same target columns together."""
+    groups: dict[object, list] = {}
+    for relation in (*scope.lookups, *scope.aggregates, *scope.exists, *scope.not_exists):
+        named = isinstance(relation, Lookup) and relation.name in target.columns  # reached by its alias alone
+        groups.setdefault(id(relation) if named else tuple(sorted(relation.on)), []).append(relation)
+    return list(groups.values())
+
+
+def _star(df: DataFrame, relations: Sequence, exists: dict[int, str]) -> DataFrame:
+    """``df`` with what several relations on the same columns have for a row, met by one left join.
+
+    Each relation's rows are tagged by columns of their own and united; a key is then one row with the values of all. That row is
+    grouped by the key as a struct and joined by its fields: the shuffle in between lets Spark split a frequent key of ``df``.
+    """
+    columns = sorted(relations[0].on)
+    keys = [f"k{i}" for i in range(len(columns))]
+    parts, reduced, there = [], [], []
+    for i, relation in enumerate(relations):
+        key = [F.col(quote(relation.on[c])).alias(k) for c, k in zip(columns, keys)]
+        if isinstance(relation, Aggregate):
+            rows = relation.table if relation.where is None else relation.table.filter(as_filter(relation.where, Row()))
+            one = rows.groupBy(*key).agg(*[v.alias(f"__{i}_{n}") for n, v in relation.values.items()])
+        elif isinstance(relation, Lookup):
+            one = relation.table.select(*key, *[F.col(quote(c)).alias(f"__{i}_{c}") for c in relation.table.columns], F.lit(1).alias(f"__{i}__n"))
+        else:
+            one = relation.table.select(*key, F.lit(1).alias(f"__{i}__n")).distinct()
+        one = one.filter(~any_null(keys))
+        parts.append(one)
+        for field in one.schema[len(keys):]:
+            c = F.col(quote(field.name))
+            if field.name == f"__{i}__n":
+                reduced.append(F.count(c).alias(field.name))
+            elif isinstance(field.dataType, (T.MapType, T.VariantType)):
+                reduced.append(F.first(c, ignorenulls=True).alias(field.name))
+            else:
+                reduced.append(F.max(c).alias(field.name))
+        if isinstance(relation, Lookup) and not relation.unique:
+            text = F.concat(F.lit(f"more than one source row for key ({', '.join(relation.on.values())}) = "), F.col("__key").cast("string"))
+            there.append(F.when(F.col(f"__{i}__n") > 1, F.raise_error(text).cast("boolean")).otherwise(True))
+    united = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    star = united.groupBy(F.struct(*keys).alias("__key")).agg(*reduced)
+    star = reduce(lambda s, test: s.filter(test), there, star)
+    name = f"__star_{'_'.join(columns)}"
+    on = reduce(and_, [F.col(quote("t", c)) == F.col(quote(name, "__key", k)) for c, k in zip(columns, keys)])
+    types = {f.name: f.dataType for f in star.schema}
+    df = df.join(star.alias(name), on, "left")
+    for i, relation in enumerate(relations):
+        of = lambda n: F.col(quote(name, f"__{i}_{n}"))  # noqa: E731, B023
+        if isinstance(relation, Aggregate):  # over no child rows an aggregate is empty, not NULL, in predicates as in assignments
+            df = df.withColumn(relation.name, F.struct(*[relation.filled(of(n), types[f"__{i}_{n}"]).alias(n) for n in relation.values]))
+        elif isinstance(relation, Lookup):
+            df = df.withColumn(relation.name, F.struct(*[of(c).alias(c) for c in relation.table.columns]))
+        else:
+            df = df.withColumn(exists[id(relation)], F.coalesce(of("_n") > 0, F.lit(False)))
+    return df
+
+
 def _hits(target: DataFrame, scope: Scope) -> DataFrame:
     """The target with its related values joined on (as ``t``, ...) and ``__hit`` for the predicates."""
     t = Row("t")
@@ -122,26 +180,31 @@ def _hits(target: DataFrame, scope: Scope) -> DataFrame:
     if clash:
         raise ValueError(f"aggregates are named like columns of the target: {', '.join(clash)}")
     df = target.alias("t")
-    for ref in scope.lookups:
-        to = list(ref.on.values())
-        one = ref.table if ref.unique else dedupe(ref.table.filter(~any_null(to)), to)
-        df = join_many_to_one(df, one, list(ref.on), to, aliases=("t", ref.name), aliased=True)
-    for agg in scope.aggregates:
-        rows = agg.table if agg.where is None else agg.table.filter(as_filter(agg.where, Row()))
-        one = rows.groupBy(*_keys(agg.on)).agg(*[v.alias(k) for k, v in agg.values.items()])
-        keys = one.columns[: len(agg.on)]
-        raw = f"__of_{agg.name}"
-        df = join_many_to_one(df, one, list(agg.on), keys, aliases=("t", raw), aliased=True)
-        # over no child rows an aggregate is empty, not NULL, in predicates as in assignments
-        values = [agg.filled(F.col(quote(raw, v)), one.schema[v].dataType).alias(v) for v in agg.values]
-        df = df.withColumn(agg.name, F.struct(*values))
+    related = {id(r): f"__related{i}" for i, r in enumerate((*scope.exists, *scope.not_exists))}
+    for group in _by_columns(target, scope):
+        if len(group) > 1:
+            df = _star(df, group, related)
+            continue
+        [one] = group
+        if isinstance(one, Lookup):
+            to = list(one.on.values())
+            table = one.table if one.unique else dedupe(one.table.filter(~any_null(to)), to)
+            df = join_many_to_one(df, table, list(one.on), to, aliases=("t", one.name), aliased=True)
+        elif isinstance(one, Aggregate):
+            rows = one.table if one.where is None else one.table.filter(as_filter(one.where, Row()))
+            values = rows.groupBy(*_keys(one.on)).agg(*[v.alias(k) for k, v in one.values.items()])
+            raw = f"__of_{one.name}"
+            df = join_many_to_one(df, values, list(one.on), values.columns[:len(one.on)], aliases=("t", raw), aliased=True)
+            # over no child rows an aggregate is empty, not NULL, in predicates as in assignments
+            filled = [one.filled(F.col(quote(raw, v)), values.schema[v].dataType).alias(v) for v in one.values]
+            df = df.withColumn(one.name, F.struct(*filled))
+        else:
+            name = related[id(one)]
+            keys = one.table.select(*_keys(one.on)).distinct().withColumn("__there", F.lit(True))
+            df = join_many_to_one(df, keys, list(one.on), keys.columns[:-1], aliases=("t", f"{name}_of"), aliased=True)
+            df = df.withColumn(name, F.col(quote(f"{name}_of", "__there")).isNotNull())
     tests = [as_predicate(scope.where, t)] if scope.where is not None else []
-    for i, (related, wanted) in enumerate([(r, True) for r in scope.exists] + [(r, False) for r in scope.not_exists]):
-        name = f"__related{i}"
-        one = related.table.select(*_keys(related.on)).distinct().withColumn("__there", F.lit(True))
-        df = join_many_to_one(df, one, list(related.on), one.columns[:-1], aliases=("t", name), aliased=True)
-        there = F.col(quote(name, "__there"))
-        tests.append(there.isNotNull() if wanted else there.isNull())
+    tests += [F.col(related[id(r)]) for r in scope.exists] + [~F.col(related[id(r)]) for r in scope.not_exists]
     return df.withColumn(_HIT, reduce(and_, tests, F.lit(True)))
 
 

@@ -11,6 +11,7 @@ from ..functions.convert import convert_columns
 from ..functions.names import Row, quote
 from ..sources.readers import scoped
 from ..spec import TableSpec
+from .intervals import reachable
 from .keys import dedupe
 from .skew import join_many_to_one, looks_small
 
@@ -30,6 +31,7 @@ def lookup(
     null_safe: bool | None = None,
     ignore_row_filter: bool = False,
     convert: bool = False,
+    key_intervals: int = 0,
 ) -> DataFrame:
     """Read ``target`` by the keys in ``source``.
 
@@ -37,7 +39,8 @@ def lookup(
     row; rows without a match stay as they are. Where a key matches several target rows the
     first by ``first_by`` is used. ``replace`` returns the matching target rows themselves, as
     often as their key was asked for (``duplicates='keep'``) or once (``'drop'``).
-    ``columns`` limits what is loaded; the key always comes along.
+    ``columns`` limits what is loaded; the key always comes along. With ``key_intervals`` the keys are first covered
+    by so many intervals, which the scan uses to skip files and row groups (two jobs over the keys).
     """
     key = list(match_on or spec.key)
     unknown = sorted(set(key) - set(target.columns))
@@ -50,6 +53,8 @@ def lookup(
     if convert:
         source = convert_columns(source, {k: v for k, v in spec.converters.items() if k in key})
     target = scoped(target, spec, ignore_row_filter)
+    if key_intervals:
+        target = reachable(target, source, key, key_intervals, null_safe)
     wanted = [c for c in target.columns if columns is None or c in columns or c in key]
     unique = tuple(key) == tuple(spec.key)
     if mode == "replace":

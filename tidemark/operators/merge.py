@@ -7,7 +7,8 @@ NULL). The new table, the change feed and the statistics are views of it.
 Two plan shapes give the same rows. ``outer`` joins both sides once, shuffling each once.
 ``split`` left-joins the target to the source and adds the source rows that found no partner;
 with a small source Spark broadcasts it and the target is never shuffled, and with a match
-key that repeats in the target the left join can spread frequent keys.
+key that repeats in the target the left join can spread frequent keys. ``bitmap`` first sets the target's
+rows apart that cannot have a partner, and joins the rest in one of these shapes.
 """
 
 from __future__ import annotations
@@ -27,7 +28,9 @@ from ..functions.names import Row, as_column, as_predicate, quote
 from ..sources.readers import rename_columns, source_limit
 from ..sources.staging import stage
 from ..spec import MergeOptions, TableSpec
+from .bitmap import in_bitmap, key_bitmap
 from .identity import assign_identity
+from .intervals import reachable
 from .keys import dedupe
 from .skew import any_null, estimated_bytes, join_many_to_one, looks_small, row_hash
 
@@ -362,6 +365,7 @@ def merge(
 
     if operation == "sync" and options.delete_filter is not None:
         target = target.withColumn(_DROP, as_predicate(options.delete_filter, Row()))
+    whole = target
     tagged_t = target.withColumn(_IN_T, F.lit(True))
     tagged_s = keyed.withColumn(_IN_S, F.lit(True))
 
@@ -373,12 +377,17 @@ def merge(
         return df.alias("t").join(nothing.alias("s"), F.lit(False), "left")
 
     inserts = operation in INSERTING
+    apart = None
+    if options.strategy == "bitmap" and plan.key:
+        known = key_bitmap(keyed.select(*[F.col(quote(k)) for k in plan.key]), plan.key, options.bitmap_bits)
+        target, apart = in_bitmap(target, known, plan.key, options.bitmap_bits)
+        tagged_t = target.withColumn(_IN_T, F.lit(True))
     unique_in_target = tuple(plan.key) == tuple(spec.key)
     shape = options.strategy
-    if shape == "auto":
+    if shape in ("auto", "bitmap"):
         shape = "split" if not unique_in_target or _much_smaller(keyed, target) else "outer"
     if shape not in ("outer", "split"):
-        raise ValueError(f"strategy must be auto, outer or split, not '{options.strategy}'")
+        raise ValueError(f"strategy must be auto, outer, split or bitmap, not '{options.strategy}'")
 
     if not plan.key:
         classified = classify(unmatched_target(tagged_t))
@@ -402,7 +411,7 @@ def merge(
                 new = new.unionByName(loose.filter(F.col(_OP) == "I") if operation == "changes" else loose)
     if new is not None:
         if generated:
-            new = assign_identity(new, spec.identity, order, target.agg(F.max(quote(spec.identity))).scalar())
+            new = assign_identity(new, spec.identity, order, whole.agg(F.max(quote(spec.identity))).scalar())
             plan_new = replace(plan, insert=(*plan.insert, spec.identity))
         else:
             plan_new = plan
@@ -410,6 +419,8 @@ def merge(
         alone = new.withColumn(_IN_S, F.lit(True)).alias("s").join(absent.alias("t"), F.lit(False), "left")
         fresh = _classify(alone, spec, plan_new, options, operation, schema, prepared)
         classified = classified.unionByName(fresh)
+    if apart is not None:
+        classified = classified.unionByName(classify(unmatched_target(apart.withColumn(_IN_T, F.lit(True)))))
     classified = _compute(classified, spec)
 
     conflicts = None
@@ -471,7 +482,16 @@ def _delete(target: DataFrame, keys: DataFrame, spec: TableSpec, plan: ColumnPla
         joined = join_many_to_one(target, keys, plan.key, how=how, null_safe=plan.null_safe)
         return joined.select(*[F.col(quote(c)) for c in target.columns])
 
-    kept, gone = side("left_anti"), side("left_semi")
+    if options.strategy == "bitmap":
+        whole = target
+        target, apart = in_bitmap(target, key_bitmap(keys, plan.key, options.bitmap_bits), plan.key, options.bitmap_bits)
+        kept = side("left_anti").union(apart)
+        target = target if not options.key_intervals else whole
+    else:
+        kept = side("left_anti")
+    if options.key_intervals:  # the removed rows are found without reading all of the table
+        target = reachable(target, keys, plan.key, options.key_intervals, plan.null_safe)
+    gone = side("left_semi")
     changes = gone.select(F.lit("D").alias(ACTION), F.lit(True).alias(FROM_SOURCE), *gone.columns)
     rest = kept.select(F.lit(None).cast("string").alias(ACTION), F.lit(False).alias(FROM_SOURCE), *kept.columns)
     return _DeleteResult(rest.unionByName(changes), keys, spec, plan, _result=kept, gone=changes)

@@ -87,24 +87,31 @@ class Order:
         return [tuple(bytes(v) if isinstance(v, bytearray) else v for v in r) for r in found.orderBy(*sorting).limit(n).collect()]
 
     def after(self, place: Place) -> Column:
-        return self._after([self._literal(v, i) for i, v in enumerate(place.values)])
+        return self._after([self.literal(v, i) for i, v in enumerate(place.values)])
 
     def at(self, place: Place) -> Column:
-        return self._at([self._literal(v, i) for i, v in enumerate(place.values)])
+        return self._at([self.literal(v, i) for i, v in enumerate(place.values)])
+
+    def passed(self, cuts: Sequence[tuple]) -> Column:
+        """How many of the cuts, which rise, a row comes after; found by halving."""
+        arrays = self._arrays(cuts)
+        if not cuts:
+            return F.lit(0)
+        steps = F.array(*[F.lit(1 << b) for b in reversed(range(len(cuts).bit_length()))])
+        return F.aggregate(steps, F.lit(0), lambda n, step: F.when(
+            (n + step <= len(cuts)) & self._after([F.get(a, n + step - 1) for a in arrays]), n + step).otherwise(n))
+
+    def _arrays(self, cuts: Sequence[tuple]) -> list[Column]:
+        return [F.array(*[self.literal(c[i], i) for c in cuts]) for i in range(len(self.keys))]
 
     def cells(self, df: DataFrame, cuts: list[tuple]) -> DataFrame:
         """``cell, n``: rows before the first cut (0), at it (1), between it and the second (2), and so on."""
-        arrays = [F.array(*[self._literal(c[i], i) for c in cuts]) for i in range(len(self.keys))]
-        steps = F.array(*[F.lit(1 << b) for b in reversed(range(len(cuts).bit_length()))])
-        cut = lambda n: [F.get(a, n) for a in arrays]
-        # how many cuts the row is after, by halving
-        passed = F.aggregate(steps, F.lit(0), lambda n, step: F.when(
-            (n + step <= len(cuts)) & self._after(cut(n + step - 1)), n + step).otherwise(n))
-        here = (F.col(_PASSED) < len(cuts)) & self._at(cut(F.col(_PASSED)))
+        here = (F.col(_PASSED) < len(cuts)) & self._at([F.get(a, F.col(_PASSED)) for a in self._arrays(cuts)])
         cell = 2 * F.col(_PASSED) + F.when(here, 1).otherwise(0)
-        return df.withColumn(_PASSED, passed).groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"))
+        return df.withColumn(_PASSED, self.passed(cuts)).groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"))
 
-    def _literal(self, value, i: int) -> Column:
+    def literal(self, value, i: int) -> Column:
+        """A collected value of column ``i``; timestamps travel as microseconds."""
         if isinstance(self.types[i], T.TimestampType):
             return F.timestamp_micros(F.lit(value).cast("bigint"))
         return F.lit(value).cast(self.types[i])

@@ -161,6 +161,28 @@ def batch_update_join_filter(tables: Tables):
     return batch_update(tables.orders, {"o_orderstatus": "B"}, exists=[builders]).result
 
 
+@query(f"""SELECT o.* REPLACE (
+    CASE WHEN r.total IS NULL THEN 'N' ELSE o.o_orderstatus END AS o_orderstatus, coalesce(r.total, 0) + coalesce(l.n, 0) AS o_totalprice,
+    coalesce(f.l_shipdate, o.o_orderdate) AS o_orderdate)
+  FROM orders o LEFT JOIN {RETURNED} r ON r.l_orderkey = o.o_orderkey
+  LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) l ON l.l_orderkey = o.o_orderkey
+  LEFT JOIN (SELECT l_orderkey, min(l_shipdate) AS l_shipdate FROM lineitem WHERE l_linenumber = 1 GROUP BY 1) f ON f.l_orderkey = o.o_orderkey
+  WHERE o.o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_tax > 0.01)
+  UNION ALL SELECT o.* FROM orders o WHERE o.o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_tax > 0.01)""")
+def batch_update_many_lookups(tables: Tables):
+    """Two child aggregates, a look-up and an existence test on one key are met by one join."""
+    returned = _returned(tables)
+    lines = Aggregate("lines", tables.lineitem, {"o_orderkey": "l_orderkey"}, {"n": F.count(F.lit(1))})
+    first = tables.lineitem.filter("l_linenumber = 1").groupBy("l_orderkey").agg(F.min("l_shipdate").alias("l_shipdate"))
+    taxed = Related(tables.lineitem.filter("l_tax > 0.01"), {"o_orderkey": "l_orderkey"})
+    some = F.col("returned.total") != 0
+    return batch_update(tables.orders, {
+        "o_orderstatus": F.when(some, F.col("t.o_orderstatus")).otherwise("N"),
+        "o_totalprice": child_value(returned, "total") + child_value(lines, "n"),
+        "o_orderdate": F.coalesce(F.col("first.l_shipdate"), F.col("t.o_orderdate")),
+    }, aggregates=[returned, lines], lookups=[Lookup("first", first, {"o_orderkey": "l_orderkey"})], exists=[taxed]).result
+
+
 @query("""SELECT l.* REPLACE (CASE WHEN l_quantity < 10 AND r.k IS NOT NULL THEN 'K' ELSE l.l_returnflag END AS l_returnflag)
   FROM lineitem l LEFT JOIN (SELECT DISTINCT l_partkey AS k, l_suppkey AS v FROM lineitem WHERE l_returnflag = 'R') r
   ON r.k = l.l_partkey AND r.v = l.l_suppkey""")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .. import append_rows, delete, insert, insert_absent, merge, sync, table_diff, update, upsert
+from .. import append_rows, delete, insert, insert_absent, merge, sync, table_diff, table_diff_digest, update, upsert
 from ..functions import is_type_default
 from ..sources import from_reader, from_table
 from ..spec import TableSpec
@@ -354,14 +354,40 @@ def merge_delete_changes(tables: Tables):
     return _feed_rows(delete(stored(tables), feed(tables), ORDERS).changes)
 
 
-@query(INPUTS + f"""
+DIFFERENCE = INPUTS + f"""
 SELECT 'I' AS action, {columns_of('s')} FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.o_orderkey = s.o_orderkey)
 UNION ALL SELECT 'U', {columns_of('s')} FROM t JOIN s ON s.o_orderkey = t.o_orderkey WHERE {CHANGED}
-UNION ALL SELECT 'D', {columns_of('t')} {LEFT} WHERE s.o_orderkey IS NULL""", name="table_diff")
+UNION ALL SELECT 'D', {columns_of('t')} {LEFT} WHERE s.o_orderkey IS NULL"""
+
+
+@query(DIFFERENCE, name="table_diff")
 def table_difference(tables: Tables):
     return _feed_rows(table_diff(stored(tables), feed(tables), ORDERS))
 
 
+@query(DIFFERENCE, name="table_diff_digest")
+def table_difference_by_digests(tables: Tables):
+    """Only key ranges whose digests differ are joined."""
+    return _feed_rows(table_diff_digest(stored(tables), feed(tables), ORDERS, ranges=256))
+
+
+@query(INPUTS + UPSERTED)
+def merge_upsert_bitmap(tables: Tables):
+    """Rows whose key no source row can have are not shuffled."""
+    return upsert(stored(tables), feed(tables), ORDERS, strategy="bitmap").result
+
+
+@query(INPUTS + f"SELECT {columns_of('s')} FROM s")
+def merge_sync_bitmap(tables: Tables):
+    return sync(stored(tables), feed(tables), ORDERS, strategy="bitmap", bitmap_bits=1 << 15).result
+
+
+@query(INPUTS + f"SELECT 'D' AS action, {columns_of('t')} FROM t JOIN s ON s.o_orderkey = t.o_orderkey")
+def merge_delete_intervals(tables: Tables):
+    """The removed rows are read by intervals of the source's keys."""
+    return _feed_rows(delete(stored(tables), feed(tables), ORDERS, key_intervals=16).changes)
+
+
 # --- generated values -----------------------------------------------------------------
 
 INVOICES = TableSpec("orders", key=("o_orderkey",), identity="o_orderkey")

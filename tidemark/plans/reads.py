@@ -55,6 +55,16 @@ def read_replace_distinct(tables: Tables):
     return lookup(asked, tables.part, PART, mode="replace", duplicates="drop")
 
 
+@query("""SELECT o.* FROM orders o WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem
+  WHERE l_shipdate >= (SELECT max(l_shipdate) - INTERVAL 30 DAY FROM lineitem) AND l_orderkey % 1000 < 40)""")
+def read_key_intervals(tables: Tables):
+    """Late lines of clustered orders: the scan reads the intervals in which their keys lie."""
+    latest = tables.lineitem.agg((F.max("l_shipdate") - F.expr("INTERVAL 30 DAY")).alias("since")).scalar()
+    asked = tables.lineitem.filter((F.col("l_shipdate") >= latest) & (F.col("l_orderkey") % 1000 < 40))
+    orders = TableSpec("orders", key=("o_orderkey",))
+    return lookup(asked.select(F.col("l_orderkey").alias("o_orderkey")), tables.orders, orders, mode="replace", duplicates="drop", key_intervals=24)
+
+
 @query("SELECT l.l_orderkey, l.l_linenumber, l.l_suppkey, l.l_partkey AS p_partkey, p.p_brand "
        "FROM lineitem l LEFT JOIN part p ON p.p_partkey = l.l_partkey")
 def read_projection(tables: Tables):

@@ -71,7 +71,10 @@ class MergeOptions:
         assignments to make instead of removing them.
     Plan
         ``strategy`` is ``auto``, ``outer`` (one full outer join) or ``split`` (a left join
-        plus an anti join); ``join_hint`` is passed to Spark on the source side.
+        plus an anti join) or ``bitmap`` (rows whose key is not in a bitmap of ``bitmap_bits`` bits, made
+        of the source's keys, pass without a shuffle; for a source of some millions of keys and a much larger table);
+        ``join_hint`` is passed to Spark on the source side. ``key_intervals`` is how many intervals of
+        the source's keys a delete may use to find its rows in the files (0: none).
     """
 
     include: Sequence[str] | None = None
@@ -99,6 +102,8 @@ class MergeOptions:
     source_limit: int | None = None
     as_of: Column | None = None
     strategy: str = "auto"
+    bitmap_bits: int = 1 << 25
+    key_intervals: int = 0
     join_hint: str | None = None
 
     def with_(self, **changes) -> "MergeOptions":
