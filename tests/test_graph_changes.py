@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -5,16 +7,19 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from tidemark import (ForeignKey, Many, Node, One, TableSpec, apply_changes, fill_self_reference, flatten_graph,
                       merge_graph)
-from tidemark.operators import topological_order
+from tidemark.operators import ancestry, cascade_delete_tree, table_groups, topological_order, tree
+from tidemark.sources import stage
 from tidemark.operators.changeset import publish_order
 from tidemark.operators.graph import graph_stats
 
-# Voyages of a ship from a port, with the legs they call at; a leg may name the pilot taken aboard.
+# Voyages of a ship, with the legs they call at; a leg may name the pilot taken aboard. One voyage has neither ship nor legs,
+# two share a ship, two legs of one share a pilot.
 NEST = """title string, ship struct<call_sign: string>,
  legs array<struct<harbour: string, hours: int, pilot: struct<licence: string>>>, place int"""
 VOYAGES = [
-    ("north", ("QX7",), [("Oban", 31, ("p-12",)), ("Mallaig", 9, ("p-40",))], 1),
-    ("west", ("LM2",), [("Tiree", 14, ("p-77",)), ("Coll", 3, ("p-81",))], 2),
+    ("idle", None, [], 1),
+    ("west", ("LM2",), [("Tiree", 14, ("p-12",))], 2),
+    ("ring", ("LM2",), [("Oban", 31, None), ("Mallaig", 9, ("p-40",)), ("Coll", 3, ("p-40",))], 3),
 ]
 
 
@@ -22,7 +27,7 @@ def generated(name, **relations):
     return Node(TableSpec(name, key=("id",), identity="id"), **relations)
 
 
-SHIP, PILOT = generated("ship"), generated("pilot")
+SHIP, PILOT = generated("ship", match_on=("call_sign",)), generated("pilot", match_on=("licence",))
 LEG = generated("leg", one=(One("pilot", PILOT, "pilot_id"),))
 VOYAGE = generated("voyage", one=(One("ship", SHIP, "ship_id"),), many=(Many("legs", LEG, "voyage_id"),))
 
@@ -37,16 +42,14 @@ def empty(spark):
     }
 
 
-def test_four_tables_twelve_inserts(spark, empty):
+def test_an_uneven_graph(spark, empty):
     results = merge_graph(spark.createDataFrame(VOYAGES, NEST), VOYAGE, empty, ordinal="place")
     assert list(results) == ["ship", "voyage", "pilot", "leg"]
-    assert graph_stats(results).first().asDict() == {"inserted": 12, "updated": 0, "deleted": 0}
-    voyages, ships = results["voyage"].result, results["ship"].result
-    assert rows(voyages.alias("v").join(ships.alias("s"), F.col("v.ship_id") == F.col("s.id")).select(
-        "v.title", "s.call_sign")) == [("north", "QX7"), ("west", "LM2")]
-    legs = results["leg"].result.join(results["pilot"].result.withColumnRenamed("id", "pid"), F.col("pilot_id") == F.col("pid"))
-    assert rows(legs, "voyage_id", "harbour", "licence") == [
-        (1, "Mallaig", "p-40"), (1, "Oban", "p-12"), (2, "Coll", "p-81"), (2, "Tiree", "p-77")]
+    assert {n: r.stats.first()["inserted"] for n, r in results.items()} == {"ship": 1, "voyage": 3, "pilot": 2, "leg": 4}
+    assert graph_stats(results).first().asDict() == {"inserted": 10, "updated": 0, "deleted": 0}
+    assert rows(results["voyage"].result, "id", "title", "ship_id") == [(1, "idle", None), (2, "west", 1), (3, "ring", 1)]
+    aboard = results["leg"].result.join(results["pilot"].result.withColumnRenamed("id", "pid"), F.col("pilot_id") == F.col("pid"), "left")
+    assert rows(aboard, "voyage_id", "harbour", "licence") == [(2, "Tiree", "p-12"), (3, "Coll", "p-40"), (3, "Mallaig", "p-40"), (3, "Oban", None)]
 
 
 def test_empty_arrays_and_missing_references(spark, empty):
@@ -141,8 +144,95 @@ def test_graphs_are_not_deleted(spark, empty):
 def test_topological_order():
     keys = [ForeignKey("line", "o", "orders"), ForeignKey("orders", "c", "customer"), ForeignKey("customer", "p", "customer")]
     assert topological_order(["line", "orders", "customer"], keys) == ["customer", "orders", "line"]
+    circle = [ForeignKey("a", "x", "b"), ForeignKey("b", "x", "c"), ForeignKey("c", "x", "a"), ForeignKey("c", "y", "d"), ForeignKey("e", "y", "b")]
+    assert table_groups(["e", "a", "b", "c", "d"], circle) == [["d"], ["a", "b", "c"], ["e"]]
+    assert topological_order(["e", "a", "b", "c", "d"], circle) == ["d", "a", "b", "c", "e"]
+
+
+def test_a_circle_of_tables(spark):
+    """A club names its captain, a member the club and a mentor among the members; a prize, outside the circle, its winner."""
+    targets = {"club": spark.createDataFrame([(7, "old", 3)], "id bigint, name string, captain bigint"),
+               "member": spark.createDataFrame([(3, "Ida", 7, None)], "id bigint, name string, club bigint, mentor bigint"),
+               "prize": spark.createDataFrame([], "title string, winner bigint")}
+    changes = {
+        "prize": spark.createDataFrame([("cup", 20, "I"), ("none", None, "I")], "title string, who int, op string"),
+        "club": spark.createDataFrame([(None, "new", 20, 1, None, "I"), (None, "empty", None, 2, None, "I"), (7, "older", None, 3, 3, "U")],
+                                      "id bigint, name string, lead int, place int, captain bigint, op string"),
+        "member": spark.createDataFrame([(None, "Una", 1, None, 20, None, "I"), (None, "Bo", 1, 20, 21, None, "I"), (None, "Cy", None, 21, 22, 7, "I"), (3, None, None, None, None, None, "D")],
+                                        "id bigint, name string, of int, by int, place int, club bigint, op string"),
+    }
+    specs = {n: TableSpec(n, key=("id",), identity="id") for n in ("club", "member")} | {"prize": TableSpec("prize", key=("title",))}
+    keys = [ForeignKey("club", "captain", "member", "lead"), ForeignKey("member", "club", "club", "of"), ForeignKey("member", "mentor", "member", "by"), ForeignKey("prize", "winner", "member", "who")]
+    done = apply_changes(targets, changes, specs, keys, ordinal={"club": "place", "member": "place"})
+    assert list(done) == ["club", "member", "prize"]
+    assert rows(done["club"].result) == [(7, "older", 3), (8, "new", 4), (9, "empty", None)]
+    assert rows(done["member"].result) == [(4, "Una", 8, None), (5, "Bo", 8, 4), (6, "Cy", 7, 5)]
+    assert rows(done["prize"].result) == [("cup", 4), ("none", None)]
+
+
+def _below(parent, marks):
+    """Keys of marked rows and all rows below them, by walking up from each."""
+    out = set()
+    for k in parent:
+        seen, at = set(), k
+        while at in parent and at not in seen:
+            seen.add(at)
+            if at in marks:
+                out.add(k)
+                break
+            at = parent[at]
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_trees_of_any_depth(spark, seed):
+    random.seed(seed)
+    parent = {i: random.choice([i - 1, i - 1, random.randrange(i), None, 9999]) if i else None for i in range(300)}
+    parent |= {1000 + i: 999 + i if i else None for i in range(130)}  # one chain
+    marks = set(random.sample(sorted(parent), 8)) | {1064}
+    df = spark.createDataFrame([(k, p, f"r{k}") for k, p in parent.items()] + [(None, 1100, "loose"), (None, 1001, "stays")], "id int, up int, name string").repartition(3)
+    gone = spark.createDataFrame([(m,) for m in marks] + [(None,), (5555,)], "id int")
+    left = cascade_delete_tree(df, "id", "up", gone)
+    below = _below(parent, marks)
+    assert rows(left, "id", "name") == sorted([(k, f"r{k}") for k in parent if k not in below]) + ([] if 1001 in below else [(None, "stays")])
+
+    def walk(k):
+        n = 0
+        while parent.get(k) in parent:
+            k, n = parent[k], n + 1
+        return k, n
+
+    found = {r["id"]: (r["root"], r["depth"]) for r in ancestry(df, "id", "up").collect()}
+    assert found == {k: walk(k) for k in parent}
+
+
+def test_rounds_grow_with_the_logarithm_of_the_depth(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(tree, "stage", lambda df, label: (written.append(label), stage(df, label))[1])
+    chain = spark.range(1000).select("id", F.when(F.col("id") > 0, F.col("id") - 1).alias("up"))
+    assert ancestry(chain, "id", "up").agg(F.max("depth")).first()[0] == 999 and len(written) <= 12
+
+
+def test_circles_of_rows(spark):
+    df = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (4, 3), (5, None), (6, 5), (7, 7), (8, 7)], "id int, up int")
     with pytest.raises(ValueError, match="circle"):
-        topological_order(["a", "b"], [ForeignKey("a", "x", "b"), ForeignKey("b", "x", "a")])
+        ancestry(df, "id", "up")
+    assert {r["id"]: (r["root"], r["depth"]) for r in ancestry(df, "id", "up", circles=True).collect()} == {
+        1: (None, None), 2: (None, None), 3: (None, None), 4: (None, None), 5: (5, 0), 6: (5, 1), 7: (None, None), 8: (None, None)}
+    gone = spark.createDataFrame([(2,), (6,)], "id int")
+    assert rows(cascade_delete_tree(df, "id", "up", gone), "id") == [(5,), (7,), (8,)]
+    assert cascade_delete_tree(df.limit(0), "id", "up", gone).count() == 0
+    with pytest.raises(PySparkException, match="more than one"):
+        ancestry(df.union(df), "id", "up", circles=True).collect()
+
+
+def test_missing_names_are_not_gathered(spark):
+    df = spark.createDataFrame([(i, None if i % 3 else f"n{i}", f"n{i - i % 5}") for i in range(60)], "id int, name string, of string")
+    filled = fill_self_reference(df, "id", ["name"], ["of"], "parent")
+    named = {f"n{i}": i for i in range(60) if i % 3 == 0}
+    assert {r["id"]: r["parent"] for r in filled.collect()} == {i: named.get(f"n{i - i % 5}") for i in range(60)}
+    plan = filled._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Window") < plan.index("isnotnull(name")  # below the numbering
 
 
 def test_two_rounds_of_changes(spark):

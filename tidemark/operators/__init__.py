@@ -1,5 +1,5 @@
 from .batch import Aggregate, Lookup, batch_delete, batch_update
-from .changeset import ForeignKey, apply_changes, cascade_delete, topological_order
+from .changeset import ForeignKey, apply_changes, cascade_delete, cascade_delete_tree, table_groups, topological_order
 from .digests import TableDigests, differing_ranges, digest_columns, digest_table, table_diff_digest
 from .folders import merge_folder, read_folder
 from .graph import Many, Node, One, fill_self_reference, flatten_graph, merge_graph
@@ -11,3 +11,4 @@ from .lookup import lookup
 from .merge import MergeResult, append_rows, insert, merge, table_diff
 from .row_level import merge_into
 from .topn import first_rows
+from .tree import ancestry

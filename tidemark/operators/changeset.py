@@ -13,6 +13,7 @@ from ..spec import TableSpec
 from .keys import dedupe
 from .merge import _OP, ORDINAL, MergeResult, merge
 from .skew import join_many_to_one
+from .tree import ancestry
 
 
 @dataclass(frozen=True)
@@ -29,28 +30,39 @@ class ForeignKey:
     reference: str | None = None
 
 
-def topological_order(names: Iterable[str], foreign_keys: Iterable[ForeignKey]) -> list[str]:
-    """Table names, parents before children; a table may refer to itself."""
+def table_groups(names: Iterable[str], foreign_keys: Iterable[ForeignKey]) -> list[list[str]]:
+    """Tables that refer to each other in a circle together, each group after those it refers to."""
     parents: dict[str, list[str]] = {n: [] for n in names}
     for fk in foreign_keys:
         if fk.child in parents and fk.parent in parents and fk.child != fk.parent:
             parents[fk.child].append(fk.parent)
-    done: list[str] = []
-    open_: set[str] = set()
+    number: dict[str, int] = {}
+    reach: dict[str, int] = {}
+    open_: list[str] = []
+    groups: list[list[str]] = []
 
     def visit(name: str) -> None:
-        if name in done:
-            return
-        if name in open_:
-            raise ValueError(f"tables refer to each other in a circle at '{name}'")
-        open_.add(name)
+        number[name] = reach[name] = len(number)
+        open_.append(name)
         for parent in parents[name]:
-            visit(parent)
-        done.append(name)
+            if parent not in number:
+                visit(parent)
+            if parent in open_:
+                reach[name] = min(reach[name], reach[parent])
+        if reach[name] == number[name]:  # the first of its group to be met
+            at = open_.index(name)
+            groups.append(open_[at:])
+            del open_[at:]
 
     for name in parents:
-        visit(name)
-    return done
+        if name not in number:
+            visit(name)
+    return [sorted(g, key=list(parents).index) for g in groups]
+
+
+def topological_order(names: Iterable[str], foreign_keys: Iterable[ForeignKey]) -> list[str]:
+    """Table names, parents before children; tables that refer to each other in a circle follow each other."""
+    return [name for group in table_groups(names, foreign_keys) for name in group]
 
 
 def apply_changes(
@@ -68,23 +80,46 @@ def apply_changes(
     nothing. A table's three kinds of change are one merge and so one join. Tables come parents first,
     so that a child can take the key generated for its parent (``ordinal`` names, per table, the
     column that orders and identifies its change rows); publish inserts in that order
-    and deletions in the reverse one (see :func:`publish_order`).
+    and deletions in the reverse one (see :func:`publish_order`). Tables that refer to each other in a circle, or to themselves, are
+    given their keys first and the references in a second pass; publish them together.
     """
-    foreign_keys = list(foreign_keys)
+    foreign_keys = [fk for fk in foreign_keys if fk.child in changes and fk.parent in changes]
+    handed = [fk for fk in foreign_keys if fk.reference is not None]
     results: dict[str, MergeResult] = {}
     keys: dict[str, DataFrame] = {}
-    for name in topological_order(changes, foreign_keys):
-        rows = changes[name].withColumnRenamed(op_column, _OP)
-        for fk in foreign_keys:
-            if fk.child == name and fk.reference is not None and fk.parent in results:
-                rows = _take_parent_key(rows, fk, keys[fk.parent])
-        result = merge(targets[name], rows, specs[name], "changes", ordinal=(ordinal or {}).get(name), **settings)
-        if any(fk.parent == name and fk.reference is not None for fk in foreign_keys):
-            keys[name] = stage(_given_keys(result), "keys")
-        results[name] = result
+
+    def merged(name: str, rows: DataFrame) -> MergeResult:
+        return merge(targets[name], rows, specs[name], "changes", ordinal=(ordinal or {}).get(name), **settings)
+
+    for group in table_groups(changes, foreign_keys):
+        inner = [fk for fk in handed if fk.child in group and fk.parent in group]
+        rows = {}
+        for name in group:
+            rows[name] = changes[name].withColumnRenamed(op_column, _OP)
+            for fk in handed:
+                if fk.child == name and fk not in inner:
+                    rows[name] = _take_parent_key(rows[name], fk, keys[fk.parent])
+        for name in {fk.parent: None for fk in inner}:  # keys first, with the references open
+            own = [fk for fk in inner if fk.child == name]
+            keys[name] = stage(_given_keys(merged(name, _unset(rows[name], own, targets[name]))), "keys")
+        for name in group:
+            for fk in inner:
+                if fk.child == name:
+                    rows[name] = _take_parent_key(rows[name], fk, keys[fk.parent])
+            results[name] = merged(name, rows[name])
+            if name not in keys and any(fk.parent == name for fk in handed):
+                keys[name] = stage(_given_keys(results[name]), "keys")
     return results
 
 
+def _unset(rows: DataFrame, references: list[ForeignKey], target: DataFrame) -> DataFrame:
+    """The rows as they are before they are given the keys they refer to."""
+    for fk in references:
+        if fk.column not in rows.columns:
+            rows = rows.withColumn(fk.column, F.lit(None).cast(target.schema[fk.column].dataType))
+    return rows.drop(*{fk.reference for fk in references})
+
+
 def _given_keys(parent: MergeResult) -> DataFrame:
     loaded = parent.loaded_back("identity")
     if ORDINAL not in loaded.columns:
@@ -110,3 +145,18 @@ def cascade_delete(child: DataFrame, deleted_parents: DataFrame, on: Mapping[str
     gone = deleted_parents.select(*[F.col(quote(c)) for c in on.values()]).distinct()
     joined = join_many_to_one(child, gone, list(on), list(on.values()), how="left_anti")
     return joined.select(*[F.col(quote("t", c)) for c in child.columns])
+
+
+def cascade_delete_tree(df: DataFrame, key: str, parent: str, deleted: DataFrame) -> DataFrame:
+    """The rows left when the rows ``deleted`` names by ``key`` go with all that lie below them, however deep.
+
+    ``parent`` refers to ``key``. Rows in a circle, and below one, go if any row of the circle does.
+    """
+    gone = deleted.select(F.col(quote(key)).alias("__gone")).distinct()
+    marked = df.join(gone, F.col(quote(key)) == F.col("__gone"), "left").select(
+        F.col(quote(key)).alias("key"), F.col(quote(parent)).alias("parent"), F.col("__gone").isNotNull().alias("mark"))
+    below = ancestry(marked, "key", "parent", "mark", circles=True).filter("marked").select(F.col("key").alias("__gone"))
+    columns = [F.col(quote("t", c)) for c in df.columns]
+    known = F.col(quote(key)).isNotNull()  # a row without a key is nobody's parent, but may lie below a row that goes
+    kept = [join_many_to_one(part, below, [on], ["__gone"], how="left_anti").select(*columns) for part, on in ((df.filter(known), key), (df.filter(~known), parent))]
+    return kept[0].union(kept[1])

@@ -243,6 +243,7 @@ def fill_self_reference(
     natural = [F.col(quote(c)).alias(f"__n{i}") for i, c in enumerate(natural_key)]
     known = df.select(*natural, F.col(quote(key)).alias("__key"))
     names = known.columns[:-1]
-    joined = join_many_to_one(df, dedupe(known, names, "error", nulls_match=False), list(parent), names)
+    known = dedupe(known.filter(~any_null(names)), names)  # a name with a NULL is nobody's
+    joined = join_many_to_one(df, known, list(parent), names)
     rest = [F.col(quote("t", c)) for c in df.columns if c != foreign_key]
     return joined.select(*rest, F.col("s.__key").alias(foreign_key))

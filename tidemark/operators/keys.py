@@ -62,8 +62,9 @@ def dedupe(
         text = F.concat_ws(", ", *[F.coalesce(k.cast("string"), F.lit("NULL")) for k in keys])
         message = F.concat(F.lit(f"more than one source row for key ({', '.join(key)}) = ("), text, F.lit(")"))
         second = F.col("__place") > 1
-        if not nulls_match:
-            second = second & ~any_null(key)
+        if not nulls_match:  # rows with a NULL match nothing and are not gathered to be numbered
+            with_null = df.filter(any_null(key))
+            return dedupe(df.filter(~any_null(key)), key).unionByName(with_null)
         placed = df.withColumn("__place", F.row_number().over(Window.partitionBy(*keys).orderBy(*keys)))
         return placed.filter(F.when(second, F.raise_error(message).cast("boolean")).otherwise(True)).drop("__place")
 

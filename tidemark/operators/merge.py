@@ -353,13 +353,13 @@ def merge(
         loose, keyed = prepared, prepared.limit(0)
     elif fresh_rows is not None:
         loose, keyed = prepared.filter(fresh_rows), prepared.filter(~fresh_rows)
-    elif not plan.null_safe and any(k in spec.nullable for k in plan.key):
+    elif not plan.null_safe and any(prepared.schema[k].nullable for k in plan.key):
         loose, keyed = prepared.filter(any_null(plan.key)), prepared.filter(~any_null(plan.key))
     else:
         keyed = prepared
     if plan.key:
         on_order = [ORDINAL] if ORDINAL in keyed.columns else options.ordinals()
-        keyed = dedupe(keyed, plan.key, options.on_duplicate, on_order, nulls_match=plan.null_safe)
+        keyed = dedupe(keyed, plan.key, options.on_duplicate, on_order)
     if options.join_hint:
         keyed = keyed.hint(options.join_hint)
 
@@ -396,10 +396,10 @@ def merge(
         new = _without_partner(keyed, target, plan, unique_in_target, spec.identity)
         new = new if loose is None else new.unionByName(loose)
         classified = classify(unmatched_target(tagged_t))
-    elif shape == "outer" and inserts and not generated and loose is None:
+    elif shape == "outer" and inserts and not generated:
         on = _match(plan)
         classified = classify(tagged_t.alias("t").join(tagged_s.alias("s"), on, "full_outer"))
-        new = None
+        new = loose if loose is None or operation != "changes" else loose.filter(F.col(_OP) == "I")
     else:
         joined = join_many_to_one(tagged_t, tagged_s, plan.key, null_safe=plan.null_safe)
         classified = classify(joined)

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import ForeignKey, Many, Node, One, apply_changes, fill_self_reference, flatten_graph, merge_graph
+from ..operators import ancestry, cascade_delete_tree
 from ..operators.graph import graph_stats as summed_stats, unique_rows
 from ..operators.skew import join_many_to_one
 from ..sources.staging import stage_path
 from ..spec import TableSpec
-from ..streaming import StreamedTable
+from ..streaming import StreamedTable, newest_rows, use_state_store
 from .registry import Tables, query
 from .scenario import COLUMNS, INPUTS, feed, stored
 
@@ -182,6 +183,39 @@ def graph_self_reference(tables: Tables):
     return fill_self_reference(rows, "id", ["c_name"], ["referrer"], "referrer_id").drop("referrer")
 
 
+@query("""
+WITH c AS (SELECT CASE WHEN c_custkey % 3 <> 0 THEN c_name END AS c_name, c_custkey + 1000 AS id, 'Customer#' || lpad(CAST(c_nationkey AS VARCHAR), 9, '0') AS referrer FROM customer)
+SELECT c.c_name, c.id, p.id AS referrer_id FROM c LEFT JOIN c p ON p.c_name = c.referrer""")
+def graph_self_reference_nulls(tables: Tables):
+    """A third of the names is missing: nobody refers to those rows, and they are not gathered."""
+    rows = tables.customer.select(
+        F.when(F.col("c_custkey") % 3 != 0, F.col("c_name")).alias("c_name"), (F.col("c_custkey") + 1000).alias("id"),
+        F.concat(F.lit("Customer#"), F.lpad(F.col("c_nationkey").cast("string"), 9, "0")).alias("referrer"))
+    return fill_self_reference(rows, "id", ["c_name"], ["referrer"], "referrer_id").drop("referrer")
+
+
+@query("""
+WITH RECURSIVE tree AS (SELECT c_custkey, CASE WHEN c_custkey % 400 >= 3 THEN c_custkey - 3 END AS parent FROM customer),
+gone AS (
+  SELECT c_custkey FROM customer WHERE c_acctbal < -900 UNION SELECT t.c_custkey FROM tree t JOIN gone g ON t.parent = g.c_custkey)
+SELECT * FROM customer WHERE c_custkey NOT IN (SELECT c_custkey FROM gone)""", name="cascade_delete_tree")
+def cascade_delete_below(tables: Tables):
+    """Customers recruited by one another in long chains: who is deleted takes all below along."""
+    tree = tables.customer.withColumn("parent", F.when(F.col("c_custkey") % 400 >= 3, F.col("c_custkey") - 3))
+    return cascade_delete_tree(tree, "c_custkey", "parent", tables.customer.filter("c_acctbal < -900")).drop("parent")
+
+
+@query("""
+WITH RECURSIVE up AS (
+  SELECT c_custkey AS k, c_custkey AS a, 0 AS n FROM customer
+  UNION ALL SELECT up.k, c.c_custkey, up.n + 1 FROM up JOIN customer c ON c.c_custkey = up.a - 3 WHERE up.a % 400 >= 3)
+SELECT k AS c_custkey, min(a) AS root, CAST(max(n) AS BIGINT) AS depth FROM up GROUP BY k""")
+def ancestry_of_chains(tables: Tables):
+    """The topmost ancestor of each row and its distance, in rounds that grow with the logarithm of the depth."""
+    tree = tables.customer.withColumn("parent", F.when(F.col("c_custkey") % 400 >= 3, F.col("c_custkey") - 3))
+    return ancestry(tree, "c_custkey", "parent").drop("marked")
+
+
 @query("""SELECT d.doc_id, u.line FROM documents d, unnest(string_split(d.text, chr(10))) AS u(line)""")
 def graph_document_lines(tables: Tables):
     """A document's lines as child rows, from the whole text."""
@@ -214,6 +248,27 @@ def apply_changes_insert(tables: Tables):
     return results["turn"].result
 
 
+@query("""
+WITH t AS (SELECT conv_id, turn, CAST(row_number() OVER (ORDER BY conv_id, turn) AS BIGINT) AS turn_id FROM conversations WHERE turn IS NOT NULL),
+c AS (SELECT conv_id, CAST(500 + row_number() OVER (ORDER BY conv_id) AS BIGINT) AS talk_id, arg_min(turn_id, turn) AS opened_by FROM t GROUP BY conv_id)
+SELECT 'talk' AS kind, talk_id AS id, opened_by AS refers_to FROM c
+UNION ALL SELECT 'turn', turn_id, talk_id FROM t JOIN c ON c.conv_id = t.conv_id""")
+def apply_changes_circle(tables: Tables):
+    """A talk names its opening turn, a turn its talk; both keys are generated."""
+    place = F.col("conv_id") * 1_000_000 + F.col("turn")
+    said = tables.conversations.filter("turn IS NOT NULL")
+    turns = said.select(place.alias("place"), F.col("conv_id").alias("talk"), F.lit("I").alias("op"), F.lit(None).cast("bigint").alias("id"))
+    talks = said.groupBy("conv_id").agg(F.min(place).alias("opening")).select(
+        "conv_id", "opening", F.lit("I").alias("op"), F.lit(None).cast("bigint").alias("id"))
+    targets = {"talk": tables.spark.createDataFrame([], "id bigint, opened_by bigint"), "turn": tables.spark.createDataFrame([], "id bigint, talk_id bigint")}
+    targets["talk"] = targets["talk"].union(tables.spark.createDataFrame([(500, None)], targets["talk"].schema))
+    specs = {n: TableSpec(n, key=("id",), identity="id") for n in targets}
+    keyed = [ForeignKey("talk", "opened_by", "turn", reference="opening"), ForeignKey("turn", "talk_id", "talk", reference="talk")]
+    done = apply_changes(targets, {"talk": talks, "turn": turns}, specs, keyed, ordinal={"talk": "conv_id", "turn": "place"})
+    new = done["talk"].result.filter("id > 500").select(F.lit("talk").alias("kind"), "id", F.col("opened_by").alias("refers_to"))
+    return new.union(done["turn"].result.select(F.lit("turn"), "id", "talk_id"))
+
+
 @query(INPUTS + f"""
 SELECT {', '.join('coalesce(s.' + c + ', t.' + c + ') AS ' + c for c in COLUMNS)}
 FROM t FULL JOIN (SELECT * FROM s WHERE (o_orderpriority = '1-URGENT' AND o_orderstatus = 'O') OR o_orderpriority = '3-MEDIUM') s
@@ -248,7 +303,7 @@ LATEST = """SELECT user_id, event_id, ts, event_type, value FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events {where}) WHERE rn = 1"""
 
 
-def _streamed(tables: Tables, newer_by: str | None):
+def _streamed(tables: Tables, newer_by: str | None, state: bool = False):
     """Events in four batches by their time: the latest last, or first if late rows must lose."""
     spark = tables.spark
     schema = "user_id bigint, event_id bigint, ts timestamp_ntz, event_type string, value double"
@@ -261,7 +316,11 @@ def _streamed(tables: Tables, newer_by: str | None):
         part = (F.col("ts") >= low) & ((F.col("ts") < high) if i < 3 else F.lit(True))
         tables.events.filter(part).write.parquet(f"{work}/events/{3 - i if newer_by else i}")
     events = spark.readStream.schema(tables.events.schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/events/*")
-    table.writer(events, f"{work}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    if state:
+        use_state_store(spark)
+        events = newest_rows(events, ["user_id"], ["ts", "event_id"])
+    writer = table.writer(events, f"{work}/checkpoint").outputMode("update" if state else "append")
+    writer.trigger(availableNow=True).start().awaitTermination()
     return table.read(spark).select("user_id", "event_id", "ts", "event_type", "value")
 
 
@@ -274,3 +333,9 @@ def stream_upsert(tables: Tables):
 def stream_newer_wins(tables: Tables):
     """Later batches hold earlier events, which must not replace what is there."""
     return _streamed(tables, "ts")
+
+
+@query(LATEST.format(where=""))
+def stream_state_newer_wins(tables: Tables):
+    """As before, but late rows are dropped by what the state store knows of their key, before they reach the table."""
+    return _streamed(tables, "ts", state=True)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import append_rows, delete, insert, insert_absent, merge, sync, table_diff, table_diff_digest, update, upsert
 from ..functions import is_type_default
-from ..sources import from_reader, from_table
+from ..sources import from_pages, from_reader, from_table
 from ..spec import TableSpec
 from .registry import Tables, query
 from .scenario import CHANGED, COLUMNS, INPUTS, ORDERS, assigned, columns_of, feed, stored
@@ -53,6 +53,30 @@ def merge_from_table(tables: Tables):
     return upsert(stored(tables), from_table(tables.spark, "order_feed"), ORDERS).result
 
 
+class _OrderPages:
+    """Stands for a service that gives orders by rising key, some at a time."""
+
+    def __init__(self, path: str):
+        self.path = path
+
+    def __call__(self, low: int, high: int, limit: int) -> list[tuple]:
+        import pyarrow.parquet as pq
+
+        found = pq.read_table(self.path, columns=COLUMNS, filters=[("o_orderkey", ">=", low), ("o_orderkey", "<=", high)])
+        found = found.sort_by("o_orderkey").slice(0, limit)
+        return list(zip(*(c.to_pylist() for c in found.columns)))
+
+
+@query(INPUTS + f", part AS (SELECT {', '.join(COLUMNS)} FROM orders WHERE o_orderkey % 4000 >= 100 AND o_orderkey < 12000) "
+       + UPSERTED.replace("JOIN s ON", "JOIN part AS s ON").replace("FROM s WHERE", "FROM part AS s WHERE"))
+def merge_from_pages(tables: Tables):
+    """The source hands out pages; tasks read their parts of its keys side by side, and the bound on the key reaches it."""
+    schema = tables.orders.select(*COLUMNS).schema
+    highest = tables.orders.agg(F.max("o_orderkey")).first()[0]
+    pages = from_pages(tables.spark, schema, "o_orderkey", _OrderPages(f"{tables.folder}/orders.parquet"), 0, highest, partitions=4, page=2500)
+    return upsert(stored(tables), pages.filter("o_orderkey % 4000 >= 100 AND o_orderkey < 12000"), ORDERS).result
+
+
 @query("SELECT * FROM orders")
 def merge_from_reader(tables: Tables):
     source = from_reader(tables.spark, "parquet", f"{tables.folder}/orders.parquet")
