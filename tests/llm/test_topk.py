@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.llm import topk
 from tidemark.llm.topk import DualSearch, cover_tree, scaled, top_k
 
 
@@ -59,6 +60,44 @@ def test_far_nodes_are_left_out(monkeypatch):
     assert sum(scored) < 0.7 * 50 * 900
 
 
+def test_points_that_do_not_gather_are_scored_together():
+    points = np.random.default_rng(2).integers(-99, 99, (2000, 40)).astype(float)
+    tree = cover_tree(points)
+    assert len(tree.children) <= 33 and sum(len(c.members) for c in tree.children) == 2000
+    best = DualSearch(points[:80], list(range(80)), points, [[i] for i in range(2000)], 5).best
+    scores = points[:80] @ points.T
+    scores[np.arange(80), np.arange(80)] = -np.inf
+    assert [sorted(s for s, _ in heap) for heap in best] == np.sort(scores, axis=1)[:, -5:].tolist()
+
+
+def test_ties_go_to_the_smallest_ids():
+    points = np.array([[1.0, 0]] * 1 + [[1.0, i] for i in range(1, 400)])
+    best = DualSearch(np.array([[1.0, 0]]), [7], points, [[1000 - i] for i in range(400)], 3).best
+    assert sorted(best[0]) == [(1.0, -603), (1.0, -602), (1.0, -601)]
+
+
+def test_cells_that_cannot_win_are_left_out(spark):
+    """Clusters in different directions: a query goes to its own and to few others."""
+    rng = np.random.default_rng(4)
+    centers = np.eye(8) * 500
+    rows = [(i, [int(x) for x in centers[i % 8] + rng.integers(-20, 20, 8)]) for i in range(800)]
+    pivots = centers.copy()
+    queries = np.array([v for _, v in rows[:40]], float)
+    cell, away = topk._nearest(np.array([v for _, v in rows], float), pivots)
+    radius = np.array([away[cell == c].max() for c in range(8)])
+    floor = np.sort(queries @ np.array([v for _, v in rows], float).T, axis=1)[:, -5]
+    of, to = topk.reached(queries, cell[:40], floor, pivots, radius)
+    assert len(of) < 0.2 * 40 * 7
+    every = queries @ np.array([v for _, v in rows], float).T
+    for q in range(40):
+        cells = {int(c) for c in cell[np.argsort(-every[q])[:5]]} - {int(cell[q])}
+        assert cells <= set(to[of == q].tolist())
+    df = spark.createDataFrame(rows, "vec_id long, vector array<long>").repartition(3)
+    found = top_k(df, F.col("vec_id") % 5 == 0, 4, block_rows=100).collect()
+    want = {(q, n + 1, j, s) for q, best in _plain(rows, 4).items() for n, (j, s) in enumerate(best)}
+    assert {tuple(r) for r in found} == want
+
+
 def test_vectors(spark):
     inf, nan = float("inf"), float("nan")
     rows = [(1, [0.5, -0.001]), (2, [nan, 1.0]), (3, [inf, 1.0]), (4, [None, 1.0]), (5, None), (6, []), (7, [-inf, 0.0])]
