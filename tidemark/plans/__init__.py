@@ -1,4 +1,4 @@
 """The queries named in the driver contract."""
 
-from . import batches, graphs, mappings, merges, reads  # noqa: F401  (they register their queries)
+from . import batches, graphs, mappings, merges, reads, writes  # noqa: F401  (they register their queries)
 from .registry import ORACLES, QUERIES
