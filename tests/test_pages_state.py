@@ -109,6 +109,18 @@ def test_winners_alone_reach_the_table_also_after_a_restart(spark, tmp_path):
     assert rows(table.read(spark), "k", "v") == [("w", 1.0), ("x", 2.0), ("y", 5.0), (None, 9.0)]
 
 
+def test_a_table_with_more_buckets_goes_on(spark, tmp_path):
+    t = lambda s: dt.datetime(2024, 5, 1) + dt.timedelta(seconds=s)
+    make = lambda data: spark.createDataFrame(data, EVENTS)
+    table = StreamedTable(str(tmp_path / "few"), TableSpec("t", key=("k",)), EVENTS, ["at", "seq"], newer_by="at", buckets=2)
+    table.apply(make([(f"k{i}", t(i), 1, float(i)) for i in range(40)]), 0)
+    grown = table.rebucketed(spark, str(tmp_path / "more"), 16)
+    assert rows(grown.read(spark)) == rows(table.read(spark)) and len(os.listdir(tmp_path / "more")) > 8
+    grown.apply(make([("k3", t(99), 1, -1.0), ("k4", t(0), 1, -1.0), ("new", t(1), 1, 0.5)]), 1)
+    found = {r["k"]: r["v"] for r in grown.read(spark).collect()}
+    assert len(found) == 41 and (found["k3"], found["k4"], found["new"]) == (-1.0, 4.0, 0.5) and table.read(spark).count() == 40
+
+
 def test_missing_columns(spark):
     with pytest.raises(ValueError, match="no columns q"):
         newest_rows(spark.createDataFrame([], EVENTS), ["k"], ["q"])

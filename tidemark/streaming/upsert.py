@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQueryListener
 
 from ..functions.names import quote
@@ -24,7 +24,7 @@ class StreamedTable:
     last row per key by ``ordinal`` wins; against the table, the row with the greater
     ``newer_by``, so late rows lose without a watermark. Applying a batch twice changes
     nothing, which makes a restarted query safe although ``foreachBatch`` may repeat a batch.
-    ``schema`` is that of the table; ``buckets`` is fixed for its lifetime.
+    ``schema`` is that of the table; ``buckets`` is fixed for its folder: see :meth:`rebucketed`.
     """
 
     path: str
@@ -42,10 +42,22 @@ class StreamedTable:
         """A writer over ``stream``; the caller picks its trigger and starts it."""
         return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(self.apply)
 
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*[F.col(quote(k)) for k in self.spec.key]), F.lit(self.buckets)).cast("int")
+
+    def rebucketed(self, spark: SparkSession, path: str, buckets: int) -> "StreamedTable":
+        """The table in a folder of its own with another number of buckets, as it grows or shrinks.
+
+        To be called between two runs of the stream, which goes on from its checkpoint with the new table.
+        """
+        grown = replace(self, path=path, buckets=buckets)
+        rows = self.read(spark).withColumn(BUCKET, grown._bucket())
+        rows.repartition(BUCKET).write.partitionBy(BUCKET).parquet(path)
+        return grown
+
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         key = list(self.spec.key)
-        bucket = F.pmod(F.xxhash64(*[F.col(quote(k)) for k in key]), F.lit(self.buckets)).cast("int")
-        latest = dedupe(batch, key, "last", list(self.ordinal)).withColumn(BUCKET, bucket)
+        latest = dedupe(batch, key, "last", list(self.ordinal)).withColumn(BUCKET, self._bucket())
         where = None
         if self.newer_by is not None:
             where = lambda t, s: s[self.newer_by] > t[self.newer_by]
