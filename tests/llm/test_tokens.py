@@ -32,5 +32,16 @@ def test_a_small_memory_changes_nothing(counts):
     assert [counter.counts([t])[0] for t in TEXTS] == counts
 
 
+def test_characters_that_are_not_assigned():
+    """Random mixtures of assigned and unassigned characters, marks and blanks, against the library."""
+    import random
+
+    random.seed(8)
+    tokenizer, counter = Tokenizer.from_file(PATH), PieceCounter(PATH)
+    some = ["\u0378", "\U0003fc3b", "\u2fe0", "a", "é", "7", " ", "  ", "\n", "!", "'s", "<|endoftext|>", "\x1c", "\u3000", "東"]
+    texts = ["".join(random.choices(some, k=random.randint(1, 40))) for _ in range(300)] + ["\u0378" + "long text " * 200_000]
+    assert counter.counts(texts) == [len(tokenizer.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
 def test_empty_table(spark):
     assert count_tokens(spark.createDataFrame([], "doc_id long, text string"), PATH).collect() == []
