@@ -59,7 +59,7 @@ def _anchors(data: np.ndarray, offsets: np.ndarray, least: int) -> tuple[np.ndar
     if width < span:
         low = np.minimum(low[:width - span], low[span - width:])
     place = (low & np.uint64((1 << 28) - 1)).astype(np.int64)
-    text = np.searchsorted(offsets, np.arange(len(place)), "right") - 1
+    text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[:len(place)]
     inside = np.arange(len(place)) + least <= offsets[text + 1]
     starts = np.flatnonzero(inside)
     if not len(starts):
@@ -93,7 +93,7 @@ class _Block:
         self.data = np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
         self.offsets = offsets - offsets[0]
 
-    def anchors(self, least: int, most: int = 2 << 20) -> tuple[np.ndarray, ...]:
+    def anchors(self, least: int, most: int = 1 << 17) -> tuple[np.ndarray, ...]:
         found = [_anchors(self.data[:0], self.offsets[:1], least)]
         for a, b in slices(np.diff(self.offsets).tolist(), most):
             low, high = int(self.offsets[a]), int(self.offsets[b])
