@@ -3,6 +3,7 @@ import zlib
 
 import pytest
 
+from tidemark.llm import sharding
 from tidemark.llm.sharding import _Ends, _cuts, _smallest_capacity, shard_documents
 
 
@@ -23,7 +24,7 @@ class Line(_Ends):
         return max(e for e in self.ends if e <= point), min((e for e in self.ends if e >= point), default=self.total)
 
 
-def _fits(ends, capacity, shards):
+def _fits_plainly(ends, capacity, shards):
     at = 0
     for _ in range(shards):
         at = max(e for e in ends if e <= at + capacity)
@@ -38,12 +39,37 @@ def test_the_capacity_is_the_smallest_and_kept(seed):
         sizes[random.randrange(len(sizes))] = sum(sizes) // 2 + 16
     shards, line = random.choice([1, 2, 9, 40]), Line(sizes)
     capacity = _smallest_capacity(line, shards)
-    assert _fits(line.ends, capacity, shards) and (capacity == max(sizes) or not _fits(line.ends, capacity - 1, shards))
+    assert _fits_plainly(line.ends, capacity, shards) and (capacity == max(sizes) or not _fits_plainly(line.ends, capacity - 1, shards))
     ends = [0, *_cuts(line, shards, capacity), line.total]
     assert len(ends) == shards + 1 and ends == sorted(ends) and set(ends) <= set(line.ends)
     assert max(b - a for a, b in zip(ends, ends[1:])) <= capacity
 
 
+@pytest.mark.parametrize("cells", [4, 60, 1 << 15])
+def test_places_are_looked_into_until_nothing_is_guessed(spark, monkeypatch, cells):
+    monkeypatch.setattr(sharding, "_CELLS", cells)
+    random.seed(cells)
+    sizes = [random.choice([16, random.randint(16, 400), 3000]) for _ in range(800)]
+    plain, looks = Line(sizes), []
+    line = _Ends(spark.createDataFrame([(e,) for e in plain.ends[1:]], "upto long").repartition(3), plain.total, plain.largest)
+    while True:
+        cuts = _cuts(line, 40, _smallest_capacity(line, 40))
+        if not line.guessed:
+            break
+        looks.append(len(line.guessed))
+        line.look()
+    assert cuts == _cuts(plain, 40, _smallest_capacity(plain, 40)) and len(looks) < (5 if cells > 1000 else 25)
+    assert set(line.known.tolist()) <= set(plain.ends)
+
+
+def test_few_jobs(spark):
+    df = spark.createDataFrame([(i, f"text {i} " * (i % 50)) for i in range(4000)], "doc_id long, text string")
+    spark.sparkContext.setJobGroup("shards", "shards")
+    shard_documents(df).write.format("noop").mode("overwrite").save()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("shards")) <= 24
+
+
 def test_documents(spark):
     random.seed(1)
     texts = [random.choice([None, "", "same" * 30, "x" * random.randint(0, 300), "é" * 20]) for _ in range(300)]

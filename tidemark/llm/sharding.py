@@ -1,9 +1,9 @@
 """Contiguous shards of near equal size that keep equal texts together.
 
 Rows are put in one order, groups of equal texts by their smallest id; shards are runs of whole groups. The
-capacity is the smallest for which the shards suffice, found by a search whose checks fill shard after
-shard greedily, many capacities at once; one look-up, "the last group that ends by x", is an aggregate
-over the ends of the groups. Within that capacity each cut is then made as near to an equal share of
+capacity is the smallest for which the shards suffice, found by a binary search whose checks fill shard after
+shard greedily. A check asks for "the last group that ends by x"; the ends of the groups are counted in a fixed number of cells, the cells
+that a search has asked for are counted in finer ones, and the search is repeated until every answer was exact. Within that capacity each cut is then made as near to an equal share of
 what is left as it can be, so that one group larger than a share does not leave other shards empty.
 
 All of it is DataFrame operations. Rows are ordered by range partitioning and totals carried from partition to
@@ -12,12 +12,14 @@ partition, so neither a frequent text nor the whole table meets in one task; the
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..operators.topn import Order
 from .common import stage, text_digest, utf8_length
 
-#: Capacities tried at once.
-_TRIED = 128
+#: Cells in which the ends of groups are counted at once.
+_CELLS = 1 << 15
 _PLACE_BITS = 33
 
 
@@ -36,53 +38,67 @@ def _in_order(rows: DataFrame, order: list[str]) -> DataFrame:
 
 
 class _Ends:
-    """The ends of the groups on the line from 0 to ``total``."""
+    """The ends of the groups on the line from 0 to ``total``, as far as they are known.
+
+    ``known`` are ends, rising; where ``open_`` holds, others may lie between one and the next. A look-up there answers with the known end before and
+    notes the place. Those places are then looked into, all in one pass, and everything is computed anew until no answer was a guess.
+    """
 
     def __init__(self, ends: DataFrame, total: int, largest: int):
         self.ends, self.total, self.largest = ends, total, largest
+        self.known, self.open_, self.guessed = np.array([0, total]), np.array([True]), {0}
+        self.look()
+
+    def look(self) -> None:
+        """Count the ends at the guessed places in cells; a fixed number of cells comes to the driver."""
+        places = sorted(self.guessed)
+        starts, ends = self.known[places], self.known[np.array(places) + 1]
+        each = max(2, _CELLS // len(places))
+        at, upto = F.col("at"), F.col("upto")
+        low, high = (F.get(F.lit([int(x) for x in some]), at) for some in (starts, ends))
+        inside = self.ends.filter(upto.between(int(starts[0]), int(ends[-1])))
+        inside = inside.withColumn("at", Order(inside, ["upto"]).passed([(int(x),) for x in starts]) - 1).filter((at >= 0) & (upto < high))
+        cell = ((upto - low).cast("double") * each / (high - low).cast("double")).cast("int")
+        found = inside.groupBy("at", cell.alias("cell")).agg(F.min("upto").alias("first"), F.max("upto").alias("last"), F.count(F.lit(1)).alias("n")).collect()
+        self.open_[places] = False
+        new = [(r["first"], r["n"] > 2) for r in found] + [(r["last"], False) for r in found if r["last"] > r["first"]]
+        if new:
+            known = np.concatenate([self.known, [x for x, _ in new]])
+            open_ = np.concatenate([self.open_, [False], [o for _, o in new]])
+            order = np.argsort(known, kind="stable")
+            self.known, self.open_ = known[order], open_[order][:-1]
+        self.guessed = set()
+
+    def _place(self, point: int) -> int:
+        at = int(np.searchsorted(self.known, point, "right")) - 1
+        if at < len(self.open_) and self.open_[at] and point > self.known[at]:
+            self.guessed.add(at)
+        return at
 
     def last_by(self, points: list[int]) -> list[int]:
         """For each of the points, which are over 0, the last end at or before it (0 if there is none)."""
-        levels = sorted({min(p, self.total) for p in points})
-        near = self.ends.filter(F.col("upto").between(levels[0] - self.largest, levels[-1]))
-        level = F.size(F.filter(F.lit(levels), lambda x: x < F.col("upto")))  # an array: the same compiled code every time
-        found = dict(near.groupBy(level.alias("level")).agg(F.max("upto")).collect())
-        last, by = 0, {}
-        for i, x in enumerate(levels):
-            last = max(last, found.get(i, 0))
-            by[x] = last
-        return [by[min(p, self.total)] for p in points]
+        return [int(self.known[self._place(p)]) for p in points]
 
     def around(self, point: int) -> tuple[int, int]:
         """The last end at or before the point (or 0), and the first at or after it (or the total)."""
-        below = F.max(F.when(F.col("upto") <= point, F.col("upto")))
-        above = F.min(F.when(F.col("upto") >= point, F.col("upto")))
-        near = self.ends.filter(F.col("upto").between(point - self.largest, point + self.largest))
-        low, high = near.agg(below, above).first()
-        return low or 0, high or self.total
-
-    def fit(self, capacities: list[int], shards: int) -> list[bool]:
-        """Whether greedily filled shards of each capacity take everything."""
-        at = [0] * len(capacities)
-        for _ in range(shards):
-            if min(at) == self.total:
-                break
-            at = self.last_by([a + c for a, c in zip(at, capacities)])
-        return [a == self.total for a in at]
+        at = self._place(point)
+        return int(self.known[at]), int(self.known[at] if self.known[at] == point else self.known[min(at + 1, len(self.known) - 1)])
+
+
+def _fits(ends: _Ends, capacity: int, shards: int) -> bool:
+    """Whether greedily filled shards take everything."""
+    at = 0
+    for _ in range(shards):
+        [at] = ends.last_by([at + capacity])
+    return at == ends.total
 
 
 def _smallest_capacity(ends: _Ends, shards: int) -> int:
     low = max(-(-ends.total // shards), ends.largest)
     high = max(low, -(-ends.total // shards) + ends.largest)  # a shard ends only when it holds a share: this always fits
     while low < high:
-        step = max(1, -(-(high - low) // _TRIED))
-        tried = list(range(low, high, step))
-        fits = ends.fit(tried, shards)
-        if any(fits):
-            high = tried[fits.index(True)]
-            low = high if high == tried[0] else tried[fits.index(True) - 1] + 1
-        else:
-            low = tried[-1] + 1
+        middle = (low + high) // 2
+        low, high = (low, middle) if _fits(ends, middle, shards) else (middle + 1, high)
     return high
 
 
@@ -132,9 +148,11 @@ def shard_documents(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", t
     shown = [F.col("id").cast(kind).alias(id_col), "size", "text_crc32", F.lit("bytes").alias("law")]
     if total is None:
         return placed.select(*shown, F.lit(0).alias("shard"), "before", F.lit(None).cast("int").alias("grown_shard")).withColumnRenamed("before", "slot")
-    line = _Ends(ends.select("upto").persist(), total, largest)  # a number per distinct text, asked again and again
+    line = _Ends(ends.select("upto"), total, largest)
     cuts = _cuts(line, shards, _smallest_capacity(line, shards))
-    line.ends.unpersist()
+    while line.guessed:
+        line.look()
+        cuts = _cuts(line, shards, _smallest_capacity(line, shards))
     shard = _count_below(cuts, F.col("upto"))
     starts = dict(placed.filter(F.col("upto").isin(sorted(set(cuts)))).select("upto", F.col("before") + 1).collect())
     first_slots = F.array(F.lit(0).cast("bigint"), *(F.lit(starts.get(c, 0)).cast("bigint") for c in cuts))
