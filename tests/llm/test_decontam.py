@@ -52,12 +52,12 @@ def data():
     return docs, [(i, " ".join(w)) for i, w in items]
 
 
-@pytest.mark.parametrize("broadcast_words", [50_000, 2])
-def test_against_plain_loops(spark, data, broadcast_words):
+@pytest.mark.parametrize("broadcast_bytes", [64 << 20, 2])
+def test_against_plain_loops(spark, data, broadcast_bytes):
     docs, items = data
     df = spark.createDataFrame([(*d, 1) for d in docs], "doc_id long, text string, n_hit long").repartition(3)
     bench = spark.createDataFrame(items + [(55, None)], "item_id long, text string")
-    found = contamination(df, bench, broadcast_words=broadcast_words)
+    found = contamination(df, bench, broadcast_bytes=broadcast_bytes)
     assert found.columns == ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
     got = {r[0]: tuple(r)[1:] for r in found.collect()}
     assert got == plain(docs, items) and 0 < sum(v[4] for v in got.values()) < len(got)
@@ -65,7 +65,7 @@ def test_against_plain_loops(spark, data, broadcast_words):
 
 def test_removal(spark, data):
     docs, items = data
-    df = spark.createDataFrame([(*d, 1) for d in docs] + [(None, "fine text", 2)], "doc_id long, text string, runs long")
+    df = spark.createDataFrame([(*d, [1]) for d in docs] + [(None, "fine text", [2])], "doc_id long, text string, runs array<int>")
     bench = spark.createDataFrame(items, "item_id long, text string")
     want = plain(docs, items)
     left = remove_contaminated(df, bench)
@@ -85,3 +85,28 @@ def test_empty_tables_and_repeats(spark, data):
     assert sorted(r["contaminated"] for r in contamination(df, bench).collect()) == [False, True, True]
     assert not contamination(df, bench.limit(0)).filter("contaminated OR n_items > 0").count()
     assert contamination(df.limit(0), bench).collect() == []
+
+
+def test_the_set_is_sent_only_within_its_bound(spark, data):
+    docs, items = data
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    plans = [contamination(df, bench, broadcast_bytes=b)._jdf.queryExecution().optimizedPlan().toString() for b in (64 << 20, 2)]
+    assert "strategy=broadcast" in plans[0] and "strategy=broadcast" not in plans[1]
+
+
+def test_a_long_text(spark, data):
+    _, items = data
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    text = "plain words " * 150_000 + items[5][1] + " end" * 100_000
+    [row] = contamination(spark.createDataFrame([(1, text)], "doc_id long, text string"), bench).collect()
+    assert tuple(row)[1:] == plain([(1, text)], items)[1]
+
+
+def test_collisions_are_verified(spark, data, monkeypatch):
+    from tidemark.llm import decontam
+
+    docs, items = data
+    monkeypatch.setattr(decontam.F, "xxhash64", lambda *c: decontam.F.pmod(decontam.F.hash(*c), decontam.F.lit(3)).cast("bigint"))
+    found = contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {r[0]: tuple(r)[1:] for r in found.collect()} == plain(docs, items)

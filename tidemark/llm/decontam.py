@@ -1,20 +1,21 @@
 """Benchmark passages in training text, found by a broadcast hash set of test n-grams.
 
-A window is ``n`` consecutive words of a benchmark item (all of them if it has fewer). Each window is entered
-in the set under its longest word, its anchor, which adjacent windows mostly share. One scan of the
-documents looks every word up in that set; only where an anchor stands are the words around it taken out
-and compared with those around it in the item. The words that agree without a gap, ``n`` or more of them (or
-the whole short item), are exactly the occurrences of that item's windows through this anchor.
-
-Everything is built-in functions. The set of anchor words is sent to the tasks if there are at most
-``broadcast_words``; beyond that every word is taken out and met by a shuffle join, with the same result.
+A window is ``n`` consecutive words of a benchmark item (all of them if it has fewer). The set has a 64-bit hash of each
+window, its words and the items that have it. One scan of the documents hashes every window of theirs, of the lengths that the set
+has, and looks each up once; where a hash is found the words are compared. Hashes of windows are made of those of their halves, so a scan costs a
+few hashes a word.
+
+Everything is built-in functions. The set is sent to the tasks if its bytes, which are counted, are within a bound;
+beyond that Spark chooses how to join it, with the same result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import lower_ascii
+from .common import lower_ascii, stage
 
 #: What separates words: ASCII other than digits and letters.
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -28,67 +29,76 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(lower_ascii(text), F.lit("")), _BETWEEN), "")
 
 
-def _before(w: Column, i: Column, n: int) -> Column:
-    """Up to ``n`` words before place ``i``, the nearest first."""
-    start = F.greatest(i - n, F.lit(0))
-    return F.reverse(F.slice(w, start + 1, i - start))
-
-
-def _after(w: Column, i: Column, n: int) -> Column:
-    return F.slice(w, i + 2, F.lit(n))
-
+def _hashes(rows: DataFrame, sizes: Iterable[int]) -> DataFrame:
+    """``rows`` with ``h1``, ``h2``, ...: a hash of every window of so many words of ``w``, by its first word.
 
-def _agreeing(a: Column, b: Column) -> Column:
-    """How many words agree from the start of both lists."""
-    differs = F.array_position(F.zip_with(a, b, lambda x, y: F.coalesce(x == y, F.lit(False))), False)
-    return F.when(differs == 0, F.least(F.size(a), F.size(b))).otherwise(differs - 1).cast("int")
-
-
-def anchors(benchmark: DataFrame, n: int = 10, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """``anchor, item_before, item_after, short, items``: where windows are anchored, equal surroundings once.
-
-    ``short`` is the length of an item of fewer than ``n`` words, else ``n``. Items without an id or words have none.
+    A window's hash is made of those of its two parts, so that it costs the same whatever its length.
+    """
+    needed, wanted = set(), list(sizes)
+    while wanted:
+        size = wanted.pop()
+        if size not in needed:
+            needed.add(size)
+            if size > 1:
+                wanted += [_half(size), size - _half(size)]
+    for size in sorted(needed):
+        if size == 1:
+            hashed = F.transform("w", lambda x: F.xxhash64(x))
+        else:
+            half, n = _half(size), F.greatest(F.size("w") - (size - 1), F.lit(0))
+            hashed = F.zip_with(F.slice(f"h{half}", 1, n), F.slice(f"h{size - half}", half + 1, n), lambda x, y: F.xxhash64(x, y))
+        rows = rows.withColumn(f"h{size}", hashed)
+    return rows
+
+
+def _half(size: int) -> int:
+    """The largest power of two below ``size``."""
+    return 1 << (size - 1).bit_length() - 1
+
+
+def grams(benchmark: DataFrame, n: int = 10, id_col: str = "item_id", text_col: str = "text") -> tuple[DataFrame, list[int]]:
+    """``hash, gram, items``: the hash set of windows, equal ones of several items once, and the lengths they have.
+
+    A window is ``n`` consecutive words, or all of an item of fewer. Items without an id or words have none.
     """
     items = benchmark.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("string").alias("item"), words(F.col(text_col)).alias("w")).filter(F.size("w") > 0)
-    w, last = F.col("w"), F.size("w") - 1
-
-    def longest(start: Column) -> Column:
-        places = F.sequence(start, F.least(start + (n - 1), last))
-        best = F.array_max(F.transform(places, lambda i: F.struct(F.length(F.get(w, i)), F.xxhash64(F.get(w, i)), -i)))
-        return -best.getField("col3")
-
-    places = F.array_distinct(F.transform(F.sequence(F.lit(0), F.greatest(last - (n - 1), F.lit(0))), longest))
-    at = items.select("item", "w", F.least(F.size("w"), F.lit(n)).alias("short"), F.explode(places).alias("i"))
-    i = F.col("i")
-    return at.groupBy(
-        F.get(w, i).alias("anchor"), _before(w, i, n - 1).alias("item_before"), _after(w, i, n - 1).alias("item_after"), "short",
-    ).agg(F.collect_set("item").alias("items"))
-
-
-def _hits(docs: DataFrame, benchmark: DataFrame, n: int, text_col: str, item_id: str, item_text: str, broadcast_words: int) -> DataFrame:
-    """A row per document with ``row, n_words, runs, found``; other columns of ``docs`` but the text are kept."""
-    known = anchors(benchmark, n, item_id, item_text).persist()
-    few = known.select("anchor").distinct().limit(broadcast_words + 1).count() <= broadcast_words
-    kept = [c for c in docs.columns if c != text_col]
-    w = F.col("w")
-    rows = docs.withColumn("w", words(F.col(text_col))).select(*kept, F.monotonically_increasing_id().alias("row"), "w")
-    if few:
-        chosen = [r[0] for r in known.select("anchor").distinct().collect()]
-        looked_up = lambda x, i: F.when(x.isin(chosen), i)
+    items = items.withColumn("k", F.least(F.size("w"), F.lit(n)))
+    lengths = sorted(r[0] for r in items.select("k").distinct().collect())  # n at most
+    hashed = _hashes(items, lengths)
+    mine = F.coalesce(*[F.when(F.col("k") == k, F.col(f"h{k}")) for k in lengths], F.array().cast("array<bigint>"))
+    windows = hashed.select("item", "w", "k", F.posexplode(mine).alias("i", "hash"))
+    known = windows.groupBy("hash", F.slice("w", F.col("i") + 1, F.col("k")).alias("gram")).agg(F.collect_set("item").alias("items"))
+    return stage(known, "decontam-grams"), lengths
+
+
+def _hits(docs: DataFrame, benchmark: DataFrame, n: int, id_col: str, text_col: str, item_id: str, item_text: str, broadcast_bytes: int) -> DataFrame:
+    """A row per document with ``id, row, n_words, runs, found``."""
+    known, lengths = grams(benchmark, n, item_id, item_text)
+    words_of = F.aggregate("gram", F.lit(0).cast("bigint"), lambda total, x: total + F.octet_length(x) + 16)
+    size = known.agg(F.sum(words_of + F.aggregate("items", F.lit(0).cast("bigint"), lambda total, x: total + F.octet_length(x) + 16) + 64)).first()[0] or 0
+    few = size <= broadcast_bytes
+    rows = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), words(F.col(text_col)).alias("w"))
+    rows = _hashes(rows, lengths).withColumn("n_words", F.size("w"))
+    every = F.concat(F.array().cast("array<bigint>"), *[F.col(f"h{k}") for k in lengths])
+    seen = rows.select("id", "row", "n_words", "w", F.posexplode_outer(every).alias("at", "window"))
+    # the windows of a length follow those of the shorter ones
+    place, length, before = F.col("at"), F.lit(0), F.lit(0)
+    for k in lengths:
+        here = F.greatest(F.col("n_words") - (k - 1), F.lit(0))
+        length = F.when((F.col("at") >= before) & (F.col("at") < before + here), k).otherwise(length)
+        place = F.when(F.col("at") >= before, F.col("at") - before).otherwise(place)
+        before = before + here
+    if few:  # the words stay where they are and are looked at where a hash is found
+        said = F.slice("w", place + 1, length)
+        known = F.broadcast(known)
     else:
-        looked_up = lambda x, i: i
-    places = F.filter(F.transform(w, looked_up), lambda i: i.isNotNull())
-    around = F.transform(places, lambda i: F.struct(
-        i.alias("i"), F.get(w, i).alias("word"), _before(w, i, n - 1).alias("before"), _after(w, i, n - 1).alias("after")))
-    seen = rows.select(*kept, "row", F.size("w").alias("n_words"), F.explode_outer(around).alias("at"))
-    met = seen.join(F.broadcast(known) if few else known, F.col("at.word") == F.col("anchor"), "left")
-    left, right = _agreeing(F.col("at.before"), F.col("item_before")), _agreeing(F.col("at.after"), F.col("item_after"))
-    met = met.withColumns({"left": left, "right": right})
-    whole = F.col("left") + F.col("right") + 1 >= F.col("short")
-    start, end = F.col("at.i") - F.col("left"), F.col("at.i") + F.col("right") + 1
-    return met.groupBy(*kept, "row", "n_words").agg(
-        F.collect_set(F.when(whole, F.struct(start.alias("start"), end.alias("end")))).alias("runs"),
-        F.array_distinct(F.flatten(F.collect_set(F.when(whole, F.col("items"))))).alias("found"))
+        seen = seen.select("id", "row", "n_words", "at", "window", F.slice("w", place + 1, length).alias("said"))
+        said = F.col("said")
+    met = seen.join(known, (F.col("window") == F.col("hash")) & (said == F.col("gram")), "left").select(
+        "id", "row", "n_words", "at", "items", F.when(F.col("items").isNotNull(), F.struct(place.alias("start"), (place + length).alias("end"))).alias("run"))
+    met = met.filter(F.col("items").isNotNull() | F.col("at").isNull() | (F.col("at") == 0))  # the first window stands for the document
+    return met.groupBy("id", "row", "n_words").agg(
+        F.collect_set("run").alias("runs"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("found"))
 
 
 def _covered(runs: Column) -> Column:
@@ -103,36 +113,37 @@ def _covered(runs: Column) -> Column:
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10, id_col: str = "doc_id", text_col: str = "text",
-                  item_id: str = "item_id", item_text: str = "text", broadcast_words: int = 50_000) -> DataFrame:
+                  item_id: str = "item_id", item_text: str = "text", broadcast_bytes: int = 64 << 20) -> DataFrame:
     """``id_col, n_words, n_hit, n_items, items_sha256, contaminated`` of every row of ``docs``.
 
     ``n_hit`` counts the words inside any occurrence of a window, ``n_items`` the items that have one;
     ``items_sha256`` is of their ids, sorted as text and joined by commas. A NULL or wordless text has no
     hits, nor has any text if the benchmark is empty. Rows with the same id are judged one by one; items with the same id
-    count as one item, those without an id as none.
+    count as one item, those without an id as none. A set of windows of more than ``broadcast_bytes`` is not sent to the tasks but joined as Spark chooses.
     """
-    hits = _hits(docs.select(id_col, text_col), benchmark, n, text_col, item_id, item_text, broadcast_words)
+    hits = _hits(docs, benchmark, n, id_col, text_col, item_id, item_text, broadcast_bytes)
     n_hit = _covered(F.col("runs"))
     return hits.select(
-        id_col, F.col("n_words").cast("bigint").alias("n_words"), n_hit.alias("n_hit"), F.size("found").cast("bigint").alias("n_items"),
+        F.col("id").alias(id_col), F.col("n_words").cast("bigint").alias("n_words"), n_hit.alias("n_hit"), F.size("found").cast("bigint").alias("n_items"),
         F.sha2(F.concat_ws(",", F.array_sort("found")), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
 
-def remove_contaminated(docs: DataFrame, benchmark: DataFrame, remove: str = "documents", id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def remove_contaminated(docs: DataFrame, benchmark: DataFrame, remove: str = "documents", id_col: str = "doc_id", text_col: str = "text", n: int = 10,
+                        item_id: str = "item_id", item_text: str = "text", broadcast_bytes: int = 64 << 20) -> DataFrame:
     """``docs`` without the documents that hold a benchmark window, or (``remove='spans'``) without the words in one.
 
-    A removed word takes the separators after it along. Columns stay as they are. Documents are told apart
+    A removed word takes the separators after it along. Columns, whatever their names, stay as they are. Documents are told apart
     by id, so rows that share an id (NULL too) go or stay together; with ``spans`` ids must be unique.
     """
-    options = {"n": 10, "item_id": "item_id", "item_text": "text", "broadcast_words": 50_000} | options
-    hits = _hits(docs.select(id_col, text_col), benchmark, text_col=text_col, **options).filter(F.size("runs") > 0)
+    hits = _hits(docs, benchmark, n, id_col, text_col, item_id, item_text, broadcast_bytes).filter(F.size("runs") > 0)
+    held = docs.select(F.struct(*docs.columns).alias("doc"), F.col(id_col).alias("own"))
     if remove == "documents":
-        bad = hits.select(F.col(id_col).alias("__id")).distinct()
-        return docs.join(bad.hint("merge"), docs[id_col].eqNullSafe(bad["__id"]), "left_anti")  # ids grow with the documents
-    bad = hits.select(F.col(id_col).alias("__id"), F.col("runs").alias("__runs"))
-    text = F.col(text_col)
+        bad = hits.select("id").distinct()
+        return held.join(bad.hint("merge"), F.col("own").eqNullSafe(F.col("id")), "left_anti").select("doc.*")  # ids grow with the documents
+    text = F.col("doc")[text_col]
     units = F.regexp_extract_all(text, F.lit(f"({_RAW_WORD}(?:{_RAW_BETWEEN})?)"), F.lit(1))
     clean = F.concat(F.regexp_extract(text, f"^(?:{_RAW_BETWEEN})?", 0), F.array_join(F.filter(
-        units, lambda _, i: ~F.exists("__runs", lambda r: (r["start"] <= i) & (i < r["end"]))), ""))
-    joined = docs.join(bad, docs[id_col].eqNullSafe(bad["__id"]), "left")
-    return joined.withColumn(text_col, F.when(F.col("__runs").isNull(), text).otherwise(clean)).drop("__id", "__runs")
+        units, lambda _, i: ~F.exists("runs", lambda r: (r["start"] <= i) & (i < r["end"]))), ""))
+    joined = held.join(hits.select("id", "runs"), F.col("own").eqNullSafe(F.col("id")), "left")
+    new = F.when(F.col("runs").isNull(), text).otherwise(clean)
+    return joined.select(*[(new if c == text_col else F.col("doc")[c]).alias(c) for c in docs.columns])
