@@ -1,5 +1,6 @@
 import random
 
+from tidemark.llm import urlfilter
 from tidemark.llm.urlfilter import judge_urls
 
 RULES = [("net", "/", "block"), ("example.net", "/a/", "allow"), ("b.example.net", "/", "block"), ("example.net", "/a/b", "block"),
@@ -16,7 +17,7 @@ def _plain(url):
     return (host, path, max(fits)[1], max(fits)[2]) if fits else (host, path, None, "allow")
 
 
-def test_rules_against_a_plain_loop(spark):
+def test_rules_against_a_plain_loop(spark, monkeypatch):
     random.seed(3)
     hosts = ["net", "example.net", "B.EXAMPLE.net", "www.b.example.net", "xample.net", "example.net.", "a-b.org", "x.a-b.org", "a.org", "org", "", "ÄÖ.org",
              "x\x01a.org", "example.net:80"]
@@ -25,7 +26,8 @@ def test_rules_against_a_plain_loop(spark):
     urls += [None, "", "net/a/", "://", "http:/net/"] + ["http://net/hot"] * 800
     df = spark.createDataFrame([(i, u, "kept out") for i, u in enumerate(urls)], "page_id long, url string, verdict string")
     rules = spark.createDataFrame(RULES + [("org", None, "block")], "host string, path string, verdict string")
-    for range_rows in (50, 100_000):
+    for range_rows, ranges in ((50, 1024), (50, 3), (100_000, 1024)):  # with three ranges each is shared out
+        monkeypatch.setattr(urlfilter, "_RANGES", ranges)
         found = judge_urls(df, rules, range_rows=range_rows)
         assert found.columns == ["page_id", "host", "path", "rule", "verdict"]
         assert {r[0]: tuple(r)[1:] for r in found.collect()} == {i: _plain(u) for i, u in enumerate(urls)}

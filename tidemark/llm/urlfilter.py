@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 SEPARATOR = "\x01"
 _PATH = "\x02"
 _TOP = "\U0010ffff"
+#: Ranges at most: the driver and the tasks hold their bounds. Beyond that a range is shared out by a hash of the id.
+_RANGES = 1024
 
 
 def url_host(url: Column) -> Column:
@@ -91,9 +93,9 @@ def _sweep(urls: pd.DataFrame, rules: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(columns, dtype=object)
 
 
-def _bounds(rows: DataFrame, ranges: int, n: int) -> list[str]:
-    """Sorted keys that cut a sample of about 30 keys a range into equal parts."""
-    keys = sorted(r[0] for r in rows.select("key").sample(min(1.0, 30 * ranges / max(n, 1)), seed=7).collect())
+def _bounds(rows: DataFrame, ranges: int) -> list[str]:
+    """Sorted keys that cut a sample of 30 keys a range, chosen by a hash, into equal parts."""
+    keys = sorted(r[0] for r in rows.select("key").orderBy(F.xxhash64("key")).limit(30 * ranges).collect())
     return sorted({keys[len(keys) * i // ranges] for i in range(1, ranges)}) if keys else []
 
 
@@ -118,16 +120,19 @@ def judge_urls(urls: DataFrame, rules: DataFrame, default: str = "allow", id_col
     where none fits. Of rules with the same host and path the last by verdict counts; rules with a NULL
     are left out. NULL URLs and those without ``://`` have an empty host and path. Every row is judged by
     itself, repeated ones too; an empty table of either kind is fine. ``range_rows`` is the aim for the
-    rows of one range, the unit that one task holds in memory.
+    rows of one unit, which one task holds in memory: a range, of which there are 1024 at most, or a share of one.
     """
     kind = urls.schema[id_col].dataType.simpleString()
     rows = urls.select(F.col(id_col).cast("string").alias("id"), url_host(F.col(url_col)).alias("host"), url_path(F.col(url_col)).alias("path"))
     rows = rows.select(*(F.coalesce(c, F.lit("")).alias(c) if c != "id" else c for c in rows.columns))
     rows = rows.withColumn("key", _key(F.col("host"), F.col("path"), F.col("id")))
     n = urls.count()
-    part, parts = _parts_of(_bounds(rows, max(8, -(-n // range_rows)), n))
+    ranges = min(_RANGES, max(8, -(-n // range_rows)))
+    shares = max(1, -(-n // (ranges * range_rows)))
+    part, parts = _parts_of(_bounds(rows, ranges))
     prefix = F.concat(F.array_join(F.reverse(F.split("host", r"\.")), SEPARATOR), F.lit(SEPARATOR))
     dealt = rules.select("host", "path", "verdict").dropna().select("*", F.explode(parts(prefix)).alias("part"))
+    dealt = dealt.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
 
     def judge(some: pd.DataFrame, open_rules: pd.DataFrame) -> pd.DataFrame:
         if not len(some):
@@ -136,6 +141,7 @@ def judge_urls(urls: DataFrame, rules: DataFrame, default: str = "allow", id_col
         out["verdict"] = [default if v is None else v for v in out["verdict"]]
         return out
 
-    return (rows.withColumn("part", part("key")).groupBy("part").cogroup(dealt.groupBy("part"))
+    rows = rows.withColumn("part", part("key")).withColumn("share", F.pmod(F.xxhash64("id"), F.lit(shares)).cast("int"))
+    return (rows.groupBy("part", "share").cogroup(dealt.groupBy("part", "share"))
             .applyInPandas(judge, "id string, host string, path string, rule string, verdict string")
             .select(F.col("id").cast(kind).alias(id_col), "host", "path", "rule", "verdict"))
