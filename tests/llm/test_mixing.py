@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm.mixing import dominant_topic, draw, mix
+from tidemark.llm.mixing import dominant_topic, draw, margins, mix
 
 
 @pytest.fixture(scope="module")
@@ -26,6 +26,22 @@ def test_expected_tokens_meet_the_margins(docs):
     assert found.agg(F.max("__rate")).first()[0] < 1
 
 
+def test_margins_tell_what_is_missed(docs):
+    dimensions, exponents = {"source": F.col("source"), "lang": F.col("lang")}, {"source": 0.5, "lang": 0.5}
+    met = {(r["dimension"], r["value"]): r for r in margins(docs, dimensions, exponents, F.col("n"), 0.1, 20).collect()}
+    assert set(met) == {("source", "big"), ("source", "mid"), ("source", None), ("lang", "en"), ("lang", "de")}
+    assert all(r["residual"] < 1e-3 for r in met.values())
+    missed = {(r["dimension"], r["value"]): r for r in margins(docs, dimensions, {"source": 0.0, "lang": 1.0}, F.col("n"), 0.9).collect()}
+    small = missed["source", None]
+    assert small["expected"] == pytest.approx(small["tokens"], rel=0.02) and small["residual"] > 0.5
+
+
+def test_clashing_names(spark):
+    df = spark.createDataFrame([(1, "a", "x", 3, 7, 8)], "doc_id long, source string, lang string, n long, __dim_0 int, __rate int")
+    found = _mix(df)
+    assert found.columns == ["doc_id", "source", "lang", "n", "__dim_0", "__tokens", "__rate", "__sampled"] and found.first()["__dim_0"] == 7
+
+
 def test_a_small_value_is_taken_whole(docs):
     rates = {r["source"]: r["rate"] for r in _mix(docs, budget=0.9, exponents={"source": 0.0, "lang": 1.0}).groupBy("source").agg(F.min("__rate").alias("rate")).collect()}
     assert rates[None] == pytest.approx(1, abs=0.02)

@@ -12,12 +12,15 @@ Documents are summed to cells before anything is shuffled; the rounds work on ce
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import stage
 
 _KEY = "__dim_{}"
+#: The columns that :func:`mix` adds; columns of these names are replaced.
+TOKENS, RATE, SAMPLED = "__tokens", "__rate", "__sampled"
 
 
 def dominant_topic(text: Column, patterns: Mapping[str, str], otherwise: str) -> Column:
@@ -52,12 +55,30 @@ def rake(cells: DataFrame, keys: list[str], exponents: list[float], budget: floa
     cells = stage(cells.withColumn("rate", F.lit(float(budget))), "mix-cells")
     for _ in range(rounds):
         for i, key in enumerate(keys):
-            sums = cells.groupBy(key).agg(F.sum(F.col("tokens") * F.col("rate")).alias("now"))
-            cells = cells.join(sums, key).withColumn("rate", F.when(F.col("now") > 0, F.col("rate") * F.col(f"want{i}") / F.col("now")).otherwise(F.col("rate"))).drop("now")
+            now = F.sum(F.col("tokens") * F.col("rate")).over(Window.partitionBy(key))
+            cells = cells.withColumn("now", now)
+            cells = cells.withColumn("rate", F.when(F.col("now") > 0, F.col("rate") * F.col(f"want{i}") / F.col("now")).otherwise(F.col("rate"))).drop("now")
         cells = stage(cells.withColumn("rate", F.least("rate", F.lit(1.0))), "mix-cells")
     return cells
 
 
+def margins(docs: DataFrame, dimensions: Mapping[str, Column], exponents: Mapping[str, float], tokens: Column, budget: float = 0.6, rounds: int = 10) -> DataFrame:
+    """``dimension, value, tokens, wanted, expected, residual``: how well the rates of :func:`mix` meet each margin.
+
+    ``residual`` is the share by which the expected tokens miss those wanted. It is not zero where a value was to give more tokens than it has,
+    and for the values that share cells with it, or where more rounds are needed.
+    """
+    names = list(dimensions)
+    keys = [_KEY.format(i) for i in range(len(names))]
+    rows = docs.select(*[_key(dimensions[n]).alias(k) for k, n in zip(keys, names)], tokens.cast("bigint").alias("tokens"))
+    raked = rake(stage(rows.groupBy(*keys).agg(F.sum("tokens").alias("tokens")), "mix-cells"), keys, [exponents[n] for n in names], budget, rounds)
+    found = [raked.groupBy(F.lit(name).alias("dimension"), F.when(F.col(key) != "", F.substring(key, 2, 1 << 30)).alias("value")).agg(
+        F.sum("tokens").alias("tokens"), F.coalesce(F.max(f"want{i}"), F.lit(0.0)).alias("wanted"), F.sum(F.col("tokens") * F.col("rate")).alias("expected"))
+        for i, (name, key) in enumerate(zip(names, keys))]
+    every = reduce(DataFrame.union, found)
+    return every.withColumn("residual", F.when(F.col("wanted") > 0, F.abs(F.col("expected") - F.col("wanted")) / F.col("wanted")).otherwise(F.lit(0.0)))
+
+
 def mix(docs: DataFrame, dimensions: Mapping[str, Column], exponents: Mapping[str, float], tokens: Column, budget: float = 0.6,
         rounds: int = 10, id_col: str = "doc_id", seed: str = "mix") -> DataFrame:
     """``docs`` with ``__tokens``, ``__rate`` and ``__sampled``.
@@ -69,7 +90,9 @@ def mix(docs: DataFrame, dimensions: Mapping[str, Column], exponents: Mapping[st
     """
     names = list(dimensions)
     keys = [_KEY.format(i) for i in range(len(names))]
-    rows = docs.withColumns({k: _key(dimensions[n]) for k, n in zip(keys, names)} | {"__tokens": tokens.cast("bigint")})
-    cells = stage(rows.groupBy(*keys).agg(F.sum("__tokens").alias("tokens")), "mix-cells")
-    rates = rake(cells, keys, [exponents[n] for n in names], budget, rounds).select(*keys, F.col("rate").alias("__rate"))
-    return rows.join(rates, keys).withColumn("__sampled", draw(F.col(id_col), seed) < F.col("__rate")).drop(*keys)
+    n, drawn = tokens.cast("bigint"), draw(F.col(id_col), seed)
+    held = docs.select(F.struct(*docs.columns).alias("doc"), *[_key(dimensions[d]).alias(k) for k, d in zip(keys, names)], n.alias("n"), drawn.alias("drawn"))
+    cells = stage(held.groupBy(*keys).agg(F.sum("n").alias("tokens")), "mix-cells")
+    rates = rake(cells, keys, [exponents[d] for d in names], budget, rounds).select(*keys, "rate")
+    own = [F.col("doc")[c].alias(c) for c in docs.columns if c not in (TOKENS, RATE, SAMPLED)]
+    return held.join(rates, keys).select(*own, F.col("n").alias(TOKENS), F.col("rate").alias(RATE), (F.col("drawn") < F.col("rate")).alias(SAMPLED))
