@@ -42,7 +42,7 @@ def ancestry(df: DataFrame, key: str, parent: str, mark: str | None = None, circ
         moved = stage(moved, "tree")
         done.append(moved.filter("up IS NULL"))
         active, window = moved.filter("up IS NOT NULL"), 2 * window
-    circular = active.isEmpty() is False
+    circular = not active.isEmpty()
     if circular and not circles:
         raise ValueError(f"rows refer to each other in a circle, e.g. at {key} = {active.first()['key']}")
     if circular:  # a window as long as the table has gone round
