@@ -283,3 +283,20 @@ def test_generated_parent_keys_reach_the_children(spark):
     assert list(results) == ["parent", "child"]
     assert publish_order(results, deletions=True) == ["child", "parent"]
     assert rows(results["child"].result, "code", "parent_id") == [("a", 12), ("b", 11), ("c", 10), ("x", 12)]
+
+
+def test_keys_that_compress_well_are_not_broadcast(spark, empty):
+    """The driver holds what is broadcast; a file of consecutive numbers is a small part of its rows."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1m")
+    try:
+        lines = F.array(F.struct(F.col("id").alias("n")))
+        nested = spark.range(60_000).select((-F.col("id")).alias("place"), lines.alias("lines"))
+        line = Node(TableSpec("line", key=("sheet_id", "n")))
+        sheet = Node(TableSpec("sheet", key=("id",), identity="id"), many=(Many("lines", line, "sheet_id"),))
+        targets = {"sheet": spark.createDataFrame([], "id bigint, place bigint"), "line": spark.createDataFrame([], "sheet_id bigint, n bigint")}
+        found = merge_graph(nested, sheet, targets, "upsert", ordinal="place")["line"].result
+        assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+        assert found.filter(F.col("n") + F.col("sheet_id") == 60_000).count() == 60_000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -15,7 +15,7 @@ from ..spec import TableSpec
 from .identity import RANK, rank_rows
 from .keys import dedupe
 from .merge import ORDINAL, MergeResult, merge
-from .skew import any_null, join_many_to_one, row_hash
+from .skew import any_null, join_many_to_one, row_hash, spread_if_large
 
 ROW = "__row"
 _GRAPH_OPERATIONS = {"insert_absent", "upsert", "sync", "update"}
@@ -216,7 +216,7 @@ def _given_keys(result: MergeResult, node: Node, rows: DataFrame, target: DataFr
         known = join_many_to_one(rows, there, match, how="inner", aliases=("r", "k"))
         own = known.select(*[F.col(quote("r", c)) for c in rows.columns], F.col("k.__key"))
         given = given.union(own.select(_link(node, F.col(ROW)).alias("__link"), "__key"))
-    return stage(given, "keys")
+    return spread_if_large(stage(given, "keys"))
 
 
 def _resolve(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:

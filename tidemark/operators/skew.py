@@ -40,6 +40,18 @@ def looks_small(df: DataFrame) -> bool:
     return size is not None and size <= broadcast_threshold(df)
 
 
+def spread_if_large(df: DataFrame) -> DataFrame:
+    """Stored rows that joins do not broadcast if they are larger than the threshold.
+
+    Spark takes the size of a file for that of its rows, though consecutive numbers take a hundredth there; such a side is broadcast and
+    fills the driver. Here the rows are counted, from the files' footers. Only for a side that holds each key at most once.
+    """
+    limit = broadcast_threshold(df)
+    if limit < 0 or df.count() * (8 + df._jdf.schema().defaultSize()) <= limit:
+        return df
+    return df.hint("merge")
+
+
 def hashable(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
 

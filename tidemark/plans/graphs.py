@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .. import ForeignKey, Many, Node, One, apply_changes, fill_self_reference, flatten_graph, merge_graph
 from ..operators import ancestry, cascade_delete_tree
 from ..operators.graph import graph_stats as summed_stats, unique_rows
-from ..operators.skew import join_many_to_one
+from ..operators.skew import join_many_to_one, spread_if_large
 from ..sources.staging import stage_path
 from ..spec import TableSpec
 from ..streaming import StreamedTable, newest_rows, use_state_store
@@ -54,13 +54,13 @@ SHEET = Node(TableSpec("sheet", key=("id",), identity="id"), many=(Many("dates",
 SHEET_IDS = "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS id, o_custkey, o_orderdate FROM orders"
 
 
-def _sheets(tables: Tables):
+def _sheets(tables: Tables, about: str = "o_custkey"):
     date = F.col("o_orderdate")
     dates = F.array(
         F.struct(F.lit("ship").alias("what"), (date + F.expr("INTERVAL 7 DAY")).alias("at")),
         F.struct(F.lit("pay").alias("what"), (date + F.expr("INTERVAL 30 DAY")).alias("at")),
     )
-    return tables.orders.select("o_orderkey", "o_custkey", dates.alias("dates"))
+    return tables.orders.select("o_orderkey", about, dates.alias("dates"))
 
 
 def _merge_sheets(tables: Tables):
@@ -131,9 +131,8 @@ def _dues(tables: Tables, ordinal: str | None):
         "sheet": tables.spark.createDataFrame([], "id bigint, o_orderkey bigint, o_orderpriority string"),
         "due": tables.spark.createDataFrame([], "order_id bigint, what string, at timestamp_ntz"),
     }
-    nested = _sheets(tables).drop("o_custkey").join(tables.orders.select("o_orderkey", "o_orderpriority"), "o_orderkey")
-    results = merge_graph(nested, SHEET, empty, "upsert", ordinal=ordinal)
-    sheets = results["sheet"].staged().result
+    results = merge_graph(_sheets(tables, "o_orderpriority"), SHEET, empty, "upsert", ordinal=ordinal)
+    sheets = spread_if_large(results["sheet"].staged().result)
     return join_many_to_one(results["due"].result, sheets, ["order_id"], ["id"], "inner").select("s.o_orderkey", "t.what", "t.at")
 
 
