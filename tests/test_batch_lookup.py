@@ -152,3 +152,16 @@ def test_keys_are_not_glued_together(spark):
     t = spark.createDataFrame([("a_b", "c", 1), ("a", "b_c", 2)], "x string, y string, v int")
     asked = spark.createDataFrame([("a", "b_c"), ("a_b", "c")], "x string, y string")
     assert rows(lookup(asked, t, TableSpec("p", key=("x", "y")))) == [("a", "b_c", 2), ("a_b", "c", 1)]
+
+
+def test_united_relations_are_shuffled_before_they_are_combined(spark):
+    """Each relation holds a key once by then; to combine before the shuffle would hold all keys in a task's memory."""
+    many = spark.range(100).select((F.col("id") % 10).alias("of"), F.col("id").alias("v"))
+    sums = Aggregate("sums", many, {"k": "of"}, {"total": F.sum("v")})
+    counts = Aggregate("counts", many, {"k": "of"}, {"n": F.count(F.lit(1))}, "v > 50")
+    table = spark.range(12).select(F.col("id").alias("k"), F.lit(0).cast("bigint").alias("a"))
+    done = batch_update(table, {"a": child_value(sums, "total") + child_value(counts, "n")}, aggregates=[sums, counts]).result
+    plan = done._jdf.queryExecution().executedPlan().toString().splitlines()
+    above = [line for line in plan[:next(i for i, line in enumerate(plan) if "Union" in line)] if "Project" not in line]
+    assert "Exchange" in above[-1]
+    assert rows(done, "k", "a") == sorted((k, sum(range(k, 100, 10)) + sum(v > 50 for v in range(k, 100, 10)) if k < 10 else 0) for k in range(12))

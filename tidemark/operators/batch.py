@@ -128,7 +128,8 @@ def _star(df: DataFrame, relations: Sequence, exists: dict[int, str]) -> DataFra
     """``df`` with what several relations on the same columns have for a row, met by one left join.
 
     Each relation's rows are tagged by columns of their own and united; a key is then one row with the values of all. That row is
-    grouped by the key as a struct and joined by its fields: the shuffle in between lets Spark split a frequent key of ``df``.
+    grouped by the key as a struct and joined by its fields: the shuffle in between lets Spark split a frequent key of ``df``. The
+    relations hold a key once each by then, so it is shuffled first; to combine before would only hold all of it in memory.
     """
     columns = sorted(relations[0].on)
     keys = [f"k{i}" for i in range(len(columns))]
@@ -156,7 +157,7 @@ def _star(df: DataFrame, relations: Sequence, exists: dict[int, str]) -> DataFra
             text = F.concat(F.lit(f"more than one source row for key ({', '.join(relation.on.values())}) = "), F.col("__key").cast("string"))
             there.append(F.when(F.col(f"__{i}__n") > 1, F.raise_error(text).cast("boolean")).otherwise(True))
     united = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    star = united.groupBy(F.struct(*keys).alias("__key")).agg(*reduced)
+    star = united.withColumn("__key", F.struct(*keys)).drop(*keys).repartition("__key").groupBy("__key").agg(*reduced)
     star = reduce(lambda s, test: s.filter(test), there, star)
     name = f"__star_{'_'.join(columns)}"
     on = reduce(and_, [F.col(quote("t", c)) == F.col(quote(name, "__key", k)) for c, k in zip(columns, keys)])
