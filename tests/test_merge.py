@@ -207,6 +207,14 @@ def test_insert_conflicts(target, source):
         insert(target, source, SPEC, "maybe")
 
 
+def test_replaced_keys_are_told_apart_once(target, source):
+    """The check for duplicates has made the keys unique: a task need not hold them all again."""
+    replaced = insert(target, source, SPEC, "replace")
+    assert "Aggregate" not in replaced._jdf.queryExecution().executedPlan().toString()
+    twice = insert(target, source.union(source), SPEC, "replace", on_duplicate="unchecked")
+    assert rows(twice, "id") == [(1,), (2,), (2,), (3,), (3,), (4,), (4,), (5,), (5,)]
+
+
 def test_null_keys_are_no_duplicates_unless_they_match(spark):
     t = spark.createDataFrame([(1, "a")], "id int, v string")
     s = spark.createDataFrame([(None, "x"), (None, "y"), (1, "b")], "id int, v string")

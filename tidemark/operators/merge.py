@@ -472,9 +472,12 @@ def _without_partner(source: DataFrame, target: DataFrame, plan: ColumnPlan, uni
 
 
 def _delete(target: DataFrame, keys: DataFrame, spec: TableSpec, plan: ColumnPlan,
-            options: MergeOptions) -> MergeResult:
-    """Rows whose key the source names go; a semi and an anti join on the key columns alone."""
-    keys = keys.distinct()
+            options: MergeOptions, unique: bool = False) -> MergeResult:
+    """Rows whose key the source names go; a semi and an anti join on the key columns alone.
+
+    Keys that are ``unique`` already are not held in memory once more to make them so.
+    """
+    keys = keys if unique else keys.distinct()
     if options.join_hint:
         keys = keys.hint(options.join_hint)
 
@@ -545,7 +548,9 @@ def insert(target: DataFrame, source: DataFrame, spec: TableSpec, on_conflict: s
         plan = resolve_columns(spec, options, target.columns, "upsert")
         new = _prepare_source(source, target, spec, plan, options, key_only=False)
         new = dedupe(new, plan.key, options.on_duplicate, [ORDINAL] if ORDINAL in new.columns else [])
-        kept = merge(target, new, spec, "delete", match_on=options.match_on).result
+        keys = new.select(*[F.col(quote(k)) for k in plan.key])
+        unique = options.on_duplicate != "unchecked"
+        kept = _delete(target, keys, spec, plan, MergeOptions(match_on=options.match_on), unique).result
         new = new.drop(ORDINAL)
         return append_rows(kept, new, spec, include=new.columns, keep_identity=True)
     if on_conflict != "error":
