@@ -1,6 +1,7 @@
 """A source read in pages by several tasks; the newest row of a key in a stream's state store."""
 
 import datetime as dt
+import glob
 import json
 import os
 
@@ -8,9 +9,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
+from tidemark.plans import QUERIES
 from tidemark import TableSpec, upsert
 from tidemark.sources import from_pages
 from tidemark.sources.pages import PagedSource, _PageReader
+from tidemark.sources.staging import staging_root
 from tidemark.streaming import StreamedTable, newest_rows, use_state_store
 
 SCHEMA = "id long, name string, at date, price decimal(9,2)"
@@ -124,3 +127,23 @@ def test_a_table_with_more_buckets_goes_on(spark, tmp_path):
 def test_missing_columns(spark):
     with pytest.raises(ValueError, match="no columns q"):
         newest_rows(spark.createDataFrame([], EVENTS), ["k"], ["q"])
+
+
+def test_a_batch_is_evaluated_once(spark, tmp_path):
+    """What comes out of a state store must not be worked out again for each reader of the batch."""
+    seen = spark.sparkContext.accumulator(0)
+    table = StreamedTable(str(tmp_path / "table"), TableSpec("t", key=("k",)), EVENTS, ["at", "seq"], newer_by="at", buckets=4)
+    data = [(f"k{i}", dt.datetime(2024, 5, 1), 1, float(i)) for i in range(20)]
+    batch = spark.createDataFrame(data, EVENTS).mapInPandas(lambda frames: (f for f in frames if not seen.add(len(f))), EVENTS)
+    table.apply(batch, 0)
+    assert seen.value == 20 and table.read(spark).count() == 20
+
+
+def test_parts_of_many_files_are_batches_all_the_same(spark):
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 60)
+    try:
+        assert QUERIES["stream_state_newer_wins"](spark, "/root/testdata/sf0.001").count() > 0
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    commits = glob.glob(f"{staging_root(spark)}/{spark.sparkContext.applicationId}/stream-*/checkpoint/commits/[0-9]*")
+    assert sorted(os.path.basename(c) for c in commits) == ["0", "1", "2", "3"]

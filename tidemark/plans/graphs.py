@@ -310,16 +310,18 @@ def _streamed(tables: Tables, newer_by: str | None, state: bool = False):
     table = StreamedTable(f"{work}/table", TableSpec("last_event", key=("user_id",)), schema, ["ts", "event_id"],
                           newer_by=newer_by, buckets=8)
     first, last = tables.events.agg(F.min("ts"), F.max("ts")).first()
+    if state:
+        use_state_store(spark)
     for i in range(3, -1, -1) if newer_by else range(4):
         low, high = (F.lit(first + (last - first) * n / 4) for n in (i, i + 1))
         part = (F.col("ts") >= low) & ((F.col("ts") < high) if i < 3 else F.lit(True))
-        tables.events.filter(part).write.parquet(f"{work}/events/{3 - i if newer_by else i}")
-    events = spark.readStream.schema(tables.events.schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/events/*")
-    if state:
-        use_state_store(spark)
-        events = newest_rows(events, ["user_id"], ["ts", "event_id"])
-    writer = table.writer(events, f"{work}/checkpoint").outputMode("update" if state else "append")
-    writer.trigger(availableNow=True).start().awaitTermination()
+        tables.events.filter(part).write.parquet(f"{work}/events/{i}")
+        # the stream goes on with what has come, however many files that is, in one batch
+        events = spark.readStream.schema(tables.events.schema).parquet(f"{work}/events/*")
+        if state:
+            events = newest_rows(events, ["user_id"], ["ts", "event_id"])
+        writer = table.writer(events, f"{work}/checkpoint").outputMode("update" if state else "append")
+        writer.trigger(availableNow=True).start().awaitTermination()
     return table.read(spark).select("user_id", "event_id", "ts", "event_type", "value")
 
 

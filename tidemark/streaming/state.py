@@ -1,16 +1,16 @@
 """The newest row of each key, kept in a stream's state store.
 
 Each key's newest order values are state; a row passes only if it is newer, so what reaches a table are winners alone, and a
-late row is dropped before it is shuffled, joined or written. The state is checkpointed with the stream: a
-restarted query goes on where it was.
+late row is dropped before it is joined or written. The state is checkpointed with the stream: a
+restarted query goes on where it was. Rows are compared as they are: a pandas frame for each key takes milliseconds.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import datetime as dt
+from collections.abc import Iterable, Iterator, Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, Row, SparkSession, types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.names import quote
@@ -27,30 +27,28 @@ class NewestRow(StatefulProcessor):
 
     def __init__(self, order: Sequence[str], schema: T.StructType, ttl_ms: int | None = None):
         self.order, self.columns, self.ttl_ms = list(order), schema.names, ttl_ms
+        self.instants = [isinstance(schema[c].dataType, T.TimestampType) for c in self.order]
         self.state_schema = T.StructType([schema[c] for c in self.order])
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.newest = handle.getValueState("newest", self.state_schema, self.ttl_ms)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        best = None
-        for frame in rows:  # a frequent key comes in several pieces, of which one row is held
-            frame = frame.dropna(subset=self.order).sort_values(self.order, kind="stable")
-            if len(frame):
-                last = frame.iloc[-1:]
-                if best is None or self._values(last) > self._values(best):
-                    best = last
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        best = newest = None
+        for row in rows:  # a frequent key has many, of which one is held
+            values = self._values(row[c] for c in self.order)
+            if all(v is not None and v == v for v in values) and (newest is None or values > newest):  # noqa: PLR0124
+                best, newest = row, values
         if best is None:
             return
-        values = self._values(best)
         known = self.newest.get() if self.newest.exists() else None
-        if known is None or values > tuple(known):
-            self.newest.update(values)
-            yield best[self.columns]
+        if known is None or newest > self._values(known):
+            self.newest.update(newest)
+            yield best
 
-    def _values(self, row: pd.DataFrame) -> tuple:
-        first = row.iloc[0]
-        return tuple(v.to_pydatetime() if isinstance(v, pd.Timestamp) else v.item() if hasattr(v, "item") else v for v in (first[c] for c in self.order))
+    def _values(self, values: Iterable) -> tuple:
+        """Instants come with a zone in rows, and without one, in local time, from the store."""
+        return tuple(v.astimezone(dt.timezone.utc) if instant and v is not None else v for instant, v in zip(self.instants, values))
 
     def close(self) -> None:
         pass
@@ -65,7 +63,7 @@ def newest_rows(stream: DataFrame, key: Sequence[str], order: Sequence[str], ttl
     if missing:
         raise ValueError(f"the stream has no columns {', '.join(missing)}")
     grouped = stream.groupBy(*[quote(k) for k in key])
-    return grouped.transformWithStateInPandas(
+    return grouped.transformWithState(
         statefulProcessor=NewestRow(order, stream.schema, ttl_ms), outputStructType=stream.schema, outputMode="Update",
         timeMode="ProcessingTime" if ttl_ms else "None")
 

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQueryListener
 from ..functions.names import quote
 from ..operators.folders import merge_folder, read_folder
 from ..operators.keys import dedupe
+from ..sources.staging import discard, stage, stage_path
 from ..spec import TableSpec
 
 BUCKET = "__bucket"
@@ -58,6 +59,8 @@ class StreamedTable:
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         key = list(self.spec.key)
         latest = dedupe(batch, key, "last", list(self.ordinal)).withColumn(BUCKET, self._bucket())
+        copy = stage_path(batch.sparkSession, "batch")
+        latest = stage(latest, path=copy)  # read more than once below, when a batch's state would be gone through again
         where = None
         if self.newer_by is not None:
             where = lambda t, s: s[self.newer_by] > t[self.newer_by]
@@ -67,6 +70,7 @@ class StreamedTable:
         )
         if merged is not None and self.on_batch is not None:
             self.on_batch(batch_id, merged.stats.first().asDict())
+        discard(batch.sparkSession, copy)
 
     def _stored_schema(self) -> str:
         return f"{self.schema}, {BUCKET} int"
