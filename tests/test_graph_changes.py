@@ -11,6 +11,7 @@ from tidemark.operators import ancestry, cascade_delete_tree, table_groups, topo
 from tidemark.sources import stage
 from tidemark.operators.changeset import publish_order
 from tidemark.operators.graph import graph_stats
+from tidemark.plans import QUERIES
 
 # Voyages of a ship, with the legs they call at; a leg may name the pilot taken aboard. One voyage has neither ship nor legs,
 # two share a ship, two legs of one share a pilot.
@@ -300,3 +301,33 @@ def test_keys_that_compress_well_are_not_broadcast(spark, empty):
         assert found.filter(F.col("n") + F.col("sheet_id") == 60_000).count() == 60_000
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_children_of_few_parents_are_not_broadcast(spark):
+    """An exploded array is a hundred times what its file is; it must not reach the driver because the parents are few."""
+    what = F.transform(F.sequence(F.lit(1), F.lit(100)), lambda n: F.struct(n.alias("n")))
+    nested = spark.range(2_000).select((-F.col("id")).alias("place"), what.alias("lines"))
+    line = Node(TableSpec("line", key=("sheet_id", "n")))
+    sheet = Node(TableSpec("sheet", key=("id",), identity="id"), many=(Many("lines", line, "sheet_id"),))
+    targets = {"sheet": spark.createDataFrame([], "id bigint, place bigint"), "line": spark.createDataFrame([], "sheet_id bigint, n int")}
+    for ordinal in ("place", None):
+        found = merge_graph(nested, sheet, targets, "upsert", ordinal=ordinal)["line"].result
+        assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+        assert found.count() == 200_000 and found.select("sheet_id").distinct().count() == 2_000
+
+
+@pytest.mark.parametrize("name", ["graph_without_ordinal", "graph_repeated_ordinal"])
+def test_due_dates_are_found_without_a_broadcast(spark, name):
+    assert "Broadcast" not in QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_keys_of_change_rows_are_not_broadcast(spark):
+    """They are stored consecutive numbers as well."""
+    talks = spark.range(3_000).select(F.lit(None).cast("bigint").alias("id"), F.col("id").alias("place"), F.lit("I").alias("op"))
+    turns = spark.range(9_000).select((F.col("id") % 3_000).alias("talk"), F.col("id").alias("turn"), F.lit("I").alias("op"))
+    targets = {"talk": spark.createDataFrame([], "id bigint"), "turn": spark.createDataFrame([], "talk_id bigint, turn bigint")}
+    specs = {"talk": TableSpec("talk", key=("id",), identity="id"), "turn": TableSpec("turn", key=("talk_id", "turn"))}
+    found = apply_changes(targets, {"talk": talks, "turn": turns}, specs, [ForeignKey("turn", "talk_id", "talk", reference="talk")],
+                          ordinal={"talk": "place"})["turn"].result
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.filter(F.col("turn") % 3_000 + 1 == F.col("talk_id")).count() == 9_000

@@ -12,7 +12,7 @@ from ..sources.staging import stage
 from ..spec import TableSpec
 from .keys import dedupe
 from .merge import _OP, ORDINAL, MergeResult, merge
-from .skew import join_many_to_one
+from .skew import join_many_to_one, met_by_sort
 from .tree import ancestry
 
 
@@ -101,14 +101,14 @@ def apply_changes(
                     rows[name] = _take_parent_key(rows[name], fk, keys[fk.parent])
         for name in {fk.parent: None for fk in inner}:  # keys first, with the references open
             own = [fk for fk in inner if fk.child == name]
-            keys[name] = stage(_given_keys(merged(name, _unset(rows[name], own, targets[name]))), "keys")
+            keys[name] = met_by_sort(stage(_given_keys(merged(name, _unset(rows[name], own, targets[name]))), "keys"))
         for name in group:
             for fk in inner:
                 if fk.child == name:
                     rows[name] = _take_parent_key(rows[name], fk, keys[fk.parent])
             results[name] = merged(name, rows[name])
             if name not in keys and any(fk.parent == name for fk in handed):
-                keys[name] = stage(_given_keys(results[name]), "keys")
+                keys[name] = met_by_sort(stage(_given_keys(results[name]), "keys"))
     return results
 
 

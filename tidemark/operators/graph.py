@@ -15,7 +15,7 @@ from ..spec import TableSpec
 from .identity import RANK, rank_rows
 from .keys import dedupe
 from .merge import ORDINAL, MergeResult, merge
-from .skew import any_null, join_many_to_one, row_hash, spread_if_large
+from .skew import any_null, join_many_to_one, met_by_sort, row_hash
 
 ROW = "__row"
 _GRAPH_OPERATIONS = {"insert_absent", "upsert", "sync", "update"}
@@ -213,10 +213,10 @@ def _given_keys(result: MergeResult, node: Node, rows: DataFrame, target: DataFr
         match = list(node.match_on or node.spec.key)
         there = target.select(*dict.fromkeys([*match, node.spec.identity])).filter(~any_null(match))
         there = dedupe(there, match).withColumn("__key", F.col(quote(node.spec.identity)))
-        known = join_many_to_one(rows, there, match, how="inner", aliases=("r", "k"))
+        known = join_many_to_one(rows, met_by_sort(there), match, how="inner", aliases=("r", "k"))
         own = known.select(*[F.col(quote("r", c)) for c in rows.columns], F.col("k.__key"))
         given = given.union(own.select(_link(node, F.col(ROW)).alias("__link"), "__key"))
-    return spread_if_large(stage(given, "keys"))
+    return met_by_sort(stage(given, "keys"))
 
 
 def _resolve(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:

@@ -40,15 +40,13 @@ def looks_small(df: DataFrame) -> bool:
     return size is not None and size <= broadcast_threshold(df)
 
 
-def spread_if_large(df: DataFrame) -> DataFrame:
-    """Stored rows that joins do not broadcast if they are larger than the threshold.
+def met_by_sort(df: DataFrame) -> DataFrame:
+    """Stored rows whose joins broadcast neither them nor the rows that ask for them.
 
-    Spark takes the size of a file for that of its rows, though consecutive numbers take a hundredth there; such a side is broadcast and
-    fills the driver. Here the rows are counted, from the files' footers. Only for a side that holds each key at most once.
+    Spark takes the size of a file for that of its rows, though consecutive numbers take a hundredth there, and an exploded array for no
+    larger than what it comes from; as both sides of such a join come from stored rows, either would be broadcast and fill the driver.
+    Only for a side that holds each key at most once.
     """
-    limit = broadcast_threshold(df)
-    if limit < 0 or df.count() * (8 + df._jdf.schema().defaultSize()) <= limit:
-        return df
     return df.hint("merge")
 
 

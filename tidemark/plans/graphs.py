@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .. import ForeignKey, Many, Node, One, apply_changes, fill_self_reference, flatten_graph, merge_graph
 from ..operators import ancestry, cascade_delete_tree
 from ..operators.graph import graph_stats as summed_stats, unique_rows
-from ..operators.skew import join_many_to_one, spread_if_large
+from ..operators.skew import join_many_to_one, met_by_sort
 from ..sources.staging import stage_path
 from ..spec import TableSpec
 from ..streaming import StreamedTable, newest_rows, use_state_store
@@ -132,7 +132,7 @@ def _dues(tables: Tables, ordinal: str | None):
         "due": tables.spark.createDataFrame([], "order_id bigint, what string, at timestamp_ntz"),
     }
     results = merge_graph(_sheets(tables, "o_orderpriority"), SHEET, empty, "upsert", ordinal=ordinal)
-    sheets = spread_if_large(results["sheet"].staged().result)
+    sheets = met_by_sort(results["sheet"].staged().result)
     return join_many_to_one(results["due"].result, sheets, ["order_id"], ["id"], "inner").select("s.o_orderkey", "t.what", "t.at")
 
 
